@@ -65,3 +65,81 @@ TARGETS = """targets AS (
 
 def target_chain(bars: str = BARS_EVENTS) -> list[str]:
     return [bars, SYMBOLS, TDATES, PANEL, RETURNS, XSTATS, TARGETS]
+
+
+ARTICLES = """articles AS (
+  SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS DATE) AS localDate,
+         CAST(doc_id AS VARCHAR) AS id,
+         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1)
+              ELSE text END AS title,
+         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1)
+              ELSE '' END AS body,
+         doc_id, lang
+  FROM documents WHERE doc_id % 30 NOT IN (6, 13))"""
+
+CLEANED = r"""cleaned AS (
+  SELECT localDate, id, doc_id,
+         trim(regexp_replace(regexp_replace(coalesce(title, '') || coalesce(body, ''),
+              '[^A-Za-z0-9\p{P}\p{Sc}\s]', '', 'g'), '\s+', ' ', 'g')) AS t
+  FROM articles)"""
+
+SENTIMENT_FIXED = r"""sentiment AS (
+  SELECT localDate, id,
+         CAST(CAST(((doc_id * 7919) % 2001 - 1000) / CAST(1000.0 AS DOUBLE) AS FLOAT) AS DOUBLE) AS s,
+         CAST(length(t) AS DOUBLE) AS L,
+         least(len(regexp_extract_all(t, '\w+|[^\w\s]')) + 2, 512) AS token_count
+  FROM cleaned)"""
+
+
+def f32(x: float) -> str:
+    return f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+
+
+DAILY = f"""mom AS (
+  SELECT localDate, avg(s) AS m, var_pop(s) AS v FROM sentiment GROUP BY localDate),
+daily AS (
+  SELECT x.localDate,
+    count(*) AS count_articles,
+    avg(s) AS mean_sentiment,
+    median(s) AS median_sentiment,
+    avg(CAST(s > 0 AS DOUBLE)) AS pct_positive,
+    avg(CAST(s < 0 AS DOUBLE)) AS pct_negative,
+    avg(CAST(s > 0 AS DOUBLE)) - avg(CAST(s < 0 AS DOUBLE)) AS polarity_ratio,
+    sum(s * L) / (sum(L) + 1e-9) AS weighted_mean_sentiment,
+    avg(CAST(abs(s) > {f32(0.5)} AS DOUBLE)) AS extreme_sentiment_share,
+    CASE WHEN count(*) < 3 OR v = 0 THEN 0.0
+         ELSE avg(pow(s - m, 3)) / pow(v, 1.5) END AS sentiment_skewness,
+    CASE WHEN count(*) < 4 OR v = 0 THEN 0.0
+         ELSE avg(pow(s - m, 4)) / pow(v, 2) - 3 END AS sentiment_kurtosis,
+    avg(CAST(abs(s) < {f32(0.1)} AS DOUBLE)) AS neutral_share,
+    max(s) AS max_sentiment,
+    min(s) AS min_sentiment,
+    var_pop(L) AS article_length_variance,
+    avg(CAST(s > 0 AS DOUBLE)) / (avg(CAST(s < 0 AS DOUBLE)) + 1e-9) AS ratio_pos_neg,
+    avg(CAST(abs(s) >= {f32(0.05)} AND abs(s) <= {f32(0.15)} AS DOUBLE)) AS conflict_share
+  FROM sentiment x JOIN mom USING (localDate)
+  GROUP BY x.localDate, m, v)"""
+
+NEWS_CHAIN = [ARTICLES, CLEANED, SENTIMENT_FIXED, DAILY]
+
+METRICS = ("count_articles", "mean_sentiment", "median_sentiment", "pct_positive",
+           "pct_negative", "polarity_ratio", "weighted_mean_sentiment",
+           "extreme_sentiment_share", "sentiment_skewness", "sentiment_kurtosis",
+           "neutral_share", "max_sentiment", "min_sentiment",
+           "article_length_variance", "ratio_pos_neg", "conflict_share")
+
+
+def spine_sql(src: str = "daily", extra_days: int = 0) -> str:
+    return f"""spine AS (
+  SELECT CAST(d AS DATE) AS localDate FROM (
+    SELECT unnest(generate_series((SELECT min(localDate) FROM {src}),
+                                  (SELECT max(localDate) FROM {src}) + {extra_days},
+                                  INTERVAL 1 DAY)) AS d))"""
+
+
+def lagged_sql(lag_days: int = 5) -> str:
+    cols, joins = [], []
+    for k in range(1, lag_days + 1):
+        joins.append(f"LEFT JOIN daily d{k} ON d{k}.localDate + {k} = spine.localDate")
+        cols += [f'round(coalesce(CAST(d{k}.{m} AS DOUBLE), 0.0), 6) AS "{m}-{k}"' for m in METRICS]
+    return ("SELECT spine.localDate, " + ", ".join(cols) + " FROM spine " + " ".join(joins))

@@ -30,7 +30,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
           .config("spark.sql.parquet.compression.codec", "zstd")
-          .config("spark.ui.enabled", "false"))
+          .config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -78,3 +78,16 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixed_score(doc_id) -> F.Column:
     """Deterministic stand-in score in [-1, 1] keyed by document id."""
     return ((doc_id * 7919) % 2001 - 1000) / F.lit(1000.0)
+
+
+def sentiment_fixed(spark: SparkSession, sf_dir: str, normalize: bool = True) -> DataFrame:
+    """Sentiment rows with a fixed score keyed by doc_id (the scorer is
+    injected elsewhere); lengths and token counts come from the cleaner."""
+    from tidemark.functions import text as TX
+    a = articles(spark, sf_dir)
+    t = a.select("localDate", "id", "doc_id",
+                 TX.clean_text(F.col("title"), F.col("body"), normalize).alias("_t"))
+    return t.select("localDate", "id",
+                    fixed_score(F.col("doc_id")).cast("float").alias("sentiment_score"),
+                    TX.text_length(F.col("_t")).alias("text_length"),
+                    TX.token_count(F.col("_t")).alias("token_count"))
