@@ -91,3 +91,72 @@ def sentiment_fixed(spark: SparkSession, sf_dir: str, normalize: bool = True) ->
                     fixed_score(F.col("doc_id")).cast("float").alias("sentiment_score"),
                     TX.text_length(F.col("_t")).alias("text_length"),
                     TX.token_count(F.col("_t")).alias("token_count"))
+
+
+def _user_no(id_col: str = "id") -> F.Column:
+    return F.substring(F.col(id_col), 2, 64).cast("long")
+
+
+def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed quote-history payload per user symbol, encoded from
+    ``bars_events``: '$' prices with thousands commas, US dates, 'N/A' for
+    some volumes. Users with no % 7 == 3 answer 'not found' (1001), no % 19
+    == 7 a server failure, no % 11 == 5 'no records'."""
+    b = bars_events(spark, sf_dir)
+    n = _user_no()
+    money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c), 2))
+    vol = F.when((n + F.dayofmonth("localDate")) % 13 == 0, F.lit("N/A")) \
+           .otherwise(F.format_number(F.col("volume"), 0))
+    row = F.struct(F.date_format("localDate", "MM/dd/yyyy").alias("date"),
+                   money("close").alias("close"), money("high").alias("high"),
+                   money("low").alias("low"), money("open").alias("open"),
+                   vol.alias("volume"))
+    per = b.groupBy("id").agg(F.collect_list(row).alias("rows"))
+    n = _user_no()
+    status = (F.when(n % 7 == 3, F.lit(400)).when(n % 19 == 7, F.lit(500))
+               .otherwise(F.lit(200)))
+    codes = (F.when(n % 7 == 3, F.array(F.struct(F.lit(1001).alias("code"))))
+              .when(n % 19 == 7, F.array(F.struct(F.lit(9999).alias("code")))))
+    empty = n % 11 == 5
+    payload = F.struct(
+        F.struct(status.alias("rCode"), codes.alias("bCodeMessage")).alias("status"),
+        F.struct(F.when(empty, 0).otherwise(F.size("rows")).alias("totalRecords"),
+                 F.struct(F.when(empty, F.array().cast(
+                     "array<struct<date:string,close:string,high:string,low:string,"
+                     "open:string,volume:string>>")).otherwise(F.col("rows")).alias("rows"))
+                 .alias("tradesTable")).alias("data"))
+    return per.select("id", F.to_json(payload).alias("payload"))
+
+
+PILLAR_BY_LANG = {"en": "pillar/news", "de": "Pillar/News", "fr": "pillar/arts",
+                  "es": "pillar/sport"}
+
+
+def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed search pages per date encoded from ``articles``: pillar by
+    language, blank bodies for doc_id % 17 == 0, no title for % 23 == 0;
+    page = doc_id // 1500 + 1 (pages of at most 50 results per day)."""
+    a = articles(spark, sf_dir)
+    pillar = F.col("lang")
+    for k, v in PILLAR_BY_LANG.items():
+        pillar = F.when(F.col("lang") == k, F.lit(v)).otherwise(pillar)
+    body = F.when(F.col("doc_id") % 17 == 0, F.lit("  \t ")).otherwise(F.col("body"))
+    title = F.when(F.col("doc_id") % 23 == 0, F.lit(None)).otherwise(F.col("title"))
+    res = F.struct(F.col("id"), pillar.alias("pillarId"), title.alias("webTitle"),
+                   F.struct(body.alias("bodyText")).alias("fields"))
+    paged = a.withColumn("page", (F.col("doc_id") / 1500).cast("long") + 1)
+    per_page = paged.groupBy("localDate", "page").agg(F.collect_list(res).alias("results"))
+    pages = paged.groupBy("localDate").agg(F.max("page").alias("pages"))
+    out = per_page.join(F.broadcast(pages), "localDate")   # one row per day
+    return out.select("localDate", "page", F.to_json(F.struct(F.struct(
+        F.col("pages").cast("int").alias("pages"), F.col("results").alias("results"))
+        .alias("response"))).alias("payload"))
+
+
+def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker-like symbols from part names; every fourth carries a '.B' class."""
+    p = table(spark, sf_dir, "part")
+    base = F.upper(F.concat(F.substring(F.split("p_name", " ").getItem(1), 1, 3),
+                            F.substring("p_name", 1, 1)))
+    t = F.when(F.col("p_partkey") % 4 == 0, F.concat(base, F.lit(".B"))).otherwise(base)
+    return p.select("p_partkey", t.alias("symbol"))
