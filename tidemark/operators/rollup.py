@@ -11,6 +11,10 @@ from tidemark.operators.rank import exact_median
 from tidemark.session import cut_lineage
 
 
+def _as_date(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x).cast("date")
+
+
 def _f32(x: float) -> Column:
     """Thresholds compare as float32, like the float32 scores."""
     return F.lit(x).cast("float").cast("double")
@@ -66,8 +70,8 @@ def daily_rollup(sentiment: DataFrame, with_median: bool = True) -> DataFrame:
 def spine_zero_fill(daily: DataFrame, start=None, end=None) -> DataFrame:
     """Every calendar day from the first (or ``start``) to the last (or
     ``end``) day; a day with no news gets an all-zero metric row."""
-    lo = F.lit(start).cast("date") if start is not None else daily.select(F.min("localDate")).scalar()
-    hi = F.lit(end).cast("date") if end is not None else daily.select(F.max("localDate")).scalar()
+    lo = _as_date(start) if start is not None else daily.select(F.min("localDate")).scalar()
+    hi = _as_date(end) if end is not None else daily.select(F.max("localDate")).scalar()
     spine = daily.sparkSession.range(1).select(calendar_spine(lo, hi).alias("localDate"))
     # one row per calendar day: bounded, broadcast
     j = spine.join(F.broadcast(daily), "localDate", "left")
@@ -92,8 +96,8 @@ def lagged_features(daily: DataFrame, lag_days: int = C.LAG_DAYS, start=None,
     # the roll-up is one row per day; materialise it once so the lag joins
     # and the bounds do not each re-derive it from the articles
     daily = cut_lineage(daily)
-    lo = F.lit(start).cast("date") if start is not None else daily.select(F.min("localDate")).scalar()
-    hi = F.lit(end).cast("date") if end is not None else \
+    lo = _as_date(start) if start is not None else daily.select(F.min("localDate")).scalar()
+    hi = _as_date(end) if end is not None else \
         daily.select(F.date_add(F.max("localDate"), 1)).scalar()
     out = daily.sparkSession.range(1).select(calendar_spine(lo, hi).alias("localDate"))
     cols = []

@@ -143,3 +143,32 @@ def lagged_sql(lag_days: int = 5) -> str:
         joins.append(f"LEFT JOIN daily d{k} ON d{k}.localDate + {k} = spine.localDate")
         cols += [f'round(coalesce(CAST(d{k}.{m} AS DOUBLE), 0.0), 6) AS "{m}-{k}"' for m in METRICS]
     return ("SELECT spine.localDate, " + ", ".join(cols) + " FROM spine " + " ".join(joins))
+
+
+ORDER_SYMBOLS = ("P1", "P2", "P3", "P4", "P5")   # from o_orderpriority's first digit
+
+ALIGNED = """aligned AS (
+  SELECT localDate FROM tdates
+  WHERE localDate IN (SELECT localDate FROM spine)
+    AND localDate IN (SELECT localDate FROM targets))"""
+
+IDX = """idx AS (
+  SELECT localDate, row_number() OVER (ORDER BY localDate) - 1 AS t,
+         count(*) OVER () AS n FROM aligned)"""
+
+
+def orders_dataset_chain() -> list[str]:
+    """Orders panel/targets plus the news lag table spanning the panel's
+    dates (zero metrics where there is no news), aligned and indexed."""
+    spine = """spine AS (
+  SELECT CAST(d AS DATE) AS localDate FROM (
+    SELECT unnest(generate_series((SELECT min(localDate) FROM tdates),
+                                  (SELECT max(localDate) FROM tdates) + 1,
+                                  INTERVAL 1 DAY)) AS d))"""
+    return target_chain(BARS_ORDERS) + [spine, ALIGNED, IDX]
+
+
+def pivot_sql(src: str, metrics, symbols=ORDER_SYMBOLS) -> str:
+    cols = [f"max(CASE WHEN id = '{s}' THEN {m} END) AS \"{s}_{m}\""
+            for s in symbols for m in metrics]
+    return f"SELECT localDate, {', '.join(cols)} FROM {src} GROUP BY localDate"
