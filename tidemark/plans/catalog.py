@@ -1,3 +1,3 @@
 """Imports every query module so each registers itself."""
 
-from tidemark.plans import q_dataset, q_ingest, q_news, q_stock, q_storage  # noqa: F401
+from tidemark.plans import q_dataset, q_ingest, q_news, q_report, q_stock, q_storage  # noqa: F401

@@ -172,3 +172,60 @@ def pivot_sql(src: str, metrics, symbols=ORDER_SYMBOLS) -> str:
     cols = [f"max(CASE WHEN id = '{s}' THEN {m} END) AS \"{s}_{m}\""
             for s in symbols for m in metrics]
     return f"SELECT localDate, {', '.join(cols)} FROM {src} GROUP BY localDate"
+
+
+PREDS_FIXED = """preds AS (
+  SELECT * FROM (
+    SELECT localDate, id AS symbol, pos,
+      lag(CAST(zscore_1d AS DOUBLE)) OVER w AS zscore_1d, lag(CAST(rank_1d AS DOUBLE)) OVER w AS rank_1d,
+      lag(CAST(direction_1d AS DOUBLE)) OVER w AS direction_1d,
+      lag(CAST(log_return_1d AS DOUBLE)) OVER w AS log_return_1d,
+      lag(CAST(log_return_3d AS DOUBLE)) OVER w AS log_return_3d,
+      lag(CAST(log_return_5d AS DOUBLE)) OVER w AS log_return_5d
+    FROM targets WINDOW w AS (PARTITION BY id ORDER BY localDate))
+  WHERE zscore_1d IS NOT NULL)"""
+
+PVA = """pva AS (
+  SELECT p.localDate, p.symbol,
+    p.zscore_1d AS zscore_1d_p, CAST(t.zscore_1d AS DOUBLE) AS zscore_1d_a,
+    p.rank_1d AS rank_1d_p, CAST(t.rank_1d AS DOUBLE) AS rank_1d_a,
+    p.direction_1d AS direction_1d_p, CAST(t.direction_1d AS DOUBLE) AS direction_1d_a,
+    p.log_return_1d AS log_return_1d_p, CAST(t.log_return_1d AS DOUBLE) AS log_return_1d_a,
+    p.log_return_3d AS log_return_3d_p, CAST(t.log_return_3d AS DOUBLE) AS log_return_3d_a,
+    p.log_return_5d AS log_return_5d_p, CAST(t.log_return_5d AS DOUBLE) AS log_return_5d_a
+  FROM preds p JOIN targets t ON t.localDate = p.localDate AND t.id = p.symbol)"""
+
+
+def sc(x: str) -> str:
+    return f"greatest(-10000.0, least(10000.0, {x} * 1000.0))"
+
+
+def loss_terms() -> dict[str, str]:
+    t = {}
+    for h in ("zscore_1d",):
+        t[h] = f"pow({h}_p - {h}_a, 2)"
+    t["rank_1d"] = ("CASE WHEN abs(rank_1d_p - rank_1d_a) <= 0.1 THEN 0.5 * pow(rank_1d_p - rank_1d_a, 2) "
+                    "ELSE 0.1 * (abs(rank_1d_p - rank_1d_a) - 0.05) END")
+    q = "greatest(1e-7, least(1 - 1e-7, direction_1d_p))"
+    t["direction_1d"] = f"-(direction_1d_a * ln({q}) + (1 - direction_1d_a) * ln(1 - {q}))"
+    for h in ("log_return_1d", "log_return_3d", "log_return_5d"):
+        t[h] = f"pow({sc(h + '_p')} - {sc(h + '_a')}, 2)"
+    return t
+
+
+WEIGHTS = {"zscore_1d": 1.0, "rank_1d": 0.3, "direction_1d": 0.3,
+           "log_return_1d": 0.05, "log_return_3d": 0.05, "log_return_5d": 0.05}
+
+
+def normalized_sql(loss: str = "{h}") -> str:
+    parts = []
+    for h, w in WEIGHTS.items():
+        v = loss.format(h=h)
+        if h.startswith("log_return"):
+            v = f"({v} / 1000.0)"
+        parts.append(f"{v} * {w}")
+    return f"(({' + '.join(parts)}) / {sum(WEIGHTS.values())})"
+
+
+def total_sql(loss: str = "{h}") -> str:
+    return "(" + " + ".join(f"{loss.format(h=h)} * {w}" for h, w in WEIGHTS.items()) + ")"
