@@ -58,5 +58,9 @@ US_DATE_FORMAT = "MM/dd/yyyy"
 # A per-date table has at most one row per calendar day; 100 years of days is
 # the proven bound under which such tables are broadcast.
 MAX_CALENDAR_DAYS = 366 * 100
+# A group (a date's symbols or articles) is ranked or median-ed inside one task
+# only when its size is proven to be at most this; above it the range-
+# partitioned rank spreads the group over many tasks.
+MAX_GROUP_ROWS = 1_000_000
 # Fixed dimensions (symbol lists, alias tables) are broadcast only below this.
 MAX_BROADCAST_DIMENSION_ROWS = 1_000_000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.operators.panel import calendar_spine
-from tidemark.operators.rank import exact_median
+from tidemark.operators.rank import exact_median, in_task, largest_group
 from tidemark.session import cut_lineage
 
 
@@ -44,21 +44,31 @@ def metric_columns(s: Column, L: Column) -> dict[str, Column]:
     }
 
 
-def daily_rollup(sentiment: DataFrame, with_median: bool = True) -> DataFrame:
+def daily_rollup(sentiment: DataFrame, with_median: bool = True,
+                 bound: int | None = None) -> DataFrame:
     """One row per date with articles, the 16 metrics in schema order.
 
     Every metric except the median is a grouped aggregate with map-side
     partial aggregation, so a day holding a third of all articles is merged
     from per-task partials. The median is an exact order statistic from the
-    range-partitioned rank (no per-day collect)."""
+    range-partitioned rank (no per-day collect) unless the largest day is
+    measured (or given as ``bound``) to fit one task, in which case the
+    built-in exact median joins the same aggregate."""
     s = F.col("sentiment_score").cast("float").cast("double")
     L = F.col("text_length").cast("double")
     mc = metric_columns(s, L)
+    if with_median and bound is None:
+        bound = largest_group(sentiment, ["localDate"])
+    small = with_median and in_task(bound)
+    if small:
+        mc["median_sentiment"] = F.median(s)
     agg = sentiment.groupBy("localDate").agg(*[c.alias(k) for k, c in mc.items()])
     agg = (agg.withColumn("polarity_ratio", F.col("pct_positive") - F.col("pct_negative"))
               .withColumn("ratio_pos_neg", F.col("pct_positive") /
                           (F.col("pct_negative") + C.PREVENT_DIV_BY_ZERO)))
-    if with_median:
+    if small:
+        pass
+    elif with_median:
         med = exact_median(sentiment.select("localDate", s.alias("_s"), "id"), "_s",
                            ["localDate"], tiebreak=["id"], out="median_sentiment")
         agg = agg.join(med, "localDate")

@@ -41,8 +41,11 @@ def cross_section_stats(returns: DataFrame, col: str = "log_return_1d") -> DataF
         F.count(F.lit(1)).alias("n_symbols"))
 
 
-def add_cross_section(returns: DataFrame) -> DataFrame:
-    """z-score, rank in [0,1] (ties broken by list position) and direction."""
+def add_cross_section(returns: DataFrame, n_symbols: int | None = None) -> DataFrame:
+    """z-score, rank in [0,1] (ties broken by list position) and direction.
+
+    ``n_symbols`` (the dimension size) bounds each date's group in a dense
+    panel: the rank then runs as a plain window when that fits one task."""
     stats = cross_section_stats(returns)
     # one row per trading day: bounded by the calendar, safe to broadcast
     j = returns.join(F.broadcast(stats), "localDate")
@@ -50,7 +53,8 @@ def add_cross_section(returns: DataFrame) -> DataFrame:
     j = j.withColumn("zscore_1d", F.when(F.col("std_1d") > 0,
                                          (r1 - F.col("mean_1d")) / F.col("std_1d"))
                      .otherwise(F.lit(0.0)))
-    ranked = row_number_within(j, ["log_return_1d", "pos"], ["localDate"], out="_rn")
+    ranked = row_number_within(j, ["log_return_1d", "pos"], ["localDate"], out="_rn",
+                               bound=n_symbols)
     return (ranked.withColumn("rank_1d", F.col("_rn").cast("double") /
                               F.greatest(F.col("n_symbols") - 1, F.lit(1)).cast("double"))
                   .withColumn("direction_1d", (r1 > 0).cast("int"))
@@ -61,9 +65,9 @@ TARGET_COLS = ("log_return_1d", "log_return_3d", "log_return_5d",
                "zscore_1d", "rank_1d", "direction_1d")
 
 
-def daily_targets(panel: DataFrame) -> DataFrame:
+def daily_targets(panel: DataFrame, n_symbols: int | None = None) -> DataFrame:
     """The daily target table in long form (localDate, id, pos, six targets)."""
-    t = add_cross_section(log_returns(panel))
+    t = add_cross_section(log_returns(panel), n_symbols)
     return t.select("localDate", "id", "pos", *TARGET_COLS)
 
 
@@ -75,7 +79,7 @@ def seed_history(panel_before: DataFrame, depth: int = C.MAX_LOG_RETURN_HORIZON)
                         .filter(F.col("_r") <= depth).drop("_r"))
 
 
-def incremental_targets(panel: DataFrame, last_processed) -> DataFrame:
+def incremental_targets(panel: DataFrame, last_processed, n_symbols: int | None = None) -> DataFrame:
     """Targets for dates after ``last_processed`` computed only from the new
     slice plus the seeded history; equals the full computation."""
     cut = F.lit(last_processed).cast("date")
@@ -83,4 +87,4 @@ def incremental_targets(panel: DataFrame, last_processed) -> DataFrame:
     new = panel.filter(F.col("localDate") > cut)
     seeded = seed_history(old).unionByName(new)
     r = log_returns(seeded).filter(F.col("localDate") > cut)
-    return add_cross_section(r).select("localDate", "id", "pos", *TARGET_COLS)
+    return add_cross_section(r, n_symbols).select("localDate", "id", "pos", *TARGET_COLS)

@@ -25,7 +25,7 @@ def dataset(spark, sf_dir, source="orders"):
     lag table spans the panel's dates."""
     b, s, d = panel_inputs(spark, sf_dir, source)
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel)
+    targets = TG.daily_targets(panel, s.count())
     lo = d.select(F.min("localDate")).scalar()
     hi = d.select(F.date_add(F.max("localDate"), 1)).scalar()
     lagged = RU.lagged_features(daily(spark, sf_dir), start=lo, end=hi)
@@ -37,7 +37,7 @@ def events_dataset(spark, sf_dir):
     """Events panel with the news lag table over the articles' own range."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel)
+    targets = TG.daily_targets(panel, s.count())
     lagged = RU.lagged_features(daily(spark, sf_dir))
     return panel, targets, lagged, s
 
@@ -147,7 +147,7 @@ def q_pivot_features(spark, sf_dir):
     " FROM (" + O.pivot_sql("targets", TARGET_METRICS) + ")")
 def q_pivot_targets(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d))
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
     return rounded(RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS))
 
 
@@ -156,7 +156,7 @@ def q_pivot_targets(spark, sf_dir):
     for m in TARGET_METRICS))
 def q_unpivot_targets(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d))
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
     return rounded(RS.unpivot_wide(RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS)))
 
 
@@ -179,7 +179,7 @@ SELECT localDate, symbol, round(zscore_1d, 6) AS zscore_1d, round(rank_1d, 6) AS
 FROM preds""")
 def q_unpack_predictions(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d)))
+    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d), s.count()))
     return rounded(RS.unpack_predictions(RS.pack_predictions(preds)))
 
 
@@ -218,7 +218,7 @@ def q_mean_over_symbols(spark, sf_dir):
 SELECT localDate, id, round(log_return_1d, 6) AS log_return_1d, direction_1d FROM targets""")
 def q_union_strict(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d)).select("localDate", "id", "log_return_1d",
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count()).select("localDate", "id", "log_return_1d",
                                                         "direction_1d")
     cut = F.lit("1998-01-01").cast("date")
     return rounded(DS.union_strict(t.filter(F.col("localDate") < cut),

@@ -27,7 +27,7 @@ HEADS = C.INFERENCE_METRICS
 def event_preds(spark, sf_dir):
     """(predictions, actual targets, symbols) on the events panel."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
-    t = TG.daily_targets(P.dense_panel(b, s, d))
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
     return RS.previous_day_predictions(t), t, s, d
 
 
@@ -154,7 +154,7 @@ def q_actual_lookup(spark, sf_dir):
     """Target row of one date from stored wide parts (newest part wins);
     fails when the date is absent."""
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d))
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
     wide = RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS)
     path = scratch_path(spark, "target")
     PQ.append_run(wide, path, "20240101T000000")

@@ -20,7 +20,7 @@ def panel_inputs(spark, sf_dir, source="events"):
 
 def target_table(spark, sf_dir, source="events"):
     b, s, d = panel_inputs(spark, sf_dir, source)
-    return TG.daily_targets(P.dense_panel(b, s, d))
+    return TG.daily_targets(P.dense_panel(b, s, d), s.count())
 
 
 @register("trading_day_gate", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES) +
@@ -97,5 +97,5 @@ def q_incremental_history(spark, sf_dir):
     """Targets for dates after a cut computed from the new slice plus the
     seeded 5-row history only; the oracle is the full computation."""
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.incremental_targets(P.dense_panel(b, s, d), "1998-06-30")
+    t = TG.incremental_targets(P.dense_panel(b, s, d), "1998-06-30", s.count())
     return rounded(t.drop("pos"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import row_number_within
+from tidemark.operators.rank import largest_group, row_number_within
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,7 @@ def bars(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
 def symbols_from_bars(b: DataFrame) -> DataFrame:
     """Symbol dimension: distinct ids, ``pos`` = 0-based rank by id, sector."""
     ids = b.select("id").distinct()
-    ranked = row_number_within(ids, ["id"], out="pos")
+    ranked = row_number_within(ids, ["id"], out="pos", bound=largest_group(ids))
     return ranked.select("id", F.substring("id", 1, 1).alias("sector"),
                          F.col("pos").cast("int").alias("pos"))
 
