@@ -30,6 +30,9 @@ SYMBOLS = """symbols AS (
 TDATES = """tdates AS (
   SELECT DISTINCT b.localDate FROM bars b JOIN symbols s ON b.id = s.id WHERE s.pos = 0)"""
 
+# The orders fixture treats every order date as a trading day (gate "any").
+TDATES_ANY = """tdates AS (SELECT DISTINCT localDate FROM bars)"""
+
 PANEL = """panel AS (
   SELECT d.localDate, s.id, s.pos,
          coalesce(b.close, 0.0) AS close, coalesce(b.high, 0.0) AS high,
@@ -64,7 +67,8 @@ TARGETS = """targets AS (
 
 
 def target_chain(bars: str = BARS_EVENTS) -> list[str]:
-    return [bars, SYMBOLS, TDATES, PANEL, RETURNS, XSTATS, TARGETS]
+    gate = TDATES_ANY if bars is BARS_ORDERS else TDATES
+    return [bars, SYMBOLS, gate, PANEL, RETURNS, XSTATS, TARGETS]
 
 
 ARTICLES = """articles AS (

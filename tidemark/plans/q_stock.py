@@ -11,10 +11,15 @@ from tidemark.plans.registry import register, rounded
 from tidemark.sources import fixtures as FX
 
 
+# events keep the reference's first-symbol gate; the orders fixture counts
+# every order date as a trading day
+GATES = {"events": "first_symbol", "orders": "any"}
+
+
 def panel_inputs(spark, sf_dir, source="events"):
     b = FX.bars(spark, sf_dir, source)
     s = FX.symbols_from_bars(b)
-    d = P.trading_dates(b, s)
+    d = P.trading_dates(b, s, GATES[source])
     return b, s, d
 
 
