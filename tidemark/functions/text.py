@@ -58,7 +58,7 @@ def text_length(cleaned: Column) -> Column:
 def token_count(cleaned: Column, max_length: int = C.TOKENIZER_MAX_LENGTH) -> Column:
     """Tokens the scorer sees, including the two special tokens, truncated
     at ``max_length`` (stand-in tokenizer: words and single punctuation)."""
-    n = F.size(F.regexp_extract_all(cleaned, F.lit(TOKEN), 0)) + 2
+    n = F.regexp_count(cleaned, F.lit(TOKEN)) + 2
     return F.least(n, F.lit(max_length)).cast("int")
 
 
@@ -68,3 +68,10 @@ def softmax_polarity(logits: Column, pos_idx: int = 0, neg_idx: int = 1) -> Colu
     e = F.transform(logits, lambda x: F.exp(x - m))
     total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
     return (F.element_at(e, pos_idx + 1) - F.element_at(e, neg_idx + 1)) / total
+
+
+def softmax3(pos: Column, neg: Column, neu: Column) -> Column:
+    """p_pos - p_neg of a 3-way softmax, as scalar (codegen'd) arithmetic."""
+    m = F.greatest(pos, neg, neu)
+    ep, en, eu = F.exp(pos - m), F.exp(neg - m), F.exp(neu - m)
+    return (ep - en) / (ep + en + eu)

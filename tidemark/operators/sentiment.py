@@ -19,17 +19,20 @@ from pyspark.sql import types as T
 from tidemark.functions import text as TX
 
 
+# maximal runs of a-z whose length is 0, 1 or 2 modulo 3
+_WORD_CLASS = (r"(?<![a-z])(?:[a-z]{3})+(?![a-z])",
+               r"(?<![a-z])[a-z](?:[a-z]{3})*(?![a-z])",
+               r"(?<![a-z])[a-z]{2}(?:[a-z]{3})*(?![a-z])")
+
+
 def lexical_logits(cleaned: Column) -> Column:
     """Stand-in logits (positive, negative, neutral) from word classes:
     a lower-case word of length L counts as positive when L % 3 == 0,
     negative when L % 3 == 1, neutral otherwise; counts scaled by
-    1/sqrt(1 + words)."""
-    words = F.regexp_extract_all(F.lower(cleaned), F.lit("[a-z]+"), 0)
-    scale = F.sqrt(F.size(words) + F.lit(1.0))
-
-    def of_class(r):
-        return lambda w: F.length(w) % 3 == r
-    return F.array(*[F.size(F.filter(words, of_class(r))) / scale for r in (0, 1, 2)])
+    1/sqrt(1 + words). Regex counts in the JVM: no per-row arrays."""
+    low = F.lower(cleaned)
+    scale = F.sqrt(F.regexp_count(low, F.lit("[a-z]+")) + F.lit(1.0))
+    return F.array(*[F.regexp_count(low, F.lit(p)) / scale for p in _WORD_CLASS])
 
 
 def score_articles(articles: DataFrame, logits_fn: Callable[[Column], Column] = lexical_logits,
@@ -37,9 +40,12 @@ def score_articles(articles: DataFrame, logits_fn: Callable[[Column], Column] =
     """Sentiment rows for articles (localDate, id, title, body)."""
     cleaned = articles.select("localDate", "id",
                               TX.clean_text(F.col("title"), F.col("body"), normalize).alias("_t"))
-    return cleaned.select(
+    # logits are projected once; the softmax reads the three values
+    scored = cleaned.select("localDate", "id", "_t", logits_fn(F.col("_t")).alias("_l"))
+    return scored.select(
         "localDate", "id",
-        TX.softmax_polarity(logits_fn(F.col("_t"))).cast("float").alias("sentiment_score"),
+        TX.softmax3(F.col("_l")[0], F.col("_l")[1], F.col("_l")[2]).cast("float")
+          .alias("sentiment_score"),
         TX.text_length(F.col("_t")).alias("text_length"),
         TX.token_count(F.col("_t")).alias("token_count"))
 

@@ -66,3 +66,12 @@ def cut_lineage(df):
     """Materialise ``df`` reliably (``checkpoint``), never ``localCheckpoint``."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_for_cpu(df, min_tasks: int | None = None):
+    """Round-robin repartition only when a scan yields fewer tasks than the
+    session can run at once (e.g. a one-row-group file feeding CPU-heavy
+    text work). Large inputs already have many splits and are left alone, so
+    no extra shuffle happens at scale."""
+    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

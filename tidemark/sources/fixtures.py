@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.rank import largest_group, row_number_within
+from tidemark.session import spread_for_cpu
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +63,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     localDate = 2024-01-01 + doc_id % 30 days, dropping residues 6 and 13 so
     some calendar days are empty; title = first line, body = the rest.
     """
-    d = table(spark, sf_dir, "documents")
+    d = spread_for_cpu(table(spark, sf_dir, "documents"))
     res = F.col("doc_id") % 30
     nl = F.instr("text", "\n")
     return (d.filter(~res.isin(6, 13))
