@@ -94,31 +94,40 @@ COMPARISON_HEADER = ("Symbol   z_p     z_a     r_p     r_a     d_p d_a lr1_p
                      "lr3_p    lr3_a    lr5_p    lr5_a")
 
 
+def report_dates(preds: DataFrame) -> tuple:
+    """(latest, previous) prediction dates: a take-ordered of the distinct
+    dates (two rows reach the driver). Fails with fewer than two."""
+    top = [r.localDate for r in preds.select("localDate").distinct()
+           .orderBy(F.col("localDate").desc()).limit(2).collect()]
+    if len(top) < 2:
+        raise ValueError(f"Expected at least 2 inference dates, found {len(top)}")
+    return top[0], top[1]
+
+
 def report_body(preds: DataFrame, actual: DataFrame, watched: DataFrame) -> DataFrame:
     """One row with the report text: the latest date's watched predictions,
-    then the previous date's predicted vs actual; lines in watch-list order
-    (small: one line per watched symbol)."""
-    dates = latest_two_dates(preds)
-    latest = dates.filter(F.col("date_rank") == 1).select(F.col("localDate").alias("latest"))
-    prev = dates.filter(F.col("date_rank") == 2).select(F.col("localDate").alias("previous"))
-    L = latest.select(F.max("latest")).scalar()
-    Pd = prev.select(F.max("previous")).scalar()
-    w = watched.select(F.col("id").alias("symbol"), "wpos")
-    lp = preds.filter(F.col("localDate") == L).join(F.broadcast(w), "symbol")
+    then the previous date's predicted vs actual; lines in watch-list order.
+
+    The two dates become literal filters (partition pruning on stored
+    predictions); only the watched rows of those dates are kept."""
+    latest, previous = report_dates(preds)
+    w = F.broadcast(watched.select(F.col("id").alias("symbol"), "wpos"))
+    lp = preds.filter(F.col("localDate") == F.lit(latest)).join(w, "symbol")
     l1 = lp.select("wpos", prediction_line(F.col("symbol"), {h: F.col(h) for h in HEADS}).alias("line"))
-    pva = predicted_vs_actual(preds.filter(F.col("localDate") == Pd),
-                              actual.filter(F.col("localDate") == Pd)).join(F.broadcast(w), "symbol")
+    pva = predicted_vs_actual(preds.filter(F.col("localDate") == F.lit(previous)),
+                              actual.filter(F.col("localDate") == F.lit(previous))).join(w, "symbol")
     l2 = pva.select("wpos", comparison_line(F.col("symbol"), {h: F.col(f"{h}_p") for h in HEADS},
                                             {h: F.col(f"{h}_a") for h in HEADS}).alias("line"))
-    first = l1.agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("wpos", "line"))),
-                                                 lambda s: s["line"])).alias("b1"))
-    second = l2.agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("wpos", "line"))),
-                                                  lambda s: s["line"])).alias("b2"))
-    # two single-row aggregates side by side
-    parts = first.select("b1", second.select(F.max("b2")).scalar().alias("b2"))
+    tagged = (l1.withColumn("part", F.lit(1)).unionByName(l2.withColumn("part", F.lit(2))))
+    parts = tagged.groupBy().agg(
+        F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(
+            F.when(F.col("part") == 1, F.struct("wpos", "line")))), lambda s: s["line"])).alias("b1"),
+        F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(
+            F.when(F.col("part") == 2, F.struct("wpos", "line")))), lambda s: s["line"])).alias("b2"))
     body = F.concat_ws("\n",
-                       F.concat(F.date_format(L, "yyyy-MM-dd"), F.lit(" prediction")),
+                       F.lit(f"{latest.isoformat()} prediction"),
                        F.lit("Watched symbols"), F.col("b1"), F.lit(""),
-                       F.concat(F.date_format(Pd, "yyyy-MM-dd"), F.lit(" predicted vs actual")),
+                       F.lit(f"{previous.isoformat()} predicted vs actual"),
                        F.lit("Watched symbols"), F.lit(COMPARISON_HEADER), F.col("b2"), F.lit(""))
-    return parts.select(L.alias("latest"), Pd.alias("previous"), body.alias("body"))
+    return parts.select(F.lit(latest).alias("latest"), F.lit(previous).alias("previous"),
+                        body.alias("body"))

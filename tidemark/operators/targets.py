@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import config as C
-from tidemark.operators.rank import row_number_within
+from tidemark.operators.rank import in_task, row_number_within
 
 
 def close_f64(col: str = "close") -> F.Column:
@@ -46,10 +46,18 @@ def add_cross_section(returns: DataFrame, n_symbols: int | None = None) -> DataF
 
     ``n_symbols`` (the dimension size) bounds each date's group in a dense
     panel: the rank then runs as a plain window when that fits one task."""
-    stats = cross_section_stats(returns)
-    # one row per trading day: bounded by the calendar, safe to broadcast
-    j = returns.join(F.broadcast(stats), "localDate")
     r1 = F.col("log_return_1d")
+    if in_task(n_symbols):
+        # each date holds exactly n_symbols rows: mean/sigma/count and the
+        # rank share one date partitioning (one exchange, one pass)
+        wd = Window.partitionBy("localDate")
+        j = returns.select("*", F.avg(r1).over(wd).alias("mean_1d"),
+                           F.stddev_pop(r1).over(wd).alias("std_1d"),
+                           F.count(F.lit(1)).over(wd).alias("n_symbols"))
+    else:
+        stats = cross_section_stats(returns)
+        # one row per trading day: bounded by the calendar, safe to broadcast
+        j = returns.join(F.broadcast(stats), "localDate")
     j = j.withColumn("zscore_1d", F.when(F.col("std_1d") > 0,
                                          (r1 - F.col("mean_1d")) / F.col("std_1d"))
                      .otherwise(F.lit(0.0)))

@@ -27,7 +27,9 @@ HEADS = C.INFERENCE_METRICS
 def event_preds(spark, sf_dir):
     """(predictions, actual targets, symbols) on the events panel."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
+    # predictions and actuals both derive from the targets; the report reads
+    # them several times, so the targets are persisted once
+    t = TG.daily_targets(P.dense_panel(b, s, d), s.count()).persist()
     return RS.previous_day_predictions(t), t, s, d
 
 
@@ -197,9 +199,7 @@ UNION ALL SELECT 'comparison', CAST(wpos AS INTEGER), line FROM l2""")
 def q_report_lines(spark, sf_dir):
     p, t, s, _ = event_preds(spark, sf_dir)
     w = P.watched_symbols(s, WATCH).select(F.col("id").alias("symbol"), "wpos")
-    dates = RP.latest_two_dates(p)
-    L = dates.filter(F.col("date_rank") == 1).select(F.max("localDate")).scalar()
-    Pd = dates.filter(F.col("date_rank") == 2).select(F.max("localDate")).scalar()
+    L, Pd = (F.lit(x) for x in RP.report_dates(p))
     l1 = (p.filter(F.col("localDate") == L).join(F.broadcast(w), "symbol")
            .select(F.lit("prediction").alias("kind"), "wpos",
                    RP.prediction_line(F.col("symbol"), {h: F.col(h) for h in HEADS}).alias("line")))

@@ -17,8 +17,10 @@ GATES = {"events": "first_symbol", "orders": "any"}
 
 
 def panel_inputs(spark, sf_dir, source="events"):
+    """(bars, symbol dimension, trading dates). The dimension is small and
+    read by the gate, the grid and the bounds, so it is persisted once."""
     b = FX.bars(spark, sf_dir, source)
-    s = FX.symbols_from_bars(b)
+    s = FX.symbols_from_bars(b).persist()
     d = P.trading_dates(b, s, GATES[source])
     return b, s, d
 

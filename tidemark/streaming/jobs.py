@@ -74,7 +74,7 @@ def stream_daily_subset(spark: SparkSession, source: str, out: str, checkpoint:
 
 
 def stream_upsert_rollup(spark: SparkSession, source: str, store: str, out: str,
-                         checkpoint: str, max_files: int = 2) -> None:
+                         checkpoint: str, max_files: int = 4) -> None:
     """Full 16-metric roll-up kept current from a stream of sentiment rows.
 
     Each micro-batch is stored under (localDate, batch) partitions, so a
