@@ -165,3 +165,107 @@ def predict_heads(models: dict, rows: DataFrame) -> DataFrame:
             cols.append(F.col(f"_pred_{h}").alias(h))
     keep = [c for c in rows.columns if c != "features"]
     return out.select(*keep, *cols)
+
+
+def news_last(lagged: DataFrame) -> DataFrame:
+    """(localDate, news ARRAY<DOUBLE>) from the wide lag table."""
+    cols = [c for c in lagged.columns if c != "localDate"]
+    return lagged.select("localDate", F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+                         .alias("news"))
+
+
+def training_samples(panel: DataFrame, targets: DataFrame, lagged: DataFrame,
+                     aligned: DataFrame, window: int = C.WINDOW_SIZE):
+    """(train, validation, validation size): per (date, symbol) the flattened
+    window of the previous ``window`` aligned rows plus the freshest news lag
+    row, labelled with the scaled targets; split chronologically with the
+    validation windows reaching back into training rows."""
+    from pyspark.ml.functions import array_to_vector
+
+    from tidemark.operators import dataset as DS
+    from tidemark.session import cut_lineage
+    p, t, lg = DS.align(aligned, panel, targets, lagged)
+    idx = DS.date_index(aligned)
+    n = idx.count()                                   # one row per day
+    val_start, max_val = DS.split_sizes(n, window)
+    win = DS.sliding_windows(p, window)
+    flat = F.flatten(F.transform("window", lambda r: F.array(
+        *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
+    prev = idx.select("localDate", "t").join(
+        idx.select(F.col("t").alias("_t"), F.col("localDate").alias("_d")), F.col("t") - 1 == F.col("_t"))
+    news = news_last(lg).join(F.broadcast(prev.select(F.col("localDate").alias("_sample"),
+                                                      F.col("_d").alias("localDate"))), "localDate")
+    feats = (win.select("localDate", "id", flat.alias("_f"))
+             .join(F.broadcast(news.select(F.col("_sample").alias("localDate"), "news")), "localDate")
+             .select("localDate", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
+    rows = labelled(feats, t).join(F.broadcast(idx), "localDate")
+    # the six fits each pass over the samples: materialise them once
+    rows = cut_lineage(rows)
+    return rows.filter(F.col("t") < val_start), rows.filter(F.col("t") >= val_start), max_val
+
+
+def fit_and_score(train: DataFrame, val: DataFrame):
+    """Fit the heads, score them on validation: (models, losses, score text)."""
+    from tidemark.functions.numeric import unscale
+    models = fit_heads(train)
+    pred = predict_heads(models, val)
+    pva = pred.select(*[F.col(h).alias(f"{h}_p") for h in HEADS],
+                      *[F.col(f"y_{h}").alias(f"{h}_a") for h in HEADS])
+    # the heads already see and output scaled log returns: undo the scale on
+    # both sides so head_losses applies it once, like the reference
+    for h in LOG_HEADS:
+        pva = pva.withColumn(f"{h}_p", unscale(F.col(f"{h}_p"))).withColumn(
+            f"{h}_a", unscale(F.col(f"{h}_a")))
+    losses = head_losses(pva)
+    score_text = losses.select(F.format_string("%.4f", F.max(F.when(
+        F.col("head") == "normalized", F.col("loss"))))).first()[0]
+    return models, losses, score_text
+
+
+def save_heads(models: dict, model_dir: str) -> None:
+    for h, m in models.items():
+        m.write().overwrite().save(f"{model_dir}/{h}")
+
+
+def load_heads(model_dir: str) -> dict:
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.regression import LinearRegressionModel
+    return {h: (LogisticRegressionModel if h == "direction_1d" else LinearRegressionModel)
+            .load(f"{model_dir}/{h}") for h in HEADS}
+
+
+def best_model_dir(spark, root: str) -> str:
+    """Folder of the lowest-scoring registered model under ``root``
+    (``score=<s>/...`` folders, listed as files)."""
+    keys = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select(F.regexp_extract("path", r"(score=[^/]+)/", 1).alias("k")).distinct()
+            .select(F.concat(F.lit("model/"), "k", F.lit("/model.keras")).alias("key")))
+    best = best_model(parse_registry(keys)).first()
+    return f"{root}/score={best['key'].split('score=')[1].split('/')[0]}"
+
+
+def predict_for_dates(models: dict, pending: DataFrame, panel: DataFrame, lagged: DataFrame,
+                      trading: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
+    """Predictions for every pending date in one plan: the latest trading date
+    before it, that date's trailing window per symbol, the news lag row of
+    the window's end; log-return heads unscaled; float32 output."""
+    from pyspark.ml.functions import array_to_vector
+
+    from tidemark.functions.numeric import unscale
+    from tidemark.operators import asof as AO
+    ends = AO.latest_before(pending, trading, count=1).select(
+        "query_date", F.col("localDate").alias("end_date"))
+    steps = AO.trailing_window(ends.select("end_date").distinct(), trading, window)
+    rows = steps.join(panel, "localDate").select(
+        "end_date", "id", "step",
+        F.array(*[F.col(f).cast("double") for f in C.PIVOTED_FEATURES]).alias("v"))
+    per = rows.groupBy("end_date", "id").agg(
+        F.sort_array(F.collect_list(F.struct("step", "v"))).alias("s"))    # window rows each
+    news = news_last(lagged).withColumnRenamed("localDate", "end_date")
+    feats = (per.select("end_date", "id", F.flatten(F.transform("s", lambda x: x["v"])).alias("_f"))
+             .join(F.broadcast(news), "end_date")
+             .select("end_date", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
+    pred = predict_heads(models, ends.join(feats, "end_date"))
+    return pred.select(F.col("query_date").alias("localDate"), F.col("id").alias("symbol"),
+                       *[(unscale(F.col(h)) if h in LOG_HEADS else F.col(h)).cast("float").alias(h)
+                         for h in C.INFERENCE_METRICS])

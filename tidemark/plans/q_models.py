@@ -17,7 +17,7 @@ from tidemark.plans import oracle as O
 from tidemark.plans.q_dataset import dataset
 from tidemark.plans.q_report import EVP, event_preds
 from tidemark.plans.registry import register, rounded
-from tidemark.session import cut_lineage, scratch_path
+from tidemark.session import scratch_path
 from tidemark.sources import parquet as PQ
 
 HEADS = MD.HEADS
@@ -145,57 +145,18 @@ def q_registry_meta_json(spark, sf_dir):
 
 # --- Spark ML: train and predict -------------------------------------------
 
-def _news_last(lagged):
-    cols = [c for c in lagged.columns if c != "localDate"]
-    return lagged.select("localDate", F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
-                         .alias("news"))
-
-
 def training_frames(spark, sf_dir, window=C.WINDOW_SIZE):
     """Labelled samples (features, scaled targets) split chronologically."""
-    from pyspark.ml.functions import array_to_vector
     panel, targets, lagged, aligned, symbols = dataset(spark, sf_dir)
-    p, t, lg = DS.align(aligned, panel, targets, lagged)
-    idx = DS.date_index(aligned)
-    n = idx.count()                                   # one row per day
-    val_start, max_val = DS.split_sizes(n, window)
-    win = DS.sliding_windows(p, window)
-    flat = F.flatten(F.transform("window", lambda r: F.array(
-        *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
-    # freshest news: the lag row of the window's last date
-    prev = idx.select("localDate", "t").join(
-        idx.select(F.col("t").alias("_t"), F.col("localDate").alias("_d")), F.col("t") - 1 == F.col("_t"))
-    news = _news_last(lg).join(F.broadcast(prev.select(F.col("localDate").alias("_sample"),
-                                                       F.col("_d").alias("localDate"))), "localDate")
-    feats = (win.select("localDate", "id", flat.alias("_f"))
-             .join(F.broadcast(news.select(F.col("_sample").alias("localDate"), "news")), "localDate")
-             .select("localDate", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
-    rows = MD.labelled(feats, t).join(F.broadcast(idx), "localDate")
-    # the six fits each pass over the samples: materialise them once
-    rows = cut_lineage(rows)
-    train = rows.filter(F.col("t") < val_start)
-    val = rows.filter(F.col("t") >= val_start)
+    train, val, max_val = MD.training_samples(panel, targets, lagged, aligned, window)
     return train, val, max_val, symbols
 
 
 def train_and_register(spark, sf_dir, root):
     train, val, max_val, symbols = training_frames(spark, sf_dir)
-    models = MD.fit_heads(train)
-    pred = MD.predict_heads(models, val)
-    pva = pred.select(*[F.col(h).alias(f"{h}_p") for h in HEADS],
-                      *[F.col(f"y_{h}").alias(f"{h}_a") for h in HEADS])
-    # the heads already output and see scaled log returns: undo the scale on
-    # both sides so head_losses applies it once, like the reference
-    for h in MD.LOG_HEADS:
-        pva = pva.withColumn(f"{h}_p", unscale(F.col(f"{h}_p"))).withColumn(
-            f"{h}_a", unscale(F.col(f"{h}_a")))
-    losses = MD.head_losses(pva)
-    score = losses.filter(F.col("head") == "normalized").select(F.max("loss")).scalar()
-    score_text = losses.select(F.format_string("%.4f", F.max(F.when(F.col("head") == "normalized",
-                                                                     F.col("loss"))))).first()[0]
+    models, losses, score_text = MD.fit_and_score(train, val)
     model_dir = f"{root}/score={score_text}"
-    for h, m in models.items():
-        m.write().overwrite().save(f"{model_dir}/{h}")
+    MD.save_heads(models, model_dir)
     return losses, score_text, model_dir, max_val
 
 
@@ -213,37 +174,15 @@ def q_predict_pending(spark, sf_dir):
     """Every pending weekday in one job: as-of end date, trailing window,
     features, the best registered model's heads, unscale, write partitions.
     (Rows-only check.)"""
-    from pyspark.ml.classification import LogisticRegressionModel
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import LinearRegressionModel
     root = scratch_path(spark, "model")
     train_and_register(spark, sf_dir, root)
-    keys = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select(F.regexp_extract("path", r"(score=[^/]+)/", 1).alias("k")).distinct()
-            .select(F.concat(F.lit("model/"), "k", F.lit("/model.keras")).alias("key")))
-    best = MD.best_model(MD.parse_registry(keys)).first()
-    model_dir = f"{root}/score={best['key'].split('score=')[1].split('/')[0]}"
-    models = {h: (LogisticRegressionModel if h == "direction_1d" else LinearRegressionModel)
-              .load(f"{model_dir}/{h}") for h in HEADS}
+    models = MD.load_heads(MD.best_model_dir(spark, root))
     panel, targets, lagged, aligned, symbols = dataset(spark, sf_dir)
     hi = aligned.select(F.max("localDate")).scalar()
     days = D.calendar_days(D.next_weekday(F.date_sub(hi, 20)), D.next_weekday(hi))
     pending = spark.range(1).select(F.explode(days).alias("query_date")).filter(
         D.is_weekday(F.col("query_date")))
-    ends = AO.latest_before(pending, aligned, count=1).select(
-        "query_date", F.col("localDate").alias("end_date"))
-    steps = AO.trailing_window(ends.select("end_date").distinct(), aligned, C.WINDOW_SIZE)
-    rows = steps.join(panel, "localDate").select(
-        "end_date", "id", "step", F.array(*[F.col(f).cast("double") for f in C.PIVOTED_FEATURES]).alias("v"))
-    per = rows.groupBy("end_date", "id").agg(F.sort_array(F.collect_list(F.struct("step", "v"))).alias("s"))
-    news = _news_last(lagged).withColumnRenamed("localDate", "end_date")
-    feats = (per.select("end_date", "id", F.flatten(F.transform("s", lambda x: x["v"])).alias("_f"))
-             .join(F.broadcast(news), "end_date")
-             .select("end_date", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
-    pred = MD.predict_heads(models, ends.join(feats, "end_date"))
-    out = pred.select(F.col("query_date").alias("localDate"), F.col("id").alias("symbol"),
-                      *[(unscale(F.col(h)) if h in MD.LOG_HEADS else F.col(h)).cast("float").alias(h)
-                        for h in C.INFERENCE_METRICS])
+    out = MD.predict_for_dates(models, pending, panel, lagged, aligned)
     path = scratch_path(spark, "inference")
     PQ.write_partitions(out, path)
     return spark.read.parquet(path)
