@@ -50,9 +50,18 @@ def unpivot_wide(wide: DataFrame) -> DataFrame:
                     parts.getItem(1).alias("metric"), "value")
 
 
-def pack_predictions(long: DataFrame, heads=C.INFERENCE_METRICS) -> DataFrame:
+def check_dimension(symbols_count: int, limit: int = C.MAX_BROADCAST_DIMENSION_ROWS) -> None:
+    """Per-date arrays hold one entry per symbol: refuse unbounded universes."""
+    if symbols_count > limit:
+        raise ValueError(f"{symbols_count} symbols exceed the per-date array bound {limit}")
+
+
+def pack_predictions(long: DataFrame, heads=C.INFERENCE_METRICS,
+                     symbols_count: int | None = None) -> DataFrame:
     """Per date: parallel arrays of symbols and of each head, in list order
-    (one array per date, at most one entry per symbol)."""
+    (one array per date, one entry per symbol of the checked dimension)."""
+    if symbols_count is not None:
+        check_dimension(symbols_count)
     rec = F.struct("pos", F.col("symbol"), *[F.col(h) for h in heads])
     g = long.groupBy("localDate").agg(F.sort_array(F.collect_list(rec)).alias("_r"))
     return g.select("localDate", F.col("_r.symbol").alias("symbol"),
@@ -66,9 +75,13 @@ def unpack_predictions(packed: DataFrame, heads=C.INFERENCE_METRICS) -> DataFram
                     *[F.col(f"z.{h}").alias(h) for h in heads])
 
 
-def window_tensor(windows: DataFrame, features=("close", "high", "low", "open", "volume")) -> DataFrame:
+def window_tensor(windows: DataFrame, features=("close", "high", "low", "open", "volume"),
+                  symbols_count: int | None = None) -> DataFrame:
     """Per date: a (window, symbols, features) nested array built from the
-    per-symbol windows, symbols in list order."""
+    per-symbol windows, symbols in list order (one entry per symbol of the
+    checked dimension)."""
+    if symbols_count is not None:
+        check_dimension(symbols_count)
     per_symbol = windows.select(
         "localDate", "pos",
         F.transform("window", lambda r: F.array(*[r[f].cast("double") for f in features]))

@@ -111,9 +111,9 @@ SELECT a.localDate, CAST(f.t - a.t + 30 AS INTEGER) AS step, a.pos AS sym,
 FROM pl a JOIN pl f ON f.id = a.id AND f.t >= a.t - 30 AND f.t < a.t
 WHERE a.t >= 30""")
 def q_window_tensor(spark, sf_dir):
-    panel, _, _, aligned, _ = dataset(spark, sf_dir)
+    panel, _, _, aligned, symbols = dataset(spark, sf_dir)
     (p,) = DS.align(aligned, panel)
-    tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE))
+    tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE), symbols_count=symbols.count())
     steps = tens.select("localDate", F.posexplode("tensor").alias("step", "syms"))
     cells = steps.select("localDate", "step", F.posexplode("syms").alias("sym", "v"))
     return rounded(cells.select("localDate", "step", F.col("sym").cast("int").alias("sym"),
@@ -179,8 +179,9 @@ SELECT localDate, symbol, round(zscore_1d, 6) AS zscore_1d, round(rank_1d, 6) AS
 FROM preds""")
 def q_unpack_predictions(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d), s.count()))
-    return rounded(RS.unpack_predictions(RS.pack_predictions(preds)))
+    n = s.count()
+    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d), n))
+    return rounded(RS.unpack_predictions(RS.pack_predictions(preds, symbols_count=n)))
 
 
 @register("wide_schema_builder", O.with_(O.BARS_ORDERS, O.SYMBOLS) + """

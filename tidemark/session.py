@@ -28,6 +28,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # whole documents cross into Python for NFKC: keep Arrow batches
+          # small enough that long texts cannot build gigabyte batches
+          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
           .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
           .config("spark.sql.parquet.compression.codec", "zstd")
           .config("spark.ui.enabled", "false")
