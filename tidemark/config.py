@@ -3,6 +3,8 @@
 Fixed values (thresholds, horizons, weights, formats), in natural order:
 """
 
+import os
+
 # --- fixed values -----------------------------------------------------------
 MIN_PRICE = 1e-3                      # closes at or below count as missing
 LOG_RETURN_HORIZONS = (1, 3, 5)       # trading-row horizons of the log returns
@@ -61,6 +63,7 @@ MAX_CALENDAR_DAYS = 366 * 100
 # A group (a date's symbols or articles) is ranked or median-ed inside one task
 # only when its size is proven to be at most this; above it the range-
 # partitioned rank spreads the group over many tasks.
-MAX_GROUP_ROWS = 1_000_000
+# (TIDEMARK_MAX_GROUP_ROWS=1 forces the range-partitioned path everywhere.)
+MAX_GROUP_ROWS = int(os.environ.get("TIDEMARK_MAX_GROUP_ROWS", "1000000"))
 # Fixed dimensions (symbol lists, alias tables) are broadcast only below this.
 MAX_BROADCAST_DIMENSION_ROWS = 1_000_000
