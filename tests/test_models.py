@@ -34,3 +34,30 @@ def test_best_epoch_first_on_ties_and_best_model(spark):
                                  "key string")
     b = MD.best_model(MD.parse_registry(keys)).first()
     assert (b.key, b.score) == ("model/score=0.2000/model.keras", 0.2)
+
+
+def test_injected_pandas_scorer(spark):
+    """A batch classifier plugged in through the iterator pandas UDF: the
+    loader runs per task, batches are scored, polarity = p_pos - p_neg."""
+    import datetime as dt
+
+    import numpy as np
+
+    from tidemark.operators import sentiment as SN
+
+    def load():
+        def model(texts):
+            n = np.array([len(t) for t in texts], dtype=float)
+            return np.stack([np.log1p(n), np.zeros_like(n), np.ones_like(n)], axis=1)
+        return model
+
+    arts = spark.createDataFrame([(dt.date(2024, 1, 1), "1", "Up", "big gains"),
+                                  (dt.date(2024, 1, 1), "2", "", "")],
+                                 "localDate date, id string, title string, body string")
+    got = {r.id: r for r in SN.score_articles(arts, SN.pandas_scorer(load, batch_size=1)).collect()}
+    for i, text in (("1", "Upbig gains"), ("2", "")):
+        lg = np.array([np.log1p(len(text)), 0.0, 1.0])
+        e = np.exp(lg - lg.max())
+        assert math.isclose(got[i].sentiment_score, float(np.float32((e[0] - e[1]) / e.sum())),
+                            rel_tol=1e-6)
+        assert got[i].text_length == len(text)
