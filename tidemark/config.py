@@ -65,5 +65,9 @@ MAX_CALENDAR_DAYS = 366 * 100
 # partitioned rank spreads the group over many tasks.
 # (TIDEMARK_MAX_GROUP_ROWS=1 forces the range-partitioned path everywhere.)
 MAX_GROUP_ROWS = int(os.environ.get("TIDEMARK_MAX_GROUP_ROWS", "1000000"))
+# Wide outputs (one column per symbol and feature) and per-date arrays (one
+# entry per symbol) are built only for universes up to this size: 5,000
+# symbols are 25,000 pivoted columns or a 6 MB window tensor per date.
+MAX_WIDE_SYMBOLS = 5_000
 # Fixed dimensions (symbol lists, alias tables) are broadcast only below this.
 MAX_BROADCAST_DIMENSION_ROWS = 1_000_000

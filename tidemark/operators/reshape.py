@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import config as C
 
 
-def symbol_list(symbols: DataFrame, max_symbols: int = C.MAX_BROADCAST_DIMENSION_ROWS) -> list[str]:
+def symbol_list(symbols: DataFrame, max_symbols: int = C.MAX_WIDE_SYMBOLS) -> list[str]:
     """Symbols in list order, for generated column names. The dimension is
     checked against a size bound before it is gathered."""
     n = symbols.count()
@@ -50,7 +50,7 @@ def unpivot_wide(wide: DataFrame) -> DataFrame:
                     parts.getItem(1).alias("metric"), "value")
 
 
-def check_dimension(symbols_count: int, limit: int = C.MAX_BROADCAST_DIMENSION_ROWS) -> None:
+def check_dimension(symbols_count: int, limit: int = C.MAX_WIDE_SYMBOLS) -> None:
     """Per-date arrays hold one entry per symbol: refuse unbounded universes."""
     if symbols_count > limit:
         raise ValueError(f"{symbols_count} symbols exceed the per-date array bound {limit}")
