@@ -55,14 +55,18 @@ def q_top_gainers(spark, sf_dir):
 
 QDATES = """qd AS (
   SELECT CAST(d AS DATE) AS query_date FROM (
-    SELECT unnest(generate_series(DATE '2024-01-20', DATE '2024-02-02', INTERVAL 1 DAY)) AS d)
+    SELECT unnest(generate_series((SELECT min(localDate) FROM tdates) + 14,
+                                  (SELECT max(localDate) FROM tdates) + 3, INTERVAL 1 DAY)) AS d)
   WHERE isodow(d) < 6)"""
 
 
-def query_dates(spark):
-    days = F.sequence(F.lit("2024-01-20").cast("date"), F.lit("2024-02-02").cast("date"))
-    return spark.range(1).select(F.explode(days).alias("query_date")).filter(
-        F.weekday("query_date") < 5)
+def query_dates(spark, trading):
+    """Weekdays from two weeks after the first trading date to three days
+    after the last one (the span grows with the data)."""
+    b = trading.agg(F.date_add(F.min("localDate"), 14).alias("lo"),
+                    F.date_add(F.max("localDate"), 3).alias("hi"))
+    return (b.select(F.explode(F.sequence("lo", "hi")).alias("query_date"))
+             .filter(F.weekday("query_date") < 5))
 
 
 @register("latest_k_dates", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES, QDATES) + """
@@ -72,7 +76,7 @@ SELECT query_date, CAST(k AS INTEGER) AS k, localDate FROM (
   FROM qd q JOIN tdates t ON t.localDate < q.query_date) WHERE k < 5""")
 def q_latest_k_dates(spark, sf_dir):
     _, _, d = panel_inputs(spark, sf_dir, "events")
-    return AO.latest_before(query_dates(spark), d, count=5)
+    return AO.latest_before(query_dates(spark, d), d, count=5)
 
 
 @register("asof_latest_before", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES, QDATES) + """
@@ -80,7 +84,7 @@ SELECT q.query_date, max(t.localDate) AS localDate
 FROM qd q JOIN tdates t ON t.localDate < q.query_date GROUP BY q.query_date""")
 def q_asof_latest_before(spark, sf_dir):
     _, _, d = panel_inputs(spark, sf_dir, "events")
-    return AO.latest_before(query_dates(spark), d, count=1).select("query_date", "localDate")
+    return AO.latest_before(query_dates(spark, d), d, count=1).select("query_date", "localDate")
 
 
 @register("trailing_window", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES, QDATES) + """,
@@ -92,7 +96,7 @@ SELECT end_date, CAST(4 - k AS INTEGER) AS step, localDate FROM (
   FROM ends e JOIN tdates t ON t.localDate <= e.end_date) WHERE k < 5""")
 def q_trailing_window(spark, sf_dir):
     _, _, d = panel_inputs(spark, sf_dir, "events")
-    ends = AO.latest_before(query_dates(spark), d, count=1).select(
+    ends = AO.latest_before(query_dates(spark, d), d, count=1).select(
         F.col("localDate").alias("end_date")).distinct()
     return AO.trailing_window(ends, d, 5)
 
@@ -160,8 +164,8 @@ def q_actual_lookup(spark, sf_dir):
     wide = RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS)
     path = scratch_path(spark, "target")
     PQ.append_run(wide, path, "20240101T000000")
-    recent = wide.join(F.broadcast(wide.select("localDate").orderBy(F.col("localDate").desc())
-                                   .limit(10)), "localDate", "left_semi")
+    newest = wide.select(F.max("localDate")).scalar()
+    recent = wide.filter(F.col("localDate") > F.date_sub(newest, 20))     # a newer, overlapping part
     PQ.append_run(recent, path, "20240102T000000")
     stored = DS.dedupe_keep_last(PQ.read_runs(spark, path), "localDate")
     day = RP.latest_two_dates(stored).filter(F.col("date_rank") == 2).select(F.max("localDate")).scalar()
