@@ -116,7 +116,13 @@ def q_select_exclude_columns(spark, sf_dir):
 
 @register("symbols_dimension", O.with_(O.BARS_EVENTS, O.SYMBOLS) + "SELECT id, sector, pos FROM symbols")
 def q_symbols_dimension(spark, sf_dir):
-    return FX.symbols_from_bars(FX.bars_events(spark, sf_dir))
+    """The dimension derived from the bars, replaced as an ordered list and
+    loaded back with positions from file order."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.symbols import load_symbols, replace_symbols
+    path = scratch_path(spark, "symbols")
+    replace_symbols(FX.symbols_from_bars(FX.bars_events(spark, sf_dir)), path)
+    return load_symbols(spark, path)
 
 
 @register("symbols_after", O.with_(O.BARS_EVENTS, O.SYMBOLS) + """
