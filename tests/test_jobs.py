@@ -16,6 +16,7 @@ from tidemark.plans import jobs as J
 from tidemark.session import scratch_path
 from tidemark.sources import fixtures as FX
 from tidemark.sources import parquet as PQ
+from tidemark.sources.symbols import replace_symbols
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def lifecycle(spark, sf_dir):
     root = scratch_path(spark, "root")
     bars = FX.bars_orders(spark, sf_dir).select(*SC.RAW_STOCK.fieldNames())
     symbols = FX.symbols_from_bars(bars)
-    symbols.write.parquet(f"{root}/symbols")
+    replace_symbols(symbols, f"{root}/symbols")
     arts = FX.articles(spark, sf_dir).select(*SC.RAW_NEWS.fieldNames())
     cut_s, cut_n = dt.date(1999, 12, 31), dt.date(2024, 1, 15)
     PQ.write_partitions(bars.filter(F.col("localDate") <= cut_s), f"{root}/raw/stock", SC.RAW_STOCK)

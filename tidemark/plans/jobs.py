@@ -39,6 +39,7 @@ from tidemark.operators import sentiment as SN
 from tidemark.operators import targets as TG
 from tidemark.sources import parquet as PQ
 from tidemark.sources import state as ST
+from tidemark.sources.symbols import load_symbols
 
 START = dt.date.fromisoformat(C.START_DATE)
 
@@ -95,7 +96,7 @@ def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol
         return "all data already processed"
     new_raw = raw.filter((F.col("localDate") > F.lit(last_done)) &
                          (F.col("localDate") <= F.lit(last_added)))
-    symbols = spark.read.parquet(_p(root, "symbols")).persist()
+    symbols = load_symbols(spark, _p(root, "symbols")).persist()
     n_sym = symbols.count()
     dates = P.trading_dates(new_raw, symbols, gate)
     panel_new = P.dense_panel(new_raw, symbols, dates)
@@ -247,5 +248,5 @@ def notify_job(spark: SparkSession, root: str, watch_list: str = C.WATCHED_SYMBO
     the stored targets of the previous one."""
     preds = spark.read.parquet(_p(root, "inference"))
     panel, targets, _ = stored_tables(spark, root)
-    symbols = spark.read.parquet(_p(root, "symbols"))
+    symbols = load_symbols(spark, _p(root, "symbols"))
     return RP.report_body(preds, targets, P.watched_symbols(symbols, watch_list))
