@@ -69,3 +69,16 @@ def test_pivot_unpivot_round_trip(spark):
     assert wide.columns == ["localDate", "B_zscore_1d", "B_rank_1d", "A_zscore_1d", "A_rank_1d"]
     back = {(r.symbol, r.metric): r.value for r in RS.unpivot_wide(wide).collect()}
     assert back[("A", "zscore_1d")] == 1.0 and back[("B", "rank_1d")] == 4.0
+
+
+def test_news_windows_and_collector_dates(spark):
+    from tidemark.operators.incremental import collector_dates
+    lag = _dates(spark, 8).select("localDate", F.dayofmonth("localDate").cast("double").alias("m-1"))
+    w = {r.localDate: r.news_window for r in DS.news_windows(lag, 5).collect()}
+    assert len(w) == 3
+    for d, win in w.items():
+        assert [x.date for x in win] == [d - dt.timedelta(days=k) for k in range(5, 0, -1)]
+        assert [x["values"][0] for x in win] == [float(x.date.day) for x in win]
+    days = spark.range(1).select(collector_dates(F.lit("2024-01-03"), F.lit("2024-01-06"))
+                                 .alias("d")).first().d
+    assert days == [dt.date(2024, 1, 4), dt.date(2024, 1, 5)]

@@ -1,8 +1,6 @@
 """Streaming runs: catch-up ingest is exactly-once across reruns; the
 partition upsert converges to the batch roll-up."""
 
-from pyspark.sql import functions as F
-
 from tidemark.operators.rollup import daily_rollup
 from tidemark.schemas import SENTIMENT
 from tidemark.session import scratch_path

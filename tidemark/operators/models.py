@@ -110,20 +110,6 @@ def best_model(registry: DataFrame) -> DataFrame:
 
 # --- Spark ML heads ---------------------------------------------------------
 
-def feature_rows(windows: DataFrame, news: DataFrame | None = None) -> DataFrame:
-    """(localDate, id, features VECTOR) from per-symbol windows (and the
-    date's news window, when given)."""
-    from pyspark.ml.functions import array_to_vector
-    flat = F.flatten(F.transform("window", lambda r: F.array(
-        *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
-    df = windows.select("localDate", "id", flat.alias("_f"))
-    if news is not None:
-        nf = news.select("localDate", F.flatten(F.transform("news_window", lambda r: r["values"]))
-                         .alias("_n"))
-        df = df.join(F.broadcast(nf), "localDate").select(
-            "localDate", "id", F.concat("_f", "_n").alias("_f"))
-    return df.select("localDate", "id", array_to_vector("_f").alias("features"))
-
 
 def labelled(features: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("localDate", "id", *[F.col(h).cast("double").alias(f"y_{h}") for h in HEADS])

@@ -23,10 +23,6 @@ def wide_columns(symbols: list[str], metrics) -> list[str]:
     return [f"{s}_{m}" for s in symbols for m in metrics]
 
 
-def lagged_column_names(metrics=C.AGGREGATED_METRICS, lag_days: int = C.LAG_DAYS) -> list[str]:
-    return [f"{m}-{k}" for k in range(1, lag_days + 1) for m in metrics]
-
-
 def pivot_wide(long: DataFrame, symbols: list[str], metrics) -> DataFrame:
     """One row per date with ``{symbol}_{metric}`` columns in schema order.
 

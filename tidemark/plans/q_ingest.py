@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark import config as C
 from tidemark.functions import dates as D
 from tidemark.functions import numeric as N
 from tidemark.operators import panel as P

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tidemark import config as C
 from tidemark.functions import dates as D
 from tidemark.functions.numeric import unscale
-from tidemark.operators import asof as AO
-from tidemark.operators import dataset as DS
 from tidemark.operators import models as MD
 from tidemark.operators import report as RP
 from tidemark.plans import oracle as O

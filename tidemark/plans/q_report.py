@@ -16,7 +16,6 @@ from tidemark.plans import oracle as O
 from tidemark.plans.q_stock import panel_inputs
 from tidemark.plans.registry import register, rounded
 from tidemark.session import scratch_path
-from tidemark.sources import fixtures as FX
 from tidemark.sources import parquet as PQ
 
 EV = O.with_(*O.target_chain(O.BARS_EVENTS), O.PREDS_FIXED)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.operators import panel as P
 from tidemark.operators import targets as TG
 from tidemark.plans import oracle as O

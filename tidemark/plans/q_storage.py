@@ -12,7 +12,6 @@ from tidemark import schemas as SC
 from tidemark.operators import dataset as DS
 from tidemark.operators import incremental as INC
 from tidemark.operators import reshape as RS
-from tidemark.operators import rollup as RU
 from tidemark.plans import oracle as O
 from tidemark.plans.q_stock import target_table
 from tidemark.plans.registry import register, rounded

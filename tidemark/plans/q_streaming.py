@@ -5,8 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import oracle as O
-from tidemark.plans.q_ingest import q_ingest_stock_json
+from tidemark.plans.q_ingest import q_ingest_stock_json  # noqa: F401  (registers its oracle)
 from tidemark.plans.q_news import ALL_METRICS, NEWS
 from tidemark.plans.registry import ORACLE, register, rounded
 from tidemark.schemas import SENTIMENT

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import CONTROL
 
 
 def write_marks(marks: DataFrame, path: str) -> None:

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import config as C
 from tidemark.operators.rollup import daily_rollup, metric_columns
 from tidemark.schemas import SENTIMENT
 from tidemark.sources.payloads import decode_price_payloads
