@@ -28,3 +28,34 @@ def test_upsert_converges_to_batch(spark, sf_dir):
     r = lambda df: sorted((x.localDate, x.count_articles, round(x.median_sentiment, 9))
                           for x in df.collect())
     assert r(got) == r(want)
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark):
+    import datetime as dt
+    landing, out, ck = (scratch_path(spark, n) for n in ("s", "agg", "ck"))
+
+    def land(days, tag):
+        rows = [(dt.date(2024, 1, d), f"{tag}{d}", 0.5, 10, 5) for d in days]
+        spark.createDataFrame(rows, SENTIMENT).coalesce(1).write.mode("append").parquet(landing)
+
+    land(range(1, 11), "a")
+    SJ.stream_daily_subset(spark, landing, out, ck, lateness="1 day")
+    land([2, 10], "late")              # day 2 is far behind the watermark; day 10 is not
+    SJ.stream_daily_subset(spark, landing, out, ck, lateness="1 day")
+    got = {r.localDate.day: r.count_articles for r in spark.read.parquet(out).collect()}
+    assert got[2] == 1 and got[10] == 2 and len(got) == 10
+
+
+def test_daily_subset_is_time_zone_independent(spark, sf_dir):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        landing, out, ck = (scratch_path(spark, n) for n in ("s", "agg", "ck"))
+        s = FX.sentiment_fixed(spark, sf_dir).select(*SENTIMENT.fieldNames())
+        s.write.parquet(landing)
+        SJ.stream_daily_subset(spark, landing, out, ck)
+        got = {r.localDate: r.count_articles for r in spark.read.parquet(out).collect()}
+        want = {r.localDate: r["count"] for r in s.groupBy("localDate").count().collect()}
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -14,8 +14,11 @@ def strip_number(s: Column) -> Column:
 
 
 def parse_price(s: Column) -> Column:
-    """Prices must parse: a malformed price raises (ANSI cast)."""
-    return strip_number(s).cast("double")
+    """Prices must parse: a malformed price raises (whatever the ANSI
+    setting of the session)."""
+    v = strip_number(s).try_cast("double")
+    return F.when(v.isNull() & s.isNotNull(),
+                  F.raise_error(F.concat(F.lit("unparsable price: "), s))).otherwise(v)
 
 
 def parse_volume(s: Column) -> Column:

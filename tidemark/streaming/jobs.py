@@ -58,11 +58,13 @@ def stream_daily_subset(spark: SparkSession, source: str, out: str, checkpoint:
     s = F.col("sentiment_score").cast("double")
     L = F.col("text_length").cast("double")
     mc = metric_columns(s, L)
+    # the day's midnight is the event time; grouping on the watermarked
+    # column itself keeps one group per day in any session time zone
     agg = (src.withColumn("ts", F.col("localDate").cast("timestamp"))
               .withWatermark("ts", lateness)
-              .groupBy(F.window("ts", "1 day").alias("w"))
+              .groupBy("ts")
               .agg(*[mc[k].alias(k) for k in STREAMABLE if k in mc]))
-    agg = agg.select(F.to_date(F.col("w.start")).alias("localDate"), *[c for c in STREAMABLE])
+    agg = agg.select(F.to_date("ts").alias("localDate"), *[c for c in STREAMABLE])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         _overwrite_days(batch, out)
