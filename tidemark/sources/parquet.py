@@ -37,7 +37,10 @@ def write_partitions(df: DataFrame, path: str, schema: T.StructType | None = Non
     replaces nothing. Schema-checked before writing."""
     if schema is not None:
         assert_schema(df, schema, path)
-    (_writer(df, level).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance by the partition column: few files per date, while AQE still
+    # splits a date that holds a large share of the rows
+    out = df.hint("rebalance", partition_col)
+    (_writer(out, level).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col).parquet(path))
 
 
@@ -45,7 +48,7 @@ def append_run(df: DataFrame, path: str, run_ts: str,
                level: int = C.DEFAULT_COMPRESSION_LEVEL) -> None:
     """Append one run's output under ``run=<yyyyMMdd'T'HHmmss>``; run names
     sort by recency."""
-    _writer(df.withColumn("run", F.lit(run_ts)), level).mode("append") \
+    _writer(df.withColumn("run", F.lit(run_ts)).hint("rebalance"), level).mode("append") \
         .partitionBy("run").parquet(path)
 
 
