@@ -30,9 +30,12 @@ def top_gainers(preds: DataFrame, k: int = C.TOP_GAINERS_COUNT, value: str = "lo
 
 
 def top_gainers_per_date(preds: DataFrame, k: int = C.TOP_GAINERS_COUNT,
-                         value: str = "log_return_1d") -> DataFrame:
-    """Top k per date, exact and skew-proof (range-partitioned rank)."""
-    r = row_number_within(preds, [F.col(value).desc(), F.col("symbol")], ["localDate"], out="_r")
+                         value: str = "log_return_1d", n_symbols: int | None = None) -> DataFrame:
+    """Top k per date, exact. A date holds at most one prediction per symbol,
+    so with a small dimension a window ranks it; otherwise the
+    range-partitioned rank keeps a large date off a single task."""
+    r = row_number_within(preds, [F.col(value).desc(), F.col("symbol")], ["localDate"], out="_r",
+                          bound=n_symbols)
     return r.filter(F.col("_r") < k).withColumn("rank", F.col("_r") + 1).drop("_r")
 
 
@@ -52,9 +55,9 @@ def directional_accuracy(pva: DataFrame, head: str = "log_return_1d") -> DataFra
 
 
 def top_gainers_hit_rate(preds: DataFrame, actual: DataFrame, k: int = C.TOP_GAINERS_COUNT,
-                         head: str = "log_return_1d") -> DataFrame:
+                         head: str = "log_return_1d", n_symbols: int | None = None) -> DataFrame:
     """Per date: how many of the top-k predicted have an actual > 0."""
-    top = top_gainers_per_date(preds, k, head).select("localDate", "symbol")
+    top = top_gainers_per_date(preds, k, head, n_symbols).select("localDate", "symbol")
     a = actual.select("localDate", F.col("id").alias("symbol"), F.col(head).alias("_a"))
     j = top.join(a, ["localDate", "symbol"], "left")
     return j.groupBy("localDate").agg(F.count_if(F.col("_a") > 0).alias("hits"))

@@ -141,8 +141,8 @@ SELECT localDate, count(*) FILTER (WHERE a > 0) AS hits FROM (
   FROM preds p LEFT JOIN targets t ON t.localDate = p.localDate AND t.id = p.symbol)
 WHERE r <= 10 GROUP BY localDate""")
 def q_top_gainers_hit_rate(spark, sf_dir):
-    p, t, *_ = event_preds(spark, sf_dir)
-    return RP.top_gainers_hit_rate(p, t, C.TOP_GAINERS_COUNT)
+    p, t, s, _ = event_preds(spark, sf_dir)
+    return RP.top_gainers_hit_rate(p, t, C.TOP_GAINERS_COUNT, n_symbols=s.count())
 
 
 TARGET_METRICS = ("log_return_1d", "log_return_3d", "log_return_5d",
