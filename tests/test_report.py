@@ -47,3 +47,10 @@ def test_latest_two_needs_two_dates(spark):
     one = spark.createDataFrame([(dt.date(2024, 1, 1), "A")], "localDate date, symbol string")
     with pytest.raises(Exception):
         RP.latest_two_dates(one).collect()
+
+
+def test_actual_row_fails_when_missing(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), 1.0)], "localDate date, A_zscore_1d double")
+    assert RP.actual_row(df, dt.date(2024, 1, 2)).count() == 1
+    with pytest.raises(ValueError):
+        RP.actual_row(df, dt.date(2024, 1, 3))

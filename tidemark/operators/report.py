@@ -63,6 +63,15 @@ def top_gainers_hit_rate(preds: DataFrame, actual: DataFrame, k: int = C.TOP_GAI
     return j.groupBy("localDate").agg(F.count_if(F.col("_a") > 0).alias("hits"))
 
 
+def actual_row(stored: DataFrame, day) -> DataFrame:
+    """The stored target row of one date (after keep-last); fails when the
+    date has no actuals."""
+    row = stored.filter(F.col("localDate") == F.lit(day))
+    if row.isEmpty():
+        raise ValueError(f"No actual returns for {day}")
+    return row
+
+
 def center(s: Column, width: int) -> Column:
     """Centre text in ``width`` (extra space on the right, as Python's '^')."""
     n = F.length(s)

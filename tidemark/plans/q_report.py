@@ -167,9 +167,8 @@ def q_actual_lookup(spark, sf_dir):
     recent = wide.filter(F.col("localDate") > F.date_sub(newest, 20))     # a newer, overlapping part
     PQ.append_run(recent, path, "20240102T000000")
     stored = DS.dedupe_keep_last(PQ.read_runs(spark, path), "localDate")
-    day = RP.latest_two_dates(stored).filter(F.col("date_rank") == 2).select(F.max("localDate")).scalar()
-    row = stored.filter(F.col("localDate") == day)
-    return rounded(RS.unpivot_wide(row).select("symbol", "metric", "value"))
+    day = RP.report_dates(stored)[1]
+    return rounded(RS.unpivot_wide(RP.actual_row(stored, day)).select("symbol", "metric", "value"))
 
 
 WATCH = " u1 , u2,u3,u10, nosuch"
