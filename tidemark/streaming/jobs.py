@@ -89,9 +89,13 @@ def stream_upsert_rollup(spark: SparkSession, source: str, store: str, out: str,
         staged = batch.withColumn("batch", F.lit(batch_id))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("localDate", "batch").parquet(store))
-        touched = batch.select("localDate").distinct()          # at most one row per day
+        # the batch's days (at most one per calendar day) become a literal
+        # IN list, so the re-read of the store is partition-pruned
+        days = [r.localDate for r in batch.select("localDate").distinct().collect()]
+        if not days:
+            return
         rows = (batch.sparkSession.read.parquet(store)
-                .join(F.broadcast(touched), "localDate", "left_semi").drop("batch"))
+                .filter(F.col("localDate").isin(days)).drop("batch"))
         _overwrite_days(daily_rollup(rows), out)
 
     w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
