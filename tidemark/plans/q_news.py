@@ -123,3 +123,10 @@ def q_calendar_spine(spark, sf_dir):
 @register("lagged_features", NEWS + ", " + O.spine_sql(extra_days=1) + " " + O.lagged_sql(C.LAG_DAYS))
 def q_lagged_features(spark, sf_dir):
     return rounded(RU.lagged_features(daily(spark, sf_dir)))
+
+
+@register("agg_min_max", NEWS + "SELECT localDate, round(max_sentiment, 6) AS max_sentiment, "
+          "round(min_sentiment, 6) AS min_sentiment FROM daily")
+def q_agg_min_max(spark, sf_dir):
+    return rounded(daily(spark, sf_dir, with_median=False)
+                   .select("localDate", "max_sentiment", "min_sentiment"))
