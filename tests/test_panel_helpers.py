@@ -31,3 +31,14 @@ def test_spread_only_when_scan_is_narrow(spark):
     wide = spark.range(0, 100, 1, 64)
     assert spread_for_cpu(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread_for_cpu(wide).rdd.getNumPartitions() == 64
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    from tidemark.session import scratch_path, shared_dir
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = shared_dir(spark)
+    assert d == spark.sparkContext.getCheckpointDir()
+    if configured:
+        assert configured.rstrip("/") in d
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(d.rstrip("/"))
