@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality, sql
+from tidemark.llm import language, quality, sql
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -18,8 +18,13 @@ def query(fn, oracle: str | None = None):
     return fn
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+query(op5_language_id)
 query(op9_quality_rules, sql.QUALITY)
