@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, quality, sql
+from tidemark.llm import language, quality, simhash, sql
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -18,6 +18,11 @@ def query(fn, oracle: str | None = None):
     return fn
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   shingle=3, bits=3)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -26,5 +31,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+query(op3_simhash_near_dedup)
 query(op5_language_id)
 query(op9_quality_rules, sql.QUALITY)
