@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, quality, simhash, sql
+from tidemark.llm import bpe, language, packing, quality, simhash, sql
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -27,10 +28,22 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
 query(op3_simhash_near_dedup)
 query(op5_language_id)
+query(op6_bpe_encode_decode)
+query(op8_packing)
 query(op9_quality_rules, sql.QUALITY)
