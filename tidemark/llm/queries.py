@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, packing, quality, simhash, sql
+from tidemark.llm import bpe, language, licenses, packing, quality, simhash, sql, warc
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -33,6 +33,10 @@ def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
                         public_tokenizers.path("word_bpe_49k.json"))
@@ -42,8 +46,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 query(op3_simhash_near_dedup)
 query(op5_language_id)
 query(op6_bpe_encode_decode)
+query(op7_warc, sql.WARC)
 query(op8_packing)
 query(op9_quality_rules, sql.QUALITY)
+query(op10_license_scan)

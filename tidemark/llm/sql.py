@@ -52,3 +52,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, remo
          AND n_words - removed_words >= 0.5::DOUBLE * n_words AS kept
 FROM base
 """
+
+WARC = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest,
+         row_number() OVER () AS r FROM pages),
+f AS (
+  SELECT *, first_value(page_id) OVER w AS first_page, row_number() OVER w AS k
+  FROM p WINDOW w AS (PARTITION BY payload_digest, payload_bytes ORDER BY page_id NULLS LAST, r))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN first_page END AS refers_to
+FROM f
+"""
