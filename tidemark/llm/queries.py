@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, licenses, packing, quality, simhash, sql, warc
+from tidemark.llm import bpe, language, licenses, packing, quality, simhash, sql, token_counts, url_filter, warc
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -19,11 +19,20 @@ def query(fn, oracle: str | None = None):
     return fn
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"),
                                    shingle=3, bits=3)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -50,7 +59,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+query(op1_url_filter, sql.URLS)
 query(op3_simhash_near_dedup)
+query(op4_token_counts)
 query(op5_language_id)
 query(op6_bpe_encode_decode)
 query(op7_warc, sql.WARC)
