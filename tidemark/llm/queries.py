@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, licenses, packing, quality, simhash, sql, token_counts, url_filter, warc
+from tidemark.llm import ann, bpe, language, licenses, packing, quality, simhash, sql, token_counts, url_filter, warc
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -23,6 +24,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"),
+                       F.col("vec_id") % 20 == 0)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"),
                                    shingle=3, bits=3)
@@ -60,6 +66,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op1_url_filter, sql.URLS)
+query(op2_ann)
 query(op3_simhash_near_dedup)
 query(op4_token_counts)
 query(op5_language_id)
