@@ -162,13 +162,14 @@ def label_texts(texts: list[str | None], table: Words, spans: bool) -> list[tupl
     """(language, score, spans) of each text."""
     model = table.model
     n = len(model.languages)
-    found = [words_of(t) for t in texts]
     if not n:
         return [("und", 0.0, [])] * len(texts)
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    ids = np.fromiter((i for ws in found for i in map(table.__getitem__, ws)),
-                      np.int64, int(sizes.sum()))
-    del found
+    # words become numbers text by text, so only distinct words stay as strings
+    number = table.__getitem__
+    rows = [np.fromiter(map(number, words_of(t)), np.int32) for t in texts]
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    ids = np.concatenate(rows)
+    del rows
     table.score()
     some = np.flatnonzero(sizes)
     labels = viterbi(table.scores, ids, sizes[some])
