@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRAIN_DOCS = 4_000        # labelled rows of each language that fit the model
 SLOTS = 1 << 17           # hashed trigrams
@@ -162,7 +163,7 @@ def label_texts(texts: list[str | None], table: Words, spans: bool) -> list[tupl
     """(language, score, spans) of each text."""
     model = table.model
     n = len(model.languages)
-    if not n:
+    if not n or not texts:
         return [("und", 0.0, [])] * len(texts)
     # words become numbers text by text, so only distinct words stay as strings
     number = table.__getitem__
@@ -252,31 +253,34 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
                  max(range(len(languages)), key=lambda k: sizes[languages[k]]))
 
 
-def label(docs: DataFrame, model: Model, text: str = "text", spans: bool = True) -> DataFrame:
-    """``docs`` without ``text``, plus lang_pred, score and (optionally) spans."""
-    kept = [f for f in docs.schema.fields if f.name != text]
+def label(docs: DataFrame, model: Model, text: str = "text", spans: bool = True,
+          keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) plus lang_pred, score and, if wanted, spans.
+
+    ``text`` names the text column, or a field of a struct as ``column.field``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SLOTS x languages
-    names = [f.name for f in kept]
+    names = docs.columns if keep is None else keep
+    added = [("lang_pred", pa.string(), T.StringType()), ("score", pa.float64(), T.DoubleType())]
+    if spans:
+        added.append(("spans", pa.list_(pa.struct(
+            [("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())])),
+            T.ArrayType(T.StructType([
+                T.StructField("first_word", T.IntegerType()),
+                T.StructField("words", T.IntegerType()), T.StructField("lang", T.StringType())]))))
+    column, _, inner = text.partition(".")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Words(shared.value)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            found = label_texts(texts, table, spans)
-            extra = [pa.array([f[0] for f in found], pa.string()),
-                     pa.array([f[1] for f in found], pa.float64())]
-            if spans:
-                extra.append(pa.array([f[2] for f in found], pa.list_(pa.struct(
-                    [("first_word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))))
+            texts = batch.column(batch.schema.get_field_index(column))
+            found = label_texts((texts.field(inner) if inner else texts).to_pylist(), table, spans)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)) for c in names] + extra,
-                names + ["lang_pred", "score", "spans"][:len(extra)])
+                [*[batch.column(batch.schema.get_field_index(c)) for c in names], *[pa.array([f[i] for f in found], kind)
+                                   for i, (_, kind, _) in enumerate(added)]],
+                [*names, *[a[0] for a in added]])
 
-    parts = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [
-        "lang_pred string", "score double"]
-    if spans:
-        parts.append("spans array<struct<first_word:int,words:int,lang:string>>")
-    return docs.select(*names, text).mapInArrow(run, ", ".join(parts))
+    schema = T.StructType([*[docs.schema[c] for c in names], *[T.StructField(n, t) for n, _, t in added]])
+    return docs.mapInArrow(run, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -289,7 +293,8 @@ def identify(docs: DataFrame, spans: bool = False, train_docs: int = TRAIN_DOCS)
     learned from the rows outside the held-out fold."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     model = learn(docs.where(fold != 2), train_docs=train_docs)
-    out = label(docs.select("doc_id", "text", held_out().alias("held_out")), model, spans=spans)
+    out = label(docs.select("doc_id", "text", held_out().alias("held_out")), model, spans=spans,
+                keep=["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "lang_pred", "score", *(["spans"] if spans else []))
 
 
@@ -300,7 +305,6 @@ KEEP_SCORE = 0.5
 def keep_identified(docs: DataFrame, min_score: float = KEEP_SCORE) -> DataFrame:
     """The rows whose language is known and covers ``min_score`` of the words."""
     model = learn(docs)
-    marked = label(docs.select(*docs.columns).withColumn("_copy", F.col("text")), model,
-                   text="_copy", spans=False)
+    marked = label(docs.select(F.struct("*").alias("_row")), model, "_row.text", spans=False)
     return marked.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(
-        *docs.columns)
+        "_row.*")

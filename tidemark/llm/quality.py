@@ -128,6 +128,6 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """
     key = {"_id": F.col("doc_id"), "_hash": F.xxhash64("text", "source")}
     good = judged(docs, key, **limits).where("kept").select(*key).distinct()
-    marked = docs.withColumns(key)
+    marked = docs.select(F.struct("*").alias("_row"), *[c.alias(n) for n, c in key.items()])
     return marked.join(good, marked["_id"].eqNullSafe(good["_id"])
-                       & (marked["_hash"] == good["_hash"]), "left_semi").select(*docs.columns)
+                       & (marked["_hash"] == good["_hash"]), "left_semi").select("_row.*")

@@ -222,8 +222,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3) -> Da
     best = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("root").agg(F.min(F.struct("doc_id", "_hash")).alias("best"))
             .select(F.col("best.doc_id").alias("_id"), F.col("best._hash").alias("_best")))
-    marked = docs.withColumns(mark)
-    kept = marked.join(best, marked["doc_id"].eqNullSafe(best["_id"])
+    marked = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_key"),
+                         *[c.alias(n) for n, c in mark.items()])
+    kept = marked.join(best, marked["_key"].eqNullSafe(best["_id"])
                        & (marked["_hash"] == best["_best"]), "left_semi")
     # rows that repeat one id and text are one row of their component
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    return kept.dropDuplicates(["_key", "_hash"]).select("_row.*")
