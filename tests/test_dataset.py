@@ -14,12 +14,12 @@ def _dates(spark, n):
                                  "localDate date")
 
 
-def test_split_sizes_and_errors():
-    assert DS.split_sizes(300, 30) == (240, 60)
+def test_split_point_and_errors():
+    assert DS.split_point(300, 30) == (240, 60)
     with pytest.raises(DS.SplitError):
-        DS.split_sizes(299, 30)             # 59 < 60 validation rows
+        DS.split_point(299, 30)             # 59 < 60 validation rows
     with pytest.raises(DS.SplitError):
-        DS.split_sizes(70, 30, max_ratio=0.9)   # training part shorter than a window
+        DS.split_point(70, 30, share=0.9)   # training part shorter than a window
 
 
 def test_chrono_split_overlap(spark):
@@ -53,6 +53,8 @@ def test_alignment(spark):
     empty = a.filter(F.lit(False))
     with pytest.raises(DS.AlignmentError):
         DS.check_alignment(a, empty)
+    with pytest.raises(DS.AlignmentError):            # one date twice
+        DS.check_alignment(a, b.unionByName(b.limit(1)))
 
 
 def test_union_strict_rejects_schema_drift(spark):

@@ -29,13 +29,13 @@ def lifecycle(spark, sf_dir):
     cut_s, cut_n = dt.date(1999, 12, 31), dt.date(2024, 1, 15)
     PQ.write_partitions(bars.filter(F.col("localDate") <= cut_s), f"{root}/raw/stock", SC.RAW_STOCK)
     PQ.write_partitions(arts.filter(F.col("localDate") <= cut_n), f"{root}/raw/news", SC.RAW_NEWS)
-    assert J.price_features_job(spark, root, gate="any") == "finished preprocessing"
-    assert J.news_features_job(spark, root) == "finished preprocessing"
+    assert J.price_features_job(spark, root, gate="any") == "processed"
+    assert J.news_features_job(spark, root) == "processed"
     PQ.write_partitions(bars.filter(F.col("localDate") > cut_s), f"{root}/raw/stock", SC.RAW_STOCK)
     PQ.write_partitions(arts.filter(F.col("localDate") > cut_n), f"{root}/raw/news", SC.RAW_NEWS)
-    assert J.price_features_job(spark, root, gate="any") == "finished preprocessing"
-    assert J.price_features_job(spark, root, gate="any") == "all data already processed"
-    assert J.news_features_job(spark, root) == "finished preprocessing"
+    assert J.price_features_job(spark, root, gate="any") == "processed"
+    assert J.price_features_job(spark, root, gate="any") == "nothing new"
+    assert J.news_features_job(spark, root) == "processed"
     return root, bars, symbols, arts
 
 
@@ -44,7 +44,7 @@ def test_incremental_targets_equal_full(spark, lifecycle):
     stored = J._latest(spark, f"{root}/stock/target", ["localDate", "id"])
     bars = bars.filter(F.col("localDate") >= F.lit(J.START))      # history starts at START_DATE
     dates = P.trading_dates(bars, symbols, "any")
-    full = TG.daily_targets(P.dense_panel(bars, symbols, dates), symbols.count())
+    full = TG.daily_targets(P.dense_panel(bars, symbols, dates))
     a = {(r.localDate, r.id): r for r in stored.collect()}
     b = {(r.localDate, r.id): r for r in full.collect()}
     assert a.keys() == b.keys()
@@ -76,9 +76,9 @@ def test_train_infer_notify(spark, lifecycle):
     assert float(score) >= 0
     meta = spark.read.text(f"{root}/model/score={score}/meta.json", wholetext=True).first()[0]
     assert f'"score":"{score}"' in meta
-    assert J.infer_job(spark, root, first_date="2001-07-02", window=10) == "finished inference"
+    assert J.infer_job(spark, root, first_date="2001-07-02", window=10) == "predicted"
     preds = spark.read.parquet(f"{root}/inference")
     assert preds.select("localDate").distinct().count() >= 2
-    assert J.infer_job(spark, root, window=10) == "inference up to date"
+    assert J.infer_job(spark, root, window=10) == "nothing pending"
     body = J.notify_job(spark, root, "P1,P3").first().body
     assert " prediction\nWatched symbols\nP1 " in body and "predicted vs actual" in body

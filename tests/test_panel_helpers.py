@@ -1,7 +1,6 @@
-"""List-order predicates (cursor, watch list) and the adaptive CPU spread."""
+"""List-order predicates (cursor, watch list) and the shared folder."""
 
 from tidemark.operators import panel as P
-from tidemark.session import spread_for_cpu
 
 
 def _symbols(spark):
@@ -26,13 +25,6 @@ def test_watched_symbols_keep_list_order(spark):
         [("TSLA", 1), ("MSFT", 3), ("GOOG", 4)]
 
 
-def test_spread_only_when_scan_is_narrow(spark):
-    narrow = spark.range(100).coalesce(1)
-    wide = spark.range(0, 100, 1, 64)
-    assert spread_for_cpu(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_for_cpu(wide).rdd.getNumPartitions() == 64
-
-
 def test_shared_dir_comes_from_the_session(spark):
     from tidemark.session import scratch_path, shared_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)

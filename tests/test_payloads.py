@@ -69,3 +69,39 @@ def test_numbers_and_dates(spark):
     assert (r.p, r.v, r.d) == (1234.56, 0, dt.date(2024, 3, 7))
     assert r.fri_next == dt.date(2024, 1, 8) and r.sat_next == dt.date(2024, 1, 8)
     assert r.clip == 10000.0 and r.z == 0
+
+
+def test_undecodable_prices_are_quarantined(spark):
+    whole = json.dumps({"status": {"rCode": 200}, "data": {"totalRecords": 2, "tradesTable": {
+        "rows": [{"date": "11/21/2025", "close": "1", "high": "1", "low": "1", "open": "1",
+                  "volume": "1"}] * 2}}})
+    rows = [("ok", whole), ("cut", whole[:-30]), ("html", "<html>502</html>"), ("null", None),
+            ("empty", ""), ("no_total", '{"status":{"rCode":200},"data":{}}'),
+            ("no_data", '{"status":{"rCode":200},"data":null}'), ("no_status", '{"data":null}'),
+            ("no_rows", '{"status":{"rCode":200},"data":{"totalRecords":3}}')]
+    df = spark.createDataFrame(rows, "id string, payload string")
+    for strict in (True, False):
+        bars, q = PL.decode_price_payloads(df, strict)
+        assert [r.id for r in bars.collect()] == ["ok", "ok"]
+        assert {(r.id, r.payload) for r in q.collect()} == set(rows[1:])
+        assert {r.reason for r in q.collect()} == {"undecodable"}
+
+
+def test_news_pages_are_all_accounted_for(spark):
+    page = lambda n, k: json.dumps({"response": {"pages": n, "results": [
+        {"id": f"{k}", "pillarId": "pillar/news", "webTitle": "t", "fields": {"bodyText": "b"}}]}})
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    landed = spark.createDataFrame(
+        [(d1, 1, page(4, 1)), (d1, 3, "{"), (d1, 4, page(4, 4)), (d2, 1, page(1, 9))],
+        "localDate date, page int, payload string")
+    assert sorted(r.id for r in PL.decode_news_payloads(landed).collect()) == ["1", "4", "9"]
+    assert {tuple(r) for r in PL.news_quarantine(landed).collect()} == {
+        (d1, 2, "missing_page", None), (d1, 3, "undecodable", "{")}
+
+
+def test_unicode_blank_bodies_are_dropped(spark):
+    res = [{"id": k, "pillarId": "pillar/news", "webTitle": "t", "fields": {"bodyText": b}}
+           for k, b in (("blank", "\u2003\u2028"), ("nbsp", "\u00a0"), ("text", "\u2003x"))]
+    landed = spark.createDataFrame([(dt.date(2024, 1, 1), 1, json.dumps({"response": {
+        "pages": 1, "results": res}}))], "localDate date, page int, payload string")
+    assert sorted(r.id for r in PL.decode_news_payloads(landed).collect()) == ["nbsp", "text"]

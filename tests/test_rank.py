@@ -1,10 +1,11 @@
-"""Exact positions and medians: both the in-task path and the
-range-partitioned path, including one group holding most rows."""
+"""Exact positions and medians over range-partitioned rows, including one
+group holding most rows."""
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import exact_median, largest_group, row_number_within
+from tidemark.operators.rank import exact_median, row_number_within
 
 
 def _skewed(spark):
@@ -16,7 +17,7 @@ def _skewed(spark):
 def test_distributed_row_number_matches_window(spark):
     df = _skewed(spark)
     dist = row_number_within(df, ["v", "i"], ["g"], out="rn", partitions=6)
-    win = row_number_within(df, ["v", "i"], ["g"], out="rn", bound=1000)
+    win = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "i")) - 1)
     a = sorted(tuple(r) for r in dist.select("g", "i", "rn").collect())
     b = sorted(tuple(r) for r in win.select("g", "i", "rn").collect())
     assert a == b
@@ -30,17 +31,10 @@ def test_global_row_number(spark):
     assert all(r.rn == r.k for r in out)
 
 
-def test_exact_median_both_paths(spark):
+def test_exact_median(spark):
     df = _skewed(spark)
-    pdf = df.toPandas()
-    want = pdf.groupby("g").v.median().to_dict()
-    for bound in (None, 10_000):
-        got = {r.g: r.median for r in exact_median(df, "v", ["g"], tiebreak=["i"],
-                                                    bound=bound).collect()}
-        assert got.keys() == want.keys()
-        for k in want:
-            assert np.isclose(got[k], want[k])
-
-
-def test_largest_group(spark):
-    assert largest_group(_skewed(spark), ["g"]) == 600
+    want = df.toPandas().groupby("g").v.median().to_dict()
+    got = {r.g: r.median for r in exact_median(df, "v", ["g"], tiebreak=["i"]).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert np.isclose(got[k], want[k])

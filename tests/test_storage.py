@@ -106,3 +106,14 @@ def test_path_values(spark):
                   PQ.path_value("score", F.col("p"), "double").alias("s")).collect()
     assert [x.d for x in r] == [dt.date(2024, 1, 2), None, None]
     assert r[2].s == 0.1234
+
+
+def test_missing_control_table_gives_the_default(spark):
+    import datetime as dt
+
+    from tidemark.session import scratch_path
+    from tidemark.sources import state as ST
+    path = scratch_path(spark, "no-control")
+    assert ST.read_mark(spark, path, "p", "k").first().value is None
+    day = dt.date(2024, 1, 2)
+    assert ST.read_mark(spark, path, "p", "k", day).first().value == day

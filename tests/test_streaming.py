@@ -1,6 +1,8 @@
 """Streaming runs: catch-up ingest is exactly-once across reruns; the
 partition upsert converges to the batch roll-up."""
 
+import json
+
 from tidemark.operators.rollup import daily_rollup
 from tidemark.schemas import SENTIMENT
 from tidemark.session import scratch_path
@@ -30,20 +32,42 @@ def test_upsert_converges_to_batch(spark, sf_dir):
     assert r(got) == r(want)
 
 
-def test_late_rows_beyond_watermark_are_dropped(spark):
+def test_days_count_in_any_order(spark):
     import datetime as dt
     landing, out, ck = (scratch_path(spark, n) for n in ("s", "agg", "ck"))
 
     def land(days, tag):
-        rows = [(dt.date(2024, 1, d), f"{tag}{d}", 0.5, 10, 5) for d in days]
+        rows = [(d, f"{tag}{d}", 0.5, 10, 5) for d in days]
         spark.createDataFrame(rows, SENTIMENT).coalesce(1).write.mode("append").parquet(landing)
+        SJ.stream_daily_subset(spark, landing, out, ck)
+
+    june, old = dt.date(2024, 6, 1), [dt.date(2024, 1, 10), dt.date(2024, 1, 11)]
+    land([june], "a")
+    land(old, "b")                     # months behind the newest day
+    land([old[0], june], "c")
+    got = {r.localDate: r.count_articles for r in spark.read.parquet(out).collect()}
+    assert got == {june: 2, old[0]: 2, old[1]: 1}
+
+
+def test_stream_quarantines_and_goes_on(spark):
+    landing, out, ck = (scratch_path(spark, n) for n in ("landing", "out", "ck"))
+
+    def payload(close, date="11/21/2025"):
+        return json.dumps({"status": {"rCode": 200}, "data": {"totalRecords": 1, "tradesTable": {
+            "rows": [{"date": date, "close": close, "high": "1", "low": "1", "open": "1",
+                      "volume": "1"}]}}})
+
+    def land(rows):
+        spark.createDataFrame(rows, SJ.LANDED_PRICE).coalesce(1).write.mode("append").json(landing)
+        SJ.stream_ingest_prices(spark, landing, out, ck)
 
-    land(range(1, 11), "a")
-    SJ.stream_daily_subset(spark, landing, out, ck, lateness="1 day")
-    land([2, 10], "late")              # day 2 is far behind the watermark; day 10 is not
-    SJ.stream_daily_subset(spark, landing, out, ck, lateness="1 day")
-    got = {r.localDate.day: r.count_articles for r in spark.read.parquet(out).collect()}
-    assert got[2] == 1 and got[10] == 2 and len(got) == 10
+    land([("A", payload("$5")), ("B", payload("abc")), ("C", "<html>"), ("D", payload("1", "?"))])
+    land([("A", payload("$7")), ("E", payload("1")[:-9])])
+    assert [(r.id, r.close) for r in SJ.stored_bars(spark, out).collect()] == [("A", 7.0)]
+    bad = {r.id: (r.reason, r.payload) for r in spark.read.parquet(f"{out}-quarantine").collect()}
+    assert {k: v[0] for k, v in bad.items()} == {"B": "bad_value", "C": "undecodable",
+                                                 "D": "bad_value", "E": "undecodable"}
+    assert bad["C"][1] == "<html>"
 
 
 def test_daily_subset_is_time_zone_independent(spark, sf_dir):

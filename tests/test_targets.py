@@ -4,6 +4,8 @@ sigma = 0, single symbol, ties by position, incremental == full."""
 import datetime as dt
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import panel as P
@@ -43,8 +45,7 @@ def test_log_returns_guards(spark):
     sym = _symbols(spark, ["A"])
     panel = P.dense_panel(bars, sym, P.trading_dates(bars, sym))
     r = {x.localDate: x for x in TG.log_returns(panel).collect()}
-    f = lambda a, b: math.log(float(__import__("numpy").float32(a)) /
-                              float(__import__("numpy").float32(b)))
+    f = lambda a, b: float(np.float32(math.log(float(np.float32(a)) / float(np.float32(b)))))
     assert r[D[0]].log_return_1d == 0.0                       # no earlier row
     assert math.isclose(r[D[1]].log_return_1d, f(11.0, 10.0))
     assert r[D[2]].log_return_1d == 0.0 and r[D[3]].log_return_1d == 0.0  # below MIN_PRICE
@@ -57,14 +58,13 @@ def test_cross_section_zero_sigma_single_symbol_and_ties(spark):
     bars = _bars(spark, [(d, s, 10.0, 10.0, 10.0, 10.0, 1) for d in D[:3] for s in "ABC"])
     sym = _symbols(spark, ["A", "B", "C"])
     panel = P.dense_panel(bars, sym, P.trading_dates(bars, sym))
-    for bound in (None, 3):
-        t = {(r.localDate, r.id): r for r in TG.daily_targets(panel, bound).collect()}
-        assert all(r.zscore_1d == 0.0 and r.direction_1d == 0 for r in t.values())
-        # all returns tie at 0: rank follows list position
-        assert [t[(D[1], s)].rank_1d for s in "ABC"] == [0.0, 0.5, 1.0]
+    t = {(r.localDate, r.id): r for r in TG.daily_targets(panel).collect()}
+    assert all(r.zscore_1d == 0.0 and r.direction_1d == 0 for r in t.values())
+    # all returns tie at 0: rank follows list position
+    assert [t[(D[1], s)].rank_1d for s in "ABC"] == [0.0, 0.5, 1.0]
     one = P.dense_panel(bars.filter("id = 'A'"), _symbols(spark, ["A"]),
                         P.trading_dates(bars, _symbols(spark, ["A"])))
-    assert {r.rank_1d for r in TG.daily_targets(one, 1).collect()} == {0.0}
+    assert {r.rank_1d for r in TG.daily_targets(one).collect()} == {0.0}
 
 
 def test_zscore_sums_to_zero(spark, sf_dir):
@@ -80,9 +80,8 @@ def test_incremental_equals_full(spark, sf_dir):
     from tidemark.plans.q_stock import panel_inputs
     b, s, d = panel_inputs(spark, sf_dir, "orders")
     panel = P.dense_panel(b, s, d)
-    n = s.count()
-    full = TG.daily_targets(panel, n).filter(F.col("localDate") > F.lit("1996-03-01").cast("date"))
-    inc = TG.incremental_targets(panel, "1996-03-01", n)
+    full = TG.daily_targets(panel).filter(F.col("localDate") > F.lit("1996-03-01").cast("date"))
+    inc = TG.incremental_targets(panel, "1996-03-01")
     key = lambda r: (r.localDate, r.id)
     a = sorted(full.collect(), key=key)
     b2 = sorted(inc.collect(), key=key)
@@ -90,3 +89,21 @@ def test_incremental_equals_full(spark, sf_dir):
     for x, y in zip(a, b2):
         for c in TG.TARGET_COLS:
             assert math.isclose(x[c], y[c], abs_tol=1e-12), (x, y, c)
+
+
+def test_returns_are_narrowed_before_ranking(spark):
+    """Returns that differ only beyond float32 tie, and the list position decides."""
+    rows = [(D[0], s, 1000.0) for s in "ABC"]
+    rows += [(D[1], s, c) for s, c in zip("ABC", (1200.0, 1200.0, 900.0))]
+    panel = spark.createDataFrame([(d, s, "ABC".index(s), c, c, c, c, 1) for d, s, c in rows],
+                                  "localDate date, id string, pos int, close double, high double, "
+                                  "low double, open double, volume long")
+    r = TG.log_returns(panel, horizons=(1,))
+    tiny = F.when(F.col("id") == "A", F.lit(1e-12)).otherwise(0.0)
+    near = r.withColumn("log_return_1d", (F.col("log_return_1d") + tiny).cast("float").cast("double"))
+    t = {x.id: x for x in TG.add_cross_section(near).filter(F.col("localDate") == D[1]).collect()}
+    assert [t[s].rank_1d for s in "ABC"] == [0.5, 1.0, 0.0]
+    stored = np.float32(math.log(1.2))
+    assert t["B"].log_return_1d == float(stored) != math.log(1.2)
+    x = np.array([t[s].log_return_1d for s in "ABC"])
+    assert np.allclose([t[s].zscore_1d for s in "ABC"], (x - x.mean()) / x.std())

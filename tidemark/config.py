@@ -1,9 +1,5 @@
-"""Fixed values that must equal the reference's for identical results.
-
-Fixed values (thresholds, horizons, weights, formats), in natural order:
-"""
-
-import os
+"""Fixed values that must equal the reference's for identical results
+(thresholds, horizons, weights, formats, report texts), in natural order."""
 
 # --- fixed values -----------------------------------------------------------
 MIN_PRICE = 1e-3                      # closes at or below count as missing
@@ -54,20 +50,10 @@ SYMBOL_NOT_FOUND_CODE = 1001
 SYMBOL_ALIASES = (("FI", "FISV"),)    # ticker renames, matched case-insensitively
 SYMBOL_DOT_ESCAPE = "%25sl%25"        # '.' in a ticker is sent as this
 US_DATE_FORMAT = "MM/dd/yyyy"
+COMPARISON_HEADER = ("Symbol   z_p     z_a     r_p     r_a     d_p d_a lr1_p    lr1_a    "
+                     "lr3_p    lr3_a    lr5_p    lr5_a")
 # ---------------------------------------------------------------------------
 
-# Engine-side bounds (ours, not the reference's).
-# A per-date table has at most one row per calendar day; 100 years of days is
-# the proven bound under which such tables are broadcast.
-MAX_CALENDAR_DAYS = 366 * 100
-# A group (a date's symbols or articles) is ranked or median-ed inside one task
-# only when its size is proven to be at most this; above it the range-
-# partitioned rank spreads the group over many tasks.
-# (TIDEMARK_MAX_GROUP_ROWS=1 forces the range-partitioned path everywhere.)
-MAX_GROUP_ROWS = int(os.environ.get("TIDEMARK_MAX_GROUP_ROWS", "1000000"))
-# Wide outputs (one column per symbol and feature) and per-date arrays (one
-# entry per symbol) are built only for universes up to this size: 5,000
-# symbols are 25,000 pivoted columns or a 6 MB window tensor per date.
-MAX_WIDE_SYMBOLS = 5_000
-# Fixed dimensions (symbol lists, alias tables) are broadcast only below this.
-MAX_BROADCAST_DIMENSION_ROWS = 1_000_000
+# Engine-side layout (ours, not the reference's): symbols in one block of wide
+# columns, or of one packed per-date array; any number of symbols makes blocks.
+SYMBOL_BLOCK = 1_000

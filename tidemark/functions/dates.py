@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidemark import config as C
 
 
-def parse_us_date(s: Column) -> Column:
-    """'MM/dd/yyyy' -> DATE."""
+def parse_us_date(s: Column, strict: bool = True) -> Column:
+    """'MM/dd/yyyy' -> DATE; unless ``strict``, null where it does not parse."""
+    if not strict:
+        return F.try_to_timestamp(s, F.lit(C.US_DATE_FORMAT)).cast("date")
     return F.to_date(s, C.US_DATE_FORMAT)
 
 

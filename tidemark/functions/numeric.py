@@ -13,6 +13,11 @@ def strip_number(s: Column) -> Column:
     return F.regexp_replace(s, r"[$,]", "")
 
 
+def bad_number(s: Column) -> Column:
+    """Whether a cleaned number does not parse."""
+    return strip_number(s).try_cast("double").isNull()
+
+
 def parse_price(s: Column) -> Column:
     """Prices must parse: a malformed price raises (whatever the ANSI
     setting of the session)."""

@@ -18,20 +18,24 @@ WHITESPACE_RUN = r"(?U)\s+"
 TOKEN = r"\w+|[^\w\s]"
 
 
+def _normal(v) -> str:
+    """NFKC of a string (most text is normal already and passes unchanged)."""
+    return v if unicodedata.is_normalized("NFKC", v) else unicodedata.normalize("NFKC", v)
+
+
 @F.pandas_udf(T.StringType())
 def nfkc_concat(title: pd.Series, body: pd.Series) -> pd.Series:
     """NFKC of title and of body (non-strings as ""), concatenated with no
     separator. Arrow-batched; the only Python step of the cleaner."""
-    def norm(v):
-        return unicodedata.normalize("NFKC", v) if isinstance(v, str) else ""
-    return pd.Series([norm(t) + norm(b) for t, b in zip(title, body)], dtype=object)
+    both = [(_normal(t) if isinstance(t, str) else "") + (_normal(b) if isinstance(b, str) else "")
+            for t, b in zip(title, body)]
+    return pd.Series(both, dtype=object)
 
 
 @F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode NFKC normalisation (Spark has no built-in)."""
-    return pd.Series([unicodedata.normalize("NFKC", v) if isinstance(v, str) else None
-                      for v in text], dtype=object)
+    return pd.Series([_normal(v) if isinstance(v, str) else None for v in text], dtype=object)
 
 
 def strip_and_collapse(text: Column) -> Column:

@@ -48,7 +48,7 @@ def latest_before(queries: DataFrame, trading: DataFrame, count: int = 1,
                                    F.lit(" trading dates before "), F.col(qcol).cast("string")))))
     e = a.select(qcol, F.posexplode(F.sequence(F.col("t"), F.col("t") - count + 1, F.lit(-1)))
                  .alias("k", "t")).filter(F.col("t") >= 0)
-    return e.join(F.broadcast(idx), "t").select(qcol, F.col("k").cast("int").alias("k"), "localDate")
+    return e.join(idx, "t").select(qcol, F.col("k").cast("int").alias("k"), "localDate")
 
 
 def trailing_window(ends: DataFrame, trading: DataFrame, window: int,
@@ -58,8 +58,9 @@ def trailing_window(ends: DataFrame, trading: DataFrame, window: int,
     idx = index_dates(trading)
     a = asof_index(ends, idx, strict=False, qcol=ecol)
     a = a.withColumn("t", F.when(F.col("t") >= window - 1, F.col("t")).otherwise(
-        F.raise_error(F.lit("Insufficient data for inference window"))))
+        F.raise_error(F.concat(F.lit(f"fewer than {window} trading dates up to "),
+                               F.col(ecol).cast("string")))))
     e = a.select(ecol, F.posexplode(F.sequence(F.col("t") - window + 1, F.col("t")))
                  .alias("step", "t"))
-    return e.join(F.broadcast(idx), "t").select(ecol, F.col("step").cast("int").alias("step"),
+    return e.join(idx, "t").select(ecol, F.col("step").cast("int").alias("step"),
                                                 "localDate")

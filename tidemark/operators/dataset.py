@@ -37,32 +37,48 @@ def intersect_dates(*tables: DataFrame) -> DataFrame:
     return out
 
 
-def alignment_report(*tables: DataFrame) -> DataFrame:
+def alignment_report(*tables: DataFrame, check: bool = False) -> DataFrame:
     """One row: dates common to all tables and dates missing from some table,
-    from one aggregate over a full outer join of the date sets."""
+    from one aggregate over a full outer join of per-date row counts.
+
+    With ``check`` the row fails when no date is common, or when the aligned
+    dates of a table do not all have the same number of rows (a repeated or an
+    incomplete date)."""
     j = None
     for i, t in enumerate(tables):
-        d = t.select("localDate").distinct().withColumn(f"_in{i}", F.lit(True))
+        d = t.groupBy("localDate").agg(F.count(F.lit(1)).alias(f"_n{i}"))
         j = d if j is None else j.join(d, "localDate", "full_outer")
-    present = [F.col(f"_in{i}").isNotNull() for i in range(len(tables))]
-    all_in = present[0]
-    for p in present[1:]:
-        all_in = all_in & p
-    return j.agg(F.count_if(all_in).alias("aligned_dates"),
-                 F.count_if(~all_in).alias("unaligned_dates"))
+    rows = [F.col(f"_n{i}") for i in range(len(tables))]
+    all_in = F.lit(True)
+    for n in rows:
+        all_in = all_in & n.isNotNull()
+    own = [F.when(all_in, n) for n in rows]
+    out = j.agg(F.count_if(all_in).alias("aligned_dates"),
+                F.count_if(~all_in).alias("unaligned_dates"),
+                *[f(n).alias(f"_{f.__name__}{i}") for i, n in enumerate(own) for f in (F.min, F.max)])
+    aligned = F.col("aligned_dates")
+    if check:
+        aligned = F.when(aligned == 0, F.raise_error(F.lit("the tables share no date")))
+        for i in range(len(tables)):
+            aligned = aligned.when(F.col(f"_min{i}") != F.col(f"_max{i}"), F.raise_error(
+                F.lit(f"table {i}: aligned dates differ in their number of rows")))
+        aligned = aligned.otherwise(F.col("aligned_dates"))
+    return out.select(aligned.alias("aligned_dates"), "unaligned_dates")
 
 
 def check_alignment(*tables: DataFrame) -> int:
-    """Fail when no date is common to all tables; returns the count."""
-    n = alignment_report(*tables).first()["aligned_dates"]
-    if not n:
-        raise AlignmentError("No overlapping dates across inputs")
-    return n
+    """Number of common dates; fails as :func:`alignment_report` does."""
+    try:
+        return alignment_report(*tables, check=True).first()["aligned_dates"]
+    except Exception as e:
+        if "share no date" in str(e) or "aligned dates differ" in str(e):
+            raise AlignmentError(str(e)) from e
+        raise
 
 
 def align(dates: DataFrame, *tables: DataFrame) -> list[DataFrame]:
-    """Restrict each table to the aligned dates (one row per day: broadcast)."""
-    return [t.join(F.broadcast(dates), "localDate", "left_semi") for t in tables]
+    """Restrict each table to the aligned dates."""
+    return [t.join(dates, "localDate", "left_semi") for t in tables]
 
 
 def date_index(dates: DataFrame) -> DataFrame:
@@ -71,30 +87,31 @@ def date_index(dates: DataFrame) -> DataFrame:
                             .cast("long"))
 
 
-def split_sizes(n: int, window: int = C.WINDOW_SIZE,
-                max_ratio: float = C.VALIDATION_MAX_RATIO,
-                min_ratio: float = C.VALIDATION_TO_WINDOW_RATIO) -> tuple[int, int]:
-    """(val_start, max_val) for n aligned rows, or SplitError."""
-    min_val = window * min_ratio
-    max_val = int(n * max_ratio)
-    if max_val < min_val:
-        raise SplitError(f"Not enough data for validation: len={n}, "
-                         f"min_val={min_val}, max_val={max_val}")
-    val_start = n - max_val
-    if val_start < window:
-        raise SplitError(f"Training set too small after split: val_start={val_start}, "
-                         f"window_size={window}")
-    return val_start, max_val
+def split_point(rows: int, window: int = C.WINDOW_SIZE,
+                share: float = C.VALIDATION_MAX_RATIO,
+                windows: float = C.VALIDATION_TO_WINDOW_RATIO) -> tuple[int, int]:
+    """(first validation row, validation rows) of ``rows`` aligned dates.
+
+    The last ``share`` of the rows validates. It must span ``windows`` windows,
+    and what is left for training at least one."""
+    held_out = int(rows * share)
+    kept = rows - held_out
+    if held_out < windows * window:
+        raise SplitError(f"{held_out} of {rows} rows would validate: {windows:g} windows of "
+                         f"{window} rows are needed")
+    if kept < window:
+        raise SplitError(f"{kept} of {rows} rows would train: fewer than one window of {window}")
+    return kept, held_out
 
 
 def chrono_split(indexed_dates: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
-    """Label aligned dates 'train' for rows [0, val_start) and 'validation'
-    for rows [val_start - window, n): validation starts ``window`` rows early
+    """Label aligned dates 'train' before the split point and 'validation' from
+    ``window`` rows before it: validation starts ``window`` rows early
     so its first sample has a full window (the overlap is by design)."""
     n = indexed_dates.count()          # one row per day
-    val_start, _ = split_sizes(n, window)
-    train = indexed_dates.filter(F.col("t") < val_start).withColumn("split", F.lit("train"))
-    val = (indexed_dates.filter(F.col("t") >= val_start - window)
+    first, _ = split_point(n, window)
+    train = indexed_dates.filter(F.col("t") < first).withColumn("split", F.lit("train"))
+    val = (indexed_dates.filter(F.col("t") >= first - window)
            .withColumn("split", F.lit("validation")))
     return train.unionByName(val)
 
@@ -132,7 +149,7 @@ def assign_batches(samples: DataFrame, batch_size: int = C.BATCH_SIZE) -> DataFr
     rn = F.row_number().over(Window.orderBy("localDate")) - 1
     b = samples.withColumn("batch", F.floor(rn / batch_size).cast("long"))
     full = b.groupBy("batch").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == batch_size)
-    return b.join(F.broadcast(full.select("batch")), "batch", "left_semi")
+    return b.join(full.select("batch"), "batch", "left_semi")
 
 
 def dedupe_keep_last(parts: DataFrame, key: str = "localDate") -> DataFrame:

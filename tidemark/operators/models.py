@@ -104,7 +104,7 @@ def best_model(registry: DataFrame) -> DataFrame:
     b = registry.agg(F.min_by(F.struct("key", "score"), F.struct("score", "key")).alias("b"),
                      F.count(F.lit(1)).alias("n"))
     return b.select(F.when(F.col("n") > 0, F.col("b.key"))
-                     .otherwise(F.raise_error(F.lit("No scored models found"))).alias("key"),
+                     .otherwise(F.raise_error(F.lit("the registry holds no scored model"))).alias("key"),
                     F.col("b.score").alias("score"))
 
 
@@ -173,18 +173,18 @@ def training_samples(panel: DataFrame, targets: DataFrame, lagged: DataFrame,
     p, t, lg = DS.align(aligned, panel, targets, lagged)
     idx = DS.date_index(aligned)
     n = idx.count()                                   # one row per day
-    val_start, max_val = DS.split_sizes(n, window)
+    val_start, max_val = DS.split_point(n, window)
     win = DS.sliding_windows(p, window)
     flat = F.flatten(F.transform("window", lambda r: F.array(
         *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
     prev = idx.select("localDate", "t").join(
         idx.select(F.col("t").alias("_t"), F.col("localDate").alias("_d")), F.col("t") - 1 == F.col("_t"))
-    news = news_last(lg).join(F.broadcast(prev.select(F.col("localDate").alias("_sample"),
-                                                      F.col("_d").alias("localDate"))), "localDate")
+    news = news_last(lg).join(prev.select(F.col("localDate").alias("_sample"),
+                                          F.col("_d").alias("localDate")), "localDate")
     feats = (win.select("localDate", "id", flat.alias("_f"))
-             .join(F.broadcast(news.select(F.col("_sample").alias("localDate"), "news")), "localDate")
+             .join(news.select(F.col("_sample").alias("localDate"), "news"), "localDate")
              .select("localDate", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
-    rows = labelled(feats, t).join(F.broadcast(idx), "localDate")
+    rows = labelled(feats, t).join(idx, "localDate")
     # the six fits each pass over the samples: materialise them once
     rows = cut_lineage(rows)
     return rows.filter(F.col("t") < val_start), rows.filter(F.col("t") >= val_start), max_val
@@ -247,10 +247,16 @@ def predict_for_dates(models: dict, pending: DataFrame, panel: DataFrame, lagged
         F.array(*[F.col(f).cast("double") for f in C.PIVOTED_FEATURES]).alias("v"))
     per = rows.groupBy("end_date", "id").agg(
         F.sort_array(F.collect_list(F.struct("step", "v"))).alias("s"))    # window rows each
+    per = per.withColumn("s", F.when(F.size("s") == window, F.col("s")).otherwise(F.raise_error(
+        F.concat(F.lit("short window of "), F.col("id"), F.lit(" before "),
+                 F.col("end_date").cast("string")))))
     news = news_last(lagged).withColumnRenamed("localDate", "end_date")
     feats = (per.select("end_date", "id", F.flatten(F.transform("s", lambda x: x["v"])).alias("_f"))
-             .join(F.broadcast(news), "end_date")
-             .select("end_date", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
+             .join(news, "end_date", "left")
+             .select("end_date", "id", array_to_vector(F.concat("_f", F.coalesce(
+                 "news", F.raise_error(F.concat(F.lit("no news features for "),
+                                                F.col("end_date").cast("string")))))
+             ).alias("features")))
     pred = predict_heads(models, ends.join(feats, "end_date"))
     return pred.select(F.col("query_date").alias("localDate"), F.col("id").alias("symbol"),
                        *[(unscale(F.col(h)) if h in LOG_HEADS else F.col(h)).cast("float").alias(h)

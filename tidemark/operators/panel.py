@@ -20,7 +20,7 @@ def trading_dates(bars: DataFrame, symbols: DataFrame, gate: str = "first_symbol
     listed symbol has a bar that day. ``any``: any symbol has a bar.
     """
     if gate == "first_symbol":
-        gated = bars.join(F.broadcast(first_symbol(symbols)), "id", "left_semi")
+        gated = bars.join(first_symbol(symbols), "id", "left_semi")
     elif gate == "any":
         gated = bars
     else:
@@ -71,4 +71,4 @@ def watched_symbols(symbols: DataFrame, watch_list: str) -> DataFrame:
           .select("wpos", F.trim("raw").alias("id"))
           .filter(F.col("id") != ""))
     first = wl.groupBy("id").agg(F.min("wpos").alias("wpos"))
-    return symbols.join(F.broadcast(first), "id")
\ No newline at end of file
+    return symbols.join(first, "id")
\ No newline at end of file

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark import config as C
 from tidemark.session import cut_lineage
 
 _PID, _MID, _N, _M0, _OFF = "_rk_pid", "_rk_mid", "_rk_n", "_rk_m0", "_rk_off"
@@ -25,21 +24,8 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def largest_group(df: DataFrame, group: Sequence[str] = ()) -> int:
-    """Row count of the largest group (one grouped count; a small result)."""
-    if not group:
-        return df.count()
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-
-def in_task(bound: int | None) -> bool:
-    """True when a proven group-size bound allows one task per group."""
-    return bound is not None and bound <= C.MAX_GROUP_ROWS
-
-
 def row_number_within(df: DataFrame, order: Sequence, group: Sequence[str] = (),
-                      out: str = "rn", partitions: int | None = None,
-                      offsets_bounded: bool = True, bound: int | None = None) -> DataFrame:
+                      out: str = "rn", partitions: int | None = None) -> DataFrame:
     """0-based row number of each row inside ``group`` under ``order``.
 
     ``order`` must be a total order inside each group (add a unique
@@ -47,19 +33,13 @@ def row_number_within(df: DataFrame, order: Sequence, group: Sequence[str] = (),
 
     The range-partitioned, sorted rows are checkpointed once so the count
     pass and the numbering pass see exactly the same layout, and so a lost
-    executor cannot re-derive a different one. ``offsets_bounded`` says the
-    offsets table (tasks + groups rows) may be broadcast, true whenever the
-    groups are dates or there is no group.
+    executor cannot re-derive a different one. The offsets have at most one
+    row for each task and one more for each group.
     """
-    if in_task(bound):
-        # proven small groups: the plain window is exact and cheaper
-        w = Window.partitionBy(*group).orderBy(*[_as_col(o) for o in order])
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group] + [_as_col(o) for o in order]
-    staged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
+    spread = (df.repartitionByRange(partitions, *keys) if partitions
+              else df.repartitionByRange(*keys))
+    staged = (spread.sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     staged = cut_lineage(staged)
@@ -69,8 +49,6 @@ def row_number_within(df: DataFrame, order: Sequence, group: Sequence[str] = (),
          .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(_PID, *group, _M0,
                             F.coalesce(F.sum(_N).over(w), F.lit(0)).alias(_OFF))
-    if offsets_bounded:
-        offsets = F.broadcast(offsets)
     joined = staged.join(offsets, [_PID, *group])
     return (joined.withColumn(out, F.col(_OFF) + F.col(_MID) - F.col(_M0))
                   .drop(_PID, _MID, _M0, _OFF))
@@ -85,20 +63,14 @@ def kth_values(df: DataFrame, value: str, ks: DataFrame, group: Sequence[str] =
     """
     ranked = row_number_within(df.select(*group, value, *tiebreak),
                                [value, *tiebreak], group, out="_k")
-    return (ranked.join(F.broadcast(ks.withColumnRenamed("k", "_k")), [*group, "_k"])
+    return (ranked.join(ks.withColumnRenamed("k", "_k"), [*group, "_k"])
                   .select(*group, F.col("_k").alias("k"), value))
 
 
 def exact_median(df: DataFrame, value: str, group: Sequence[str] = (),
-                 tiebreak: Sequence[str] = (), out: str = "median",
-                 bound: int | None = None) -> DataFrame:
-    """Exact median per group (mean of the two middle values when n is even).
-
-    With a proven group bound the built-in exact ``median`` aggregate is used
-    (it holds one group's distinct values in a task); otherwise the k-th
-    values come from the range-partitioned rank."""
-    if in_task(bound):
-        return df.groupBy(*group).agg(F.median(F.col(value).cast("double")).alias(out))
+                 tiebreak: Sequence[str] = (), out: str = "median") -> DataFrame:
+    """Exact median per group (mean of the two middle values when n is even),
+    from the range-partitioned rank: no task holds a whole group."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     ks = (sizes.select(*group, F.explode(F.array(
               F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2))).alias("k"))

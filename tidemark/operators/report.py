@@ -20,7 +20,7 @@ def latest_two_dates(preds: DataFrame) -> DataFrame:
     top = r.filter(F.col("date_rank") <= 2)
     n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
     return top.withColumn("date_rank", F.when(n >= 2, F.col("date_rank")).otherwise(
-        F.raise_error(F.lit("Expected at least 2 inference dates"))))
+        F.raise_error(F.lit("fewer than two prediction dates"))))
 
 
 def top_gainers(preds: DataFrame, k: int = C.TOP_GAINERS_COUNT, value: str = "log_return_1d") -> DataFrame:
@@ -30,12 +30,10 @@ def top_gainers(preds: DataFrame, k: int = C.TOP_GAINERS_COUNT, value: str = "lo
 
 
 def top_gainers_per_date(preds: DataFrame, k: int = C.TOP_GAINERS_COUNT,
-                         value: str = "log_return_1d", n_symbols: int | None = None) -> DataFrame:
-    """Top k per date, exact. A date holds at most one prediction per symbol,
-    so with a small dimension a window ranks it; otherwise the
-    range-partitioned rank keeps a large date off a single task."""
-    r = row_number_within(preds, [F.col(value).desc(), F.col("symbol")], ["localDate"], out="_r",
-                          bound=n_symbols)
+                         value: str = "log_return_1d") -> DataFrame:
+    """Top k per date, exact: the range-partitioned rank keeps a large date
+    off a single task."""
+    r = row_number_within(preds, [F.col(value).desc(), F.col("symbol")], ["localDate"], out="_r")
     return r.filter(F.col("_r") < k).withColumn("rank", F.col("_r") + 1).drop("_r")
 
 
@@ -55,9 +53,9 @@ def directional_accuracy(pva: DataFrame, head: str = "log_return_1d") -> DataFra
 
 
 def top_gainers_hit_rate(preds: DataFrame, actual: DataFrame, k: int = C.TOP_GAINERS_COUNT,
-                         head: str = "log_return_1d", n_symbols: int | None = None) -> DataFrame:
+                         head: str = "log_return_1d") -> DataFrame:
     """Per date: how many of the top-k predicted have an actual > 0."""
-    top = top_gainers_per_date(preds, k, head, n_symbols).select("localDate", "symbol")
+    top = top_gainers_per_date(preds, k, head).select("localDate", "symbol")
     a = actual.select("localDate", F.col("id").alias("symbol"), F.col(head).alias("_a"))
     j = top.join(a, ["localDate", "symbol"], "left")
     return j.groupBy("localDate").agg(F.count_if(F.col("_a") > 0).alias("hits"))
@@ -68,7 +66,7 @@ def actual_row(stored: DataFrame, day) -> DataFrame:
     date has no actuals."""
     row = stored.filter(F.col("localDate") == F.lit(day))
     if row.isEmpty():
-        raise ValueError(f"No actual returns for {day}")
+        raise ValueError(f"{day} has no stored targets")
     return row
 
 
@@ -102,8 +100,7 @@ def comparison_line(symbol: Column, p: dict[str, Column], a: dict[str, Column])
                         a["log_return_3d"], p["log_return_5d"], a["log_return_5d"]))
 
 
-COMPARISON_HEADER = ("Symbol   z_p     z_a     r_p     r_a     d_p d_a lr1_p    lr1_a    "
-                     "lr3_p    lr3_a    lr5_p    lr5_a")
+COMPARISON_HEADER = C.COMPARISON_HEADER
 
 
 def report_dates(preds: DataFrame) -> tuple:
@@ -112,7 +109,7 @@ def report_dates(preds: DataFrame) -> tuple:
     top = [r.localDate for r in preds.select("localDate").distinct()
            .orderBy(F.col("localDate").desc()).limit(2).collect()]
     if len(top) < 2:
-        raise ValueError(f"Expected at least 2 inference dates, found {len(top)}")
+        raise ValueError(f"a report compares two prediction dates; {len(top)} stored")
     return top[0], top[1]
 
 
@@ -123,7 +120,7 @@ def report_body(preds: DataFrame, actual: DataFrame, watched: DataFrame) -> Data
     The two dates become literal filters (partition pruning on stored
     predictions); only the watched rows of those dates are kept."""
     latest, previous = report_dates(preds)
-    w = F.broadcast(watched.select(F.col("id").alias("symbol"), "wpos"))
+    w = watched.select(F.col("id").alias("symbol"), "wpos")
     lp = preds.filter(F.col("localDate") == F.lit(latest)).join(w, "symbol")
     l1 = lp.select("wpos", prediction_line(F.col("symbol"), {h: F.col(h) for h in HEADS}).alias("line"))
     pva = predicted_vs_actual(preds.filter(F.col("localDate") == F.lit(previous)),

@@ -3,21 +3,40 @@ prediction arrays and window tensors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import config as C
 
 
-def symbol_list(symbols: DataFrame, max_symbols: int = C.MAX_WIDE_SYMBOLS) -> list[str]:
-    """Symbols in list order, for generated column names. The dimension is
-    checked against a size bound before it is gathered."""
-    n = symbols.count()
-    if n > max_symbols:
-        raise ValueError(f"{n} symbols exceed the wide-schema bound {max_symbols}")
+def symbol_list(symbols: DataFrame) -> list[str]:
+    """Symbols in list order, for generated column names."""
     return [r["id"] for r in symbols.orderBy("pos").select("id").collect()]
 
 
+def pivot_blocks(long: DataFrame, symbols: DataFrame, metrics,
+                 size: int = C.SYMBOL_BLOCK) -> list[DataFrame]:
+    """The wide table in column blocks of ``size`` symbols, each one row a date.
+
+    A block reads only its own symbols, and no schema or row grows beyond it;
+    a universe of up to ``size`` symbols is one block."""
+    names = symbol_list(symbols)
+    out = []
+    for at in range(0, len(names), size):
+        own = symbols.filter((F.col("pos") >= at) & (F.col("pos") < at + size)).select("id")
+        out.append(pivot_wide(long.join(own, "id", "left_semi"), names[at:at + size], metrics))
+    return out
+
+
+def wide_table(long: DataFrame, symbols: DataFrame, metrics) -> DataFrame:
+    """All column blocks side by side, one row a date."""
+    blocks = pivot_blocks(long, symbols, metrics)
+    out = blocks[0] if blocks else long.select("localDate").distinct()
+    for b in blocks[1:]:
+        out = out.join(b, "localDate", "full_outer")
+    return out
+
+
 def wide_columns(symbols: list[str], metrics) -> list[str]:
     """``{symbol}_{metric}``, symbol-major in list order, metrics in order."""
     return [f"{s}_{m}" for s in symbols for m in metrics]
@@ -46,21 +65,17 @@ def unpivot_wide(wide: DataFrame) -> DataFrame:
                     parts.getItem(1).alias("metric"), "value")
 
 
-def check_dimension(symbols_count: int, limit: int = C.MAX_WIDE_SYMBOLS) -> None:
-    """Per-date arrays hold one entry per symbol: refuse unbounded universes."""
-    if symbols_count > limit:
-        raise ValueError(f"{symbols_count} symbols exceed the per-date array bound {limit}")
+def symbol_block(pos="pos") -> Column:
+    return F.floor(F.col(pos) / C.SYMBOL_BLOCK).cast("int")
 
 
-def pack_predictions(long: DataFrame, heads=C.INFERENCE_METRICS,
-                     symbols_count: int | None = None) -> DataFrame:
-    """Per date: parallel arrays of symbols and of each head, in list order
-    (one array per date, one entry per symbol of the checked dimension)."""
-    if symbols_count is not None:
-        check_dimension(symbols_count)
+def pack_predictions(long: DataFrame, heads=C.INFERENCE_METRICS) -> DataFrame:
+    """Per date and symbol block: parallel arrays of symbols and of each head,
+    in list order. A block bounds the arrays, whatever the universe."""
     rec = F.struct("pos", F.col("symbol"), *[F.col(h) for h in heads])
-    g = long.groupBy("localDate").agg(F.sort_array(F.collect_list(rec)).alias("_r"))
-    return g.select("localDate", F.col("_r.symbol").alias("symbol"),
+    g = long.groupBy("localDate", symbol_block().alias("block")).agg(
+        F.sort_array(F.collect_list(rec)).alias("_r"))
+    return g.select("localDate", "block", F.col("_r.symbol").alias("symbol"),
                     *[F.col(f"_r.{h}").alias(h) for h in heads])
 
 
@@ -71,21 +86,18 @@ def unpack_predictions(packed: DataFrame, heads=C.INFERENCE_METRICS) -> DataFram
                     *[F.col(f"z.{h}").alias(h) for h in heads])
 
 
-def window_tensor(windows: DataFrame, features=("close", "high", "low", "open", "volume"),
-                  symbols_count: int | None = None) -> DataFrame:
-    """Per date: a (window, symbols, features) nested array built from the
-    per-symbol windows, symbols in list order (one entry per symbol of the
-    checked dimension)."""
-    if symbols_count is not None:
-        check_dimension(symbols_count)
+def window_tensor(windows: DataFrame,
+                  features=("close", "high", "low", "open", "volume")) -> DataFrame:
+    """Per date and symbol block: a (window, symbols, features) nested array built
+    from the per-symbol windows, symbols in list order."""
     per_symbol = windows.select(
         "localDate", "pos",
         F.transform("window", lambda r: F.array(*[r[f].cast("double") for f in features]))
          .alias("steps"))
-    g = per_symbol.groupBy("localDate").agg(F.sort_array(F.collect_list(F.struct("pos", "steps")))
-                                            .alias("_s"))
+    g = per_symbol.groupBy("localDate", symbol_block().alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "steps"))).alias("_s"))
     # transpose (symbols, window, features) -> (window, symbols, features)
-    return g.select("localDate", F.transform(
+    return g.select("localDate", "block", F.transform(
         F.sequence(F.lit(0), F.size(F.col("_s").getItem(0).getField("steps")) - 1),
         lambda i: F.transform("_s", lambda s: s["steps"][i])).alias("tensor"))
 

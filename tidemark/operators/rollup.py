@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.operators.panel import calendar_spine
-from tidemark.operators.rank import exact_median, in_task, largest_group
+from tidemark.operators.rank import exact_median
 from tidemark.session import cut_lineage
 
 
@@ -44,31 +44,21 @@ def metric_columns(s: Column, L: Column) -> dict[str, Column]:
     }
 
 
-def daily_rollup(sentiment: DataFrame, with_median: bool = True,
-                 bound: int | None = None) -> DataFrame:
+def daily_rollup(sentiment: DataFrame, with_median: bool = True) -> DataFrame:
     """One row per date with articles, the 16 metrics in schema order.
 
     Every metric except the median is a grouped aggregate with map-side
     partial aggregation, so a day holding a third of all articles is merged
     from per-task partials. The median is an exact order statistic from the
-    range-partitioned rank (no per-day collect) unless the largest day is
-    measured (or given as ``bound``) to fit one task, in which case the
-    built-in exact median joins the same aggregate."""
+    range-partitioned rank, so no task holds a whole day."""
     s = F.col("sentiment_score").cast("float").cast("double")
     L = F.col("text_length").cast("double")
     mc = metric_columns(s, L)
-    if with_median and bound is None:
-        bound = largest_group(sentiment, ["localDate"])
-    small = with_median and in_task(bound)
-    if small:
-        mc["median_sentiment"] = F.median(s)
     agg = sentiment.groupBy("localDate").agg(*[c.alias(k) for k, c in mc.items()])
     agg = (agg.withColumn("polarity_ratio", F.col("pct_positive") - F.col("pct_negative"))
               .withColumn("ratio_pos_neg", F.col("pct_positive") /
                           (F.col("pct_negative") + C.PREVENT_DIV_BY_ZERO)))
-    if small:
-        pass
-    elif with_median:
+    if with_median:
         med = exact_median(sentiment.select("localDate", s.alias("_s"), "id"), "_s",
                            ["localDate"], tiebreak=["id"], out="median_sentiment")
         agg = agg.join(med, "localDate")
@@ -83,8 +73,7 @@ def spine_zero_fill(daily: DataFrame, start=None, end=None) -> DataFrame:
     lo = _as_date(start) if start is not None else daily.select(F.min("localDate")).scalar()
     hi = _as_date(end) if end is not None else daily.select(F.max("localDate")).scalar()
     spine = daily.sparkSession.range(1).select(calendar_spine(lo, hi).alias("localDate"))
-    # one row per calendar day: bounded, broadcast
-    j = spine.join(F.broadcast(daily), "localDate", "left")
+    j = spine.join(daily, "localDate", "left")
     return j.select("localDate", *[F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(m)
                                    for m in C.AGGREGATED_METRICS])
 
@@ -101,7 +90,7 @@ def lagged_features(daily: DataFrame, lag_days: int = C.LAG_DAYS, start=None,
     ``{metric}-{lag}``, zero where a day has no news.
 
     Each lag is an equi-join of the generated spine with the date-shifted
-    daily table (one row per day: bounded, broadcast), not a window over one
+    daily table (one row per day), not a window over one
     global ordering."""
     # the roll-up is one row per day; materialise it once so the lag joins
     # and the bounds do not each re-derive it from the articles
@@ -115,7 +104,7 @@ def lagged_features(daily: DataFrame, lag_days: int = C.LAG_DAYS, start=None,
         shifted = daily.select(F.date_add("localDate", k).alias("localDate"),
                                *[F.col(m).cast("double").alias(f"{m}-{k}")
                                  for m in C.AGGREGATED_METRICS])
-        out = out.join(F.broadcast(shifted), "localDate", "left")
+        out = out.join(shifted, "localDate", "left")
         cols += [f"{m}-{k}" for m in C.AGGREGATED_METRICS]
     return out.select("localDate", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c)
                                      for c in cols])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import config as C
-from tidemark.operators.rank import in_task, row_number_within
+from tidemark.operators.rank import row_number_within
 
 
 def close_f64(col: str = "close") -> F.Column:
@@ -25,12 +25,13 @@ def safe_log_ratio(cur: F.Column, prev: F.Column) -> F.Column:
 
 def log_returns(panel: DataFrame, horizons=C.LOG_RETURN_HORIZONS) -> DataFrame:
     """Adds ``log_return_{h}d`` for each horizon over each symbol's trading
-    rows. One window partition per symbol: at most one row per trading day."""
+    rows, narrowed to float32 as they are stored: statistics and ranks see the
+    stored values. One window partition per symbol: at most one row per trading day."""
     w = Window.partitionBy("id").orderBy("localDate")
     c = close_f64()
     out = panel.withColumn("_c", c)
     return out.select("*", *[safe_log_ratio(F.col("_c"), F.lag("_c", h).over(w))
-                             .alias(f"log_return_{h}d") for h in horizons]).drop("_c")
+                             .cast("float").cast("double").alias(f"log_return_{h}d") for h in horizons]).drop("_c")
 
 
 def cross_section_stats(returns: DataFrame, col: str = "log_return_1d") -> DataFrame:
@@ -41,28 +42,17 @@ def cross_section_stats(returns: DataFrame, col: str = "log_return_1d") -> DataF
         F.count(F.lit(1)).alias("n_symbols"))
 
 
-def add_cross_section(returns: DataFrame, n_symbols: int | None = None) -> DataFrame:
+def add_cross_section(returns: DataFrame) -> DataFrame:
     """z-score, rank in [0,1] (ties broken by list position) and direction.
 
-    ``n_symbols`` (the dimension size) bounds each date's group in a dense
-    panel: the rank then runs as a plain window when that fits one task."""
+    The statistics are a grouped aggregate (one row a day) joined back, and the
+    rank is range-partitioned, so a date may hold any number of symbols."""
     r1 = F.col("log_return_1d")
-    if in_task(n_symbols):
-        # each date holds exactly n_symbols rows: mean/sigma/count and the
-        # rank share one date partitioning (one exchange, one pass)
-        wd = Window.partitionBy("localDate")
-        j = returns.select("*", F.avg(r1).over(wd).alias("mean_1d"),
-                           F.stddev_pop(r1).over(wd).alias("std_1d"),
-                           F.count(F.lit(1)).over(wd).alias("n_symbols"))
-    else:
-        stats = cross_section_stats(returns)
-        # one row per trading day: bounded by the calendar, safe to broadcast
-        j = returns.join(F.broadcast(stats), "localDate")
+    j = returns.join(cross_section_stats(returns), "localDate")
     j = j.withColumn("zscore_1d", F.when(F.col("std_1d") > 0,
                                          (r1 - F.col("mean_1d")) / F.col("std_1d"))
                      .otherwise(F.lit(0.0)))
-    ranked = row_number_within(j, ["log_return_1d", "pos"], ["localDate"], out="_rn",
-                               bound=n_symbols)
+    ranked = row_number_within(j, ["log_return_1d", "pos"], ["localDate"], out="_rn")
     return (ranked.withColumn("rank_1d", F.col("_rn").cast("double") /
                               F.greatest(F.col("n_symbols") - 1, F.lit(1)).cast("double"))
                   .withColumn("direction_1d", (r1 > 0).cast("int"))
@@ -73,9 +63,9 @@ TARGET_COLS = ("log_return_1d", "log_return_3d", "log_return_5d",
                "zscore_1d", "rank_1d", "direction_1d")
 
 
-def daily_targets(panel: DataFrame, n_symbols: int | None = None) -> DataFrame:
+def daily_targets(panel: DataFrame) -> DataFrame:
     """The daily target table in long form (localDate, id, pos, six targets)."""
-    t = add_cross_section(log_returns(panel), n_symbols)
+    t = add_cross_section(log_returns(panel))
     return t.select("localDate", "id", "pos", *TARGET_COLS)
 
 
@@ -87,7 +77,7 @@ def seed_history(panel_before: DataFrame, depth: int = C.MAX_LOG_RETURN_HORIZON)
                         .filter(F.col("_r") <= depth).drop("_r"))
 
 
-def incremental_targets(panel: DataFrame, last_processed, n_symbols: int | None = None) -> DataFrame:
+def incremental_targets(panel: DataFrame, last_processed) -> DataFrame:
     """Targets for dates after ``last_processed`` computed only from the new
     slice plus the seeded history; equals the full computation."""
     cut = F.lit(last_processed).cast("date")
@@ -95,4 +85,4 @@ def incremental_targets(panel: DataFrame, last_processed, n_symbols: int | None
     new = panel.filter(F.col("localDate") > cut)
     seeded = seed_history(old).unionByName(new)
     r = log_returns(seeded).filter(F.col("localDate") > cut)
-    return add_cross_section(r, n_symbols).select("localDate", "id", "pos", *TARGET_COLS)
+    return add_cross_section(r).select("localDate", "id", "pos", *TARGET_COLS)

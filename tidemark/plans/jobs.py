@@ -48,18 +48,8 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _mark(spark: SparkSession, root: str, pipeline: str, key: str, default=None):
-    path = _p(root, "metadata", "control")
-    if not _exists(spark, path):
-        return default
-    v = ST.read_mark(spark, path, pipeline, key).first().value
-    return v if v is not None else default
+    return ST.read_mark(spark, _p(root, "metadata", "control"), pipeline, key, default).first().value
 
 
 def _set_mark(spark: SparkSession, root: str, pipeline: str, key: str, value) -> None:
@@ -87,21 +77,20 @@ def _max_date(df: DataFrame):
 def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol") -> str:
     """Dense panel and targets for raw dates in (lastProcessed, lastAdded]."""
     raw_path = _p(root, "raw", "stock")
-    if not _exists(spark, raw_path):
-        return "no raw data to process"
+    if not PQ.exists(spark, raw_path):
+        return "nothing landed"
     raw = PQ.read_checked(spark, raw_path, SC.RAW_STOCK)
     last_added = _mark(spark, root, "stock_collector", "lastAdded") or _max_date(raw)
     last_done = _mark(spark, root, "stock_preproc", "lastProcessed", START - dt.timedelta(days=1))
     if last_done >= last_added:
-        return "all data already processed"
+        return "nothing new"
     new_raw = raw.filter((F.col("localDate") > F.lit(last_done)) &
                          (F.col("localDate") <= F.lit(last_added)))
-    symbols = load_symbols(spark, _p(root, "symbols")).persist()
-    n_sym = symbols.count()
+    symbols = load_symbols(spark, _p(root, "symbols"))
     dates = P.trading_dates(new_raw, symbols, gate)
     panel_new = P.dense_panel(new_raw, symbols, dates)
     panel_path = _p(root, "stock", "panel")
-    if _exists(spark, panel_path):
+    if PQ.exists(spark, panel_path):
         old = _latest(spark, panel_path, ["localDate", "id"]).filter(
             F.col("localDate") <= F.lit(last_done))
         old = old.select(*[F.col(c).cast("double") if c in P.BAR_FIELDS[:4] else
@@ -110,7 +99,7 @@ def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol
         seeded = TG.seed_history(old).unionByName(panel_new)
     else:
         seeded = panel_new
-    targets = TG.incremental_targets(seeded, last_done, n_sym)
+    targets = TG.incremental_targets(seeded, last_done)
     ts = _run_ts()
     PQ.append_run(panel_new.select("localDate", "id", "pos",
                                    *[F.col(c).cast("float").alias(c) for c in P.BAR_FIELDS]),
@@ -122,7 +111,7 @@ def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol
     newest = _max_date(dates)
     if newest is not None:
         _set_mark(spark, root, "stock_preproc", "lastProcessed", newest)
-    return "finished preprocessing"
+    return "processed"
 
 
 # --- E2: news features ----------------------------------------------------
@@ -132,43 +121,43 @@ def news_features_job(spark: SparkSession, root: str, logits_fn=SN.lexical_logit
     """Score articles of days without stored sentiment, roll up days without
     stored aggregates, and emit lag rows for (lastProcessed, lastAdded + 1]."""
     raw_path = _p(root, "raw", "news")
-    if not _exists(spark, raw_path):
-        return "no raw data to process"
+    if not PQ.exists(spark, raw_path):
+        return "nothing landed"
     raw = PQ.read_checked(spark, raw_path, SC.RAW_NEWS)
     last_added = _mark(spark, root, "news_collector", "lastAdded") or _max_date(raw)
     last_done = _mark(spark, root, "news_preproc", "lastProcessed", START - dt.timedelta(days=1))
     if last_done > last_added:
-        return "all data already processed"
+        return "nothing new"
     first = last_done + dt.timedelta(days=1)
     lo = first - dt.timedelta(days=lag_days)
     window = (F.col("localDate") >= F.lit(lo)) & (F.col("localDate") <= F.lit(last_added))
     sent_path, agg_path = _p(root, "news", "sentiment"), _p(root, "news", "aggregated")
     # sentiment tier: only days with raw news and no stored sentiment
     raw_days = raw.filter(window)
-    if _exists(spark, sent_path):
+    if PQ.exists(spark, sent_path):
         raw_days = raw_days.join(spark.read.parquet(sent_path).select("localDate").distinct(),
                                  "localDate", "left_anti")
     scored = SN.score_articles(raw_days, logits_fn)
     PQ.write_partitions(scored.select(*SC.SENTIMENT.fieldNames()), sent_path, SC.SENTIMENT)
-    sent = spark.read.parquet(sent_path).filter(window) if _exists(spark, sent_path) else None
+    sent = spark.read.parquet(sent_path).filter(window) if PQ.exists(spark, sent_path) else None
     # aggregated tier: days with sentiment and no stored aggregate
     if sent is not None:
         todo = sent
-        if _exists(spark, agg_path):
+        if PQ.exists(spark, agg_path):
             todo = sent.join(spark.read.parquet(agg_path).select("localDate").distinct(),
                              "localDate", "left_anti")
         daily = RU.daily_rollup(todo)
         PQ.write_partitions(daily.select("localDate", F.col("count_articles").cast("int"),
                                          *[F.col(m).cast("float") for m in C.AGGREGATED_METRICS[1:]]),
                             agg_path, SC.AGGREGATED)
-    agg = (spark.read.parquet(agg_path).filter(window) if _exists(spark, agg_path)
+    agg = (spark.read.parquet(agg_path).filter(window) if PQ.exists(spark, agg_path)
            else spark.createDataFrame([], SC.AGGREGATED))
     lagged = RU.lagged_features(agg, lag_days, start=first, end=last_added + dt.timedelta(days=1))
     PQ.append_run(lagged.select("localDate", *[F.col(f"`{c}`").cast("float").alias(c)
                                                 for c in RU.lagged_columns(lag_days)]),
                   _p(root, "news", "lagged"), _run_ts())
     _set_mark(spark, root, "news_preproc", "lastProcessed", last_added + dt.timedelta(days=1))
-    return "finished preprocessing"
+    return "processed"
 
 
 # --- E3: train, infer, notify ---------------------------------------------
@@ -234,13 +223,14 @@ def infer_job(spark: SparkSession, root: str, first_date=None, window: int = C.W
     pending = spark.range(1).select(F.explode(days).alias("query_date")).filter(
         D.is_weekday(F.col("query_date")))
     if pending.isEmpty():
-        return "inference up to date"
+        return "nothing pending"
     models = MD.load_heads(MD.best_model_dir(spark, _p(root, "model")))
     out = MD.predict_for_dates(models, pending, panel, lagged, trading, window)
     PQ.write_partitions(out.select(*SC.INFERENCE.fieldNames()), _p(root, "inference"), SC.INFERENCE)
-    _set_mark(spark, root, "inference", "lastInferred", _max_date(pending.withColumnRenamed(
-        "query_date", "localDate")))
-    return "finished inference"
+    # the mark follows what was written, not what was asked for
+    written = _max_date(spark.read.parquet(_p(root, "inference")))
+    _set_mark(spark, root, "inference", "lastInferred", written)
+    return "predicted"
 
 
 def notify_job(spark: SparkSession, root: str, watch_list: str = C.WATCHED_SYMBOLS) -> DataFrame:

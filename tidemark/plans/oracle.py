@@ -43,9 +43,12 @@ PANEL = """panel AS (
 
 RETURNS = """lr AS (
   SELECT *,
-    CASE WHEN p1 > 0.001 AND c > 0.001 THEN ln(c / p1) ELSE 0.0 END AS log_return_1d,
-    CASE WHEN p3 > 0.001 AND c > 0.001 THEN ln(c / p3) ELSE 0.0 END AS log_return_3d,
-    CASE WHEN p5 > 0.001 AND c > 0.001 THEN ln(c / p5) ELSE 0.0 END AS log_return_5d
+    CAST(CAST(CASE WHEN p1 > 0.001 AND c > 0.001 THEN ln(c / p1) ELSE 0.0 END AS FLOAT) AS DOUBLE)
+      AS log_return_1d,
+    CAST(CAST(CASE WHEN p3 > 0.001 AND c > 0.001 THEN ln(c / p3) ELSE 0.0 END AS FLOAT) AS DOUBLE)
+      AS log_return_3d,
+    CAST(CAST(CASE WHEN p5 > 0.001 AND c > 0.001 THEN ln(c / p5) ELSE 0.0 END AS FLOAT) AS DOUBLE)
+      AS log_return_5d
   FROM (SELECT *, CAST(CAST(close AS FLOAT) AS DOUBLE) AS c,
           lag(CAST(CAST(close AS FLOAT) AS DOUBLE), 1) OVER w AS p1,
           lag(CAST(CAST(close AS FLOAT) AS DOUBLE), 3) OVER w AS p3,

@@ -25,7 +25,7 @@ def dataset(spark, sf_dir, source="orders"):
     lag table spans the panel's dates."""
     b, s, d = panel_inputs(spark, sf_dir, source)
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel, s.count())
+    targets = TG.daily_targets(panel)
     lo = d.select(F.min("localDate")).scalar()
     hi = d.select(F.date_add(F.max("localDate"), 1)).scalar()
     lagged = RU.lagged_features(daily(spark, sf_dir), start=lo, end=hi)
@@ -37,7 +37,7 @@ def events_dataset(spark, sf_dir):
     """Events panel with the news lag table over the articles' own range."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel, s.count())
+    targets = TG.daily_targets(panel)
     lagged = RU.lagged_features(daily(spark, sf_dir))
     return panel, targets, lagged, s
 
@@ -71,8 +71,7 @@ FROM (SELECT coalesce(p.localDate, s.localDate) AS localDate,
       FROM tdates p FULL OUTER JOIN spine s ON p.localDate = s.localDate)""")
 def q_alignment_check(spark, sf_dir):
     panel, targets, lagged, _ = events_dataset(spark, sf_dir)
-    DS.check_alignment(panel, lagged, targets)
-    return DS.alignment_report(panel, lagged, targets)
+    return DS.alignment_report(panel, lagged, targets, check=True)
 
 
 ORD = O.with_(*O.orders_dataset_chain())
@@ -113,10 +112,10 @@ WHERE a.t >= 30""")
 def q_window_tensor(spark, sf_dir):
     panel, _, _, aligned, symbols = dataset(spark, sf_dir)
     (p,) = DS.align(aligned, panel)
-    tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE), symbols_count=symbols.count())
-    steps = tens.select("localDate", F.posexplode("tensor").alias("step", "syms"))
-    cells = steps.select("localDate", "step", F.posexplode("syms").alias("sym", "v"))
-    return rounded(cells.select("localDate", "step", F.col("sym").cast("int").alias("sym"),
+    tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE))
+    steps = tens.select("localDate", "block", F.posexplode("tensor").alias("step", "syms"))
+    cells = steps.select("localDate", "block", "step", F.posexplode("syms").alias("sym", "v"))
+    return rounded(cells.select("localDate", "step", (F.col("sym") + F.col("block") * C.SYMBOL_BLOCK).cast("int").alias("sym"),
                                 *[F.col("v")[i].alias(f) for i, f in enumerate(DS.FEATURES)]))
 
 
@@ -137,8 +136,7 @@ def q_batches(spark, sf_dir):
           "SELECT * FROM (" + O.pivot_sql("panel", ("close", "high", "low", "open", "volume")) + ")")
 def q_pivot_features(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    syms = RS.symbol_list(s)
-    return rounded(RS.pivot_wide(P.dense_panel(b, s, d), syms, DS.FEATURES))
+    return rounded(RS.wide_table(P.dense_panel(b, s, d), s, DS.FEATURES))
 
 
 @register("pivot_targets", O.with_(*O.target_chain(O.BARS_ORDERS)) + "SELECT localDate, " + ", ".join(
@@ -147,8 +145,8 @@ def q_pivot_features(spark, sf_dir):
     " FROM (" + O.pivot_sql("targets", TARGET_METRICS) + ")")
 def q_pivot_targets(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
-    return rounded(RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS))
+    t = TG.daily_targets(P.dense_panel(b, s, d))
+    return rounded(RS.wide_table(t, s, TARGET_METRICS))
 
 
 @register("unpivot_targets", O.with_(*O.target_chain(O.BARS_ORDERS)) + " UNION ALL ".join(
@@ -156,8 +154,8 @@ def q_pivot_targets(spark, sf_dir):
     for m in TARGET_METRICS))
 def q_unpivot_targets(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
-    return rounded(RS.unpivot_wide(RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS)))
+    t = TG.daily_targets(P.dense_panel(b, s, d))
+    return rounded(RS.unpivot_wide(RS.wide_table(t, s, TARGET_METRICS)))
 
 
 PRED_FIXED = """preds AS (
@@ -179,9 +177,8 @@ SELECT localDate, symbol, round(zscore_1d, 6) AS zscore_1d, round(rank_1d, 6) AS
 FROM preds""")
 def q_unpack_predictions(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    n = s.count()
     preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d), n))
-    return rounded(RS.unpack_predictions(RS.pack_predictions(preds, symbols_count=n)))
+    return rounded(RS.unpack_predictions(RS.pack_predictions(preds)))
 
 
 @register("wide_schema_builder", O.with_(O.BARS_ORDERS, O.SYMBOLS) + """
@@ -219,7 +216,7 @@ def q_mean_over_symbols(spark, sf_dir):
 SELECT localDate, id, round(log_return_1d, 6) AS log_return_1d, direction_1d FROM targets""")
 def q_union_strict(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count()).select("localDate", "id", "log_return_1d",
+    t = TG.daily_targets(P.dense_panel(b, s, d)).select("localDate", "id", "log_return_1d",
                                                         "direction_1d")
     cut = F.lit("1998-01-01").cast("date")
     return rounded(DS.union_strict(t.filter(F.col("localDate") < cut),

@@ -24,25 +24,33 @@ SELECT localDate, id, round(close, 6) AS close, round(high, 6) AS high,
        round(low, 6) AS low, round(open, 6) AS open,
        CASE WHEN ({USER_NO} + day(localDate)) % 13 = 0 THEN 0 ELSE volume END AS volume
 FROM bars
-WHERE NOT ({USER_NO} % 7 = 3 OR {USER_NO} % 19 = 7 OR {USER_NO} % 11 = 5)""")
+WHERE NOT ({USER_NO} % 7 = 3 OR {USER_NO} % 19 = 7 OR {USER_NO} % 11 = 5
+           OR {USER_NO} % 17 IN (2, 4, 9))""")
 def q_ingest_stock_json(spark, sf_dir):
     bars, _ = PL.decode_price_payloads(FX.price_payloads(spark, sf_dir))
     return rounded(bars)
 
 
 @register("ingest_stock_quarantine", O.with_(O.BARS_EVENTS) + f"""
-SELECT id, CASE WHEN n % 7 = 3 THEN 400 ELSE 500 END AS rcode,
-       CASE WHEN n % 7 = 3 THEN 1001 ELSE 9999 END AS code,
-       CASE WHEN n % 7 = 3 THEN 'symbol_not_found' ELSE 'failure' END AS reason
-FROM (SELECT DISTINCT id, {USER_NO} AS n FROM bars) WHERE n % 7 = 3 OR n % 19 = 7""")
+SELECT id,
+       CASE WHEN n % 17 IN (2, 9) THEN NULL WHEN n % 17 = 4 THEN 200
+            WHEN n % 7 = 3 THEN 400 ELSE 500 END AS rcode,
+       CASE WHEN n % 17 IN (2, 4, 9) THEN NULL WHEN n % 7 = 3 THEN 1001 ELSE 9999 END AS code,
+       CASE WHEN n % 17 IN (2, 4, 9) THEN 'undecodable' WHEN n % 7 = 3 THEN 'symbol_not_found'
+            ELSE 'failure' END AS reason,
+       CASE WHEN n % 17 = 2 THEN '{FX.ERROR_PAGE}' WHEN n % 17 = 4 THEN '{FX.NO_DATA}' END AS payload
+FROM (SELECT DISTINCT id, {USER_NO} AS n FROM bars)
+WHERE n % 17 IN (2, 4, 9) OR n % 7 = 3 OR n % 19 = 7""")
 def q_ingest_stock_quarantine(spark, sf_dir):
-    _, quarantine = PL.decode_price_payloads(FX.price_payloads(spark, sf_dir))
-    return quarantine
+    """The payload is shown where SQL can tell it (it is kept for every row)."""
+    _, q = PL.decode_price_payloads(FX.price_payloads(spark, sf_dir))
+    shown = F.col("payload").isin(FX.ERROR_PAGE, FX.NO_DATA)
+    return q.withColumn("payload", F.when(shown, F.col("payload")))
 
 
 KEPT_ARTICLES = O.with_(O.ARTICLES) + r"""
 SELECT localDate, id, title, body FROM articles
-WHERE lang IN ('en', 'de') AND doc_id % 17 <> 0 AND doc_id % 23 <> 0
+WHERE lang IN ('en', 'de') AND doc_id % 17 <> 0 AND doc_id % 23 <> 0 AND doc_id % 29 <> 0
   AND regexp_matches(body, '\S')"""
 
 
@@ -51,6 +59,20 @@ def q_ingest_news_json(spark, sf_dir):
     return PL.decode_news_payloads(FX.news_payloads(spark, sf_dir))
 
 
+@register("ingest_news_quarantine", O.with_(O.ARTICLES) + f"""
+, landed AS (SELECT DISTINCT localDate, doc_id // 1500 + 1 AS page FROM articles),
+days AS (SELECT localDate, max(page) AS n FROM landed GROUP BY localDate),
+due AS (SELECT localDate, unnest(range(1, n + CASE WHEN day(localDate) % 10 = 7 THEN 3 ELSE 1 END)) AS page
+        FROM days)
+SELECT localDate, CAST(n + 1 AS BIGINT) AS page, 'undecodable' AS reason, '{FX.CUT_PAGE}' AS payload
+FROM days WHERE day(localDate) % 10 = 3
+UNION ALL
+SELECT localDate, CAST(page AS BIGINT), 'missing_page', NULL FROM due
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.localDate = due.localDate AND l.page = due.page)""")
+def q_ingest_news_quarantine(spark, sf_dir):
+    return PL.news_quarantine(FX.news_payloads(spark, sf_dir))
+
+
 @register("article_filter", "SELECT localDate, id FROM (" + KEPT_ARTICLES + ")")
 def q_article_filter(spark, sf_dir):
     return PL.decode_news_payloads(FX.news_payloads(spark, sf_dir)).select("localDate", "id")
@@ -77,8 +99,8 @@ def q_parse_us_date(spark, sf_dir):
                     .alias("localDate"))
 
 
-TICKER_SQL = ("upper(substr(split_part(p_name, ' ', 2), 1, 3) || substr(p_name, 1, 1)) || "
-              "CASE WHEN p_partkey % 4 = 0 THEN '.B' ELSE '' END")
+TICKER_SQL = ("CASE WHEN p_partkey % 50 = 7 THEN 'FI' WHEN p_partkey % 50 = 9 THEN 'fi' ELSE upper(substr(split_part(p_name, ' ', 2), 1, 3) || substr(p_name, 1, 1)) || "
+              "CASE WHEN p_partkey % 4 = 0 THEN '.B' ELSE '' END END")
 
 
 @register("symbol_alias", f"""

@@ -47,7 +47,7 @@ def history(spark, sf_dir):
     pva = pva_events(spark, sf_dir)
     ep = pva.select("localDate").distinct().withColumn(
         "epoch", F.dense_rank().over(Window.orderBy("localDate")))   # one row per day
-    return MD.epoch_history(pva.join(F.broadcast(ep), "localDate"), F.col("epoch"))
+    return MD.epoch_history(pva.join(ep, "localDate"), F.col("epoch"))
 
 
 @register("best_epoch", HIST + " SELECT CAST(epoch AS INTEGER) AS epoch, round(val_loss, 6) AS val_loss FROM best")

@@ -37,12 +37,17 @@ def q_token_count(spark, sf_dir):
     return FX.sentiment_fixed(spark, sf_dir).select("id", "token_count")
 
 
-@register("nfkc", "SELECT doc_id, text AS normalized FROM documents")
+@register("nfkc", """
+SELECT doc_id, replace(replace(text, 'er', 'fi'), 'th', chr(233)) || ' A12' || chr(12460)
+       AS normalized FROM documents""")
 def q_nfkc(spark, sf_dir):
-    """NFKC over whole documents (the driver's text is NFKC-stable, so the
-    oracle is the text itself)."""
+    """NFKC over whole documents into which compatible characters (a ligature, a
+    letter with a combining accent, wide and circled ones) are put."""
     d = FX.table(spark, sf_dir, "documents")
-    return d.select("doc_id", TX.nfkc(F.col("text")).alias("normalized"))
+    raw = F.concat(F.replace(F.replace("text", F.lit("er"), F.lit("\ufb01")),
+                             F.lit("th"), F.lit("e\u0301")),
+                   F.lit(" \uff21\u2460\u00b2\uff76\uff9e"))
+    return d.select("doc_id", TX.nfkc(raw).alias("normalized"))
 
 
 @register("softmax_polarity",

@@ -15,7 +15,7 @@ from tidemark.operators import targets as TG
 from tidemark.plans import oracle as O
 from tidemark.plans.q_stock import panel_inputs
 from tidemark.plans.registry import register, rounded
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import parquet as PQ
 
 EV = O.with_(*O.target_chain(O.BARS_EVENTS), O.PREDS_FIXED)
@@ -26,9 +26,9 @@ HEADS = C.INFERENCE_METRICS
 def event_preds(spark, sf_dir):
     """(predictions, actual targets, symbols) on the events panel."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
-    # predictions and actuals both derive from the targets; the report reads
-    # them several times, so the targets are persisted once
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count()).persist()
+    # predictions and actuals both derive from the targets, which the report
+    # reads several times: they are materialised once
+    t = cut_lineage(TG.daily_targets(P.dense_panel(b, s, d)))
     return RS.previous_day_predictions(t), t, s, d
 
 
@@ -59,10 +59,10 @@ QDATES = """qd AS (
   WHERE isodow(d) < 6)"""
 
 
-def query_dates(spark, trading):
-    """Weekdays from two weeks after the first trading date to three days
+def query_dates(spark, trading, skip: int = 14):
+    """Weekdays from ``skip`` days after the first trading date to three days
     after the last one (the span grows with the data)."""
-    b = trading.agg(F.date_add(F.min("localDate"), 14).alias("lo"),
+    b = trading.agg(F.date_add(F.min("localDate"), skip).alias("lo"),
                     F.date_add(F.max("localDate"), 3).alias("hi"))
     return (b.select(F.explode(F.sequence("lo", "hi")).alias("query_date"))
              .filter(F.weekday("query_date") < 5))
@@ -86,18 +86,18 @@ def q_asof_latest_before(spark, sf_dir):
     return AO.latest_before(query_dates(spark, d), d, count=1).select("query_date", "localDate")
 
 
-@register("trailing_window", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES, QDATES) + """,
+@register("trailing_window", O.with_(O.BARS_ORDERS, O.TDATES_ANY, QDATES.replace("+ 14", "+ 60")) + """,
 ends AS (SELECT DISTINCT (SELECT max(localDate) FROM tdates t WHERE t.localDate < q.query_date) AS end_date
          FROM qd q)
-SELECT end_date, CAST(4 - k AS INTEGER) AS step, localDate FROM (
+SELECT end_date, CAST(29 - k AS INTEGER) AS step, localDate FROM (
   SELECT e.end_date, t.localDate,
          row_number() OVER (PARTITION BY e.end_date ORDER BY t.localDate DESC) - 1 AS k
-  FROM ends e JOIN tdates t ON t.localDate <= e.end_date) WHERE k < 5""")
+  FROM ends e JOIN tdates t ON t.localDate <= e.end_date) WHERE k < 30""")
 def q_trailing_window(spark, sf_dir):
-    _, _, d = panel_inputs(spark, sf_dir, "events")
-    ends = AO.latest_before(query_dates(spark, d), d, count=1).select(
+    _, _, d = panel_inputs(spark, sf_dir, "orders")
+    ends = AO.latest_before(query_dates(spark, d, 60), d, count=1).select(
         F.col("localDate").alias("end_date")).distinct()
-    return AO.trailing_window(ends, d, 5)
+    return AO.trailing_window(ends, d, C.WINDOW_SIZE)
 
 
 @register("sorted_listing", EV + """
@@ -142,7 +142,7 @@ SELECT localDate, count(*) FILTER (WHERE a > 0) AS hits FROM (
 WHERE r <= 10 GROUP BY localDate""")
 def q_top_gainers_hit_rate(spark, sf_dir):
     p, t, s, _ = event_preds(spark, sf_dir)
-    return RP.top_gainers_hit_rate(p, t, C.TOP_GAINERS_COUNT, n_symbols=s.count())
+    return RP.top_gainers_hit_rate(p, t, C.TOP_GAINERS_COUNT)
 
 
 TARGET_METRICS = ("log_return_1d", "log_return_3d", "log_return_5d",
@@ -159,8 +159,8 @@ def q_actual_lookup(spark, sf_dir):
     """Target row of one date from stored wide parts (newest part wins);
     fails when the date is absent."""
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.daily_targets(P.dense_panel(b, s, d), s.count())
-    wide = RS.pivot_wide(t, RS.symbol_list(s), TARGET_METRICS)
+    t = TG.daily_targets(P.dense_panel(b, s, d))
+    wide = RS.wide_table(t, s, TARGET_METRICS)
     path = scratch_path(spark, "target")
     PQ.append_run(wide, path, "20240101T000000")
     newest = wide.select(F.max("localDate")).scalar()
@@ -202,11 +202,11 @@ def q_report_lines(spark, sf_dir):
     p, t, s, _ = event_preds(spark, sf_dir)
     w = P.watched_symbols(s, WATCH).select(F.col("id").alias("symbol"), "wpos")
     L, Pd = (F.lit(x) for x in RP.report_dates(p))
-    l1 = (p.filter(F.col("localDate") == L).join(F.broadcast(w), "symbol")
+    l1 = (p.filter(F.col("localDate") == L).join(w, "symbol")
            .select(F.lit("prediction").alias("kind"), "wpos",
                    RP.prediction_line(F.col("symbol"), {h: F.col(h) for h in HEADS}).alias("line")))
     pva = RP.predicted_vs_actual(p.filter(F.col("localDate") == Pd), t.filter(F.col("localDate") == Pd))
-    l2 = (pva.join(F.broadcast(w), "symbol")
+    l2 = (pva.join(w, "symbol")
              .select(F.lit("comparison").alias("kind"), "wpos",
                      RP.comparison_line(F.col("symbol"), {h: F.col(f"{h}_p") for h in HEADS},
                                         {h: F.col(f"{h}_a") for h in HEADS}).alias("line")))

@@ -6,6 +6,7 @@ from tidemark.operators import panel as P
 from tidemark.operators import targets as TG
 from tidemark.plans import oracle as O
 from tidemark.plans.registry import register, rounded
+from tidemark.session import cut_lineage
 from tidemark.sources import fixtures as FX
 
 
@@ -15,17 +16,18 @@ GATES = {"events": "first_symbol", "orders": "any"}
 
 
 def panel_inputs(spark, sf_dir, source="events"):
-    """(bars, symbol dimension, trading dates). The dimension is small and
-    read by the gate, the grid and the bounds, so it is persisted once."""
-    b = FX.bars(spark, sf_dir, source)
-    s = FX.symbols_from_bars(b).persist()
+    """(bars, symbol dimension, trading dates). Bars and dimension are read by
+    the gate, the grid and the panel, so they are derived once and kept as
+    checkpoints in the shared folder."""
+    b = cut_lineage(FX.bars(spark, sf_dir, source))
+    s = cut_lineage(FX.symbols_from_bars(b))
     d = P.trading_dates(b, s, GATES[source])
     return b, s, d
 
 
 def target_table(spark, sf_dir, source="events"):
     b, s, d = panel_inputs(spark, sf_dir, source)
-    return TG.daily_targets(P.dense_panel(b, s, d), s.count())
+    return TG.daily_targets(P.dense_panel(b, s, d))
 
 
 @register("trading_day_gate", O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES) +
@@ -102,5 +104,5 @@ def q_incremental_history(spark, sf_dir):
     """Targets for dates after a cut computed from the new slice plus the
     seeded 5-row history only; the oracle is the full computation."""
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    t = TG.incremental_targets(P.dense_panel(b, s, d), "1998-06-30", s.count())
+    t = TG.incremental_targets(P.dense_panel(b, s, d), "1998-06-30")
     return rounded(t.drop("pos"))

@@ -23,23 +23,28 @@ def q_stream_ingest(spark, sf_dir):
     even = F.substring("id", 2, 64).cast("long") % 2 == 0
     p.filter(even).write.mode("append").json(landing)
     SJ.stream_ingest_prices(spark, landing, out, ck)
-    p.filter(~even).write.mode("append").json(landing)
+    p.write.mode("append").json(landing)                      # the even ones land again
     SJ.stream_ingest_prices(spark, landing, out, ck)
     SJ.stream_ingest_prices(spark, landing, out, ck)          # nothing new: no-op
-    back = spark.read.parquet(out)
+    back = SJ.stored_bars(spark, out)
     return rounded(back.select("localDate", "id", "close", "high", "low", "open", "volume"))
 
 
-def _land_sentiment(spark, sf_dir, landing):
+def _land_sentiment(spark, sf_dir, landing, spread_days=1):
+    """Eight files by day; ``spread_days`` stretches the month over that many
+    times its days, and the files are written newest first, so days arrive out of order."""
     s = FX.sentiment_fixed(spark, sf_dir).select(*SENTIMENT.fieldNames())
-    s.repartitionByRange(8, "localDate").sortWithinPartitions("localDate").write.parquet(landing)
+    first = F.lit("2024-01-01").cast("date")
+    s = s.withColumn("localDate", F.date_add(first, F.datediff("localDate", first) * spread_days))
+    s.repartitionByRange(8, F.desc("localDate")).write.parquet(landing)
 
 
-@register("stream_daily_rollup", NEWS + "SELECT localDate, " + ", ".join(
+@register("stream_daily_rollup", NEWS + "SELECT CAST(DATE '2024-01-01' + CAST("
+          "datediff('day', DATE '2024-01-01', localDate) * 9 AS INTEGER) AS DATE) AS localDate, " + ", ".join(
     ["count_articles"] + [f"round({m}, 6) AS {m}" for m in SJ.STREAMABLE[1:]]) + " FROM daily")
 def q_stream_daily_rollup(spark, sf_dir):
     landing, out, ck = (scratch_path(spark, n) for n in ("sentiment", "agg", "ckpt"))
-    _land_sentiment(spark, sf_dir, landing)
+    _land_sentiment(spark, sf_dir, landing, spread_days=9)      # 30 days over nine months
     SJ.stream_daily_subset(spark, landing, out, ck)
     return rounded(spark.read.parquet(out).select("localDate", *SJ.STREAMABLE))
 

@@ -17,8 +17,8 @@ def assert_schema(df: DataFrame, expected: T.StructType, what: str = "table") ->
     got = [(f.name, f.dataType) for f in df.schema.fields]
     want = [(f.name, f.dataType) for f in expected.fields]
     if got != want:
-        raise SchemaMismatch(f"Schema mismatch for {what}. Expected {expected.simpleString()}, "
-                             f"got {df.schema.simpleString()}")
+        raise SchemaMismatch(f"{what} has {df.schema.simpleString()}, "
+                             f"not {expected.simpleString()}")
     return df
 
 
@@ -39,26 +39,3 @@ AGGREGATED = _s(("localDate", T.DateType()), ("count_articles", T.IntegerType())
                 *[(m, T.FloatType()) for m in C.AGGREGATED_METRICS[1:]])
 INFERENCE = _s(("localDate", T.DateType()), ("symbol", T.StringType()),
                *[(m, T.FloatType()) for m in C.INFERENCE_METRICS])
-TARGET_LONG = _s(("localDate", T.DateType()), ("id", T.StringType()),
-                 *[(m, T.FloatType()) for m in C.TARGET_METRICS[:5]],
-                 ("direction_1d", T.ByteType()))
-CONTROL = _s(("pipeline", T.StringType()), ("key", T.StringType()), ("value", T.DateType()))
-
-
-def lagged(lag_days: int = C.LAG_DAYS) -> T.StructType:
-    return _s(("localDate", T.DateType()),
-              *[(f"{m}-{k}", T.FloatType()) for k in range(1, lag_days + 1)
-                for m in C.AGGREGATED_METRICS])
-
-
-def pivoted(symbols: list[str]) -> T.StructType:
-    return _s(("localDate", T.DateType()),
-              *[(f"{s}_{f}", T.FloatType()) for s in symbols for f in C.PIVOTED_FEATURES])
-
-
-def target_wide(symbols: list[str]) -> T.StructType:
-    fields = [("localDate", T.DateType())]
-    for s in symbols:
-        fields += [(f"{s}_{m}", T.FloatType()) for m in C.TARGET_METRICS[:5]]
-        fields.append((f"{s}_direction_1d", T.ByteType()))
-    return _s(*fields)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -20,10 +20,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    if shuffle_partitions is None:
-        shuffle_partitions = int(os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS", "8"))
-    b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-          .config("spark.sql.adaptive.enabled", "true")
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
@@ -43,9 +42,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (unit tests) is a private temporary
-    folder chosen and registered, so that lineage cuts and staged writes always
-    land somewhere every executor can read.
+    A local session (unit tests) that leaves it unset gets a private temporary
+    folder. On a cluster no folder of the driver's machine could be read by the
+    executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -69,12 +70,3 @@ def cut_lineage(df):
     """Materialise ``df`` reliably (``checkpoint``), never ``localCheckpoint``."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_for_cpu(df, min_tasks: int | None = None):
-    """Round-robin repartition only when a scan yields fewer tasks than the
-    session can run at once (e.g. a one-row-group file feeding CPU-heavy
-    text work). Large inputs already have many splits and are left alone, so
-    no extra shuffle happens at scale."""
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

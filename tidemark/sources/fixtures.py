@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import largest_group, row_number_within
-from tidemark.session import spread_for_cpu
+from tidemark.operators.rank import row_number_within
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +51,7 @@ def bars(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
 def symbols_from_bars(b: DataFrame) -> DataFrame:
     """Symbol dimension: distinct ids, ``pos`` = 0-based rank by id, sector."""
     ids = b.select("id").distinct()
-    ranked = row_number_within(ids, ["id"], out="pos", bound=largest_group(ids))
+    ranked = row_number_within(ids, ["id"], out="pos")
     return ranked.select("id", F.substring("id", 1, 1).alias("sector"),
                          F.col("pos").cast("int").alias("pos"))
 
@@ -63,7 +62,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     localDate = 2024-01-01 + doc_id % 30 days, dropping residues 6 and 13 so
     some calendar days are empty; title = first line, body = the rest.
     """
-    d = spread_for_cpu(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     res = F.col("doc_id") % 30
     nl = F.instr("text", "\n")
     return (d.filter(~res.isin(6, 13))
@@ -98,11 +97,17 @@ def _user_no(id_col: str = "id") -> F.Column:
     return F.substring(F.col(id_col), 2, 64).cast("long")
 
 
+ERROR_PAGE = "<html><body>502 Bad Gateway</body></html>"
+NO_DATA = '{"status":{"rCode":200},"data":null}'
+CUT_PAGE = '{"response":{"pages":'
+
+
 def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed quote-history payload per user symbol, encoded from
     ``bars_events``: '$' prices with thousands commas, US dates, 'N/A' for
     some volumes. Users with no % 7 == 3 answer 'not found' (1001), no % 19
-    == 7 a server failure, no % 11 == 5 'no records'."""
+    == 7 a server failure, no % 11 == 5 'no records'. Before that, no % 17 == 2
+    answers an error page, no % 17 == 4 has no data, no % 17 == 9 is cut short."""
     b = bars_events(spark, sf_dir)
     n = _user_no()
     money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c), 2))
@@ -126,7 +131,10 @@ def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "array<struct<date:string,close:string,high:string,low:string,"
                      "open:string,volume:string>>")).otherwise(F.col("rows")).alias("rows"))
                  .alias("tradesTable")).alias("data"))
-    return per.select("id", F.to_json(payload).alias("payload"))
+    whole = F.to_json(payload)
+    landed = (F.when(n % 17 == 2, F.lit(ERROR_PAGE)).when(n % 17 == 4, F.lit(NO_DATA))
+               .when(n % 17 == 9, F.expr("left(whole, length(whole) - 20)")).otherwise(whole))
+    return per.withColumn("whole", whole).select("id", landed.alias("payload"))
 
 
 PILLAR_BY_LANG = {"en": "pillar/news", "de": "Pillar/News", "fr": "pillar/arts",
@@ -135,29 +143,39 @@ PILLAR_BY_LANG = {"en": "pillar/news", "de": "Pillar/News", "fr": "pillar/arts",
 
 def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed search pages per date encoded from ``articles``: pillar by
-    language, blank bodies for doc_id % 17 == 0, no title for % 23 == 0;
-    page = doc_id // 1500 + 1 (pages of at most 50 results per day)."""
+    language, blank bodies for doc_id % 17 == 0 and (in Unicode blanks) % 29 == 0,
+    no title for % 23 == 0; page = doc_id // 1500 + 1 (pages of at most 50 results
+    per day). Days of month ending in 3 land one more page that is cut short; days
+    ending in 7 announce two pages that never land."""
     a = articles(spark, sf_dir)
     pillar = F.col("lang")
     for k, v in PILLAR_BY_LANG.items():
         pillar = F.when(F.col("lang") == k, F.lit(v)).otherwise(pillar)
-    body = F.when(F.col("doc_id") % 17 == 0, F.lit("  \t ")).otherwise(F.col("body"))
+    body = (F.when(F.col("doc_id") % 17 == 0, F.lit("  \t "))
+             .when(F.col("doc_id") % 29 == 0, F.lit("\u2003\u2028 ")).otherwise(F.col("body")))
     title = F.when(F.col("doc_id") % 23 == 0, F.lit(None)).otherwise(F.col("title"))
     res = F.struct(F.col("id"), pillar.alias("pillarId"), title.alias("webTitle"),
                    F.struct(body.alias("bodyText")).alias("fields"))
     paged = a.withColumn("page", (F.col("doc_id") / 1500).cast("long") + 1)
     per_page = paged.groupBy("localDate", "page").agg(F.collect_list(res).alias("results"))
     pages = paged.groupBy("localDate").agg(F.max("page").alias("pages"))
-    out = per_page.join(F.broadcast(pages), "localDate")   # one row per day
-    return out.select("localDate", "page", F.to_json(F.struct(F.struct(
-        F.col("pages").cast("int").alias("pages"), F.col("results").alias("results"))
+    last = F.dayofmonth("localDate") % 10
+    said = F.col("pages") + F.when(last == 7, 2).otherwise(0)
+    out = per_page.join(pages, "localDate").select("localDate", "page", F.to_json(F.struct(
+        F.struct(said.cast("int").alias("pages"), F.col("results").alias("results"))
         .alias("response"))).alias("payload"))
+    cut = pages.filter(last == 3).select("localDate", (F.col("pages") + 1).alias("page"),
+                                         F.lit(CUT_PAGE).alias("payload"))
+    return out.unionByName(cut)
 
 
 def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker-like symbols from part names; every fourth carries a '.B' class."""
+    """Ticker-like symbols from part names; every fourth carries a '.B' class,
+    and some are the renamed ticker in either case."""
     p = table(spark, sf_dir, "part")
     base = F.upper(F.concat(F.substring(F.split("p_name", " ").getItem(1), 1, 3),
                             F.substring("p_name", 1, 1)))
-    t = F.when(F.col("p_partkey") % 4 == 0, F.concat(base, F.lit(".B"))).otherwise(base)
+    k = F.col("p_partkey")
+    t = (F.when(k % 50 == 7, F.lit("FI")).when(k % 50 == 9, F.lit("fi"))
+          .when(k % 4 == 0, F.concat(base, F.lit(".B"))).otherwise(base))
     return p.select("p_partkey", t.alias("symbol"))

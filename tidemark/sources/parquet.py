@@ -62,6 +62,12 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
               .drop("run"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def list_runs(spark: SparkSession, path: str) -> list[str]:
     """Run directory names under ``path`` (file-system listing, not data)."""
     jvm = spark.sparkContext._jvm
@@ -99,7 +105,8 @@ def compact_runs(spark: SparkSession, path: str, key: str, run_ts: str,
         return False
     files = max(1, -(-_bytes_under(spark, path) // TARGET_FILE_BYTES))
     merged = dedupe_keep_last(read_runs(spark, path), key)
-    out = merged.repartition(files) if files > 1 else merged.coalesce(1)
+    # in order of the key, so that files keep narrow key ranges for pruning
+    out = merged.repartitionByRange(files, key).sortWithinPartitions(key)
     _writer(out.withColumn("run", F.lit(run_ts)), level).mode("append") \
         .partitionBy("run").parquet(path)
     for r in runs:

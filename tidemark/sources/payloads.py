@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark import config as C
 from tidemark.functions.dates import parse_us_date
-from tidemark.functions.numeric import parse_price, parse_volume
+from tidemark.functions.numeric import bad_number, parse_price, parse_volume
 
 _ROW = T.StructType([T.StructField(n, T.StringType()) for n in
                      ("date", "close", "high", "low", "open", "volume")])
@@ -27,6 +27,7 @@ PRICE_PAYLOAD = T.StructType([
         T.StructField("totalRecords", T.IntegerType()),
         T.StructField("tradesTable", T.StructType([
             T.StructField("rows", T.ArrayType(_ROW))]))])),
+    T.StructField("_corrupt", T.StringType()),
 ])
 
 NEWS_PAYLOAD = T.StructType([
@@ -37,31 +38,53 @@ NEWS_PAYLOAD = T.StructType([
             T.StructField("pillarId", T.StringType()),
             T.StructField("webTitle", T.StringType()),
             T.StructField("fields", T.StructType([
-                T.StructField("bodyText", T.StringType())]))])))]))])
+                T.StructField("bodyText", T.StringType())]))])))])),
+    T.StructField("_corrupt", T.StringType())])
+#: A payload that is no JSON of the expected form is kept in this field.
+_KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+#: White space of a blank body (``Character.isWhitespace``).
+BLANK = r"\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000"
 
 
-def decode_price_payloads(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def decode_price_payloads(landed: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """``landed(id, payload)`` -> (bars, quarantine).
 
-    A payload yields bars only with ``status.rCode = 200`` and
-    ``data.totalRecords > 0``; ``totalRecords = 0`` yields nothing. Other
-    status codes go to the quarantine frame: code 1001 is a missing symbol,
-    anything else a failure.
+    A payload yields bars with ``status.rCode = 200`` and ``data.totalRecords > 0``,
+    and nothing with ``totalRecords = 0``. Every other payload goes to the
+    quarantine (id, rcode, code, reason, payload): code 1001 is a missing
+    symbol, another status a failure, and what cannot be decoded (no JSON, cut
+    short, without status, record count or rows) is undecodable. A price or date
+    that does not parse fails the query, or, unless ``strict``, puts its
+    whole payload into the quarantine as a bad value.
     """
-    p = landed.select("id", F.from_json("payload", PRICE_PAYLOAD).alias("p"))
-    ok = p.filter((F.col("p.status.rCode") == 200) & (F.col("p.data.totalRecords") > 0))
-    rows = ok.select("id", F.explode("p.data.tradesTable.rows").alias("r"))
-    bars = rows.select(parse_us_date(F.col("r.date")).alias("localDate"), "id",
-                       parse_price(F.col("r.close")).alias("close"),
-                       parse_price(F.col("r.high")).alias("high"),
-                       parse_price(F.col("r.low")).alias("low"),
-                       parse_price(F.col("r.open")).alias("open"),
-                       parse_volume(F.col("r.volume")).alias("volume"))
+    p = landed.select("id", "payload", F.from_json(
+        "payload", PRICE_PAYLOAD, _KEEP_CORRUPT).alias("p"))
+    rows, total = F.col("p.data.tradesTable.rows"), F.col("p.data.totalRecords")
     code = F.element_at(F.col("p.status.bCodeMessage"), 1).getField("code")
-    quarantine = (p.filter(F.col("p.status.rCode") != 200)
-                   .select("id", F.col("p.status.rCode").alias("rcode"), code.alias("code"),
-                           F.when(code == C.SYMBOL_NOT_FOUND_CODE, F.lit("symbol_not_found"))
-                            .otherwise(F.lit("failure")).alias("reason")))
+    undecodable = (F.col("p").isNull() | F.col("p._corrupt").isNotNull()
+                   | F.col("p.status.rCode").isNull()
+                   | ((F.col("p.status.rCode") == 200) & (total.isNull()
+                                                          | ((total > 0) & rows.isNull()))))
+    reason = (F.when(undecodable, "undecodable")
+              .when(F.col("p.status.rCode") != 200, F.when(
+                  code == C.SYMBOL_NOT_FOUND_CODE, "symbol_not_found").otherwise("failure")))
+    if not strict:
+        bad = lambda r: (parse_us_date(r["date"], strict=False).isNull()
+                         | F.exists(F.array(r["close"], r["high"], r["low"], r["open"]),
+                                    lambda v: v.isNotNull() & bad_number(v)))
+        reason = reason.when((total > 0) & F.exists(rows, bad), "bad_value")
+    p = p.withColumn("reason", reason)
+    ok = p.filter(F.col("reason").isNull() & (total > 0))
+    bars = ok.select("id", F.explode(rows).alias("r")).select(
+        parse_us_date(F.col("r.date")).alias("localDate"), "id",
+        parse_price(F.col("r.close")).alias("close"),
+        parse_price(F.col("r.high")).alias("high"),
+        parse_price(F.col("r.low")).alias("low"),
+        parse_price(F.col("r.open")).alias("open"),
+        parse_volume(F.col("r.volume")).alias("volume"))
+    quarantine = p.filter(F.col("reason").isNotNull()).select(
+        "id", F.when(F.col("p._corrupt").isNull(), F.col("p.status.rCode")).alias("rcode"),
+        F.when(F.col("p._corrupt").isNull(), code).alias("code"), "reason", "payload")
     return bars, quarantine
 
 
@@ -71,20 +94,44 @@ def article_keep(r: Column) -> Column:
     body = r.getField("fields").getField("bodyText")
     return (r.getField("id").isNotNull() & r.getField("pillarId").isNotNull() &
             r.getField("webTitle").isNotNull() & body.isNotNull() &
-            (F.lower(r.getField("pillarId")) == C.PILLAR_NEWS) & body.rlike(r"\S"))
+            (F.lower(r.getField("pillarId")) == C.PILLAR_NEWS) & body.rlike(f"[^{BLANK}]"))
+
+
+def _news_pages(landed: DataFrame) -> DataFrame:
+    """Landed pages with ``p`` (null where the page is undecodable)."""
+    p = landed.select("localDate", "page", "payload", F.from_json(
+        "payload", NEWS_PAYLOAD, _KEEP_CORRUPT).alias("p"))
+    whole = (F.col("p._corrupt").isNull() & F.col("p.response.pages").isNotNull()
+             & F.col("p.response.results").isNotNull())
+    return p.withColumn("p", F.when(whole, F.col("p")))
 
 
 def decode_news_payloads(landed: DataFrame) -> DataFrame:
     """``landed(localDate, page, payload)`` -> articles(localDate, id, title,
-    body); every page is just another landed row."""
-    p = landed.select("localDate", F.from_json("payload", NEWS_PAYLOAD).alias("p"))
-    r = p.select("localDate", F.explode("p.response.results").alias("r"))
+    body) of every page that decodes; :func:`news_quarantine` has the rest."""
+    r = _news_pages(landed).select("localDate", F.explode("p.response.results").alias("r"))
     return (r.filter(article_keep(F.col("r")))
              .select("localDate", F.col("r.id").alias("id"),
                      F.col("r.webTitle").alias("title"),
                      F.col("r.fields.bodyText").alias("body")))
 
 
+def news_quarantine(landed: DataFrame) -> DataFrame:
+    """(localDate, page, reason, payload): landed pages that cannot be decoded,
+    and pages that a day's responses announce but that did not land."""
+    pages = _news_pages(landed)
+    bad = pages.filter(F.col("p").isNull()).select(
+        "localDate", F.col("page").cast("long").alias("page"),
+        F.lit("undecodable").alias("reason"), "payload")
+    due = (pages.groupBy("localDate").agg(F.max("p.response.pages").alias("n"))
+           .filter("n > 0").select("localDate", F.explode(F.sequence(
+               F.lit(1).cast("long"), F.col("n").cast("long"))).alias("page")))
+    gone = due.join(pages.select("localDate", F.col("page").cast("long").alias("page")),
+                    ["localDate", "page"], "left_anti")
+    return bad.unionByName(gone.select("localDate", "page", F.lit("missing_page").alias("reason"),
+                                       F.lit(None).cast("string").alias("payload")))
+
+
 def symbol_alias(symbol: Column, aliases=C.SYMBOL_ALIASES) -> Column:
     """Ticker the quote API expects: renamed tickers (case-insensitive), else
     '.' escaped as the API's separator."""

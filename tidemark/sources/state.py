@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def write_marks(marks: DataFrame, path: str) -> None:
     """Replace the marks of the pipelines present in ``marks`` (partitioned
     by pipeline, dynamic overwrite), after the outputs they describe landed."""
@@ -19,8 +18,12 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mark(spark: SparkSession, path: str, pipeline: str, key: str, default=None) -> DataFrame:
-    """One row: the stored date, or ``default`` when absent."""
-    stored = read_marks(spark, path).filter((F.col("pipeline") == pipeline) & (F.col("key") == key))
+    """One row: the stored date, or ``default`` when the mark or the whole table
+    is absent."""
+    from tidemark.sources.parquet import exists
+    marks = (read_marks(spark, path) if exists(spark, path) else
+             spark.createDataFrame([], "pipeline string, key string, value date"))
+    stored = marks.filter((F.col("pipeline") == pipeline) & (F.col("key") == key))
     v = stored.select(F.max("value")).scalar()
     d = F.lit(default).cast("date") if default is not None else F.lit(None).cast("date")
     return spark.range(1).select(F.lit(pipeline).alias("pipeline"), F.lit(key).alias("key"),

@@ -1,29 +1,16 @@
-"""The ordered symbol list (a small dimension): list order is file order."""
+"""The ordered symbol list: the position is stored with each symbol."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import config as C
-from tidemark.schemas import SYMBOLS
-
 
 def replace_symbols(symbols: DataFrame, path: str) -> None:
-    """Replace the list: one file, rows in ``pos`` order. The dimension is
-    checked against its bound before it is written by one task."""
-    n = symbols.count()
-    if n > C.MAX_BROADCAST_DIMENSION_ROWS:
-        raise ValueError(f"{n} symbols exceed the dimension bound")
-    (symbols.repartition(1).sortWithinPartitions("pos")
-            .select(*SYMBOLS.fieldNames()).write.mode("overwrite").parquet(path))
+    """Replace the list (id, sector, pos)."""
+    symbols.select("id", "sector", F.col("pos").cast("int")).write.mode("overwrite").parquet(path)
 
 
 def load_symbols(spark: SparkSession, path: str) -> DataFrame:
-    """(id, sector, pos) with ``pos`` = position in file order
-    (``_metadata.file_name``, ``_metadata.row_index``)."""
-    df = spark.read.parquet(path).select(
-        "id", "sector", F.col("_metadata.file_name").alias("_f"),
-        F.col("_metadata.row_index").alias("_i"))
-    w = Window.orderBy("_f", "_i")                 # a bounded dimension
-    return df.select("id", "sector", (F.row_number().over(w) - 1).cast("int").alias("pos"))
+    """(id, sector, pos) as stored."""
+    return spark.read.parquet(path).select("id", "sector", "pos")

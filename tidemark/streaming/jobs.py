@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import config as C
 from tidemark.operators.rollup import daily_rollup, metric_columns
 from tidemark.schemas import SENTIMENT
 from tidemark.sources.payloads import decode_price_payloads
@@ -24,17 +25,43 @@ def run_available(writer, path: str | None = None) -> None:
         raise q.exception()
 
 
+def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions present in ``df``; few files for each."""
+    (df.hint("rebalance", *partitions).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+
+
 def stream_ingest_prices(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                         max_files: int = 4) -> None:
-    """Decode every newly landed quote payload file into date-partitioned
-    bars. Files already processed are remembered by the checkpoint, so a
-    rerun only picks up new landings."""
+                         max_files: int = 4, quarantine: str | None = None) -> None:
+    """Decode every newly landed quote payload file into bars, and what cannot be
+    decoded into ``quarantine`` (default: ``<out>-quarantine``), payload included.
+
+    Files already processed are remembered by the checkpoint, so a rerun only
+    picks up new landings. A micro-batch is stored under (localDate, batch) and a
+    replay overwrites its own partitions; a payload that lands again lands in a
+    newer batch, and :func:`stored_bars` reads each bar's newest. A sink belongs to one
+    checkpoint. A value that does not parse quarantines its payload and never
+    stops the stream."""
     raw = (spark.readStream.schema(LANDED_PRICE).option("maxFilesPerTrigger", max_files)
            .json(landing))
-    bars, _ = decode_price_payloads(raw)
-    w = (bars.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("localDate").outputMode("append"))
-    run_available(w, out)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        bars, bad = decode_price_payloads(batch, strict=False)
+        _overwrite(bars.withColumn("batch", F.lit(batch_id)), out, "localDate", "batch")
+        _overwrite(bad.withColumn("batch", F.lit(batch_id)),
+                   quarantine or f"{out.rstrip('/')}-quarantine", "batch")
+        batch.unpersist()
+
+    run_available(raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store))
+
+
+def stored_bars(spark: SparkSession, out: str) -> DataFrame:
+    """Streamed bars, each (localDate, id) from the newest batch that holds it."""
+    df = spark.read.parquet(out)
+    rest = [c for c in df.columns if c not in ("localDate", "id", "batch")]
+    best = df.groupBy("localDate", "id").agg(F.max_by(F.struct(*rest), "batch").alias("v"))
+    return best.select("localDate", "id", "v.*")
 
 
 STREAMABLE = ("count_articles", "mean_sentiment", "pct_positive", "pct_negative",
@@ -42,36 +69,52 @@ STREAMABLE = ("count_articles", "mean_sentiment", "pct_positive", "pct_negative"
               "max_sentiment", "min_sentiment", "conflict_share")
 
 
-def _overwrite_days(batch: DataFrame, out: str) -> None:
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("localDate").parquet(out))
+def _partials(batch: DataFrame) -> DataFrame:
+    """One row a day: the counts, sums and extremes that the metrics are made of."""
+    s = F.col("sentiment_score").cast("double")
+    L = F.col("text_length").cast("double")
+    # shares are averages of a day's rows: kept as sums, so that batches add up
+    shares = {k: c for k, c in metric_columns(s, L).items() if k in STREAMABLE}
+    n = F.count(F.lit(1))
+    summed = {k: (shares[k] * n).alias(k) for k in STREAMABLE if k in (
+        "mean_sentiment", "pct_positive", "pct_negative", "extreme_sentiment_share",
+        "neutral_share", "conflict_share")}
+    return batch.groupBy("localDate").agg(
+        n.alias("count_articles"), *summed.values(), F.max(s).alias("max_sentiment"),
+        F.min(s).alias("min_sentiment"), F.sum(s * L).alias("weighted"), F.sum(L).alias("length"))
+
+
+def _merged(partials: DataFrame) -> DataFrame:
+    """The day's metrics from the partial rows of all its batches."""
+    n = F.sum("count_articles")
+    how = {"count_articles": n, "max_sentiment": F.max("max_sentiment"),
+           "min_sentiment": F.min("min_sentiment"),
+           "weighted_mean_sentiment": F.sum("weighted") / (F.sum("length")
+                                                           + C.PREVENT_DIV_BY_ZERO)}
+    return partials.groupBy("localDate").agg(
+        *[how.get(k, F.sum(k) / n).alias(k) for k in STREAMABLE])
 
 
 def stream_daily_subset(spark: SparkSession, source: str, out: str, checkpoint: str,
-                        lateness: str = "31 days", max_files: int = 2) -> None:
-    """Per-day metrics that are exact from streaming state (counts, sums,
-    shares, extremes) with a watermark on the article day. Update mode: each
-    micro-batch rewrites the partitions of the days it changed, so replays
-    are idempotent; state older than the watermark is dropped."""
+                        max_files: int = 2, partials: str | None = None) -> None:
+    """Per-day metrics that are exact from partial aggregates, for days in any order.
+
+    Each micro-batch is reduced to one partial row a day, stored under its batch
+    number in ``partials`` (default: ``<out>-partials``; a replay overwrites its own
+    rows), and the days it touched are merged from all their partial rows. No
+    day is ever too late: there is no state to expire, and what is kept is one row for each
+    day and batch."""
     src = (spark.readStream.schema(SENTIMENT).option("maxFilesPerTrigger", max_files)
            .parquet(source))
-    s = F.col("sentiment_score").cast("double")
-    L = F.col("text_length").cast("double")
-    mc = metric_columns(s, L)
-    # the day's midnight is the event time; grouping on the watermarked
-    # column itself keeps one group per day in any session time zone
-    agg = (src.withColumn("ts", F.col("localDate").cast("timestamp"))
-              .withWatermark("ts", lateness)
-              .groupBy("ts")
-              .agg(*[mc[k].alias(k) for k in STREAMABLE if k in mc]))
-    agg = agg.select(F.to_date("ts").alias("localDate"), *[c for c in STREAMABLE])
+    kept = partials or f"{out.rstrip('/')}-partials"
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_days(batch, out)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        _overwrite(_partials(batch).withColumn("batch", F.lit(batch_id)), kept, "batch")
+        stored = batch.sparkSession.read.parquet(kept)
+        days = stored.filter(F.col("batch") == batch_id).select("localDate")
+        _overwrite(_merged(stored.join(days, "localDate", "left_semi")), out, "localDate")
 
-    w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(sink))
-    run_available(w)
+    run_available(src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge))
 
 
 def stream_upsert_rollup(spark: SparkSession, source: str, store: str, out: str,
@@ -81,22 +124,17 @@ def stream_upsert_rollup(spark: SparkSession, source: str, store: str, out: str,
     Each micro-batch is stored under (localDate, batch) partitions, so a
     replayed batch overwrites itself instead of duplicating; then every day it
     touched is recomputed in full from the store (median and moments
-    included) and only those day partitions are replaced."""
+    included) and only those day partitions are replaced. The days are taken
+    from the stored batch: the source is read once, and the store is pruned to
+    them when the join runs."""
     src = (spark.readStream.schema(SENTIMENT).option("maxFilesPerTrigger", max_files)
            .parquet(source))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn("batch", F.lit(batch_id))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("localDate", "batch").parquet(store))
-        # the batch's days (at most one per calendar day) become a literal
-        # IN list, so the re-read of the store is partition-pruned
-        days = [r.localDate for r in batch.select("localDate").distinct().collect()]
-        if not days:
-            return
-        rows = (batch.sparkSession.read.parquet(store)
-                .filter(F.col("localDate").isin(days)).drop("batch"))
-        _overwrite_days(daily_rollup(rows), out)
-
-    w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
-    run_available(w)
+        _overwrite(batch.withColumn("batch", F.lit(batch_id)), store, "localDate", "batch")
+        stored = batch.sparkSession.read.parquet(store)
+        days = stored.filter(F.col("batch") == batch_id).select("localDate").distinct()
+        _overwrite(daily_rollup(stored.join(days, "localDate", "left_semi").drop("batch")),
+                   out, "localDate")
+
+    run_available(src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert))
