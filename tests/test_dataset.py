@@ -76,7 +76,7 @@ def test_pivot_unpivot_round_trip(spark):
 def test_news_windows_and_collector_dates(spark):
     from tidemark.operators.incremental import collector_dates
     lag = _dates(spark, 8).select("localDate", F.dayofmonth("localDate").cast("double").alias("m-1"))
-    w = {r.localDate: r.news_window for r in DS.news_windows(lag, 5).collect()}
+    w = {r.localDate: r.news_window for r in DS.news_windows(lag, DS.date_index(lag.select("localDate")), 5).collect()}
     assert len(w) == 3
     for d, win in w.items():
         assert [x.date for x in win] == [d - dt.timedelta(days=k) for k in range(5, 0, -1)]

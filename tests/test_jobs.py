@@ -41,7 +41,7 @@ def lifecycle(spark, sf_dir):
 
 def test_incremental_targets_equal_full(spark, lifecycle):
     root, bars, symbols, _ = lifecycle
-    stored = J._latest(spark, f"{root}/stock/target", ["localDate", "id"])
+    stored = spark.read.parquet(f"{root}/stock/target")
     bars = bars.filter(F.col("localDate") >= F.lit(J.START))      # history starts at START_DATE
     dates = P.trading_dates(bars, symbols, "any")
     full = TG.daily_targets(P.dense_panel(bars, symbols, dates))
@@ -56,7 +56,7 @@ def test_incremental_targets_equal_full(spark, lifecycle):
 
 def test_incremental_lags_equal_full(spark, lifecycle):
     root, _, _, arts = lifecycle
-    stored = J._latest(spark, f"{root}/news/lagged", ["localDate"])
+    stored = J._latest(spark, f"{root}/news/lagged")
     daily = RU.daily_rollup(SN.score_articles(arts))
     daily = daily.select("localDate", *[F.col(m).cast("float").cast("double").alias(m)
                                         for m in daily.columns[1:]])
@@ -82,3 +82,37 @@ def test_train_infer_notify(spark, lifecycle):
     assert J.infer_job(spark, root, window=10) == "nothing pending"
     body = J.notify_job(spark, root, "P1,P3").first().body
     assert " prediction\nWatched symbols\nP1 " in body and "predicted vs actual" in body
+
+
+def test_seed_reads_only_the_newest_partitions(spark, lifecycle):
+    root, *_ = lifecycle
+    path = f"{root}/stock/panel"
+    days = PQ.newest_dates(spark, path, 5, "1999-12-31")
+    every = [n.partition("=")[2] for n in PQ.list_partitions(spark, path, "localDate")]
+    assert len(days) == 5 and days == [d for d in every if d <= "1999-12-31"][-5:]
+    seed = J.seed_panel(spark, path, days)
+    plan = seed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [localDate" in plan
+    assert {str(r.localDate) for r in seed.select("localDate").distinct().collect()} == set(days)
+
+
+def test_compaction_is_its_own_job(spark, lifecycle):
+    root, *_ = lifecycle
+    before = {r.localDate: tuple(r) for r in J._latest(spark, f"{root}/news/lagged").collect()}
+    assert J.compact_job(spark, root) == "compacted"
+    assert len(PQ.list_runs(spark, f"{root}/news/lagged")) == 1
+    after = {r.localDate: tuple(r) for r in J._latest(spark, f"{root}/news/lagged").collect()}
+    assert before == after and J.compact_job(spark, root) == "one run"
+
+
+def test_missing_news_stops_inference(spark):
+    """A pending day whose news window is short raises; nothing is skipped."""
+    from tidemark.operators import models as MD
+    days = [dt.date(2024, 1, d) for d in range(1, 11)]
+    panel = spark.createDataFrame([(d, "A", 0, 1.0, 1.0, 1.0, 1.0, 1) for d in days],
+                                  "localDate date, id string, pos int, close double, high double, "
+                                  "low double, open double, volume long")
+    lagged = spark.createDataFrame([(d, 1.0) for d in days[:6]], "localDate date, `m-1` double")
+    pending = spark.createDataFrame([(d,) for d in days[6:9]], "query_date date")
+    with pytest.raises(Exception, match="news window"):
+        MD.predict_for_dates({}, pending, panel, lagged, panel.select("localDate"), 3).collect()

@@ -132,15 +132,22 @@ def sliding_windows(long_features: DataFrame, window: int = C.WINDOW_SIZE,
             .filter(F.col("_rn") > window).drop("_rn", *features))
 
 
-def news_windows(lagged: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
-    """Per aligned date t >= window: the lagged news rows [t - window, t)."""
+def news_windows(lagged: DataFrame, index: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
+    """Per indexed date t >= window: the lagged news rows [t - window, t) in order,
+    as (localDate, news_window ARRAY<STRUCT<date, values>>).
+
+    ``index`` has (localDate, t). A row is sent to the ``window`` dates that it
+    precedes and grouped there: an aggregate by date, no global ordering."""
     cols = [c for c in lagged.columns if c != "localDate"]
-    w = Window.orderBy("localDate")                 # one row per day: bounded
-    rec = F.struct(F.col("localDate").alias("date"),
+    rec = F.struct(F.col("t").alias("at"), F.col("localDate").alias("date"),
                    F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("values"))
-    return (lagged.withColumn("_rn", F.row_number().over(w))
-                  .withColumn("news_window", F.collect_list(rec).over(w.rowsBetween(-window, -1)))
-                  .filter(F.col("_rn") > window).select("localDate", "news_window"))
+    rows = lagged.join(index.select("localDate", "t"), "localDate").select(
+        rec.alias("r"), F.explode(F.sequence(F.col("t") + 1, F.col("t") + window)).alias("t"))
+    g = rows.groupBy("t").agg(F.sort_array(F.collect_list("r")).alias("w"))
+    full = g.filter(F.size("w") == window).select("t", F.transform(
+        "w", lambda r: F.struct(r["date"].alias("date"), r["values"].alias("values")))
+        .alias("news_window"))
+    return full.join(index.select("localDate", "t"), "t").select("localDate", "news_window")
 
 
 def assign_batches(samples: DataFrame, batch_size: int = C.BATCH_SIZE) -> DataFrame:

@@ -118,7 +118,8 @@ def labelled(features: DataFrame, targets: DataFrame) -> DataFrame:
     return features.join(t, ["localDate", "id"])
 
 
-def fit_heads(train: DataFrame, max_iter: int = 50, reg: float = 0.01) -> dict:
+def fit_heads(train: DataFrame, max_iter: int = 50, reg: float = 0.01,
+              solver: str = "auto") -> dict:
     """One model per head: linear regression for the five continuous heads,
     logistic regression for direction."""
     from pyspark.ml.classification import LogisticRegression
@@ -131,7 +132,8 @@ def fit_heads(train: DataFrame, max_iter: int = 50, reg: float = 0.01) -> dict:
                                      rawPredictionCol=f"_raw_{h}", maxIter=max_iter, regParam=reg)
         else:
             est = LinearRegression(featuresCol="features", labelCol=f"y_{h}",
-                                   predictionCol=f"_pred_{h}", maxIter=max_iter, regParam=reg)
+                                   predictionCol=f"_pred_{h}", maxIter=max_iter, regParam=reg,
+                                   solver=solver)
         models[h] = est.fit(train)
     return models
 
@@ -163,26 +165,23 @@ def news_last(lagged: DataFrame) -> DataFrame:
 def training_samples(panel: DataFrame, targets: DataFrame, lagged: DataFrame,
                      aligned: DataFrame, window: int = C.WINDOW_SIZE):
     """(train, validation, validation size): per (date, symbol) the flattened
-    window of the previous ``window`` aligned rows plus the freshest news lag
-    row, labelled with the scaled targets; split chronologically with the
+    windows of the previous ``window`` aligned rows, of the symbol's features and of the
+    lagged news, labelled with the scaled targets; split chronologically with the
     validation windows reaching back into training rows."""
     from pyspark.ml.functions import array_to_vector
 
     from tidemark.operators import dataset as DS
     from tidemark.session import cut_lineage
     p, t, lg = DS.align(aligned, panel, targets, lagged)
-    idx = DS.date_index(aligned)
+    idx = cut_lineage(DS.date_index(aligned))
     n = idx.count()                                   # one row per day
     val_start, max_val = DS.split_point(n, window)
     win = DS.sliding_windows(p, window)
     flat = F.flatten(F.transform("window", lambda r: F.array(
         *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
-    prev = idx.select("localDate", "t").join(
-        idx.select(F.col("t").alias("_t"), F.col("localDate").alias("_d")), F.col("t") - 1 == F.col("_t"))
-    news = news_last(lg).join(prev.select(F.col("localDate").alias("_sample"),
-                                          F.col("_d").alias("localDate")), "localDate")
-    feats = (win.select("localDate", "id", flat.alias("_f"))
-             .join(news.select(F.col("_sample").alias("localDate"), "news"), "localDate")
+    news = DS.news_windows(lg, idx, window).select("localDate", F.flatten(F.transform(
+        "news_window", lambda r: r["values"])).alias("news"))
+    feats = (win.select("localDate", "id", flat.alias("_f")).join(news, "localDate")
              .select("localDate", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
     rows = labelled(feats, t).join(idx, "localDate")
     # the six fits each pass over the samples: materialise them once
@@ -193,7 +192,8 @@ def training_samples(panel: DataFrame, targets: DataFrame, lagged: DataFrame,
 def fit_and_score(train: DataFrame, val: DataFrame):
     """Fit the heads, score them on validation: (models, losses, score text)."""
     from tidemark.functions.numeric import unscale
-    models = fit_heads(train)
+    # thousands of features: gradient passes, no matrix of all pairs of features
+    models = fit_heads(train, solver="l-bfgs")
     pred = predict_heads(models, val)
     pva = pred.select(*[F.col(h).alias(f"{h}_p") for h in HEADS],
                       *[F.col(f"y_{h}").alias(f"{h}_a") for h in HEADS])
@@ -233,8 +233,8 @@ def best_model_dir(spark, root: str) -> str:
 def predict_for_dates(models: dict, pending: DataFrame, panel: DataFrame, lagged: DataFrame,
                       trading: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
     """Predictions for every pending date in one plan: the latest trading date
-    before it, that date's trailing window per symbol, the news lag row of
-    the window's end; log-return heads unscaled; float32 output."""
+    before it, that date's trailing window per symbol and of the news; a short
+    window of either fails. Log-return heads unscaled; float32 output."""
     from pyspark.ml.functions import array_to_vector
 
     from tidemark.functions.numeric import unscale
@@ -250,11 +250,14 @@ def predict_for_dates(models: dict, pending: DataFrame, panel: DataFrame, lagged
     per = per.withColumn("s", F.when(F.size("s") == window, F.col("s")).otherwise(F.raise_error(
         F.concat(F.lit("short window of "), F.col("id"), F.lit(" before "),
                  F.col("end_date").cast("string")))))
-    news = news_last(lagged).withColumnRenamed("localDate", "end_date")
+    news = (steps.join(news_last(lagged), "localDate").groupBy("end_date")
+            .agg(F.sort_array(F.collect_list(F.struct("step", "news"))).alias("n"))
+            .filter(F.size("n") == window)
+            .select("end_date", F.flatten(F.transform("n", lambda x: x["news"])).alias("news")))
     feats = (per.select("end_date", "id", F.flatten(F.transform("s", lambda x: x["v"])).alias("_f"))
              .join(news, "end_date", "left")
              .select("end_date", "id", array_to_vector(F.concat("_f", F.coalesce(
-                 "news", F.raise_error(F.concat(F.lit("no news features for "),
+                 "news", F.raise_error(F.concat(F.lit("no full news window up to "),
                                                 F.col("end_date").cast("string")))))
              ).alias("features")))
     pred = predict_heads(models, ends.join(feats, "end_date"))

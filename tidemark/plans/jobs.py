@@ -6,8 +6,8 @@ Layout under ``root`` (all Parquet):
     symbols/                     id, sector, pos
     raw/stock/localDate=D/       landed bars          (RAW_STOCK)
     raw/news/localDate=D/        landed articles      (RAW_NEWS)
-    stock/panel/run=T/           long dense panel     (localDate, id, pos, 5 x float)
-    stock/target/run=T/          long targets
+    stock/panel/localDate=D/     long dense panel     (localDate, id, pos, 5 x float)
+    stock/target/localDate=D/    long targets
     news/sentiment/localDate=D/  scored articles      (SENTIMENT)
     news/aggregated/localDate=D/ daily roll-up
     news/lagged/run=T/           calendar-day lag table
@@ -61,17 +61,21 @@ def _run_ts() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
-def _latest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    """Keep-last view of a run-appended table."""
-    runs = PQ.read_runs(spark, path)
-    k = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
-    return DS.dedupe_keep_last(runs.withColumn("_k", k), "_k").drop("_k")
+def _latest(spark: SparkSession, path: str) -> DataFrame:
+    """Keep-last view of a run-appended table with one row a date."""
+    return DS.dedupe_keep_last(PQ.read_runs(spark, path), "localDate")
 
 
 def _max_date(df: DataFrame):
     return df.agg(F.max("localDate")).first()[0]
 
 
+def seed_panel(spark: SparkSession, path: str, days: list[str]) -> DataFrame:
+    """The stored panel rows of ``days``, through a literal partition filter."""
+    return spark.read.parquet(path).filter(
+        F.col("localDate").isin(*[dt.date.fromisoformat(d) for d in days]))
+
+
 # --- E1: price features ---------------------------------------------------
 
 def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol") -> str:
@@ -90,24 +94,23 @@ def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol
     dates = P.trading_dates(new_raw, symbols, gate)
     panel_new = P.dense_panel(new_raw, symbols, dates)
     panel_path = _p(root, "stock", "panel")
-    if PQ.exists(spark, panel_path):
-        old = _latest(spark, panel_path, ["localDate", "id"]).filter(
-            F.col("localDate") <= F.lit(last_done))
-        old = old.select(*[F.col(c).cast("double") if c in P.BAR_FIELDS[:4] else
-                           (F.col(c).cast("long") if c == "volume" else F.col(c))
-                           for c in panel_new.columns])
-        seeded = TG.seed_history(old).unionByName(panel_new)
-    else:
-        seeded = panel_new
+    seeded = panel_new
+    days = PQ.newest_dates(spark, panel_path, C.MAX_LOG_RETURN_HORIZON, last_done)
+    if days:
+        # the returns reach back at most that many trading rows: only these
+        # date partitions of the history are read
+        old = seed_panel(spark, panel_path, days)
+        seeded = old.select(*[F.col(f.name).cast(f.dataType) for f in panel_new.schema.fields]
+                            ).unionByName(panel_new)
     targets = TG.incremental_targets(seeded, last_done)
-    ts = _run_ts()
-    PQ.append_run(panel_new.select("localDate", "id", "pos",
-                                   *[F.col(c).cast("float").alias(c) for c in P.BAR_FIELDS]),
-                  panel_path, ts)
-    PQ.append_run(targets.select("localDate", "id", "pos",
-                                 *[F.col(c).cast("float").alias(c) for c in TG.TARGET_COLS[:5]],
-                                 F.col("direction_1d").cast("tinyint")),
-                  _p(root, "stock", "target"), ts)
+    PQ.write_partitions(panel_new.select("localDate", "id", "pos",
+                                         *[F.col(c).cast("float").alias(c) for c in P.BAR_FIELDS]),
+                        panel_path)
+    PQ.write_partitions(targets.select("localDate", "id", "pos",
+                                       *[F.col(c).cast("float").alias(c)
+                                         for c in TG.TARGET_COLS[:5]],
+                                       F.col("direction_1d").cast("tinyint")),
+                        _p(root, "stock", "target"))
     newest = _max_date(dates)
     if newest is not None:
         _set_mark(spark, root, "stock_preproc", "lastProcessed", newest)
@@ -163,26 +166,18 @@ def news_features_job(spark: SparkSession, root: str, logits_fn=SN.lexical_logit
 # --- E3: train, infer, notify ---------------------------------------------
 
 def stored_tables(spark: SparkSession, root: str):
-    """(panel, targets, lagged) keep-last views of the run-appended tables,
-    compacting a table once it has more than one run."""
-    out = []
-    for name, key in (("stock/panel", ["localDate", "id"]), ("stock/target", ["localDate", "id"]),
-                      ("news/lagged", ["localDate"])):
-        path = _p(root, *name.split("/"))
-        k = "_k"
-        runs = PQ.list_runs(spark, path)
-        if len(runs) > C.PARTIAL_FILE_LIMIT:
-            df = PQ.read_runs(spark, path)
-            keyed = df.withColumn(k, F.concat_ws("|", *[F.col(c).cast("string") for c in key]))
-            merged = DS.dedupe_keep_last(keyed, k).drop(k)
-            staged = _p(root, "_staging", name.replace("/", "_") + _run_ts())
-            merged.write.parquet(staged)
-            PQ.append_run(spark.read.parquet(staged), path, _run_ts())
-            for r in runs:
-                PQ._delete(spark, f"{path}/{r}")
-            PQ._delete(spark, staged)
-        out.append(_latest(spark, path, key))
-    return tuple(out)
+    """(panel, targets, lagged): the date-partitioned tables as stored, and the
+    keep-last view of the run-appended lag table. Reads only."""
+    return (spark.read.parquet(_p(root, "stock", "panel")),
+            spark.read.parquet(_p(root, "stock", "target")),
+            _latest(spark, _p(root, "news", "lagged")))
+
+
+def compact_job(spark: SparkSession, root: str) -> str:
+    """Merge the runs of the lag table into one (its own job: nothing else may
+    delete what a reader might hold)."""
+    done = PQ.compact_runs(spark, _p(root, "news", "lagged"), "localDate", _run_ts())
+    return "compacted" if done else "one run"
 
 
 def train_job(spark: SparkSession, root: str, window: int = C.WINDOW_SIZE) -> str:

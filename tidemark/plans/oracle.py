@@ -84,6 +84,16 @@ ARTICLES = """articles AS (
          doc_id, lang
   FROM documents WHERE doc_id % 30 NOT IN (6, 13))"""
 
+ARTICLES_ORDERS = """articles AS (
+  SELECT CAST(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER) AS DATE) AS localDate,
+         CAST(doc_id AS VARCHAR) AS id,
+         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, 1, instr(text, chr(10)) - 1)
+              ELSE text END AS title,
+         CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1)
+              ELSE '' END AS body,
+         doc_id, lang
+  FROM documents)"""
+
 CLEANED = r"""cleaned AS (
   SELECT localDate, id, doc_id,
          trim(regexp_replace(regexp_replace(coalesce(title, '') || coalesce(body, ''),
@@ -175,6 +185,32 @@ def orders_dataset_chain() -> list[str]:
     return target_chain(BARS_ORDERS) + [spine, ALIGNED, IDX]
 
 
+SAMPLES = """days AS (SELECT localDate, count_articles AS n, mean_sentiment AS m FROM daily),
+lags AS (
+  SELECT i.t, i.n AS total, sum(coalesce(d.n, 0)) AS articles, sum(coalesce(d.m, 0.0)) AS mean
+  FROM idx i CROSS JOIN range(1, 6) r(k)
+  LEFT JOIN days d ON d.localDate + CAST(k AS INTEGER) = i.localDate GROUP BY ALL),
+rows AS (
+  SELECT i.t, p.id, p.close + p.high + p.low + p.open + p.volume AS v
+  FROM panel p JOIN idx i USING (localDate)),
+samples AS (
+  SELECT y.localDate, y.id,
+    CASE WHEN i.t < i.n - CAST(floor(i.n * 0.2) AS BIGINT) THEN 'train' ELSE 'validation' END AS split,
+    (SELECT sum(v) FROM rows r WHERE r.id = y.id AND r.t >= i.t - 30 AND r.t < i.t) AS stock_sum,
+    (SELECT sum(articles) FROM lags l WHERE l.t >= i.t - 30 AND l.t < i.t) AS news_articles,
+    (SELECT sum(mean) FROM lags l WHERE l.t >= i.t - 30 AND l.t < i.t) AS news_mean,
+    zscore_1d, rank_1d, CAST(direction_1d AS DOUBLE) AS direction_1d,
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_1d * 1000.0)) AS log_return_1d,
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_3d * 1000.0)) AS log_return_3d,
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_5d * 1000.0)) AS log_return_5d
+  FROM targets y JOIN idx i USING (localDate) WHERE i.t >= 30)"""
+
+
+def samples_chain() -> list[str]:
+    """The orders dataset with its news, as labelled training samples."""
+    return orders_dataset_chain() + [ARTICLES_ORDERS, CLEANED, SENTIMENT_FIXED, DAILY, SAMPLES]
+
+
 def pivot_sql(src: str, metrics, symbols=ORDER_SYMBOLS) -> str:
     cols = [f"max(CASE WHEN id = '{s}' THEN {m} END) AS \"{s}_{m}\""
             for s in symbols for m in metrics]

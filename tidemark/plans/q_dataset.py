@@ -28,7 +28,7 @@ def dataset(spark, sf_dir, source="orders"):
     targets = TG.daily_targets(panel)
     lo = d.select(F.min("localDate")).scalar()
     hi = d.select(F.date_add(F.max("localDate"), 1)).scalar()
-    lagged = RU.lagged_features(daily(spark, sf_dir), start=lo, end=hi)
+    lagged = RU.lagged_features(daily(spark, sf_dir, source=source), start=lo, end=hi)
     aligned = DS.common_dates(panel, lagged, targets)
     return panel, targets, lagged, aligned, s
 
@@ -102,6 +102,27 @@ def q_sliding_windows(spark, sf_dir):
                             *[F.col(f"r.{f}").alias(f) for f in DS.FEATURES]))
 
 
+@register("news_windows", O.with_(*O.samples_chain()) + """
+, news AS (SELECT i.t, i.localDate, k, coalesce(d.n, 0) AS articles, coalesce(d.m, 0.0) AS mean
+           FROM idx i CROSS JOIN range(1, 6) r(k)
+           LEFT JOIN days d ON d.localDate + CAST(k AS INTEGER) = i.localDate)
+SELECT a.localDate, CAST(f.t - a.t + 30 AS INTEGER) AS step, f.localDate AS date,
+       CAST(f.k AS INTEGER) AS lag, CAST(f.articles AS DOUBLE) AS count_articles,
+       round(f.mean, 6) AS mean_sentiment
+FROM idx a JOIN news f ON f.t >= a.t - 30 AND f.t < a.t WHERE a.t >= 30""")
+def q_news_windows(spark, sf_dir):
+    """The news half of a sample: 30 rows of 5 lags x 16 metrics, of which two
+    metrics are shown."""
+    _, _, lagged, aligned, _ = dataset(spark, sf_dir)
+    w = DS.news_windows(lagged, DS.date_index(aligned), C.WINDOW_SIZE)
+    e = w.select("localDate", F.posexplode("news_window").alias("step", "r"))
+    each = e.select("localDate", "step", F.col("r.date").alias("date"), F.explode(
+        F.transform(F.sequence(F.lit(1), F.lit(C.LAG_DAYS)), lambda k: F.struct(
+            k.alias("lag"), F.get(F.col("r.values"), (k - 1) * 16).alias("count_articles"),
+            F.get(F.col("r.values"), (k - 1) * 16 + 1).alias("mean_sentiment")))).alias("v"))
+    return rounded(each.select("localDate", "step", "date", "v.*"))
+
+
 @register("window_tensor", ORD + """, pl AS (
   SELECT p.*, i.t FROM panel p JOIN idx i USING (localDate))
 SELECT a.localDate, CAST(f.t - a.t + 30 AS INTEGER) AS step, a.pos AS sym,
@@ -177,7 +198,7 @@ SELECT localDate, symbol, round(zscore_1d, 6) AS zscore_1d, round(rank_1d, 6) AS
 FROM preds""")
 def q_unpack_predictions(spark, sf_dir):
     b, s, d = panel_inputs(spark, sf_dir, "orders")
-    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d), n))
+    preds = RS.previous_day_predictions(TG.daily_targets(P.dense_panel(b, s, d)))
     return rounded(RS.unpack_predictions(RS.pack_predictions(preds)))
 
 

@@ -150,32 +150,78 @@ def training_frames(spark, sf_dir, window=C.WINDOW_SIZE):
     return train, val, max_val, symbols
 
 
-def train_and_register(spark, sf_dir, root):
-    train, val, max_val, symbols = training_frames(spark, sf_dir)
+SAMPLES = O.with_(*O.samples_chain())
+
+
+@register("training_samples", SAMPLES + """
+SELECT localDate, id, split, 30 * 5 + 30 * 80 AS n_features, round(stock_sum, 2) AS stock_sum,
+       CAST(news_articles AS DOUBLE) AS news_articles, round(news_mean, 6) AS news_mean, """ +
+          ", ".join(f"round({h}, 6) AS {h}" for h in HEADS) + " FROM samples")
+def q_training_samples(spark, sf_dir):
+    """Labels, split and the feature vector, shown by sums over its parts."""
+    from pyspark.ml.functions import vector_to_array
+    train, val, *_ = training_frames(spark, sf_dir)
+    both = train.withColumn("split", F.lit("train")).unionByName(
+        val.withColumn("split", F.lit("validation")))
+    f, stock = vector_to_array("features"), C.WINDOW_SIZE * len(C.PIVOTED_FEATURES)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+    each = lambda k: total(F.filter(F.slice(
+        "_f", stock + 1, C.WINDOW_SIZE * 80), lambda x, i: i % 16 == k))
+    rows = both.withColumn("_f", f)
+    return rounded(rows.select(
+        "localDate", "id", "split", F.size("_f").alias("n_features"),
+        F.round(total(F.slice("_f", 1, stock)), 2).alias("stock_sum"),
+        each(0).alias("news_articles"), each(1).alias("news_mean"),
+        *[F.col(f"y_{h}").alias(h) for h in HEADS]))
+
+
+@register("train_heads", SAMPLES + " UNION ALL ".join(
+    f"""SELECT '{h}' AS head, count(*) FILTER (WHERE split = 'train') AS n_train,
+        count(*) FILTER (WHERE split = 'validation') AS n_validation,
+        round(avg({h}), 6) AS label_mean, round(stddev_pop({h}), 6) AS label_std,
+        true AS scored FROM samples""" for h in HEADS))
+def q_train_heads(spark, sf_dir):
+    """Six Spark ML heads on windowed long rows; validation losses scored and
+    the models saved under ``model/score=...``. Per head: samples, label moments and
+    whether its loss is a finite number."""
+    train, val, *_ = training_frames(spark, sf_dir)
     models, losses, score_text = MD.fit_and_score(train, val)
-    model_dir = f"{root}/score={score_text}"
-    MD.save_heads(models, model_dir)
-    return losses, score_text, model_dir, max_val
+    MD.save_heads(models, f"{scratch_path(spark, 'model')}/score={score_text}")
+    both = train.withColumn("_v", F.lit(0)).unionByName(val.withColumn("_v", F.lit(1)))
+    each = both.select("_v", F.explode(F.create_map(*[x for h in HEADS for x in (
+        F.lit(h), F.col(f"y_{h}"))])).alias("head", "y"))
+    stats = each.groupBy("head").agg(
+        F.count_if(F.col("_v") == 0).alias("n_train"),
+        F.count_if(F.col("_v") == 1).alias("n_validation"),
+        F.avg("y").alias("label_mean"), F.stddev_pop("y").alias("label_std"))
+    finite = F.col("loss").isNotNull() & ~F.isnan("loss") & (F.col("loss") >= 0)
+    return rounded(stats.join(losses.select("head", finite.alias("scored")), "head"))
 
 
-@register("train_heads")
-def q_train_heads(spark, sf_dir):
-    """Six Spark ML heads on windowed long rows; validation losses scored and
-    the models saved under ``model/score=...``. (Rows-only check.)"""
-    root = scratch_path(spark, "model")
-    losses, score_text, model_dir, max_val = train_and_register(spark, sf_dir, root)
-    return rounded(losses.withColumn("model_dir", F.lit(model_dir)))
+def days_sql(first: str, last: str) -> str:
+    """Weekdays from the one after ``first`` to the one after ``last``."""
+    after = ("({d} + CAST(CASE isodow({d}) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS INTEGER))")
+    return (f"SELECT CAST(d AS DATE) AS localDate FROM (SELECT unnest(generate_series("
+            f"{after.format(d=first)}, {after.format(d=last)}, INTERVAL 1 DAY)) AS d) "
+            "WHERE isodow(d) < 6")
 
 
-@register("predict_pending")
+HI = "(SELECT max(localDate) FROM aligned)"
+
+
+@register("predict_pending", O.with_(*O.orders_dataset_chain()) + f"""
+SELECT d.localDate, s.id AS symbol, true AS predicted
+FROM ({days_sql(f"CAST({HI} - 20 AS DATE)", HI)}) d CROSS JOIN symbols s""")
 def q_predict_pending(spark, sf_dir):
-    """Every pending weekday in one job: as-of end date, trailing window,
-    features, the best registered model's heads, unscale, write partitions.
-    (Rows-only check.)"""
+    """Every pending weekday in one job: as-of end date, trailing windows, features,
+    the best registered model's heads, unscale, write partitions; read back
+    with a flag that all six heads are finite numbers."""
     root = scratch_path(spark, "model")
-    train_and_register(spark, sf_dir, root)
-    models = MD.load_heads(MD.best_model_dir(spark, root))
     panel, targets, lagged, aligned, symbols = dataset(spark, sf_dir)
+    train, val, _ = MD.training_samples(panel, targets, lagged, aligned, C.WINDOW_SIZE)
+    models, _, score_text = MD.fit_and_score(train, val)
+    MD.save_heads(models, f"{root}/score={score_text}")
+    models = MD.load_heads(MD.best_model_dir(spark, root))
     hi = aligned.select(F.max("localDate")).scalar()
     days = D.calendar_days(D.next_weekday(F.date_sub(hi, 20)), D.next_weekday(hi))
     pending = spark.range(1).select(F.explode(days).alias("query_date")).filter(
@@ -183,4 +229,7 @@ def q_predict_pending(spark, sf_dir):
     out = MD.predict_for_dates(models, pending, panel, lagged, aligned)
     path = scratch_path(spark, "inference")
     PQ.write_partitions(out, path)
-    return spark.read.parquet(path)
+    fine = F.lit(True)
+    for h in HEADS:
+        fine = fine & F.col(h).isNotNull() & ~F.isnan(h)
+    return spark.read.parquet(path).select("localDate", "symbol", fine.alias("predicted"))

@@ -15,8 +15,9 @@ from tidemark.sources import fixtures as FX
 NEWS = O.with_(*O.NEWS_CHAIN)
 
 
-def daily(spark, sf_dir, with_median=True):
-    return RU.daily_rollup(FX.sentiment_fixed(spark, sf_dir), with_median=with_median)
+def daily(spark, sf_dir, with_median=True, source="events"):
+    return RU.daily_rollup(FX.sentiment_fixed(spark, sf_dir, source=source),
+                           with_median=with_median)
 
 
 @register("clean_text", O.with_(O.ARTICLES, O.CLEANED) + "SELECT id, t AS cleaned FROM cleaned")
@@ -50,16 +51,21 @@ def q_nfkc(spark, sf_dir):
     return d.select("doc_id", TX.nfkc(raw).alias("normalized"))
 
 
+FOLD = ("list_sum(list_transform(list_filter(embedding, lambda x, i: i % 3 = {}), "
+        "lambda x: CAST(x AS DOUBLE)))")
+
+
 @register("softmax_polarity",
           "SELECT vec_id, round((exp(l0 - mx) - exp(l1 - mx)) / "
           "(exp(l0 - mx) + exp(l1 - mx) + exp(l2 - mx)), 6) AS polarity FROM ("
-          "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS l0, CAST(embedding[2] AS DOUBLE) AS l1, "
-          "CAST(embedding[3] AS DOUBLE) AS l2, greatest(CAST(embedding[1] AS DOUBLE), "
-          "CAST(embedding[2] AS DOUBLE), CAST(embedding[3] AS DOUBLE)) AS mx FROM embeddings)")
+          "SELECT *, greatest(l0, l1, l2) AS mx FROM (SELECT vec_id, "
+          f"{FOLD.format(1)} AS l0, {FOLD.format(2)} AS l1, {FOLD.format(0)} AS l2 FROM embeddings))")
 def q_softmax_polarity(spark, sf_dir):
+    """Three logits from the whole vector: every third component is added up."""
     e = FX.table(spark, sf_dir, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    return rounded(e.select("vec_id", TX.softmax_polarity(logits).alias("polarity")))
+    fold = [F.aggregate(F.filter("embedding", lambda x, i, k=k: i % 3 == k), F.lit(0.0),
+                        lambda acc, x: acc + x.cast("double")) for k in range(3)]
+    return rounded(e.select("vec_id", TX.softmax_polarity(F.array(*fold)).alias("polarity")))
 
 
 LEXICAL = r"""scored AS (

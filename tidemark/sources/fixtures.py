@@ -56,17 +56,23 @@ def symbols_from_bars(b: DataFrame) -> DataFrame:
                          F.col("pos").cast("int").alias("pos"))
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News articles from ``documents``.
+#: First day, days and days without news of the articles that go with each bar source.
+ARTICLE_DAYS = {"events": ("2024-01-01", 30, (6, 13)), "orders": ("1995-01-01", 2400, ())}
 
-    localDate = 2024-01-01 + doc_id % 30 days, dropping residues 6 and 13 so
-    some calendar days are empty; title = first line, body = the rest.
+
+def articles(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    """News articles from ``documents``, dated over the calendar of ``source``.
+
+    Events: localDate = 2024-01-01 + doc_id % 30 days, dropping residues 6 and 13 so
+    some calendar days are empty. Orders: 1995-01-01 + doc_id % 2400 days.
+    title = first line, body = the rest.
     """
     d = table(spark, sf_dir, "documents")
-    res = F.col("doc_id") % 30
+    first, days, empty = ARTICLE_DAYS[source]
+    res = F.col("doc_id") % days
     nl = F.instr("text", "\n")
-    return (d.filter(~res.isin(6, 13))
-             .select(F.date_add(F.lit("2024-01-01").cast("date"), res.cast("int")).alias("localDate"),
+    return (d.filter(~res.isin(*empty) if empty else F.lit(True))
+             .select(F.date_add(F.lit(first).cast("date"), res.cast("int")).alias("localDate"),
                      F.col("doc_id").cast("string").alias("id"),
                      F.when(nl > 0, F.expr("substring(text, 1, instr(text, '\n') - 1)"))
                       .otherwise(F.col("text")).alias("title"),
@@ -80,11 +86,12 @@ def fixed_score(doc_id) -> F.Column:
     return ((doc_id * 7919) % 2001 - 1000) / F.lit(1000.0)
 
 
-def sentiment_fixed(spark: SparkSession, sf_dir: str, normalize: bool = True) -> DataFrame:
+def sentiment_fixed(spark: SparkSession, sf_dir: str, normalize: bool = True,
+                    source: str = "events") -> DataFrame:
     """Sentiment rows with a fixed score keyed by doc_id (the scorer is
     injected elsewhere); lengths and token counts come from the cleaner."""
     from tidemark.functions import text as TX
-    a = articles(spark, sf_dir)
+    a = articles(spark, sf_dir, source)
     t = a.select("localDate", "id", "doc_id",
                  TX.clean_text(F.col("title"), F.col("body"), normalize).alias("_t"))
     return t.select("localDate", "id",

@@ -68,15 +68,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def list_runs(spark: SparkSession, path: str) -> list[str]:
-    """Run directory names under ``path`` (file-system listing, not data)."""
+def list_partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Names of the ``column=...`` folders under ``path``, in order (file-system
+    listing, not data)."""
+    if not exists(spark, path):
+        return []
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p)
-                  if s.isDirectory() and s.getPath().getName().startswith("run="))
+                  if s.isDirectory() and s.getPath().getName().startswith(f"{column}="))
+
+
+def list_runs(spark: SparkSession, path: str) -> list[str]:
+    return list_partitions(spark, path, "run")
+
+
+def newest_dates(spark: SparkSession, path: str, count: int, until) -> list[str]:
+    """The ``count`` newest date partitions at or before ``until`` (ISO dates)."""
+    days = [n.partition("=")[2] for n in list_partitions(spark, path, "localDate")]
+    return [d for d in days if d <= str(until)][-count:]
 
 
 def _bytes_under(spark: SparkSession, path: str) -> int:

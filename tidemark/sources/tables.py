@@ -43,11 +43,15 @@ def stable_dedupe(df: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(*keys, "_v.*").select(*df.columns)
 
 
-def dedupe_table(spark: SparkSession, name: str, keys: list[str]) -> None:
-    """Deduplicate a partitioned table in place: stage the result (a reliable
-    checkpoint, since overwriting the table being read loses data), then
-    replace only the touched partitions."""
-    staged = cut_lineage(stable_dedupe(spark.table(name), keys))
+def dedupe_table(spark: SparkSession, name: str, keys: list[str],
+                 partition_col: str = "localDate") -> None:
+    """Deduplicate a partitioned table in place. Only partitions that hold a
+    repeated key are rewritten: their result is staged (a reliable checkpoint, since
+    overwriting the table being read loses data) and replaces them."""
+    table = spark.table(name)
+    twice = (table.groupBy(*dict.fromkeys([partition_col, *keys])).count()
+             .filter("count > 1").select(partition_col).distinct())
+    staged = cut_lineage(stable_dedupe(table.join(twice, partition_col, "left_semi"), keys))
     (staged.select(*spark.table(name).columns).write
         .option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True))
 
