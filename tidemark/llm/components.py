@@ -32,8 +32,8 @@ def connected(links: DataFrame) -> DataFrame:
         small = (pairs.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         state = cut_lineage(small)
-        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").bitwiseAND(0xFFFFFFFF)),
-                        F.sum(F.xxhash64("b", "a").bitwiseAND(0xFFFFFFFF))).first()
+        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").bitwiseAND(0xFFFFFF)),
+                        F.sum(F.xxhash64("b", "a").bitwiseAND(0xFFFFFF))).first()
         if now == seen or not now[0]:
             break
         seen = now
