@@ -26,7 +26,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import pieces
 
-CACHE_WORDS = 500_000        # words that a task remembers at once
+CACHE_WORDS = 250_000        # words that a task remembers at once
 NONE = 1 << 30
 
 
@@ -101,25 +101,36 @@ class Merger:
         out, counts = self.merge(flat, sizes)
         first = np.r_[0, counts.cumsum()[:-1]]
         sound = [i for i, n, at in zip(ids, counts, first) if n == 1 and out[at] == i]
-        nodes: list[dict[int, int]] = [{}]
-        token = [-1]
-        for i in sound:
-            at = 0
-            for s in self.tokens[i]:
-                nxt = nodes[at].get(s)
-                if nxt is None:
-                    nxt = nodes[at][s] = len(nodes)
-                    nodes.append({})
-                    token.append(-1)
-                at = nxt
-            token[at] = i
-        inner = {k: row for row, k in enumerate(k for k, n in enumerate(nodes) if n)}
-        table = np.full((len(inner), 512 if self.suffix else 256), -1, np.int32)
-        for k, row in inner.items():
-            for s, nxt in nodes[k].items():
-                table[row, s] = nxt
-        self.row = np.array([inner.get(k, -1) for k in range(len(nodes))], np.int32)
-        self.next, self.token = table, np.array(token, np.int64)
+        # nodes are the distinct prefixes, found level by level; an edge is keyed by
+        # (node, symbol), the edges sorted
+        flat, sizes = self.flatten([self.tokens[i] for i in sound])
+        ids, starts = np.array(sound), sizes.cumsum() - sizes
+        node, level, total = np.zeros(len(ids), np.int64), 0, 1
+        edges, targets, ends, values = [], [], [np.zeros(1, np.int64)], [np.full(1, -1)]
+        while len(ids):
+            key, place = np.unique(node * 512 + flat[starts + level], return_inverse=True)
+            edges.append(key)
+            targets.append(total + np.arange(len(key)))
+            node, level = total + place, level + 1
+            total += len(key)
+            done = sizes == level
+            ends.append(node[done])
+            values.append(ids[done])
+            ids, starts, sizes, node = (x[~done] for x in (ids, starts, sizes, node))
+        edges, targets = np.concatenate(edges), np.concatenate(targets)
+        order = np.argsort(edges)
+        self.edges, self.targets = edges[order], targets[order]
+        self.token = np.full(total, -1, np.int64)
+        self.token[np.concatenate(ends[1:])] = np.concatenate(values[1:])
+        self.first = np.full(512, -1, np.int64)       # the root's edges, by symbol
+        root = self.edges < 512
+        self.first[self.edges[root]] = self.targets[root]
+
+    def step(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Trie nodes after one more symbol, -1 where there is none."""
+        key = node * 512 + symbol
+        at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+        return np.where(self.edges[at] == key, self.targets[at], -1)
 
     @staticmethod
     def flatten(words: list) -> tuple[np.ndarray, np.ndarray]:
@@ -132,16 +143,15 @@ class Merger:
         ends = np.repeat(sizes.cumsum(), sizes)
         length = np.ones(len(flat), np.int64)
         token = self.symbol_id[flat]
-        at, node, step = np.arange(len(flat)), np.zeros(len(flat), np.int64), 0
+        at, node, step = np.arange(len(flat)), self.first[flat], 1
+        at, node = at[node >= 0], node[node >= 0]
         while len(at):
-            row = self.row[node]
-            inside = (row >= 0) & (at + step < ends[at])
-            at, row = at[inside], row[inside]
-            node = self.next[row, flat[at + step]]
-            at, node = at[node >= 0], node[node >= 0]
-            step += 1
             hit = self.token[node] >= 0
             token[at[hit]], length[at[hit]] = self.token[node[hit]], step
+            inside = at + step < ends[at]
+            at, node = at[inside], node[inside]
+            node = self.step(node, flat[at + step])
+            at, node, step = at[node >= 0], node[node >= 0], step + 1
         starts = sizes.cumsum() - sizes
         word, at = np.arange(len(sizes))[sizes > 0], starts[sizes > 0]
         picked = []
@@ -294,14 +304,19 @@ class Codec(dict):
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        from tokenizers import Tokenizer
-        self.merger = Merger(path)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path, self.merger = path, Merger(path)
         self.lower = bool(self.merger.suffix)    # lower case, blanks dropped
         self.marks = list(self.merger.special.values())
 
+    @cached_property
+    def library(self):
+        """The tokenizers library; loaded with the first text that needs it."""
+        from tokenizers import Tokenizer
+        own = Tokenizer.from_file(self.path)
+        own.no_truncation()
+        own.no_padding()
+        return own
+
     def by_library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
@@ -371,7 +386,7 @@ def encoded(docs: DataFrame, path: str, schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            for part in pieces(batch, text, 4096):
+            for part in pieces(batch, text, 1024):
                 texts = [t or "" for t in part.column(len(names)).to_pylist()]
                 at, made = [], []
                 for k, ids in enumerate(own.encode_texts(texts)):
