@@ -63,8 +63,9 @@ FOLD = ("list_sum(list_transform(list_filter(embedding, lambda x, i: i % 3 = {})
 def q_softmax_polarity(spark, sf_dir):
     """Three logits from the whole vector: every third component is added up."""
     e = FX.table(spark, sf_dir, "embeddings")
-    fold = [F.aggregate(F.filter("embedding", lambda x, i, k=k: i % 3 == k), F.lit(0.0),
-                        lambda acc, x: acc + x.cast("double")) for k in range(3)]
+    add = lambda acc, x: acc + x.cast("double")
+    third = lambda k: F.filter("embedding", lambda x, i: i % 3 == k)
+    fold = [F.aggregate(third(k), F.lit(0.0), add) for k in range(3)]
     return rounded(e.select("vec_id", TX.softmax_polarity(F.array(*fold)).alias("polarity")))
 
 
