@@ -15,31 +15,45 @@ from tidemark.plans import oracle as O
 from tidemark.plans.q_news import daily
 from tidemark.plans.q_stock import panel_inputs
 from tidemark.plans.registry import register, rounded
+from tidemark.sources import fixtures as FX
 
 TARGET_METRICS = ("log_return_1d", "log_return_3d", "log_return_5d",
                   "zscore_1d", "rank_1d", "direction_1d")
 
 
-def dataset(spark, sf_dir, source="orders"):
+def spine(spark, lo, hi):
+    """The dates of a lag table: every calendar day between two date columns."""
+    return spark.range(1).select(P.calendar_spine(lo, hi).alias("localDate"))
+
+
+def dataset(spark, sf_dir, source="orders", dates_only=False):
     """(panel, targets, lagged, aligned dates, symbols) for a bar source; the
-    lag table spans the panel's dates."""
+    lag table spans the panel's dates.
+
+    With ``dates_only`` targets and lag table stand for their dates alone:
+    alignment reads date columns, not the ranks and texts behind them."""
     b, s, d = panel_inputs(spark, sf_dir, source)
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel)
     lo = d.select(F.min("localDate")).scalar()
     hi = d.select(F.date_add(F.max("localDate"), 1)).scalar()
-    lagged = RU.lagged_features(daily(spark, sf_dir, source=source), start=lo, end=hi)
+    if dates_only:
+        targets, lagged = TG.log_returns(panel), spine(spark, lo, hi)
+    else:
+        targets = TG.daily_targets(panel)
+        lagged = RU.lagged_features(daily(spark, sf_dir, source=source), start=lo, end=hi)
     aligned = DS.common_dates(panel, lagged, targets)
     return panel, targets, lagged, aligned, s
 
 
-def events_dataset(spark, sf_dir):
-    """Events panel with the news lag table over the articles' own range."""
+def events_dates(spark, sf_dir):
+    """(panel, targets, lagged) of the events, the last two by their dates: the
+    lag table spans the articles' own days and the one after."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
     panel = P.dense_panel(b, s, d)
-    targets = TG.daily_targets(panel)
-    lagged = RU.lagged_features(daily(spark, sf_dir))
-    return panel, targets, lagged, s
+    days = FX.articles(spark, sf_dir).select("localDate")
+    lo = days.select(F.min("localDate")).scalar()
+    hi = days.select(F.date_add(F.max("localDate"), 1)).scalar()
+    return panel, TG.log_returns(panel), spine(spark, lo, hi)
 
 
 EVENTS_NEWS = (O.target_chain(O.BARS_EVENTS) + O.NEWS_CHAIN[:] +
@@ -50,7 +64,7 @@ EVENTS_NEWS = (O.target_chain(O.BARS_EVENTS) + O.NEWS_CHAIN[:] +
 SELECT localDate FROM tdates WHERE localDate IN (SELECT localDate FROM spine)
   AND localDate IN (SELECT localDate FROM targets)""")
 def q_align_dates(spark, sf_dir):
-    panel, targets, lagged, _ = events_dataset(spark, sf_dir)
+    panel, targets, lagged = events_dates(spark, sf_dir)
     return DS.common_dates(panel, lagged, targets)
 
 
@@ -58,7 +72,7 @@ def q_align_dates(spark, sf_dir):
 SELECT localDate FROM tdates INTERSECT SELECT localDate FROM spine
 INTERSECT SELECT localDate FROM targets""")
 def q_intersect_dates(spark, sf_dir):
-    panel, targets, lagged, _ = events_dataset(spark, sf_dir)
+    panel, targets, lagged = events_dates(spark, sf_dir)
     return DS.intersect_dates(panel, lagged, targets)
 
 
@@ -70,7 +84,7 @@ FROM (SELECT coalesce(p.localDate, s.localDate) AS localDate,
              p.localDate IS NOT NULL AS c
       FROM tdates p FULL OUTER JOIN spine s ON p.localDate = s.localDate)""")
 def q_alignment_check(spark, sf_dir):
-    panel, targets, lagged, _ = events_dataset(spark, sf_dir)
+    panel, targets, lagged = events_dates(spark, sf_dir)
     return DS.alignment_report(panel, lagged, targets, check=True)
 
 
@@ -82,7 +96,7 @@ SELECT localDate, 'train' AS split FROM idx WHERE t < n - CAST(floor(n * 0.2) AS
 UNION ALL
 SELECT localDate, 'validation' AS split FROM idx WHERE t >= n - CAST(floor(n * 0.2) AS BIGINT) - 30""")
 def q_chrono_split(spark, sf_dir):
-    *_, aligned, _ = dataset(spark, sf_dir)
+    *_, aligned, _ = dataset(spark, sf_dir, dates_only=True)
     return DS.chrono_split(DS.date_index(aligned), C.WINDOW_SIZE).select("localDate", "split")
 
 
@@ -94,7 +108,7 @@ SELECT a.localDate, a.id, CAST(f.t - a.t + 30 AS INTEGER) AS k, f.localDate AS d
 FROM pl a JOIN pl f ON f.id = a.id AND f.t >= a.t - 30 AND f.t < a.t
 WHERE a.t >= 30""")
 def q_sliding_windows(spark, sf_dir):
-    panel, _, _, aligned, _ = dataset(spark, sf_dir)
+    panel, _, _, aligned, _ = dataset(spark, sf_dir, dates_only=True)
     (p,) = DS.align(aligned, panel)
     w = DS.sliding_windows(p, C.WINDOW_SIZE)
     e = w.select("localDate", "id", F.posexplode("window").alias("k", "r"))
@@ -131,7 +145,7 @@ SELECT a.localDate, CAST(f.t - a.t + 30 AS INTEGER) AS step, a.pos AS sym,
 FROM pl a JOIN pl f ON f.id = a.id AND f.t >= a.t - 30 AND f.t < a.t
 WHERE a.t >= 30""")
 def q_window_tensor(spark, sf_dir):
-    panel, _, _, aligned, symbols = dataset(spark, sf_dir)
+    panel, _, _, aligned, symbols = dataset(spark, sf_dir, dates_only=True)
     (p,) = DS.align(aligned, panel)
     tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE))
     steps = tens.select("localDate", "block", F.posexplode("tensor").alias("step", "syms"))
@@ -146,7 +160,7 @@ def q_window_tensor(spark, sf_dir):
 SELECT localDate, CAST(floor(r / 32) AS BIGINT) AS batch FROM s
 WHERE floor(r / 32) < (SELECT count(*) FROM s) // 32""")
 def q_batches(spark, sf_dir):
-    *_, aligned, _ = dataset(spark, sf_dir)
+    *_, aligned, _ = dataset(spark, sf_dir, dates_only=True)
     idx = DS.date_index(aligned)
     split = DS.chrono_split(idx, C.WINDOW_SIZE)
     train = split.filter((F.col("split") == "train") & (F.col("t") >= C.WINDOW_SIZE))
@@ -211,7 +225,6 @@ FROM symbols s CROSS JOIN (VALUES (1, 'close'), (2, 'high'), (3, 'low'), (4, 'op
 def q_wide_schema_builder(spark, sf_dir):
     """Generated column list of the wide feature table, from the symbol
     dimension (computed as a DataFrame, not on the driver)."""
-    from tidemark.sources import fixtures as FX
     s = FX.symbols_from_bars(FX.bars_orders(spark, sf_dir))
     feats = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(f).alias("f"))
                       for i, f in enumerate(DS.FEATURES)])
@@ -248,7 +261,6 @@ def q_union_strict(spark, sf_dir):
 SELECT DISTINCT localDate FROM articles EXCEPT
 SELECT DISTINCT localDate FROM articles WHERE localDate <= DATE '2024-01-20'""")
 def q_unprocessed_dates(spark, sf_dir):
-    from tidemark.sources import fixtures as FX
     raw = FX.articles(spark, sf_dir).select("localDate")
     processed = raw.filter(F.col("localDate") <= F.lit("2024-01-20").cast("date"))
     return DS.unprocessed_dates(raw, processed)
