@@ -63,8 +63,21 @@ def test_empty_and_alone(spark):
 def test_index_round_trip():
     x = clustered(700, 8, 2)
     graph = ann.Graph.build(x.astype(np.float64))
-    ids, vectors, back = ann.unpack_graph(ann.pack_graph(0, np.arange(700), x, graph))
-    assert (vectors == x).all() and ids.tolist() == list(range(700))
+    ids, ends, vectors, back = ann.unpack_graph(ann.pack_graph(
+        0, np.arange(700), np.arange(700) + 1, x, graph))
+    assert (vectors == x).all() and ids.tolist() == list(range(700)) == (ends - 1).tolist()
     q = x[:50].astype(np.float64)
     assert (graph.search(q, 32) == back.search(q, 32)).all()
     assert len(graph.layers) > 1 and (graph.layers[0][:700] >= 0).any(axis=1).all()
+
+
+def test_equal_vectors_go_by_their_ids(spark):
+    """A third of the rows share one vector: the smallest ids are the answer."""
+    x = clustered(1500, 16, 4)
+    x[::3] = 3 * x[0]
+    got = ann.nearest(frame(spark, range(1500), x), ann.F.col("vec_id") % 300 == 0,
+                      shard_rows=500).collect()
+    same = list(range(0, 1500, 3))
+    for q in range(0, 1500, 300):
+        own = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert own == [i for i in same if i != q][:20]

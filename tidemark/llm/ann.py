@@ -10,7 +10,9 @@ chosen by the usual rule that a neighbour must be nearer to the node than to
 the neighbours taken before. The largest inner product is made a distance by one
 more component that brings all vectors of a shard to one norm. The graphs are
 written to the shared folder; every query is sent to every shard, scored exactly
-in double precision, and the shards' best are merged by rank.
+in double precision, and the shards' best are merged by rank. Equal vectors of a shard are
+one node with a list of ids, so a vector that many rows share neither fills the neighbour
+lists nor hides the smallest ids.
 
 Memory of a task: one shard and a block of queries.
 
@@ -219,24 +221,36 @@ class Graph:
         return beam_search(self.layers[0], self.points, lifted, entry, beam)[0]
 
 
-INDEX = ("shard int, n int, dim int, ids binary, vectors binary, levels int, "
+INDEX = ("shard int, n int, dim int, ids binary, id_ends binary, vectors binary, levels int, "
          "members binary, member_ends binary, links binary")
 
 
-def pack_graph(shard: int, ids: np.ndarray, vectors: np.ndarray, graph: Graph) -> dict:
+def distinct_vectors(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(ids, id_ends, vectors): each different vector once, with its ids in order."""
+    vectors = np.ascontiguousarray(vectors + 0.0)          # -0.0 is 0.0
+    rows = vectors.view(f"V{vectors.itemsize * vectors.shape[1]}").ravel()
+    _, first, node = np.unique(rows, return_index=True, return_inverse=True)
+    pairs = np.unique(np.column_stack([node.ravel(), ids]), axis=0)
+    return pairs[:, 1], np.bincount(pairs[:, 0]).cumsum(), vectors[first]
+
+
+def pack_graph(shard: int, ids: np.ndarray, id_ends: np.ndarray, vectors: np.ndarray,
+               graph: Graph) -> dict:
     """Flat arrays of one shard: layer 0 for all nodes, upper layers for members."""
     rows = [layer[m].ravel() for layer, m in zip(graph.layers, graph.members)]
-    return {"shard": shard, "n": len(ids), "dim": vectors.shape[1],
-            "ids": ids.astype("<i8").tobytes(), "vectors": vectors.astype("<f8").tobytes(),
+    return {"shard": shard, "n": len(vectors), "dim": vectors.shape[1],
+            "ids": ids.astype("<i8").tobytes(), "id_ends": id_ends.astype("<i8").tobytes(),
+            "vectors": vectors.astype("<f8").tobytes(),
             "levels": len(rows),
             "members": np.concatenate(graph.members).astype("<i4").tobytes(),
             "member_ends": np.cumsum([len(m) for m in graph.members]).astype("<i4").tobytes(),
             "links": np.concatenate(rows).astype("<i4").tobytes()}
 
 
-def unpack_graph(row: dict) -> tuple[np.ndarray, np.ndarray, Graph]:
+def unpack_graph(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+    """(ids, id_ends, vectors, graph)"""
     n, dim = row["n"], row["dim"]
-    ids = np.frombuffer(row["ids"], "<i8")
+    ids, id_ends = (np.frombuffer(row[c], "<i8") for c in ("ids", "id_ends"))
     vectors = np.frombuffer(row["vectors"], "<f8").reshape(n, dim)
     norms = np.einsum("nd,nd->n", vectors, vectors)
     lift = np.sqrt(np.maximum(norms.max() - norms, 0))
@@ -252,7 +266,7 @@ def unpack_graph(row: dict) -> tuple[np.ndarray, np.ndarray, Graph]:
         at += width * len(own)
         graph.layers.append(layer)
         graph.members.append(own)
-    return ids, vectors, graph
+    return ids, id_ends, vectors, graph
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -263,12 +277,8 @@ def _build(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBat
     """Rows (shard, vec_id, vector) in order of shard; one index row a shard."""
 
     def index(shard: int, ids: list, parts: list) -> pa.RecordBatch:
-        ids, vectors = np.concatenate(ids), np.concatenate(parts)
-        whole = np.column_stack([ids.view(np.uint8).reshape(len(ids), 8),
-                                 vectors.view(np.uint8).reshape(len(ids), -1)])
-        first = np.sort(np.unique(whole, axis=0, return_index=True)[1])
-        ids, vectors = ids[first], vectors[first]
-        row = pack_graph(shard, ids, vectors, Graph.build(vectors))
+        ids, ends, vectors = distinct_vectors(np.concatenate(ids), np.concatenate(parts))
+        row = pack_graph(shard, ids, ends, vectors, Graph.build(vectors))
         return pa.RecordBatch.from_pylist([row], pa.schema(
             [(c.split()[0], pa.int32() if c.split()[1] == "int" else pa.binary())
              for c in INDEX.split(", ")]))
@@ -304,7 +314,13 @@ def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.
             if a == b:
                 continue
             if not is_query[a]:       # of several shards without queries only the last counts
-                ids, vectors, graph = unpack_graph(part.slice(b - a - 1).to_pylist()[0])
+                ids, ends, vectors, graph = unpack_graph(part.slice(b - a - 1).to_pylist()[0])
+                # of equal vectors only the first ids can be among the best (one is the
+                # query's own at most)
+                starts = np.r_[0, ends[:-1]]
+                place = starts[:, None] + np.arange(min(k + 1, int((ends - starts).max())))
+                heads = np.where(place < ends[:, None], ids[np.minimum(place, len(ids) - 1)], -1)
+                used = place < ends[:, None]
                 continue
             get = lambda c: part.column(part.schema.get_field_index(c))
             own, wanted = get("query_id").to_numpy(), _matrix(get("query"), dim).astype(np.float64)
@@ -312,12 +328,15 @@ def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.
                 q, who = wanted[at:at + BATCH], own[at:at + BATCH]
                 near = graph.search(q)
                 exact = np.einsum("qd,qkd->qk", q, vectors[near])
-                exact[(near < 0) | (ids[near] == who[:, None])] = -np.inf
-                order = np.lexsort((ids[near], -exact), axis=1)[:, :k]
-                near, exact = (np.take_along_axis(x, order, axis=1) for x in (near, exact))
+                found = heads[near].reshape(len(q), -1)
+                real = (used[near] & (near >= 0)[:, :, None]).reshape(len(q), -1)
+                exact = np.repeat(exact, heads.shape[1], axis=1)
+                exact[~real | (found == who[:, None])] = -np.inf
+                order = np.lexsort((found, -exact), axis=1)[:, :k]
+                found, exact = (np.take_along_axis(x, order, axis=1) for x in (found, exact))
                 r, c = np.nonzero(~np.isneginf(exact))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(who[r]), pa.array(ids[near[r, c]]), pa.array(exact[r, c])],
+                    [pa.array(who[r]), pa.array(found[r, c]), pa.array(exact[r, c])],
                     ["query_id", "vec_id", "score"])
 
 
