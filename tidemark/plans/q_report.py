@@ -86,7 +86,7 @@ def q_asof_latest_before(spark, sf_dir):
     return AO.latest_before(query_dates(spark, d), d, count=1).select("query_date", "localDate")
 
 
-@register("trailing_window", O.with_(O.BARS_ORDERS, O.TDATES_ANY, QDATES.replace("+ 14", "+ 60")) + """,
+@register("trailing_window", O.with_(O.BARS_ORDERS, O.TDATES_ANY, QDATES.replace("+ 14", "+ 120")) + """,
 ends AS (SELECT DISTINCT (SELECT max(localDate) FROM tdates t WHERE t.localDate < q.query_date) AS end_date
          FROM qd q)
 SELECT end_date, CAST(29 - k AS INTEGER) AS step, localDate FROM (
@@ -95,7 +95,7 @@ SELECT end_date, CAST(29 - k AS INTEGER) AS step, localDate FROM (
   FROM ends e JOIN tdates t ON t.localDate <= e.end_date) WHERE k < 30""")
 def q_trailing_window(spark, sf_dir):
     _, _, d = panel_inputs(spark, sf_dir, "orders")
-    ends = AO.latest_before(query_dates(spark, d, 60), d, count=1).select(
+    ends = AO.latest_before(query_dates(spark, d, 120), d, count=1).select(
         F.col("localDate").alias("end_date")).distinct()
     return AO.trailing_window(ends, d, C.WINDOW_SIZE)
 
