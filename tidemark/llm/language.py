@@ -38,7 +38,8 @@ SLOTS = 1 << 17           # hashed trigrams
 MIN_RANGE_SHARE = 0.01    # of a language's words, to count a script range as its own
 SWITCH = 6.0              # penalty of a language change, in nats
 FLOOR = -9.0              # lowest log-odds that one word can carry
-CACHE_WORDS = 400_000     # distinct words a task remembers at once
+CACHE_WORDS = 300_000     # distinct words a task remembers at once
+BLOCK = 16_384            # new words that are scored together
 
 #: First code point of each script range; a range ends where the next begins.
 RANGES = (
@@ -98,15 +99,19 @@ class Words(dict):
         return at
 
     def score(self) -> None:
-        """Log-odds of the new words over their candidates."""
-        if not self.new:
-            return
+        """Log-odds of the new words over their candidates, some thousands at a time."""
+        made = [self._odds(self.new[a:a + BLOCK]) for a in range(0, len(self.new), BLOCK)]
+        self.scores = np.concatenate([self.scores, *[m[0] for m in made]])
+        self.known = np.concatenate([self.known, *[m[1] for m in made]])
+        self.new = []
+
+    def _odds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         model = self.model
-        grams = [slots(w) for w in self.new]
+        grams = [slots(w) for w in words]
         sizes = np.fromiter(map(len, grams), np.int64, len(grams))
         flat = np.fromiter((s for g in grams for s in g), np.int64, int(sizes.sum()))
         sums = np.add.reduceat(model.logs[flat], np.r_[0, sizes.cumsum()[:-1]], axis=0)
-        bits = np.fromiter(map(script_ranges, self.new), np.int64, len(self.new))
+        bits = np.fromiter(map(script_ranges, words), np.int64, len(words))
         used = (bits[:, None] >> np.arange(len(RANGES))) & 1 > 0
         every = ~(used[:, :, None] & ~model.ranges[None]).any(axis=1)
         some = (used[:, :, None] & model.ranges[None]).any(axis=1)
@@ -117,9 +122,7 @@ class Words(dict):
         with np.errstate(invalid="ignore", divide="ignore"):
             odds = sums - top - np.log(np.exp(sums - top).sum(axis=1, keepdims=True))
         odds = np.where(known[:, None], np.maximum(odds, FLOOR), 0)
-        self.scores = np.concatenate([self.scores, odds.astype(np.float32)])
-        self.known = np.concatenate([self.known, known])
-        self.new = []
+        return odds.astype(np.float32), known
 
 
 def viterbi(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
@@ -159,28 +162,30 @@ def viterbi(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
     return labels
 
 
-def label_texts(texts: list[str | None], table: Words, spans: bool) -> list[tuple]:
+def label_texts(texts: Iterable[str | None], table: Words, spans: bool) -> list[tuple]:
     """(language, score, spans) of each text."""
     model = table.model
     n = len(model.languages)
-    if not n or not texts:
-        return [("und", 0.0, [])] * len(texts)
     # words become numbers text by text, so only distinct words stay as strings
     number = table.__getitem__
     rows = [np.fromiter(map(number, words_of(t)), np.int32) for t in texts]
+    if not n or not rows:
+        table.clear()
+        table.new = []
+        return [("und", 0.0, [])] * len(rows)
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     ids = np.concatenate(rows)
     del rows
     table.score()
     some = np.flatnonzero(sizes)
     labels = viterbi(table.scores, ids, sizes[some])
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    known = table.known[ids]
-    votes = np.bincount(doc[known] * n + labels[known], minlength=len(texts) * n)
-    votes = votes.reshape(len(texts), n)
     first = np.r_[0, sizes.cumsum()]
+    votes = np.zeros((len(sizes), n), np.int64)
+    for lang in range(n):
+        won = np.r_[0, (table.known[ids] & (labels == lang)).cumsum()]
+        votes[:, lang] = won[first[1:]] - won[first[:-1]]
     out = []
-    for k in range(len(texts)):
+    for k in range(len(sizes)):
         if not sizes[k]:
             out.append(("und", 0.0, []))
             continue
@@ -273,7 +278,9 @@ def label(docs: DataFrame, model: Model, text: str = "text", spans: bool = True,
         table = Words(shared.value)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(column))
-            found = label_texts((texts.field(inner) if inner else texts).to_pylist(), table, spans)
+            texts = texts.field(inner) if inner else texts
+            each = (t for at in range(0, len(texts), 512) for t in texts.slice(at, 512).to_pylist())
+            found = label_texts(each, table, spans)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(batch.schema.get_field_index(c)) for c in names], *[pa.array([f[i] for f in found], kind)
                                    for i, (_, kind, _) in enumerate(added)]],
