@@ -1,4 +1,6 @@
-"""The registered queries of the training-data operators and their SQL."""
+"""The registered queries of the training-data operators and their SQL.
+
+Each applies one operator, with its production parameters, to a whole table."""
 
 from __future__ import annotations
 
@@ -6,20 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, language, licenses, packing, quality, simhash, sql, token_counts, url_filter, warc
+from tidemark.llm import (ann, bpe, language, licenses, packing, quality, simhash, sql,
+                          token_counts, url_filter, warc)
 from tidemark.llm.common import table
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(fn, oracle: str | None = None):
-    QUERIES[fn.__name__] = fn
-    if oracle:
-        ORACLE[fn.__name__] = oracle
-    return fn
-
-
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -65,13 +57,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-query(op1_url_filter, sql.URLS)
-query(op2_ann)
-query(op3_simhash_near_dedup)
-query(op4_token_counts)
-query(op5_language_id)
-query(op6_bpe_encode_decode)
-query(op7_warc, sql.WARC)
-query(op8_packing)
-query(op9_quality_rules, sql.QUALITY)
-query(op10_license_scan)
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_ann, op3_simhash_near_dedup, op4_token_counts, op5_language_id,
+    op6_bpe_encode_decode, op7_warc, op8_packing, op9_quality_rules, op10_license_scan)}
+
+#: DuckDB SQL with the same rows; the other queries are tested against brute force.
+ORACLE = {"op1_url_filter": sql.URLS, "op7_warc": sql.WARC, "op9_quality_rules": sql.QUALITY}
