@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -61,3 +62,24 @@ def test_all_null_columns(spark):
                                  (("doc_id", "long"), ("text", "string"), ("source", "string"))])
     rows = quality.quality_rules(df).collect()
     assert len(rows) == 3 and all(r["base_failed"] and not r["kept"] for r in rows)
+
+
+def test_different_documents_sharing_many_lines(spark):
+    """Removed words equal a brute-force count of different documents a line."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    line = lambda: " ".join(word() for _ in range(12))
+    shared, head, foot = [line() for _ in range(18)], line(), line()
+    texts = [rng.sample(shared, 9) for _ in range(200)]                        # menus
+    texts += [[head, *[line() for _ in range(k % 3 + 4)], foot] for k in range(30)]
+    texts += [texts[0]] * 40 + [[line(), *texts[200][1:]]] * 40                # exact copies
+    rows = [(i, "\n".join(t), "a") for i, t in enumerate(texts)]
+    holders = Counter(x for t in {frozenset(t) for t in texts} for x in t)
+    often = {x for x, n in holders.items() if n > quality.LINE_DOCS}
+    assert often == {*shared, head, foot}
+    want = {i: sum(12 for x in t if x in often) for i, t in enumerate(texts)}
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
+    assert {i: r["removed_words"] for i, r in got.items()} == want
+    assert {i for i, r in got.items() if r["kept"]} == \
+        set(range(200, 230)) | set(range(270, 310))

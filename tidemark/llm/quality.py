@@ -6,10 +6,9 @@ shared folder. All later steps read that narrow table.
 
 A line is normalised (A-Z lower-cased, digits to 0, runs of white space to one
 space) and hashed. For each host the number of distinct documents holding a
-line is counted. Documents count as the same for a line when the smallest key of
-their other lines is the same (a document of one line: that line), so exact copies
-and most near copies of one document count once and do not make each other's
-lines look like boilerplate. Lines above the host's limit are taken out, and a document left
+line is counted. Documents count as the same when the whole sets of their line keys
+are the same, so exact copies count once and do not make each other's lines look
+like boilerplate. Lines above the host's limit are taken out, and a document left
 with too few of its words is rejected.
 
 Defined results: null or empty text has no words and fails the base rules;
@@ -96,12 +95,7 @@ def judged(docs: DataFrame, keep: dict[str, Column], text: str = "text",
         "_row", F.monotonically_increasing_id()), "quality")
 
     keys = F.array_sort(F.array_distinct(F.transform("lines", lambda e: e["key"])))
-    lines = rows.select("_row", "_host", keys.alias("_keys"), "lines").select(
-        "_row", "_host", F.get("_keys", F.lit(0)).alias("_a"),
-        F.coalesce(F.get("_keys", F.lit(1)), F.get("_keys", F.lit(0))).alias("_b"),
-        F.inline("lines"))
-    lines = lines.withColumn("_doc", F.when(F.col("key") == F.col("_a"), F.col("_b"))
-                             .otherwise(F.col("_a")))
+    lines = rows.select("_row", "_host", F.xxhash64(keys).alias("_doc"), F.inline("lines"))
     found = lines.select("_host", "key", "_doc").distinct().groupBy("_host", "key").agg(
         F.count(F.lit(1)).alias("docs"))
     size = rows.groupBy("_host").agg((F.count(F.lit(1)) * F.lit(line_share)).alias("share"))
