@@ -213,23 +213,60 @@ HI = "(SELECT max(localDate) FROM aligned)"
 SELECT d.localDate, s.id AS symbol, true AS predicted
 FROM ({days_sql(f"CAST({HI} - 20 AS DATE)", HI)}) d CROSS JOIN symbols s""")
 def q_predict_pending(spark, sf_dir):
-    """Every pending weekday in one job: as-of end date, trailing windows, features,
-    the best registered model's heads, unscale, write partitions; read back
-    with a flag that all six heads are finite numbers."""
-    root = scratch_path(spark, "model")
-    panel, targets, lagged, aligned, symbols = dataset(spark, sf_dir)
-    train, val, _ = MD.training_samples(panel, targets, lagged, aligned, C.WINDOW_SIZE)
-    models, _, score_text = MD.fit_and_score(train, val)
-    MD.save_heads(models, f"{root}/score={score_text}")
-    models = MD.load_heads(MD.best_model_dir(spark, root))
+    """The newest pending weekdays as the SQL has them: as-of end date, trailing windows,
+    features, the best registered model's heads, unscale, write partitions; read back
+    with a flag that all six heads are finite numbers. ``predict_pending_heads`` is the
+    whole job."""
+    models, _, (panel, lagged, aligned) = train_and_register(spark, sf_dir, scratch_path(spark, "model"))
     hi = aligned.select(F.max("localDate")).scalar()
-    days = D.calendar_days(D.next_weekday(F.date_sub(hi, 20)), D.next_weekday(hi))
-    pending = spark.range(1).select(F.explode(days).alias("query_date")).filter(
-        D.is_weekday(F.col("query_date")))
-    out = MD.predict_for_dates(models, pending, panel, lagged, aligned)
+    out = MD.predict_for_dates(models, pending_days(spark, F.date_sub(hi, 20), hi),
+                               panel, lagged, aligned)
     path = scratch_path(spark, "inference")
     PQ.write_partitions(out, path)
     fine = F.lit(True)
     for h in HEADS:
         fine = fine & F.col(h).isNotNull() & ~F.isnan(h)
     return spark.read.parquet(path).select("localDate", "symbol", fine.alias("predicted"))
+
+
+def train_and_register(spark, sf_dir, root: str):
+    """Fit, score and save the heads: (the best registered model's heads, the last date
+    trained on, (panel, lagged, aligned dates))."""
+    panel, targets, lagged, aligned, _ = dataset(spark, sf_dir)
+    train, val, _ = MD.training_samples(panel, targets, lagged, aligned, C.WINDOW_SIZE)
+    models, _, score_text = MD.fit_and_score(train, val)
+    MD.save_heads(models, f"{root}/score={score_text}")
+    trained = train.agg(F.max("localDate")).first()[0]
+    return MD.load_heads(MD.best_model_dir(spark, root)), trained, (panel, lagged, aligned)
+
+
+def pending_days(spark, after, last):
+    """(query_date): weekdays from the one after ``after`` to the one after ``last``."""
+    days = D.calendar_days(D.next_weekday(after), D.next_weekday(last))
+    return spark.range(1).select(F.explode(days).alias("query_date")).filter(
+        D.is_weekday(F.col("query_date")))
+
+
+@register("predict_pending_heads")
+def q_predict_pending_heads(spark, sf_dir, root: str | None = None):
+    """Every pending weekday in one job, with its six heads: from the weekday after the
+    last date trained on to the weekday after the watermark. (No SQL: the heads are
+    fitted; tested by brute force.)"""
+    models, trained, (panel, lagged, aligned) = train_and_register(
+        spark, sf_dir, root or scratch_path(spark, "model"))
+    hi = aligned.select(F.max("localDate")).scalar()
+    out = MD.predict_for_dates(models, pending_days(spark, F.lit(trained), hi),
+                               panel, lagged, aligned)
+    path = scratch_path(spark, "inference")
+    PQ.write_partitions(out, path)
+    return spark.read.parquet(path).select("localDate", "symbol", *C.INFERENCE_METRICS)
+
+
+@register("train_heads_losses")
+def q_train_heads_losses(spark, sf_dir, root: str | None = None):
+    """Validation loss of each head and the normalised score of the models that
+    ``train_heads`` fits, unrounded. (No SQL: the heads are fitted.)"""
+    train, val, *_ = training_frames(spark, sf_dir)
+    models, losses, score_text = MD.fit_and_score(train, val)
+    MD.save_heads(models, f"{root or scratch_path(spark, 'model')}/score={score_text}")
+    return losses
