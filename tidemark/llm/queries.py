@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, bpe, language, licenses, packing, quality, simhash, sql,
-                          token_counts, url_filter, warc)
+from tidemark.llm import (alignment, ann, bpe, language, licenses, packing, prefix_trie, quality,
+                          simhash, sql, token_counts, token_files, url_filter, warc)
 from tidemark.llm.common import table
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +57,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_nodes(table(spark, sf_dir, "conversations", "conv_id", "turn",
+                                           "role", "text"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents", "doc_id", "text"),
+                           public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_ann, op3_simhash_near_dedup, op4_token_counts, op5_language_id,
-    op6_bpe_encode_decode, op7_warc, op8_packing, op9_quality_rules, op10_license_scan)}
+    op6_bpe_encode_decode, op7_warc, op8_packing, op9_quality_rules, op10_license_scan, op11_token_files, op12_prefix_trie,
+    op13_tokenizer_alignment)}
 
 #: DuckDB SQL with the same rows; the other queries are tested against brute force.
 ORACLE = {"op1_url_filter": sql.URLS, "op7_warc": sql.WARC, "op9_quality_rules": sql.QUALITY}
