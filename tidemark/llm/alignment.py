@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise, pieces
 from tidemark.llm.encoders import ByteEncoder, byte_encoder
 
-BLOCK_BYTES = 4 << 20       # text of a block, one text at least
-BLOCK_LINKS = 1 << 22       # distinct (group, A id, B id) of a block, one A id at least
+BLOCK_BYTES = 2 << 20       # text of a block, one text at least
+BLOCK_LINKS = 1 << 21       # distinct (group, A id, B id) of a block, one A id at least
 IDS = 1 << 21               # ids of either vocabulary are smaller
 SEPARATORS = (",", "|", ";", "")
 
@@ -179,12 +179,13 @@ class Aligned:
             at = np.repeat(np.arange(lo, hi), r)
             inner = np.arange(len(at)) - np.repeat(r.cumsum() - r, r)
             other = first_b[ga[at]] + inner
-            text, pair = self.text_of_group[ga[at]], a[at] * IDS + b[other]
+            # a block has fewer texts than a vocabulary may have ids
+            key = (self.text_of_group[ga[at]] * IDS + a[at]) * IDS + b[other]
             links = na[at] * nb[other]
-            order = np.lexsort((pair, text))
-            text, pair, links = text[order], pair[order], links[order]
-            at = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])
-            yield text[at], pair[at], np.add.reduceat(links, at)
+            order = np.argsort(key)
+            key, links = key[order], links[order]
+            at = run_starts(key)
+            yield key[at] // (IDS * IDS), key[at] % (IDS * IDS), np.add.reduceat(links, at)
 
 
 def shown_ids(a: np.ndarray, b: np.ndarray) -> int:
