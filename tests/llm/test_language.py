@@ -72,6 +72,62 @@ def test_edge_cases(docs, empty, spark, labelled):
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
 
 
+def test_words_are_letters_with_their_marks():
+    """Numbers that Unicode counts as word characters are no letters; marks split no word."""
+    assert L.words_of("½ ² ٣ x² 12 _ Ⅷ") == ["x"]
+    assert L.words_of("हिन्दी ne\u0301e É1a") == ["हिन्दी", "ne\u0301e", "é", "a"]
+    assert all("".join(L.words_of(chr(c))) == chr(c).lower() for c in range(0x2000)
+               if chr(c).isalpha())
+
+
+def test_more_languages_than_a_byte_counts(spark):
+    """Each of 150 languages has words of its own."""
+    rows = [(7 * n + j, " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}{x}" for x in "qwrtz"), f"l{n:03}")
+            for n in range(150) for j in range(7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = L.identify(df).join(df, "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got) and len(got) == 1050
+
+
+def brute_identify(model, text):
+    """(language, score) of one text, word by word in plain Python."""
+    words = L.words_of(text)
+    if not words:
+        return "und", 0.0
+    rows, known = [], []
+    for w in words:
+        used = {r for r in range(len(L.RANGES)) for c in w
+                if L.STARTS[r] <= ord(c) < [*L.STARTS[1:], 1 << 21][r]}
+        n = range(len(model.languages))
+        cand = [k for k in n if all(model.ranges[r, k] for r in used)] or [
+            k for k in n if any(model.ranges[r, k] for r in used)]
+        sums = {k: sum(float(model.logs[s, k]) for s in L.slots(w)) for k in cand}
+        top = max(sums.values(), default=0)
+        norm = sum(np.exp(v - top) for v in sums.values())
+        known.append(bool(cand))
+        rows.append([max(L.FLOOR, sums[k] - top - np.log(norm)) if k in sums
+                     else L.FLOOR if cand else 0.0 for k in n])
+    path = brute_viterbi(np.array(rows), list(range(len(words))), L.SWITCH)
+    votes = [sum(p == k and f for p, f in zip(path, known)) for k in range(len(model.languages))]
+    counted = sum(votes)
+    best = votes.index(max(votes)) if counted else model.common
+    return model.languages[best], votes[best] / max(counted, 1)
+
+
+def test_identify_against_brute_force(spark, labelled, docs):
+    """Candidates, scores, path and votes of every text, not the path alone."""
+    model = L.learn(labelled)
+    mixed = [" ".join(a.split()[:k] + b.split()[k:]) for a in SAMPLES.values()
+             for b in SAMPLES.values() for k in (0, 3, 8, 13)]
+    texts = mixed + [t for (t,) in docs.where("length(text) < 4000").select("text").collect()] + [
+        None, "", "½ 3", "ไทย", "дом ไทย house", "ñ brücke дом"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.label(df, model).collect()}
+    for k, text in enumerate(texts):
+        lang, score = brute_identify(model, text)
+        assert got[k] == (lang, pytest.approx(score)), text
+
+
 def test_script_ranges_narrow():
     assert L.script_ranges("abc") == 1
     assert bin(L.script_ranges("дом")).count("1") == 1 and L.script_ranges("дом") != 1

@@ -2,9 +2,11 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality
+from tidemark.llm.sql import QUALITY
 
 from .conftest import prose
 
@@ -43,6 +45,23 @@ def test_boilerplate_depletes_but_copies_do_not(spark):
     assert kept == set(range(100, 140)) | set(range(200, 260)) | {300}
 
 
+def test_sql_counts_whole_sets(spark):
+    """The registered SQL and the rows agree where different documents share several
+    lines, which made the SQL of an earlier rule undercount."""
+    rng = random.Random(5)
+    shared = [f"shared line {chr(97 + i)} of the host" for i in range(18)]
+    rows = [(i, "\n".join(rng.sample(shared, 9) + [prose(1000 + i, rng.choice([12, 60]))]),
+             "h" if i % 4 else None) for i in range(400)]
+    rows += [(400 + i, rows[0][1], "h") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    rel = con.sql(QUALITY)
+    got = quality.quality_rules(df).select(*rel.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(rel.fetchall())
+    assert sum(r["removed_words"] > 0 for r in got) > 400
+
+
 def test_keep_good_keeps_rows_whole(docs, empty):
     out = quality.keep_good(docs)
     assert out.columns == docs.columns

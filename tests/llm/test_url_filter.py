@@ -26,7 +26,7 @@ def brute(rows):
         if verdict is None:
             same = [p for (p, _), q in zip(rows, parts) if q == (host, path)]
             known = [p for p in same if p is not None]
-            first = min(known, default=-1)
+            first = min(known, default=None)
             verdict = "block" if host and len(same) > 1 and page != first else "allow"
         out.append((page, host, path, rule, verdict))
     return out
@@ -38,6 +38,8 @@ def sort(rows):
 
 def test_judge_matches_brute_force(spark):
     rows = [(k, u) for k, u in enumerate(URLS)] + [(None, "http://n.net/p"), (11, URLS[11])]
+    rows += [(None, "http://nobody.net/"), (None, "http://nobody.net/")]      # only null ids
+    rows += [(-1, "http://minus.net/"), (3, "http://minus.net/"), (-1, "http://nobody.net/x")]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows],
                                "page_id long, url string, host int, verdict int")
     assert sort(U.judge(df).collect()) == sort(brute(rows))
@@ -55,11 +57,11 @@ def test_given_list(spark):
 
 def test_collisions_never_count():
     array = U.DigestArray()
-    array.append(np.array([5, 5, 9]), [b"one", b"two", b""], np.array([1, 2, 3]))
-    array.append(np.array([12]), [b"last"], np.array([4]))
-    probes = [(5, b"two"), (5, b"three"), (5, b"one"), (9, b""), (7, b"one"), (12, b"last")]
+    array.append(np.array([5, 5, 9]), [b"one", b"two", b""], [1, 2, 3])
+    array.append(np.array([12, 13]), [b"last", b"none"], [4, None])
+    probes = [(5, b"two"), (5, b"three"), (5, b"one"), (9, b""), (7, b"one"), (12, b"last"), (13, b"none")]
     hits, found = array.probe(np.array([k for k, _ in probes]), [s for _, s in probes])
-    assert (hits, found) == ([0, 2, 3, 5], [2, 1, 3, 4])
+    assert (hits, found) == ([0, 2, 3, 5, 6], [2, 1, 3, 4, None])
     array.clear()
     assert array.probe(np.array([5]), [b"two"]) == ([], [])
 

@@ -11,6 +11,8 @@ Bounded sample: the model is fitted on about ``TRAIN_DOCS`` rows of each
 language, drawn evenly by a hash of the row (every row, while a language has
 fewer). Prediction reads every word of every text.
 
+A letter is what Unicode's category L holds; combining marks stay with their letter.
+
 Defined results: null text, or one without a letter, is ``und`` with score 0
 and no spans; with no labelled row everything is ``und``; letters of no learned
 script give the most frequent learned language with score 0; ties go to the
@@ -29,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,11 +55,17 @@ RANGES = (
     (0xAC00, "hangul"), (0xD800, "forms"), (0x20000, "han supplement"))
 STARTS = [first for first, _ in RANGES]
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A word: letters, each with the marks that belong to it. Fractions, superscripts and
+#: other numbers are no letters.
+PLAIN = re.compile("[a-z]+")
+LETTERS = regex.compile(r"(?:\p{L}\p{M}*+)++")
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    return (PLAIN if text.isascii() else LETTERS).findall(text)
 
 
 def script_ranges(word: str) -> int:
@@ -136,12 +145,14 @@ def viterbi(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[order], sizes[order]
     n = scores.shape[1]
-    labels = np.zeros(len(ids), np.int8)
+    labels = np.zeros(len(ids), np.int32)
     if n == 1 or not len(ids):
         return labels
     running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-    before = np.empty((len(ids), n), np.int8)
-    stay = np.arange(n, dtype=np.int8)
+    # the smallest type that holds every language
+    kind = np.min_scalar_type(n)
+    before = np.empty((len(ids), n), kind)
+    stay = np.arange(n, dtype=kind)
     best = np.zeros((len(sizes), n))
     for t, live in enumerate(running):
         at = starts[:live] + t
@@ -150,7 +161,7 @@ def viterbi(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
             top = now.argmax(axis=1)
             moved = now[np.arange(live), top][:, None] - penalty
             keep = now >= moved
-            before[at] = np.where(keep, stay, top[:, None].astype(np.int8))
+            before[at] = np.where(keep, stay, top[:, None].astype(kind))
             now = np.where(keep, now, moved)
         best[:live] = now + scores[ids[at]]
     state = best.argmax(axis=1)

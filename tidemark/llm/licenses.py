@@ -5,7 +5,8 @@ one automaton then finds, in one pass over the words joined by spaces, the base
 phrases, further notice phrases and the words of an SPDX identifier tag. Where
 the tag's words occur, the lines of the text that hold ``SPDX-License-Identifier:``
 are read: the expression goes through a shunting-yard parser (``WITH`` binds
-closer than ``AND``, ``AND`` closer than ``OR``) and is evaluated to a grade from 0
+closer than ``AND``, ``AND`` closer than ``OR``; it reads the longest beginning of
+the line that is an expression, so prose may follow) and is evaluated to a grade from 0
 (unknown terms) to 1 (permissive): ``AND`` takes the lower grade, ``OR`` the
 higher, ``WITH`` an exception lifts copyleft to the weak grade.
 
@@ -54,39 +55,48 @@ FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
 TAG_LINE = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
 TERM = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+|[^\s]")
 CLOSING = ("*/", "-->", "#}")
-
-
-def postfix(expression: str) -> list[str] | None:
-    """Postfix order of a licence expression; None when it is malformed."""
-    out, waiting, operand = [], [], True      # operand: one is due next
-    for term in TERM.findall(expression):
+#: Kinds of terms that may come after each kind; an exception follows one id.
+FOLLOWS = {"id": (")", "OR", "AND", "WITH"), "exception": (")", "OR", "AND"), ")": (")", "OR", "AND"),
+           "(": ("(", "id"), "OR": ("(", "id"), "AND": ("(", "id"), "WITH": ("id",)}
+
+
+def beginning(expression: str) -> list[str]:
+    """The terms of the longest beginning that is an expression; a sentence's full
+    stop or colon after an id is no part of it."""
+    terms = [t.rstrip(".:") or t for t in TERM.findall(expression)]
+    good, depth, before = 0, 0, "("      # before: what kind of term came last
+    for k, term in enumerate(terms):
+        kind = (term if term in "()" else term.upper() if term.upper() in BINDS
+                else "id" if term[0].isalnum() else "?")
+        if kind not in FOLLOWS[before]:
+            break
+        depth += (kind == "(") - (kind == ")")
+        if depth < 0:
+            break
+        before = "exception" if before == "WITH" else kind
+        if not depth and before in ("id", "exception", ")"):
+            good = k + 1
+    return terms[:good]
+
+
+def postfix(expression: str) -> list[str]:
+    """Postfix order of the licence expression that a text begins with; empty when it
+    begins with none."""
+    out, waiting = [], []
+    for term in beginning(expression):
+        name = term.upper()
         if term == "(":
-            if not operand:
-                return None
             waiting.append(term)
         elif term == ")":
-            if operand:
-                return None
-            while waiting and waiting[-1] != "(":
+            while waiting[-1] != "(":
                 out.append(waiting.pop())
-            if not waiting:
-                return None
             waiting.pop()
-        elif term.upper() in BINDS:
-            if operand:
-                return None
-            name = term.upper()
+        elif name in BINDS:
             while waiting and waiting[-1] != "(" and BINDS[waiting[-1]] >= BINDS[name]:
                 out.append(waiting.pop())
             waiting.append(name)
-            operand = True
         else:
-            if not operand or not term[0].isalnum():
-                return None
             out.append(term)
-            operand = False
-    if operand or "(" in waiting:
-        return None
     return out + waiting[::-1]
 
 
@@ -100,23 +110,21 @@ def grade_of(term: str) -> float:
 def evaluate(expression: str) -> tuple[list[str], float] | None:
     """Licence ids and grade of an expression; None when it is malformed."""
     terms = postfix(expression)
-    if terms is None:
+    if not terms:
         return None
     ids, stack = [], []
     for term in terms:
         if term not in BINDS:
-            stack.append((grade_of(term), term))
+            stack.append(grade_of(term))
             ids.append(term.lower())
             continue
-        (b, right), (a, left) = stack.pop(), stack.pop()
+        b, a = stack.pop(), stack.pop()
         if term == "WITH":
-            if not left or not right:         # an exception follows one id
-                return None
-            ids.remove(right.lower())
-            stack.append((max(a, GRADE["weak"]) if a else a, ""))
+            ids.pop()                        # the exception was read last
+            stack.append(max(a, GRADE["weak"]) if a else a)
         else:
-            stack.append((min(a, b) if term == "AND" else max(a, b), ""))
-    return ids, stack[0][0]
+            stack.append(min(a, b) if term == "AND" else max(a, b))
+    return ids, stack[0]
 
 
 def automaton():
@@ -134,11 +142,15 @@ def scan(text: bytes, found) -> tuple:
     words = [w for w in words if w] if b"" in words else words
     line = f" {b' '.join(words).decode('utf-8', 'replace')} "
     places, extra, base, labels = [], 0, set(), set()
-    tag = False
+    tag, at, before = False, 0, 0           # ``before`` spaces lie before ``at``
     for end, phrase in found.iter(line):
         if phrase in BASE:
             base.add(BASE[phrase])
-            places.append(line.count(" ", 0, end - len(phrase) - 1))
+            start = end - len(phrase) - 1
+            before += (line.count(" ", at, start) if start >= at
+                       else -line.count(" ", start, at))
+            at = start
+            places.append(before)
         elif phrase == TAG:
             tag = True
         else:

@@ -51,8 +51,8 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     has_word = lambda line: line.rlike(r"[^\x20\x09-\x0D]")
-    hash_of = lambda ws: F.conv(F.substring(F.md5(F.translate(
-        F.array_join(ws, " "), UPPER + DIGITS, UPPER.lower() + "0" * 10)), 1, 15), 16, 10)
+    hash_of = lambda ws: F.xxhash64(F.translate(
+        F.array_join(ws, " "), UPPER + DIGITS, UPPER.lower() + "0" * 10))
     no_longs = F.array().cast("array<bigint>")
     df = docs.withColumns({
         "word_chars": F.length(F.translate(t, SPACES, "")).cast("long"),
@@ -64,7 +64,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumns({
         "_words": F.flatten("_lw"),
         "lines": F.transform("_lw", lambda ws: F.struct(
-            hash_of(ws).cast("long").alias("key"), F.size(ws).alias("words")))})
+            hash_of(ws).alias("key"), F.size(ws).alias("words")))})
     df = df.withColumn("n_words", F.size("_words").cast("long"))
     df = df.withColumn("_h", F.when(F.col("n_words") >= 3, F.transform(
         F.sequence(F.lit(0), F.size("_words") - 3),

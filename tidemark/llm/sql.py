@@ -11,16 +11,15 @@ l AS (
   FROM (SELECT r, host, unnest(string_split(t, chr(10))) AS line FROM d)),
 lw AS (
   SELECT r, host, line, len(ws) AS words,
-         ('0x' || substr(md5(translate(array_to_string(ws, ' '),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789',
-            'abcdefghijklmnopqrstuvwxyz0000000000')), 1, 15))::BIGINT AS key
+         translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789',
+                   'abcdefghijklmnopqrstuvwxyz0000000000') AS key
   FROM l WHERE len(ws) > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY r),
-sig AS (SELECT r, list_sort(list(DISTINCT key)) AS ks FROM lw GROUP BY r),
+same AS (SELECT r, dense_rank() OVER (ORDER BY ks) AS doc
+         FROM (SELECT r, list_sort(list(DISTINCT key)) AS ks FROM lw GROUP BY r)),
 often AS (
   SELECT host, key FROM (
-    SELECT host, key, count(DISTINCT CASE WHEN key = ks[1] THEN coalesce(ks[2], key) ELSE ks[1] END)
-             AS docs FROM lw JOIN sig USING (r) GROUP BY host, key)
+    SELECT host, key, count(DISTINCT doc) AS docs FROM lw JOIN same USING (r) GROUP BY host, key)
   JOIN (SELECT host, count(*) AS n FROM d GROUP BY host) USING (host)
   WHERE docs > 20 AND docs > n * 0.001::DOUBLE),
 gone AS (SELECT r, sum(words) AS words FROM lw JOIN often USING (host, key) GROUP BY r),

@@ -12,8 +12,8 @@ never counts. Probes are made distinct before they are dealt out, so a url that
 pages share is probed once. The files have no name and vanish with the task.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
-fits no rule and is allowed; null ids are carried; repeated rows each get a
-row; an empty table or list gives no match; other columns are ignored.
+fits no rule and is allowed; null ids are carried, and of a url that only pages
+without an id share all are kept; repeated rows each get a row; an empty table or list gives no match; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ class DigestArray:
     """Sorted keys and their full strings, in unnamed files mapped into memory."""
 
     def __init__(self) -> None:
-        self.files = [tempfile.TemporaryFile() for _ in range(4)]
+        self.files = [tempfile.TemporaryFile() for _ in range(5)]
         self.clear()
 
     def clear(self) -> None:
@@ -71,25 +71,27 @@ class DigestArray:
             f.seek(0)
             f.truncate()
 
-    def append(self, keys: np.ndarray, strings: list[bytes], values: np.ndarray) -> None:
+    def append(self, keys: np.ndarray, strings: list[bytes], values: list[int | None]) -> None:
         """The next entries in order of their keys."""
         ends = self.end + np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
+        known = np.array([v is not None for v in values], np.int64)
+        values = np.array([v or 0 for v in values], np.int64)
         for f, data in zip(self.files, (keys.astype(np.int64).tobytes(), ends.tobytes(),
-                                        values.astype(np.int64).tobytes(), b"".join(strings))):
+                                        values.tobytes(), known.tobytes(), b"".join(strings))):
             f.write(data)
         self.size, self.end = self.size + len(keys), int(ends[-1])
 
-    def probe(self, keys: np.ndarray, strings: list[bytes]) -> tuple[list[int], list[int]]:
+    def probe(self, keys: np.ndarray, strings: list[bytes]) -> tuple[list[int], list[int | None]]:
         """Numbers of the probes that are listed, and the entries' values."""
         if not self.size:
             return [], []
         if self.mapped is None:
             for f in self.files:
                 f.flush()
-            self.mapped = [np.memmap(f, np.int64, "r") for f in self.files[:3]]
-            self.text = (mmap.mmap(self.files[3].fileno(), 0, access=mmap.ACCESS_READ)
+            self.mapped = [np.memmap(f, np.int64, "r") for f in self.files[:4]]
+            self.text = (mmap.mmap(self.files[4].fileno(), 0, access=mmap.ACCESS_READ)
                          if self.end else b"")
-        stored, ends, values = self.mapped
+        stored, ends, values, known = self.mapped
         first = np.searchsorted(stored, keys, side="left")
         last = np.searchsorted(stored, keys, side="right")
         hits, found = [], []
@@ -98,7 +100,7 @@ class DigestArray:
                 start = int(ends[at - 1]) if at else 0
                 if self.text[start:int(ends[at])] == strings[k]:
                     hits.append(k)
-                    found.append(int(values[at]))
+                    found.append(int(values[at]) if known[at] else None)
                     break
         return hits, found
 
@@ -107,8 +109,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (shard, is_probe, key, entry, value), sorted in this order."""
     array, shard = DigestArray(), None
     for batch in batches:
-        shards, probe, keys, values = (batch.column(i).to_numpy(zero_copy_only=False)
-                                       for i in (0, 1, 2, 4))
+        shards, probe, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         entries = batch.column(3).cast(pa.binary())
         cuts = np.flatnonzero((np.diff(shards) != 0) | (np.diff(probe.astype(np.int8)) != 0)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)]):
@@ -119,7 +120,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shard = shards[a]
             strings = entries.slice(a, b - a).to_pylist()
             if not probe[a]:
-                array.append(keys[a:b], strings, values[a:b])
+                array.append(keys[a:b], strings, batch.column(4).slice(a, b - a).to_pylist())
                 continue
             hits, found = array.probe(keys[a:b], strings)
             if hits:
@@ -130,7 +131,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def listed_among(entries: DataFrame, listed: DataFrame) -> DataFrame:
     """(entry, value) for each distinct ``entry`` that ``listed`` (entry, value) holds;
-    an entry that is listed more than once has its smallest value."""
+    an entry that is listed more than once has its smallest value (null if all are null)."""
     own = listed.where(F.col("entry").isNotNull()).groupBy("entry").agg(
         F.min("value").cast("long").alias("value"))
     probes = entries.where(F.col("entry").isNotNull()).select("entry").distinct()
@@ -138,8 +139,7 @@ def listed_among(entries: DataFrame, listed: DataFrame) -> DataFrame:
         probes.withColumns({"is_probe": F.lit(True), "value": F.lit(0).cast("long")}))
     key = F.xxhash64("entry")
     rows = rows.select(F.shiftrightunsigned(key, 64 - SHARD_BITS).cast("int").alias("shard"),
-                       "is_probe", key.alias("key"), "entry",
-                       F.coalesce("value", F.lit(-1)).alias("value"))
+                       "is_probe", key.alias("key"), "entry", "value")
     # in a shard all keys have the same leading bits: signed order is unsigned order
     return (rows.repartition("shard").sortWithinPartitions("shard", "is_probe", "key", "entry")
             .mapInArrow(_probe, "entry string, value long"))
@@ -155,7 +155,7 @@ def judge(pages: DataFrame, listed: DataFrame | None = None,
     """page_id, host, path, rule and verdict of every page.
 
     ``listed`` has (entry, value): strings ``host + path`` and the one page_id
-    that may keep the url (null: none). Without it the list is made of the
+    that may keep the url (null: pages without an id, so none where all have one). Without it the list is made of the
     pages themselves: urls that were fetched more than once, each kept by its
     smallest page_id."""
     rows = with_rule(with_parts(pages.select("page_id", "url")), rules).withColumn(
@@ -164,9 +164,13 @@ def judge(pages: DataFrame, listed: DataFrame | None = None,
         listed = (rows.where("entry IS NOT NULL").groupBy("entry")
                   .agg(F.min("page_id").alias("value"), F.count(F.lit(1)).alias("n"))
                   .where("n > 1").select("entry", "value"))
-    open_rows = rows.where(F.col("rule").isNull())
-    found = listed_among(open_rows, listed).withColumnRenamed("value", "_kept")
-    blocked = F.col("_kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_kept"))
-    return rows.join(found, "entry", "left").select(
-        "page_id", "host", "path", "rule",
-        F.coalesce("rule_verdict", F.when(blocked, "block").otherwise("allow")).alias("verdict"))
+    to_probe = F.col("rule").isNull() & F.col("entry").isNotNull()
+    found = listed_among(rows.where(to_probe), listed).select(
+        "entry", F.col("value").alias("_kept"), F.lit(True).alias("_listed"))
+    blocked = F.col("_listed") & ~F.col("page_id").eqNullSafe(F.col("_kept"))
+    verdict = F.coalesce("rule_verdict", F.when(blocked, "block").otherwise("allow"))
+    # rows that need no look-up (by rule, or without a host) take no part in the join
+    rest = rows.where(~to_probe).withColumn("verdict", F.coalesce("rule_verdict", F.lit("allow")))
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    return (rows.where(to_probe).join(found, "entry", "left").withColumn("verdict", verdict)
+            .select(*columns).unionByName(rest.select(*columns)))
