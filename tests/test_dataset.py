@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import dataset as DS
+from tidemark.operators import halo
 from tidemark.operators import reshape as RS
 
 
@@ -40,6 +41,26 @@ def test_sliding_windows_never_contain_target(spark):
         assert len(dates) == 30 and dates == sorted(dates) and max(dates) < r.localDate
 
 
+def test_windows_are_cut_from_blocks(spark):
+    """Windows across block borders; a long symbol is many blocks; rows shuffled 1.2 times at most."""
+    d = _dates(spark, 1000)
+    long = d.join(spark.createDataFrame([("A", 0), ("B", 1)], "id string, pos int")).select(
+        "localDate", "id", "pos", *[(F.datediff("localDate", F.lit("2020-01-01")) * (1 + F.col("pos")))
+                                    .cast("double").alias(f) for f in DS.FEATURES])
+    want = {(k, i): [j * (1 + i) for j in range(k - 30, k)] for k in range(30, 1000) for i in (0, 1)}
+    first = dt.date(2020, 1, 1)
+    for block in (30, 64, 256):
+        got = DS.sliding_windows(long, 30, block=block).collect()
+        assert {((r.localDate - first).days, r.pos): [x.close for x in r.window] for r in got} == want
+        assert len(got) == len(want)
+    parts = halo.blocked(long, DS.date_index(d), 30, ["close"], ["id"])
+    sizes = [(r.block, r.n) for r in parts.select("block", F.size("rows").alias("n")).collect()]
+    assert max(n for _, n in sizes) <= 286 and sum(n for _, n in sizes) <= 1.2 * 2000
+    assert len(sizes) == 10          # the last dates also stand before a fifth block
+    with pytest.raises(Exception, match="missing or repeated"):
+        DS.sliding_windows(long.where("localDate <> '2020-02-01' OR id = 'A'"), 30).collect()
+
+
 def test_batches_drop_remainder(spark):
     b = DS.assign_batches(_dates(spark, 70), 32).groupBy("batch").count().collect()
     assert sorted((r.batch, r["count"]) for r in b) == [(0, 32), (1, 32)]

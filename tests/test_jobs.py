@@ -107,7 +107,11 @@ def test_compaction_is_its_own_job(spark, lifecycle):
 
 def test_missing_news_stops_inference(spark):
     """A pending day whose news window is short raises; nothing is skipped."""
+    import numpy as np
+
+    from tidemark.operators import heads as H
     from tidemark.operators import models as MD
+    heads = H.Heads(np.ones((6, 3, 5)), np.ones((6, 3, 1)), np.zeros(6))
     days = [dt.date(2024, 1, d) for d in range(1, 11)]
     panel = spark.createDataFrame([(d, "A", 0, 1.0, 1.0, 1.0, 1.0, 1) for d in days],
                                   "localDate date, id string, pos int, close double, high double, "
@@ -115,4 +119,11 @@ def test_missing_news_stops_inference(spark):
     lagged = spark.createDataFrame([(d, 1.0) for d in days[:6]], "localDate date, `m-1` double")
     pending = spark.createDataFrame([(d,) for d in days[6:9]], "query_date date")
     with pytest.raises(Exception, match="news window"):
-        MD.predict_for_dates({}, pending, panel, lagged, panel.select("localDate"), 3).collect()
+        MD.predict_for_dates(heads, pending, panel, lagged, panel.select("localDate"), 3).collect()
+    holes = panel.where("localDate <> '2024-01-05'")
+    with pytest.raises(Exception, match="missing or repeated among the rows of A"):
+        MD.predict_for_dates(heads, pending.limit(1), holes, lagged, panel.select("localDate"),
+                             3).collect()
+    early = spark.createDataFrame([(days[2],)], "query_date date")
+    with pytest.raises(Exception, match="fewer than 3 trading dates"):
+        MD.predict_for_dates(heads, early, panel, lagged, panel.select("localDate"), 3).collect()

@@ -61,28 +61,3 @@ def test_injected_pandas_scorer(spark):
         assert math.isclose(got[i].sentiment_score, float(np.float32((e[0] - e[1]) / e.sum())),
                             rel_tol=1e-6)
         assert got[i].text_length == len(text)
-
-
-def test_heads_match_brute_force_least_squares(spark):
-    """Unregularised linear heads reproduce numpy least squares on a small
-    fixture; the direction head separates separable data."""
-    import numpy as np
-    from pyspark.ml.linalg import Vectors
-
-    rng = np.random.default_rng(7)
-    X = rng.normal(size=(60, 3))
-    beta = np.array([0.5, -1.0, 2.0])
-    y = X @ beta + 0.3 + rng.normal(scale=0.01, size=60)
-    d = (X[:, 0] > 0).astype(float)
-    rows = [(Vectors.dense(x), *([float(v)] * 5), float(c)) for x, v, c in zip(X, y, d)]
-    cols = ["features"] + [f"y_{h}" for h in MD.HEADS if h != "direction_1d"] + ["y_direction_1d"]
-    df = spark.createDataFrame(rows, cols)
-    models = MD.fit_heads(df, max_iter=100, reg=0.0)
-    pred = MD.predict_heads(models, df).toPandas()
-    A = np.hstack([X, np.ones((60, 1))])
-    want = A @ np.linalg.lstsq(A, y, rcond=None)[0]
-    for h in MD.HEADS:
-        if h != "direction_1d":
-            assert np.allclose(pred[h].to_numpy(), want, atol=1e-6), h
-    p = pred["direction_1d"].to_numpy()
-    assert ((p >= 0.5) == (d == 1)).mean() > 0.95 and ((p >= 0) & (p <= 1)).all()

@@ -8,6 +8,8 @@ import pytest
 
 from tidemark import config as C
 from tidemark.operators import dataset as DS
+from tidemark.operators import halo
+from tidemark.operators import heads as H
 from tidemark.operators import models as MD
 from tidemark.plans import q_models as Q
 from tidemark.session import scratch_path
@@ -42,10 +44,106 @@ def small(spark, monkeypatch):
 
 
 def coefficients(root):
-    """Per head: (coefficients, intercept) of the one model saved under ``root``."""
+    """Per head: (weights, the stock's steps first, and intercept) of the one model under ``root``."""
     from pyspark.sql import SparkSession
-    models = MD.load_heads(MD.best_model_dir(SparkSession.getActiveSession(), root))
-    return {h: (m.coefficients.toArray(), m.intercept) for h, m in models.items()}
+    spark = SparkSession.getActiveSession()
+    heads = H.load(spark, MD.best_model_dir(spark, root))
+    return {h: (w, b) for h, w, b in zip(H.HEADS, heads.vectors(), heads.intercept)}
+
+
+def matrix(small, labels=True):
+    """(date position, X, Y) of every sample, each a whole vector."""
+    panel, targets, lagged, aligned, _ = small
+    dates = sorted(r.localDate for r in aligned.collect())
+    at = {d: k for k, d in enumerate(dates)}
+    bars = {(at[r.localDate], r.id): [float(r[f]) for f in C.PIVOTED_FEATURES]
+            for r in panel.collect()}
+    news = {at[r.localDate]: [float(v) for v in r[1:]] for r in lagged.collect()}
+    y = {(at[r.localDate], r.id): [float(r[f"y_{h}"]) for h in H.HEADS]
+         for r in H.scaled_targets(targets).collect()}
+    t, x, out = [], [], []
+    for k in range(C.WINDOW_SIZE, len(dates)):
+        for i in "AB":
+            steps = range(k - C.WINDOW_SIZE, k)
+            x.append([v for j in steps for v in bars[j, i]] + [v for j in steps for v in news[j]])
+            out.append(y[k, i])
+            t.append(k)
+    return np.array(t), np.array(x), np.array(out)
+
+
+def test_ridge_equals_numpy(spark, sf_dir, small):
+    """Weights of the five continuous heads are the numpy ridge solution; those of the
+    direction are where the gradient of its penalised likelihood is zero."""
+    s, _ = Q.head_samples(spark, sf_dir)
+    heads = H.ridge(s)
+    t, x, y = matrix(small)
+    x, y = x[t < s.first_validation], y[t < s.first_validation]
+    mean, std = x.mean(axis=0), x.std(axis=0)
+    z = (x - mean) / std
+    a = z.T @ z / len(z) + H.RIDGE * np.eye(z.shape[1])
+    want = np.linalg.solve(a, z.T @ (y - y.mean(axis=0)) / len(z)) / std[:, None]
+    got = heads.vectors()
+    for k, h in enumerate(H.HEADS):
+        if k != H.UP:
+            assert np.allclose(got[k], want[:, k], rtol=1e-6, atol=1e-6 * np.abs(want[:, k]).max()), h
+            assert math.isclose(heads.intercept[k], y[:, k].mean() - mean @ want[:, k],
+                                rel_tol=1e-6, abs_tol=1e-6)
+    p = 1 / (1 + np.exp(-(x @ got[H.UP] + heads.intercept[H.UP])))
+    gradient = (z.T @ (y[:, H.UP] - p)) / len(z) - H.RIDGE * got[H.UP] * std
+    assert np.abs(gradient).max() < 1e-8 and abs((y[:, H.UP] - p).mean()) < 1e-8
+
+
+def test_moments_are_sums_over_samples(spark, sf_dir, small):
+    """The matrix of one pass is that of the whole samples; the dates span two blocks."""
+    t, x, y = matrix(small)
+    assert max(t) > halo.BLOCK
+    s, _ = Q.head_samples(spark, sf_dir)
+    m = H.moments(s)
+    own = t < s.first_validation
+    ones = np.column_stack([np.ones(own.sum()), x[own]])
+    assert np.allclose(m.gram, ones.T @ ones, rtol=1e-9, atol=1e-9)
+    assert np.allclose(m.cross, ones.T @ y[own], rtol=1e-9, atol=1e-9)
+    assert np.allclose(m.low, x[own].min(axis=0)) and np.allclose(m.high, x[own].max(axis=0))
+
+
+def test_no_plan_makes_whole_vectors(spark, sf_dir, small):
+    """Predictions come from rows and step weights: the plan holds no window of rows but the
+    blocks', and reads only the dates that some window needs."""
+    panel, _, lagged, aligned, _ = small
+    heads = H.Heads(np.zeros((6, 30, 5)), np.zeros((6, 30, 2)), np.zeros(6))
+    dates = sorted(r.localDate for r in aligned.collect())
+    pending = spark.createDataFrame([(dates[-1],), (dates[-2],)], "query_date date")
+    out = MD.predict_for_dates(heads, pending, panel, lagged, aligned)
+    assert {(r.localDate, r.symbol, r.direction_1d) for r in out.collect()} == {
+        (d, i, 0.5) for d in dates[-2:] for i in "AB"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDT" not in plan and "VectorUDT" not in plan
+    assert MD.predict_for_dates(heads, pending.where("false"), panel, lagged, aligned).count() == 0
+
+
+def test_marginal_heads_and_constant_features(spark, sf_dir, small):
+    s, _ = Q.head_samples(spark, sf_dir)
+    t, x, y = matrix(small)
+    own = t < s.first_validation
+    x, y = x[own], y[own]
+    heads = H.marginal(s)
+    cov = (x - x.mean(axis=0)).T @ (y - y.mean(axis=0)) / len(x)
+    want = (cov / x.var(axis=0)[:, None]).T / x.shape[1]
+    assert np.allclose(heads.vectors(), want, rtol=1e-8, atol=1e-12)
+    m = H.moments(s)
+    m.low[3] = m.high[3]                   # a feature without variation weighs nothing
+    weights, _ = H.solve_ridge(m, H.RIDGE)
+    assert (weights[:, 3] == 0).all() and (weights[:, 4] != 0).all()
+
+
+def test_saved_heads_come_back(spark):
+    rng = np.random.default_rng(1)
+    heads = H.Heads(rng.normal(size=(6, 3, 5)), rng.normal(size=(6, 3, 2)), rng.normal(size=6), "linear")
+    root = scratch_path(spark, "heads")
+    H.save(heads, spark, root)
+    back = H.load(spark, root)
+    assert back.link == "linear" and (back.vectors() == heads.vectors()).all()
+    assert (back.intercept == heads.intercept).all() and back.window == 3
 
 
 def test_every_pending_weekday_has_its_heads(spark, sf_dir, small):
@@ -55,7 +153,7 @@ def test_every_pending_weekday_has_its_heads(spark, sf_dir, small):
     dates = sorted(r.localDate for r in aligned.collect())
     ids = [r.id for r in symbols.collect()]
     bars = {(r.localDate, r.id): [float(r[f]) for f in C.PIVOTED_FEATURES] for r in panel.collect()}
-    news = {r.localDate: r.news for r in MD.news_last(lagged).collect()}
+    news = {r.localDate: [float(v) for v in r[1:]] for r in lagged.collect()}
     last = dates[DS.split_point(len(dates))[0] - 1]              # the last date trained on
     end = dates[-1] + dt.timedelta(days=1)
     while end.weekday() > 4:
@@ -79,13 +177,12 @@ def test_every_pending_weekday_has_its_heads(spark, sf_dir, small):
 
 def test_losses_match_brute_force(spark, sf_dir, small):
     root = scratch_path(spark, "model")
-    got = {r["head"]: r.loss for r in Q.q_train_heads_losses(spark, sf_dir, root).collect()}
-    _, val, *_ = Q.training_frames(spark, sf_dir)
-    rows = val.collect()
-    x = np.array([r.features.toArray() for r in rows])
+    got = {r["head"]: r.loss for r in Q.q_train_heads(spark, sf_dir, root).collect()}
+    t, x, labels = matrix(small)
+    held = t >= DS.split_point(max(t) + 1)[0]
     want = {}
-    for h, (beta, b0) in coefficients(root).items():
-        p, y = x @ beta + b0, np.array([r[f"y_{h}"] for r in rows])
+    for k, (h, (beta, b0)) in enumerate(coefficients(root).items()):
+        p, y = x[held] @ beta + b0, labels[held, k]
         if h == "direction_1d":
             p = np.clip(1 / (1 + np.exp(-p)), 1e-7, 1 - 1e-7)
             each = -(y * np.log(p) + (1 - y) * np.log(1 - p))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import config as C
+from tidemark.operators import halo
 
 FEATURES = ("close", "high", "low", "open", "volume")
 
@@ -117,37 +118,37 @@ def chrono_split(indexed_dates: DataFrame, window: int = C.WINDOW_SIZE) -> DataF
 
 
 def sliding_windows(long_features: DataFrame, window: int = C.WINDOW_SIZE,
-                    features=FEATURES) -> DataFrame:
+                    features=FEATURES, index: DataFrame | None = None,
+                    block: int = halo.BLOCK) -> DataFrame:
     """For each symbol and row t >= window: the features of its rows
     [t - window, t) as an ordered array of structs.
 
-    Partitioned by symbol: a window partition holds one symbol's rows, at most
-    one per trading day."""
-    w = Window.partitionBy("id").orderBy("localDate")
-    frame = w.rowsBetween(-window, -1)
-    rec = F.struct(F.col("localDate").alias("date"), *[F.col(f) for f in features])
-    return (long_features
-            .withColumn("_rn", F.row_number().over(w))
-            .withColumn("window", F.collect_list(rec).over(frame))
-            .filter(F.col("_rn") > window).drop("_rn", *features))
+    Cut from halo blocks of (symbol, date range): a row is shuffled about once, and a
+    symbol of any length spans tasks. ``index`` (localDate, t) is that of the table's own dates
+    unless given; every symbol has a row on each of them."""
+    idx = index if index is not None else date_index(long_features.select("localDate").distinct())
+    rest = [c for c in long_features.columns if c not in ("localDate", "id", *features)]
+    parts = halo.blocked(long_features, idx, window, [*features, *rest], ["id"], block)
+    cut = halo.windows(parts, window, lambda r: F.struct(
+        r["localDate"].alias("date"), *[r[f].alias(f) for f in features]), block)
+    return cut.select(F.col("row.localDate").alias("localDate"), "id",
+                      *[F.col("row")[c].alias(c) for c in rest], "window")
 
 
-def news_windows(lagged: DataFrame, index: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
+def news_windows(lagged: DataFrame, index: DataFrame, window: int = C.WINDOW_SIZE,
+                 block: int = halo.BLOCK) -> DataFrame:
     """Per indexed date t >= window: the lagged news rows [t - window, t) in order,
     as (localDate, news_window ARRAY<STRUCT<date, values>>).
 
-    ``index`` has (localDate, t). A row is sent to the ``window`` dates that it
-    precedes and grouped there: an aggregate by date, no global ordering."""
+    ``index`` has (localDate, t); the news has a row on each of its dates."""
     cols = [c for c in lagged.columns if c != "localDate"]
-    rec = F.struct(F.col("t").alias("at"), F.col("localDate").alias("date"),
-                   F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("values"))
-    rows = lagged.join(index.select("localDate", "t"), "localDate").select(
-        rec.alias("r"), F.explode(F.sequence(F.col("t") + 1, F.col("t") + window)).alias("t"))
-    g = rows.groupBy("t").agg(F.sort_array(F.collect_list("r")).alias("w"))
-    full = g.filter(F.size("w") == window).select("t", F.transform(
-        "w", lambda r: F.struct(r["date"].alias("date"), r["values"].alias("values")))
-        .alias("news_window"))
-    return full.join(index.select("localDate", "t"), "t").select("localDate", "news_window")
+    rows = lagged.select("localDate", F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+                         .alias("values"))
+    cut = halo.windows(halo.blocked(rows, index, window, ["values"], block=block), window,
+                       lambda r: F.struct(r["localDate"].alias("date"), r["values"].alias("values")),
+                       block)
+    return cut.select(F.col("row.localDate").alias("localDate"),
+                      F.col("window").alias("news_window"))
 
 
 def assign_batches(samples: DataFrame, batch_size: int = C.BATCH_SIZE) -> DataFrame:

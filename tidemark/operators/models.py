@@ -1,4 +1,4 @@
-"""Evaluation losses, model selection and the Spark ML heads.
+"""Evaluation losses, model selection, and the heads' training and inference jobs.
 
 Losses follow the reference's training setup: MSE for z-score and the three
 log-return heads (on x1000-scaled, clipped values), Huber(delta=0.1) for the
@@ -12,11 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config as C
-from tidemark.functions.numeric import scale_clip
+from tidemark.functions.numeric import scale_clip, unscale
+from tidemark.operators import asof as AO
+from tidemark.operators import dataset as DS
+from tidemark.operators import halo
+from tidemark.operators import heads as H
+from tidemark.operators.heads import HEADS, LOG_HEADS
+from tidemark.schemas import INFERENCE
+from tidemark.session import cut_lineage
 
 WEIGHTS = dict(C.LOSS_WEIGHTS)
-HEADS = tuple(WEIGHTS)
-LOG_HEADS = ("log_return_1d", "log_return_3d", "log_return_5d")
 EPS = 1e-7
 
 
@@ -108,116 +113,34 @@ def best_model(registry: DataFrame) -> DataFrame:
                     F.col("b.score").alias("score"))
 
 
-# --- Spark ML heads ---------------------------------------------------------
-
-
-def labelled(features: DataFrame, targets: DataFrame) -> DataFrame:
-    t = targets.select("localDate", "id", *[F.col(h).cast("double").alias(f"y_{h}") for h in HEADS])
-    t = t.select("localDate", "id", *[(scale_clip(F.col(f"y_{h}")) if h in LOG_HEADS
-                                       else F.col(f"y_{h}")).alias(f"y_{h}") for h in HEADS])
-    return features.join(t, ["localDate", "id"])
-
-
-def fit_heads(train: DataFrame, max_iter: int = 50, reg: float = 0.01,
-              solver: str = "auto") -> dict:
-    """One model per head: linear regression for the five continuous heads,
-    logistic regression for direction."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.regression import LinearRegression
-    models = {}
-    for h in HEADS:
-        if h == "direction_1d":
-            est = LogisticRegression(featuresCol="features", labelCol=f"y_{h}",
-                                     predictionCol=f"_pred_{h}", probabilityCol=f"_prob_{h}",
-                                     rawPredictionCol=f"_raw_{h}", maxIter=max_iter, regParam=reg)
-        else:
-            est = LinearRegression(featuresCol="features", labelCol=f"y_{h}",
-                                   predictionCol=f"_pred_{h}", maxIter=max_iter, regParam=reg,
-                                   solver=solver)
-        models[h] = est.fit(train)
-    return models
-
-
-def predict_heads(models: dict, rows: DataFrame) -> DataFrame:
-    """Head outputs as ``{head}`` columns (direction = P(up)); log-return
-    heads stay scaled."""
-    from pyspark.ml.functions import vector_to_array
-    out = rows
-    for h, m in models.items():
-        out = m.transform(out)
-    cols = []
-    for h in HEADS:
-        if h == "direction_1d":
-            cols.append(vector_to_array(F.col(f"_prob_{h}")).getItem(1).alias(h))
-        else:
-            cols.append(F.col(f"_pred_{h}").alias(h))
-    keep = [c for c in rows.columns if c != "features"]
-    return out.select(*keep, *cols)
-
-
-def news_last(lagged: DataFrame) -> DataFrame:
-    """(localDate, news ARRAY<DOUBLE>) from the wide lag table."""
-    cols = [c for c in lagged.columns if c != "localDate"]
-    return lagged.select("localDate", F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
-                         .alias("news"))
+# --- the heads --------------------------------------------------------------
 
 
 def training_samples(panel: DataFrame, targets: DataFrame, lagged: DataFrame,
                      aligned: DataFrame, window: int = C.WINDOW_SIZE):
-    """(train, validation, validation size): per (date, symbol) the flattened
-    windows of the previous ``window`` aligned rows, of the symbol's features and of the
-    lagged news, labelled with the scaled targets; split chronologically with the
-    validation windows reaching back into training rows."""
-    from pyspark.ml.functions import array_to_vector
-
-    from tidemark.operators import dataset as DS
-    from tidemark.session import cut_lineage
+    """(train, validation, validation size): per (date, symbol) the window of the symbol's
+    features and of the lagged news, both of the previous ``window`` aligned rows, and the scaled
+    targets; split chronologically, with the validation windows reaching back into training rows.
+
+    The samples as rows, for inspection: the heads are fitted from blocks, without them."""
     p, t, lg = DS.align(aligned, panel, targets, lagged)
     idx = cut_lineage(DS.date_index(aligned))
     n = idx.count()                                   # one row per day
     val_start, max_val = DS.split_point(n, window)
-    win = DS.sliding_windows(p, window)
-    flat = F.flatten(F.transform("window", lambda r: F.array(
-        *[r[f].cast("double") for f in C.PIVOTED_FEATURES])))
-    news = DS.news_windows(lg, idx, window).select("localDate", F.flatten(F.transform(
-        "news_window", lambda r: r["values"])).alias("news"))
-    feats = (win.select("localDate", "id", flat.alias("_f")).join(news, "localDate")
-             .select("localDate", "id", array_to_vector(F.concat("_f", "news")).alias("features")))
-    rows = labelled(feats, t).join(idx, "localDate")
-    # the six fits each pass over the samples: materialise them once
-    rows = cut_lineage(rows)
+    win = DS.sliding_windows(p, window, index=idx)
+    news = DS.news_windows(lg, idx, window)
+    rows = (win.join(news, "localDate").join(H.scaled_targets(t), ["localDate", "id"])
+            .join(idx, "localDate"))
     return rows.filter(F.col("t") < val_start), rows.filter(F.col("t") >= val_start), max_val
 
 
-def fit_and_score(train: DataFrame, val: DataFrame):
-    """Fit the heads, score them on validation: (models, losses, score text)."""
-    from tidemark.functions.numeric import unscale
-    # thousands of features: gradient passes, no matrix of all pairs of features
-    models = fit_heads(train, solver="l-bfgs")
-    pred = predict_heads(models, val)
-    pva = pred.select(*[F.col(h).alias(f"{h}_p") for h in HEADS],
-                      *[F.col(f"y_{h}").alias(f"{h}_a") for h in HEADS])
-    # the heads already see and output scaled log returns: undo the scale on
-    # both sides so head_losses applies it once, like the reference
-    for h in LOG_HEADS:
-        pva = pva.withColumn(f"{h}_p", unscale(F.col(f"{h}_p"))).withColumn(
-            f"{h}_a", unscale(F.col(f"{h}_a")))
-    losses = head_losses(pva)
-    score_text = losses.select(F.format_string("%.4f", F.max(F.when(
-        F.col("head") == "normalized", F.col("loss"))))).first()[0]
-    return models, losses, score_text
-
-
-def save_heads(models: dict, model_dir: str) -> None:
-    for h, m in models.items():
-        m.write().overwrite().save(f"{model_dir}/{h}")
-
-
-def load_heads(model_dir: str) -> dict:
-    from pyspark.ml.classification import LogisticRegressionModel
-    from pyspark.ml.regression import LinearRegressionModel
-    return {h: (LogisticRegressionModel if h == "direction_1d" else LinearRegressionModel)
-            .load(f"{model_dir}/{h}") for h in HEADS}
+def fit_and_score(samples: H.Samples, solver: str = "ridge"):
+    """Fit the heads and score them on the validation samples: (heads, losses, score text)."""
+    heads = {"ridge": H.ridge, "marginal": H.marginal}[solver](samples)
+    losses = cut_lineage(head_losses(H.evaluate(samples, heads)))
+    score = losses.where(F.col("head") == "normalized").select(
+        F.format_string("%.4f", "loss")).first()[0]
+    return heads, losses, score
 
 
 def best_model_dir(spark, root: str) -> str:
@@ -230,37 +153,38 @@ def best_model_dir(spark, root: str) -> str:
     return f"{root}/score={best['key'].split('score=')[1].split('/')[0]}"
 
 
-def predict_for_dates(models: dict, pending: DataFrame, panel: DataFrame, lagged: DataFrame,
+def predict_for_dates(heads: H.Heads, pending: DataFrame, panel: DataFrame, lagged: DataFrame,
                       trading: DataFrame, window: int = C.WINDOW_SIZE) -> DataFrame:
     """Predictions for every pending date in one plan: the latest trading date
-    before it, that date's trailing window per symbol and of the news; a short
-    window of either fails. Log-return heads unscaled; float32 output."""
-    from pyspark.ml.functions import array_to_vector
-
-    from tidemark.functions.numeric import unscale
-    from tidemark.operators import asof as AO
-    ends = AO.latest_before(pending, trading, count=1).select(
-        "query_date", F.col("localDate").alias("end_date"))
-    steps = AO.trailing_window(ends.select("end_date").distinct(), trading, window)
-    rows = steps.join(panel, "localDate").select(
-        "end_date", "id", "step",
-        F.array(*[F.col(f).cast("double") for f in C.PIVOTED_FEATURES]).alias("v"))
-    per = rows.groupBy("end_date", "id").agg(
-        F.sort_array(F.collect_list(F.struct("step", "v"))).alias("s"))    # window rows each
-    per = per.withColumn("s", F.when(F.size("s") == window, F.col("s")).otherwise(F.raise_error(
-        F.concat(F.lit("short window of "), F.col("id"), F.lit(" before "),
-                 F.col("end_date").cast("string")))))
-    news = (steps.join(news_last(lagged), "localDate").groupBy("end_date")
-            .agg(F.sort_array(F.collect_list(F.struct("step", "news"))).alias("n"))
-            .filter(F.size("n") == window)
-            .select("end_date", F.flatten(F.transform("n", lambda x: x["news"])).alias("news")))
-    feats = (per.select("end_date", "id", F.flatten(F.transform("s", lambda x: x["v"])).alias("_f"))
-             .join(news, "end_date", "left")
-             .select("end_date", "id", array_to_vector(F.concat("_f", F.coalesce(
-                 "news", F.raise_error(F.concat(F.lit("no full news window up to "),
-                                                F.col("end_date").cast("string")))))
-             ).alias("features")))
-    pred = predict_heads(models, ends.join(feats, "end_date"))
-    return pred.select(F.col("query_date").alias("localDate"), F.col("id").alias("symbol"),
+    before it, and that date's trailing window per symbol and of the news; a short
+    window of either fails. Log-return heads unscaled; float32 output.
+
+    Only the rows that some window needs are read. Pending dates with one end date (a
+    weekend apart, say) share its scores."""
+    if heads.window != window:
+        raise ValueError(f"the heads have windows of {heads.window} rows, not {window}")
+    index = cut_lineage(DS.date_index(trading.select("localDate").distinct()))
+    at = AO.asof_index(pending, index, strict=True)
+    ends = cut_lineage(at.select("query_date", F.when(F.col("t") >= window - 1, F.col("t") + 1)
+                       .otherwise(F.raise_error(F.concat(
+                           F.lit(f"fewer than {window} trading dates before "),
+                           F.col("query_date").cast("string")))).alias("t")))   # one row a day
+    needed = index.join(ends.agg(F.min("t").alias("lo"), F.max("t").alias("hi")),
+                        (F.col("t") >= F.col("lo") - window) & (F.col("t") < F.col("hi")))
+    first, last = needed.agg(F.min("localDate"), F.max("localDate")).first()
+    if first is None:
+        return panel.sparkSession.createDataFrame([], INFERENCE)
+    within = F.col("localDate").between(F.lit(first), F.lit(last))
+    some = index.where(within)
+    parts = halo.blocked(panel.where(within).select("localDate", "id", *C.PIVOTED_FEATURES), some,
+                         window, C.PIVOTED_FEATURES, ["id"])
+    blocks = halo.arrays(parts, x=lambda r: [r[f] for f in C.PIVOTED_FEATURES])
+    scores = H.raw_scores(blocks, heads, past=True)
+    days = H.day_scores(H.news_values(lagged.where(within), some), heads)
+    each = (ends.join(scores, "t").join(days.withColumnRenamed("score", "day"), "t", "left")
+            .withColumn("day", F.coalesce("day", F.raise_error(F.concat(
+                F.lit("no full news window before "), F.col("query_date").cast("string"))))))
+    made = each.select("query_date", "id", *H.outputs("score", "day", heads))
+    return made.select(F.col("query_date").alias("localDate"), F.col("id").alias("symbol"),
                        *[(unscale(F.col(h)) if h in LOG_HEADS else F.col(h)).cast("float").alias(h)
                          for h in C.INFERENCE_METRICS])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import config as C
+from tidemark.operators import halo
 
 
 def symbol_list(symbols: DataFrame) -> list[str]:
@@ -86,20 +87,21 @@ def unpack_predictions(packed: DataFrame, heads=C.INFERENCE_METRICS) -> DataFram
                     *[F.col(f"z.{h}").alias(h) for h in heads])
 
 
-def window_tensor(windows: DataFrame,
-                  features=("close", "high", "low", "open", "volume")) -> DataFrame:
-    """Per date and symbol block: a (window, symbols, features) nested array built
-    from the per-symbol windows, symbols in list order."""
-    per_symbol = windows.select(
-        "localDate", "pos",
-        F.transform("window", lambda r: F.array(*[r[f].cast("double") for f in features]))
-         .alias("steps"))
-    g = per_symbol.groupBy("localDate", symbol_block().alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "steps"))).alias("_s"))
-    # transpose (symbols, window, features) -> (window, symbols, features)
-    return g.select("localDate", "block", F.transform(
-        F.sequence(F.lit(0), F.size(F.col("_s").getItem(0).getField("steps")) - 1),
-        lambda i: F.transform("_s", lambda s: s["steps"][i])).alias("tensor"))
+def window_tensor(long_features: DataFrame, index: DataFrame, window: int = C.WINDOW_SIZE,
+                  features=("close", "high", "low", "open", "volume"),
+                  block: int = halo.BLOCK) -> DataFrame:
+    """Per date and symbol block: a (window, symbols, features) nested array, symbols in
+    list order.
+
+    The cross-section of a date (its symbols' features in list order) is made once; the
+    tensor of a date is a window over cross-sections, cut from halo blocks."""
+    rec = F.struct("pos", F.array(*[F.col(f).cast("double") for f in features]).alias("v"))
+    cross = long_features.groupBy("localDate", symbol_block().alias("symbols")).agg(
+        F.transform(F.sort_array(F.collect_list(rec)), lambda s: s["v"]).alias("cross"))
+    parts = halo.blocked(cross, index, window, ["cross"], ["symbols"], block)
+    cut = halo.windows(parts, window, lambda r: r["cross"], block)
+    return cut.select(F.col("row.localDate").alias("localDate"), F.col("symbols").alias("block"),
+                      F.col("window").alias("tensor"))
 
 
 def mean_over_symbols(long: DataFrame, features=("close", "high", "low", "open", "volume")) -> DataFrame:

@@ -31,6 +31,7 @@ from tidemark import config as C
 from tidemark import schemas as SC
 from tidemark.functions import dates as D
 from tidemark.operators import dataset as DS
+from tidemark.operators import heads as H
 from tidemark.operators import models as MD
 from tidemark.operators import panel as P
 from tidemark.operators import report as RP
@@ -186,16 +187,16 @@ def train_job(spark: SparkSession, root: str, window: int = C.WINDOW_SIZE) -> st
     panel, targets, lagged = stored_tables(spark, root)
     aligned = DS.common_dates(panel, lagged, targets)
     DS.check_alignment(panel, lagged, targets)
-    train, val, max_val = MD.training_samples(panel, targets, lagged, aligned, window)
-    models, losses, score_text = MD.fit_and_score(train, val)
+    samples = H.samples(panel, targets, lagged, aligned, window)
+    heads, losses, score_text = MD.fit_and_score(samples)
     model_dir = _p(root, "model", f"score={score_text}")
-    MD.save_heads(models, model_dir)
+    H.save(heads, spark, model_dir)
     n_sym = panel.select(F.count_distinct("id")).first()[0]
     meta = losses.groupBy().pivot("head", [*MD.HEADS, "normalized"]).agg(F.first("loss"))
     meta = meta.select(F.to_json(F.struct(
         F.struct(F.lit("linear_heads").alias("name"), F.lit(score_text).alias("score")).alias("model"),
         F.struct(F.date_format(F.current_date(), "yyyy-MM-dd").alias("date"),
-                 F.lit(n_sym).alias("symbol_count"), F.lit(max_val).alias("validation_size"),
+                 F.lit(n_sym).alias("symbol_count"), F.lit(samples.n_validation).alias("validation_size"),
                  F.struct(F.lit(window).alias("window_size"), F.lit(C.BATCH_SIZE).alias("batch_size"))
                  .alias("config"),
                  F.struct(F.col("normalized").alias("normalized_val_loss"),
@@ -219,8 +220,8 @@ def infer_job(spark: SparkSession, root: str, first_date=None, window: int = C.W
         D.is_weekday(F.col("query_date")))
     if pending.isEmpty():
         return "nothing pending"
-    models = MD.load_heads(MD.best_model_dir(spark, _p(root, "model")))
-    out = MD.predict_for_dates(models, pending, panel, lagged, trading, window)
+    heads = H.load(spark, MD.best_model_dir(spark, _p(root, "model")))
+    out = MD.predict_for_dates(heads, pending, panel, lagged, trading, window)
     PQ.write_partitions(out.select(*SC.INFERENCE.fieldNames()), _p(root, "inference"), SC.INFERENCE)
     # the mark follows what was written, not what was asked for
     written = _max_date(spark.read.parquet(_p(root, "inference")))

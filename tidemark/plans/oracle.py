@@ -211,6 +211,85 @@ def samples_chain() -> list[str]:
     return orders_dataset_chain() + [ARTICLES_ORDERS, CLEANED, SENTIMENT_FIXED, DAILY, SAMPLES]
 
 
+#: Heads that weigh each feature by its own covariance, in the order of the loss weights.
+#: ``cells`` are the features that a position's window holds, by the position of their row.
+MARGINAL = """cut AS (SELECT max(n) - CAST(floor(max(n) * 0.2) AS BIGINT) AS first, max(n) AS n FROM idx),
+samp AS (
+  SELECT i.t, y.id, [zscore_1d, rank_1d, CAST(direction_1d AS DOUBLE),
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_1d * 1000.0)),
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_3d * 1000.0)),
+    greatest(-10000.0::DOUBLE, least(10000.0::DOUBLE, log_return_5d * 1000.0))]::DOUBLE[] AS y
+  FROM targets y JOIN idx i USING (localDate)),
+means AS (
+  SELECT t, count(*) AS m, [{sums}] AS y FROM samp
+  WHERE t >= 30 AND t < (SELECT first FROM cut) GROUP BY t),
+stock AS (
+  SELECT i.t, p.id, unnest([0, 1, 2, 3, 4]) AS feature,
+         unnest([close, high, low, open, CAST(volume AS DOUBLE)]::DOUBLE[]) AS x
+  FROM panel p JOIN idx i USING (localDate)),
+news AS (
+  SELECT i.t, CAST((k - 1) * 16 + f.i AS INTEGER) AS feature, coalesce(d.v[f.i + 1], 0.0) AS x
+  FROM idx i CROSS JOIN range(1, 6) r(k) CROSS JOIN range(0, 16) f(i)
+  LEFT JOIN (SELECT localDate, [{metrics}]::DOUBLE[] AS v FROM daily) d
+    ON d.localDate + CAST(k AS INTEGER) = i.localDate),
+feats AS (
+  SELECT 'stock' AS part, CAST(s.step AS INTEGER) AS step, x.feature, avg(x.x) AS mean,
+         var_pop(x.x) AS var, min(x.x) < max(x.x) AS varies,
+         coalesce(nullif(max(abs(x.x)), 0.0), 1.0) AS top, [{covs}] AS cov
+  FROM samp y CROSS JOIN range(0, 30) s(step)
+  JOIN stock x ON x.id = y.id AND x.t = y.t - 30 + s.step
+  WHERE y.t >= 30 AND y.t < (SELECT first FROM cut) GROUP BY s.step, x.feature
+  UNION ALL
+  SELECT 'news' AS part, step, feature, mean,
+         sum(m * (x - mean) * (x - mean)) / sum(m) AS var, min(x) < max(x) AS varies,
+         coalesce(nullif(max(abs(x)), 0.0), 1.0) AS top, [{ncovs}] AS cov
+  FROM (SELECT CAST(s.step AS INTEGER) AS step, x.feature, x.x, d.m, d.y,
+               sum(d.m * x.x) OVER w / sum(d.m) OVER w AS mean
+        FROM means d CROSS JOIN range(0, 30) s(step) JOIN news x ON x.t = d.t - 30 + s.step
+        WINDOW w AS (PARTITION BY s.step, x.feature))
+  GROUP BY step, feature, mean),
+label AS (SELECT [{labels}] AS mean FROM samp WHERE t >= 30 AND t < (SELECT first FROM cut)),
+used AS (SELECT part, step, feature, mean, list_transform(cov, lambda c: c / var) AS beta
+         FROM feats WHERE varies AND var > 0),
+size AS (SELECT count(*) AS p FROM used),
+places AS (SELECT t FROM idx WHERE t >= 30 UNION SELECT max(n) FROM idx),
+day AS (
+  SELECT a.t, [{scores}] AS z
+  FROM places a JOIN used u ON u.part = 'news' JOIN news x ON x.feature = u.feature
+   AND x.t = a.t - 30 + u.step GROUP BY a.t),
+own AS (
+  SELECT a.t, x.id, [{scores}] AS z
+  FROM places a JOIN used u ON u.part = 'stock' JOIN stock x ON x.feature = u.feature
+   AND x.t = a.t - 30 + u.step GROUP BY a.t, x.id),
+outs AS (
+  SELECT own.t, own.id, {outs}
+  FROM own JOIN day USING (t) CROSS JOIN label CROSS JOIN size)"""
+
+
+def marginal_chain() -> list[str]:
+    """The orders dataset, the marginal heads' moments and their outputs per position."""
+    six = range(1, 7)
+    raw = lambda k: f"(label.mean[{k}] + (own.z[{k}] + day.z[{k}]) / size.p)"
+    heads = [f"{raw(1)} AS zscore_1d", f"{raw(2)} AS rank_1d",
+             f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {raw(3)})) AS direction_1d",
+             *[f"{raw(4 + k)} / 1000.0::DOUBLE AS log_return_{h}d" for k, h in enumerate((1, 3, 5))]]
+    each = lambda text: ", ".join(text.format(k=k) for k in six)
+    sql = MARGINAL.format(
+        sums=each("sum(y[{k}])"), covs=each("covar_pop(x.x, y.y[{k}])"),
+        ncovs=each("sum((x - mean) * y[{k}]) / sum(m)"), labels=each("avg(y[{k}])"),
+        scores=each("sum(u.beta[{k}] * (x.x - u.mean))"), outs=", ".join(heads),
+        metrics=", ".join(METRICS))
+    return samples_chain()[:-1] + [sql]
+
+
+def weekdays_sql(first: str, last: str) -> str:
+    """Weekdays from the one after ``first`` to the one after ``last``."""
+    after = ("({d} + CAST(CASE isodow({d}) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS INTEGER))")
+    return (f"SELECT CAST(d AS DATE) AS localDate FROM (SELECT unnest(generate_series("
+            f"{after.format(d=first)}, {after.format(d=last)}, INTERVAL 1 DAY)) AS d) "
+            "WHERE isodow(d) < 6")
+
+
 def pivot_sql(src: str, metrics, symbols=ORDER_SYMBOLS) -> str:
     cols = [f"max(CASE WHEN id = '{s}' THEN {m} END) AS \"{s}_{m}\""
             for s in symbols for m in metrics]

@@ -110,7 +110,7 @@ WHERE a.t >= 30""")
 def q_sliding_windows(spark, sf_dir):
     panel, _, _, aligned, _ = dataset(spark, sf_dir, dates_only=True)
     (p,) = DS.align(aligned, panel)
-    w = DS.sliding_windows(p, C.WINDOW_SIZE)
+    w = DS.sliding_windows(p, C.WINDOW_SIZE, index=DS.date_index(aligned))
     e = w.select("localDate", "id", F.posexplode("window").alias("k", "r"))
     return rounded(e.select("localDate", "id", "k", F.col("r.date").alias("date"),
                             *[F.col(f"r.{f}").alias(f) for f in DS.FEATURES]))
@@ -147,7 +147,7 @@ WHERE a.t >= 30""")
 def q_window_tensor(spark, sf_dir):
     panel, _, _, aligned, symbols = dataset(spark, sf_dir, dates_only=True)
     (p,) = DS.align(aligned, panel)
-    tens = RS.window_tensor(DS.sliding_windows(p, C.WINDOW_SIZE))
+    tens = RS.window_tensor(p, DS.date_index(aligned), C.WINDOW_SIZE)
     steps = tens.select("localDate", "block", F.posexplode("tensor").alias("step", "syms"))
     cells = steps.select("localDate", "block", "step", F.posexplode("syms").alias("sym", "v"))
     return rounded(cells.select("localDate", "step", (F.col("sym") + F.col("block") * C.SYMBOL_BLOCK).cast("int").alias("sym"),

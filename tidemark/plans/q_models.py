@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import config as C
 from tidemark.functions import dates as D
-from tidemark.functions.numeric import unscale
+from tidemark.operators import heads as H
 from tidemark.operators import models as MD
 from tidemark.operators import report as RP
 from tidemark.plans import oracle as O
@@ -141,14 +142,7 @@ def q_registry_meta_json(spark, sf_dir):
         F.col("m.training.result_analysis.val_losses")["zscore_1d"].alias("zscore_loss")))
 
 
-# --- Spark ML: train and predict -------------------------------------------
-
-def training_frames(spark, sf_dir, window=C.WINDOW_SIZE):
-    """Labelled samples (features, scaled targets) split chronologically."""
-    panel, targets, lagged, aligned, symbols = dataset(spark, sf_dir)
-    train, val, max_val = MD.training_samples(panel, targets, lagged, aligned, window)
-    return train, val, max_val, symbols
-
+# --- train and predict ------------------------------------------------------
 
 SAMPLES = O.with_(*O.samples_chain())
 
@@ -158,86 +152,87 @@ SELECT localDate, id, split, 30 * 5 + 30 * 80 AS n_features, round(stock_sum, 2)
        CAST(news_articles AS DOUBLE) AS news_articles, round(news_mean, 6) AS news_mean, """ +
           ", ".join(f"round({h}, 6) AS {h}" for h in HEADS) + " FROM samples")
 def q_training_samples(spark, sf_dir):
-    """Labels, split and the feature vector, shown by sums over its parts."""
-    from pyspark.ml.functions import vector_to_array
-    train, val, *_ = training_frames(spark, sf_dir)
+    """Labels, split and windows, shown by sums over their parts."""
+    panel, targets, lagged, aligned, _ = dataset(spark, sf_dir)
+    train, val, _ = MD.training_samples(panel, targets, lagged, aligned)
     both = train.withColumn("split", F.lit("train")).unionByName(
         val.withColumn("split", F.lit("validation")))
-    f, stock = vector_to_array("features"), C.WINDOW_SIZE * len(C.PIVOTED_FEATURES)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
-    each = lambda k: total(F.filter(F.slice(
-        "_f", stock + 1, C.WINDOW_SIZE * 80), lambda x, i: i % 16 == k))
-    rows = both.withColumn("_f", f)
-    return rounded(rows.select(
-        "localDate", "id", "split", F.size("_f").alias("n_features"),
-        F.round(total(F.slice("_f", 1, stock)), 2).alias("stock_sum"),
+    each = lambda k: total(F.transform("news_window", lambda r: total(F.filter(
+        r["values"], lambda x, i: i % 16 == k))))
+    stock = F.transform("window", lambda r: sum(
+        (r[f].cast("double") for f in C.PIVOTED_FEATURES[1:]), r[C.PIVOTED_FEATURES[0]].cast("double")))
+    return rounded(both.select(
+        "localDate", "id", "split",
+        (F.size("window") * len(C.PIVOTED_FEATURES)
+         + F.size("news_window") * F.size(F.col("news_window")[0]["values"])).alias("n_features"),
+        F.round(total(stock), 2).alias("stock_sum"),
         each(0).alias("news_articles"), each(1).alias("news_mean"),
         *[F.col(f"y_{h}").alias(h) for h in HEADS]))
 
 
-@register("train_heads", SAMPLES + " UNION ALL ".join(
-    f"""SELECT '{h}' AS head, count(*) FILTER (WHERE split = 'train') AS n_train,
-        count(*) FILTER (WHERE split = 'validation') AS n_validation,
-        round(avg({h}), 6) AS label_mean, round(stddev_pop({h}), 6) AS label_std,
-        true AS scored FROM samples""" for h in HEADS))
-def q_train_heads(spark, sf_dir):
-    """Six Spark ML heads on windowed long rows; validation losses scored and
-    the models saved under ``model/score=...``. Per head: samples, label moments and
-    whether its loss is a finite number."""
-    train, val, *_ = training_frames(spark, sf_dir)
-    models, losses, score_text = MD.fit_and_score(train, val)
-    MD.save_heads(models, f"{scratch_path(spark, 'model')}/score={score_text}")
-    both = train.withColumn("_v", F.lit(0)).unionByName(val.withColumn("_v", F.lit(1)))
-    each = both.select("_v", F.explode(F.create_map(*[x for h in HEADS for x in (
-        F.lit(h), F.col(f"y_{h}"))])).alias("head", "y"))
-    stats = each.groupBy("head").agg(
-        F.count_if(F.col("_v") == 0).alias("n_train"),
-        F.count_if(F.col("_v") == 1).alias("n_validation"),
-        F.avg("y").alias("label_mean"), F.stddev_pop("y").alias("label_std"))
-    finite = F.col("loss").isNotNull() & ~F.isnan("loss") & (F.col("loss") >= 0)
-    return rounded(stats.join(losses.select("head", finite.alias("scored")), "head"))
-
-
-def days_sql(first: str, last: str) -> str:
-    """Weekdays from the one after ``first`` to the one after ``last``."""
-    after = ("({d} + CAST(CASE isodow({d}) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS INTEGER))")
-    return (f"SELECT CAST(d AS DATE) AS localDate FROM (SELECT unnest(generate_series("
-            f"{after.format(d=first)}, {after.format(d=last)}, INTERVAL 1 DAY)) AS d) "
-            "WHERE isodow(d) < 6")
-
-
-HI = "(SELECT max(localDate) FROM aligned)"
-
-
-@register("predict_pending", O.with_(*O.orders_dataset_chain()) + f"""
-SELECT d.localDate, s.id AS symbol, true AS predicted
-FROM ({days_sql(f"CAST({HI} - 20 AS DATE)", HI)}) d CROSS JOIN symbols s""")
-def q_predict_pending(spark, sf_dir):
-    """The newest pending weekdays as the SQL has them: as-of end date, trailing windows,
-    features, the best registered model's heads, unscale, write partitions; read back
-    with a flag that all six heads are finite numbers. ``predict_pending_heads`` is the
-    whole job."""
-    models, _, (panel, lagged, aligned) = train_and_register(spark, sf_dir, scratch_path(spark, "model"))
-    hi = aligned.select(F.max("localDate")).scalar()
-    out = MD.predict_for_dates(models, pending_days(spark, F.date_sub(hi, 20), hi),
-                               panel, lagged, aligned)
-    path = scratch_path(spark, "inference")
-    PQ.write_partitions(out, path)
-    fine = F.lit(True)
-    for h in HEADS:
-        fine = fine & F.col(h).isNotNull() & ~F.isnan(h)
-    return spark.read.parquet(path).select("localDate", "symbol", fine.alias("predicted"))
+MARGINAL = O.with_(*O.marginal_chain())
 
 
-def train_and_register(spark, sf_dir, root: str):
-    """Fit, score and save the heads: (the best registered model's heads, the last date
-    trained on, (panel, lagged, aligned dates))."""
+def head_samples(spark, sf_dir, window=C.WINDOW_SIZE):
+    """(samples in blocks, (panel, lagged, aligned dates))."""
     panel, targets, lagged, aligned, _ = dataset(spark, sf_dir)
-    train, val, _ = MD.training_samples(panel, targets, lagged, aligned, C.WINDOW_SIZE)
-    models, _, score_text = MD.fit_and_score(train, val)
-    MD.save_heads(models, f"{root}/score={score_text}")
-    trained = train.agg(F.max("localDate")).first()[0]
-    return MD.load_heads(MD.best_model_dir(spark, root)), trained, (panel, lagged, aligned)
+    return H.samples(panel, targets, lagged, aligned, window), (panel, lagged, aligned)
+
+
+@register("train_moments", MARGINAL + """
+SELECT f.part, f.step, f.feature, y.head, round(f.mean / top, 6) + 0.0::DOUBLE AS mean,
+       CASE WHEN varies AND var > 0 THEN round(sqrt(f.var) / top, 6) ELSE 0.0 END::DOUBLE AS std,
+       CASE WHEN varies AND var > 0 THEN round(f.cov[y.k] / sqrt(var), 6) + 0.0 ELSE 0.0 END::DOUBLE
+         AS effect
+FROM feats f CROSS JOIN (SELECT unnest(range(1, 7)) AS k, unnest([""" +
+          ", ".join(f"'{h}'" for h in HEADS) + """]) AS head) y""")
+def q_train_moments(spark, sf_dir):
+    """What a fit rests on: each feature's mean and deviation over the training samples (as
+    shares of its greatest size), and what one deviation of it goes with in the labels of the
+    six heads, from the blocked sums."""
+    s, _ = head_samples(spark, sf_dir)
+    m = H.moments(s)
+    mean, std, varies = H.feature_scales(m)
+    effect = (m.cross[1:] / m.n - mean[:, None] * (m.cross[0] / m.n)) / std[:, None]
+    top = np.maximum(np.abs(m.low), np.abs(m.high))
+    top[top == 0] = 1.0
+    rows = []
+    for j in range(len(mean)):            # a number of features that the configuration fixes
+        part, at = ("stock", j) if j < s.window * s.n_stock else ("news", j - s.window * s.n_stock)
+        step, feature = divmod(at, s.n_stock if part == "stock" else s.n_news)
+        rows += [(part, step, feature, h, float(mean[j] / top[j]),
+                  float(std[j] / top[j]) if varies[j] else 0.0,
+                  float(effect[j, k]) if varies[j] else 0.0) for k, h in enumerate(HEADS)]
+    out = rounded(spark.createDataFrame(rows, "part string, step int, feature int, head string, "
+                                        "mean double, std double, effect double"))
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("mean", "effect")})       # no -0.0
+
+
+@register("train_heads")
+def q_train_heads(spark, sf_dir, root: str | None = None):
+    """The job: six ridge heads on the windowed samples, saved under ``model/score=...``; the
+    validation loss of each head and the normalised score, unrounded. (No SQL: the solve is
+    not plain SQL; tested against numpy, coefficients included.)"""
+    s, _ = head_samples(spark, sf_dir)
+    heads, losses, score_text = MD.fit_and_score(s)
+    H.save(heads, spark, f"{root or scratch_path(spark, 'model')}/score={score_text}")
+    return losses
+
+
+@register("train_heads_marginal", MARGINAL + ", pva AS (SELECT " + ", ".join(
+    f"{'out.' + h} AS {h}_p, s.y[{k + 1}] / {1000.0 if h in MD.LOG_HEADS else 1.0}::DOUBLE AS {h}_a"
+    for k, h in enumerate(HEADS)) + " FROM outs out JOIN samp s ON s.t = out.t AND s.id = out.id "
+    "WHERE s.t >= (SELECT first FROM cut)), " + AGG + " " + " UNION ALL ".join(
+    [f"SELECT '{h}' AS head, round({h}, 4) AS loss FROM agg" for h in HEADS] +
+    [f"SELECT 'normalized', round({O.normalized_sql()}, 4) FROM agg"]))
+def q_train_heads_marginal(spark, sf_dir):
+    """``train_heads`` with the solver that plain SQL can follow: same samples, sums, scoring
+    and losses."""
+    s, _ = head_samples(spark, sf_dir)
+    heads, losses, score_text = MD.fit_and_score(s, "marginal")
+    H.save(heads, spark, f"{scratch_path(spark, 'model')}/score={score_text}")
+    return losses.select("head", F.round("loss", 4).alias("loss"))
 
 
 def pending_days(spark, after, last):
@@ -247,26 +242,37 @@ def pending_days(spark, after, last):
         D.is_weekday(F.col("query_date")))
 
 
-@register("predict_pending_heads")
-def q_predict_pending_heads(spark, sf_dir, root: str | None = None):
-    """Every pending weekday in one job, with its six heads: from the weekday after the
-    last date trained on to the weekday after the watermark. (No SQL: the heads are
-    fitted; tested by brute force.)"""
-    models, trained, (panel, lagged, aligned) = train_and_register(
-        spark, sf_dir, root or scratch_path(spark, "model"))
-    hi = aligned.select(F.max("localDate")).scalar()
-    out = MD.predict_for_dates(models, pending_days(spark, F.lit(trained), hi),
+def predict_pending(spark, sf_dir, solver: str, root: str):
+    """Fit, register, and predict every pending weekday with the best registered model: from
+    the weekday after the last date trained on to the one after the watermark; written by
+    date and read back."""
+    s, (panel, lagged, aligned) = head_samples(spark, sf_dir)
+    heads, _, score_text = MD.fit_and_score(s, solver)
+    H.save(heads, spark, f"{root}/score={score_text}")
+    trained, hi = s.index.agg(F.max(F.when(F.col("t") < s.first_validation, F.col("localDate"))),
+                              F.max("localDate")).first()
+    best = H.load(spark, MD.best_model_dir(spark, root))
+    out = MD.predict_for_dates(best, pending_days(spark, F.lit(trained), F.lit(hi)),
                                panel, lagged, aligned)
     path = scratch_path(spark, "inference")
     PQ.write_partitions(out, path)
     return spark.read.parquet(path).select("localDate", "symbol", *C.INFERENCE_METRICS)
 
 
-@register("train_heads_losses")
-def q_train_heads_losses(spark, sf_dir, root: str | None = None):
-    """Validation loss of each head and the normalised score of the models that
-    ``train_heads`` fits, unrounded. (No SQL: the heads are fitted.)"""
-    train, val, *_ = training_frames(spark, sf_dir)
-    models, losses, score_text = MD.fit_and_score(train, val)
-    MD.save_heads(models, f"{root or scratch_path(spark, 'model')}/score={score_text}")
-    return losses
+@register("predict_pending", MARGINAL + f""", ends AS (
+  SELECT d.localDate, max(i.t) + 1 AS t
+  FROM ({O.weekdays_sql("(SELECT max(localDate) FROM idx WHERE t < (SELECT first FROM cut))",
+                        "(SELECT max(localDate) FROM idx)")}) d
+  JOIN idx i ON i.localDate < d.localDate GROUP BY d.localDate)
+SELECT a.localDate, o.id AS symbol, """ + ", ".join(
+    f"round(CAST(CAST(o.{h} AS FLOAT) AS DOUBLE), 6) AS {h}" for h in C.INFERENCE_METRICS) + """
+FROM ends a JOIN outs o ON o.t = a.t""")
+def q_predict_pending(spark, sf_dir):
+    """Six heads for every pending weekday, from the solver that plain SQL can follow."""
+    return rounded(predict_pending(spark, sf_dir, "marginal", scratch_path(spark, "model")))
+
+
+@register("predict_pending_heads")
+def q_predict_pending_heads(spark, sf_dir, root: str | None = None):
+    """The same job with the ridge heads. (No SQL, as ``train_heads``; tested by brute force.)"""
+    return predict_pending(spark, sf_dir, "ridge", root or scratch_path(spark, "model"))
