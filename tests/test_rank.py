@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import exact_median, row_number_within
+from tidemark.operators.rank import exact_median, magnitude_bucket, row_number_within
 
 
 def _skewed(spark):
@@ -34,7 +34,48 @@ def test_global_row_number(spark):
 def test_exact_median(spark):
     df = _skewed(spark)
     want = df.toPandas().groupby("g").v.median().to_dict()
-    got = {r.g: r.median for r in exact_median(df, "v", ["g"], tiebreak=["i"]).collect()}
+    got = {r.g: r.median for r in exact_median(df, "v", ["g"]).collect()}
     assert got.keys() == want.keys()
     for k in want:
         assert np.isclose(got[k], want[k])
+
+
+def test_median_of_awkward_values(spark):
+    """Signs, zeros, tiny and huge values, ties, even counts across two buckets, NaN,
+    infinities and nulls; nothing but buckets and distinct values is ordered."""
+    inf, nan = float("inf"), float("nan")
+    groups = {"even": [1.0, 2.0, 1e30, -5.0], "two": [-1e-300, 1e300], "one": [-0.25],
+              "tie": [0.5] * 7 + [0.25] * 7, "zero": [-1.0, 0.0, -0.0, 3.0], "null": [None, 2.0, None],
+              "tiny": [5e-324, 1e-310, -5e-324], "inf": [-inf, 1.0, inf, inf], "nan": [1.0, 2.0, nan],
+              "near": [1.0, 1.0 + 2 ** -23, 1.0 + 2 ** -22, 1.0 + 2 ** -21]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median for r in exact_median(df.repartition(3), "v", ["g"]).collect()}
+    for g, vs in groups.items():
+        vs = sorted((v for v in vs if v is not None), key=lambda v: (v != v, v))
+        want = (vs[(len(vs) - 1) // 2] + vs[len(vs) // 2]) / 2
+        assert got[g] == want, g
+    counted = df.groupBy("g", "v").agg(F.count("*").alias("n"))
+    assert {r.g: r.median for r in exact_median(counted, "v", ["g"], weight="n").collect()} == got
+    assert exact_median(df.where("false"), "v", ["g"]).count() == 0
+
+
+def test_median_sorts_no_rows(spark):
+    """One group of 200,000 rows: what the windows order are buckets and values."""
+    df = spark.range(200_000).select(F.lit("hot").alias("g"),
+                                     ((F.col("id") * 7919 % 2001 - 1000) / 1000).alias("v"))
+    got = exact_median(df, "v", ["g"])
+    vs = np.sort((np.arange(200_000) * 7919 % 2001 - 1000) / 1000)
+    assert got.first()["median"] == (vs[99_999] + vs[100_000]) / 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan
+
+
+def test_buckets_never_fall(spark):
+    rng = np.random.default_rng(2)
+    x = np.sort(np.concatenate([rng.normal(size=500), 10.0 ** rng.uniform(-320, 300, 500),
+                                -10.0 ** rng.uniform(-320, 300, 500), 2.0 ** np.arange(-1074, 1000, 7),
+                                np.nextafter(2.0 ** np.arange(-60, 60), 0)]))
+    df = spark.createDataFrame([(k, float(v)) for k, v in enumerate(x)], "k long, v double")
+    got = [r.b for r in df.select("k", magnitude_bucket(F.col("v")).alias("b")).orderBy("k").collect()]
+    assert got == sorted(got)

@@ -1,4 +1,4 @@
-"""Exact positions inside groups without funnelling a group into one task.
+"""Exact positions and medians inside groups without funnelling a group into one task.
 
 ``Window.partitionBy(g).orderBy(k)`` sends every row of a group to one task;
 a date that holds a third of all articles would then sort in one task. Here
@@ -54,27 +54,48 @@ def row_number_within(df: DataFrame, order: Sequence, group: Sequence[str] = (),
                   .drop(_PID, _MID, _M0, _OFF))
 
 
-def kth_values(df: DataFrame, value: str, ks: DataFrame, group: Sequence[str] = (),
-               tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Values at 0-based positions given per group by ``ks(group…, k)``.
-
-    Exact order statistics (median, quantiles) computed with
-    :func:`row_number_within`; returns ``(group…, k, value)``.
-    """
-    ranked = row_number_within(df.select(*group, value, *tiebreak),
-                               [value, *tiebreak], group, out="_k")
-    return (ranked.join(ks.withColumnRenamed("k", "_k"), [*group, "_k"])
-                  .select(*group, F.col("_k").alias("k"), value))
-
-
-def exact_median(df: DataFrame, value: str, group: Sequence[str] = (),
-                 tiebreak: Sequence[str] = (), out: str = "median") -> DataFrame:
-    """Exact median per group (mean of the two middle values when n is even),
-    from the range-partitioned rank: no task holds a whole group."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    ks = (sizes.select(*group, F.explode(F.array(
-              F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2))).alias("k"))
-               .distinct())
-    kv = kth_values(df, value, ks.select(*group, F.col("k").cast("long").alias("k")),
-                    group, tiebreak)
-    return kv.groupBy(*group).agg(F.avg(F.col(value).cast("double")).alias(out))
+#: Buckets of a power of two. A float32 has 24 bits of mantissa, so one bucket holds at
+#: most 2**24 / OCTAVE of them, and all of them lie in 2 * 278 * OCTAVE buckets.
+OCTAVE = 256
+
+
+def magnitude_bucket(v: Column) -> Column:
+    """An integer that never falls as ``v`` (a double) grows: NaN is greatest, as in Spark's
+    order, and an infinity beyond every number."""
+    # from 2**-1074 on: the logarithm plus 1080 is positive
+    size = F.floor((F.log2(F.abs(v)) + 1080) * OCTAVE).cast("long")
+    far = F.lit(1 << 40)
+    return (F.when(F.isnan(v), 2 * far).when(F.abs(v) == float("inf"), F.signum(v).cast("long") * far)
+            .when(v == 0, F.lit(0).cast("long")).otherwise(F.signum(v).cast("long") * size))
+
+
+def exact_median(df: DataFrame, value: str, group: Sequence[str] = (), out: str = "median",
+                 weight: str | None = None) -> DataFrame:
+    """Exact median per group (mean of the two middle values when the count is even), by
+    counting: no row is sorted, and no task holds a group.
+
+    The first pass counts each group's rows by a bucket of their magnitude; the second, of the
+    rows in the bucket or two of the middle, by value. Both counts are made in the tasks
+    first, so what is shuffled and ordered are buckets and distinct values: of float32
+    values at most 2**16 in a bucket. ``weight`` names a column of how often a value counts.
+    Null values are left out."""
+    v, n = F.col("_v"), F.col("_n")
+    rows = df.where(F.col(value).isNotNull()).select(
+        *group, F.col(value).cast("double").alias("_v"),
+        (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
+    rows = rows.withColumn("_b", magnitude_bucket(v))
+    buckets = rows.groupBy(*group, "_b").agg(F.sum(n).alias("_n"))
+    whole = Window.partitionBy(*group)
+    upto = F.sum(n).over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum(n).over(whole)
+    low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    holds = lambda end: ((F.col(end) > low) & (F.col(end) - n <= high))
+    middle = (buckets.withColumns({"_end": upto, "_total": total}).where(holds("_end"))
+              .select(*group, "_b", (F.col("_end") - n).alias("_before"), "_total"))
+    values = (rows.join(middle, [*group, "_b"]).groupBy(*group, "_b", "_before", "_total", "_v")
+              .agg(F.sum(n).alias("_n")))
+    ends = F.col("_before") + F.sum(n).over(
+        Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = values.withColumn("_end", ends).where(holds("_end"))
+    # of one or two values at the middle positions
+    return found.groupBy(*group).agg(((F.min("_v") + F.max("_v")) / 2).alias(out))

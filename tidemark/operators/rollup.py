@@ -15,7 +15,7 @@ def _as_date(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x).cast("date")
 
 
-def _f32(x: float) -> Column:
+def float32_threshold(x: float) -> Column:
     """Thresholds compare as float32, like the float32 scores."""
     return F.lit(x).cast("float").cast("double")
 
@@ -32,15 +32,15 @@ def metric_columns(s: Column, L: Column) -> dict[str, Column]:
         "pct_positive": share(s > 0),
         "pct_negative": share(s < 0),
         "weighted_mean_sentiment": F.sum(s * L) / (F.sum(L) + C.PREVENT_DIV_BY_ZERO),
-        "extreme_sentiment_share": share(a > _f32(C.EXTREME_THRESHOLD)),
+        "extreme_sentiment_share": share(a > float32_threshold(C.EXTREME_THRESHOLD)),
         "sentiment_skewness": F.when(n < 3, 0.0).otherwise(F.coalesce(F.skewness(s), F.lit(0.0))),
         "sentiment_kurtosis": F.when(n < 4, 0.0).otherwise(F.coalesce(F.kurtosis(s), F.lit(0.0))),
-        "neutral_share": share(a < _f32(C.NEUTRAL_THRESHOLD)),
+        "neutral_share": share(a < float32_threshold(C.NEUTRAL_THRESHOLD)),
         "max_sentiment": F.max(s),
         "min_sentiment": F.min(s),
         "article_length_variance": F.var_pop(L),
-        "conflict_share": share((a >= _f32(C.CONFLICT_THRESHOLD_LOW)) &
-                                (a <= _f32(C.CONFLICT_THRESHOLD_HIGH))),
+        "conflict_share": share((a >= float32_threshold(C.CONFLICT_THRESHOLD_LOW)) &
+                                (a <= float32_threshold(C.CONFLICT_THRESHOLD_HIGH))),
     }
 
 
@@ -49,8 +49,8 @@ def daily_rollup(sentiment: DataFrame, with_median: bool = True) -> DataFrame:
 
     Every metric except the median is a grouped aggregate with map-side
     partial aggregation, so a day holding a third of all articles is merged
-    from per-task partials. The median is an exact order statistic from the
-    range-partitioned rank, so no task holds a whole day."""
+    from per-task partials. The median is an exact order statistic from
+    counts by magnitude and value, so no article row is sorted and no task holds a day."""
     s = F.col("sentiment_score").cast("float").cast("double")
     L = F.col("text_length").cast("double")
     mc = metric_columns(s, L)
@@ -59,8 +59,8 @@ def daily_rollup(sentiment: DataFrame, with_median: bool = True) -> DataFrame:
               .withColumn("ratio_pos_neg", F.col("pct_positive") /
                           (F.col("pct_negative") + C.PREVENT_DIV_BY_ZERO)))
     if with_median:
-        med = exact_median(sentiment.select("localDate", s.alias("_s"), "id"), "_s",
-                           ["localDate"], tiebreak=["id"], out="median_sentiment")
+        med = exact_median(sentiment.select("localDate", s.alias("score")), "score",
+                           ["localDate"], out="median_sentiment")
         agg = agg.join(med, "localDate")
     else:
         agg = agg.withColumn("median_sentiment", F.lit(None).cast("double"))

@@ -9,7 +9,7 @@ from tidemark.plans.q_ingest import q_ingest_stock_json  # noqa: F401  (register
 from tidemark.plans.q_news import ALL_METRICS, NEWS
 from tidemark.plans.registry import ORACLE, register, rounded
 from tidemark.schemas import SENTIMENT
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import fixtures as FX
 from tidemark.streaming import jobs as SJ
 
@@ -36,7 +36,8 @@ def _land_sentiment(spark, sf_dir, landing, spread_days=1):
     s = FX.sentiment_fixed(spark, sf_dir).select(*SENTIMENT.fieldNames())
     first = F.lit("2024-01-01").cast("date")
     s = s.withColumn("localDate", F.date_add(first, F.datediff("localDate", first) * spread_days))
-    s.repartitionByRange(8, F.desc("localDate")).write.parquet(landing)
+    # sampling for the ranges reads a table, not the texts once more
+    cut_lineage(s).repartitionByRange(8, F.desc("localDate")).write.parquet(landing)
 
 
 @register("stream_daily_rollup", NEWS + "SELECT CAST(DATE '2024-01-01' + CAST("
