@@ -1,6 +1,9 @@
-"""Sinks and sources, including the reference's own round-trip fixtures."""
+"""Sinks and sources."""
 
 import datetime as dt
+import glob
+import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,19 +15,22 @@ from tidemark.session import scratch_path
 from tidemark.sources import parquet as PQ
 from tidemark.sources import state as ST
 from tidemark.sources import tables as TB
+from tidemark.sources.keyed import KeyedTable
 
-RECORD = T.StructType([T.StructField("localDateValue", T.DateType(), False),
-                       T.StructField("stringValue", T.StringType(), False),
-                       T.StructField("doubleValue", T.DoubleType(), False),
-                       T.StructField("longValue", T.LongType(), False)])
+TICK = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("lots", T.IntegerType()),
+                     T.StructField("paid", T.FloatType()), T.StructField("settled", T.DateType()),
+                     T.StructField("open", T.BooleanType())])
 
 
-def test_parquet_record_round_trip(spark):
-    rows = [(dt.date(2011, 11, 11), "test", 1.1, 11), (dt.date(2012, 12, 12), "test", 1.2, 12)]
-    path = scratch_path(spark, "record")
-    spark.createDataFrame(rows, RECORD).write.parquet(path)
-    back = PQ.read_checked(spark, path, RECORD)
-    assert sorted(map(tuple, back.collect())) == rows
+def test_parquet_round_trip(spark):
+    rows = [("ÄB.C", -3, 0.25, dt.date(1969, 12, 31), True), ("", 2 ** 31 - 1, -1e30, None, False),
+            (None, None, None, dt.date(2400, 2, 29), None)]
+    path = scratch_path(spark, "ticks")
+    df = spark.createDataFrame(rows, TICK)
+    df.select("open", *TICK.fieldNames()[:-1]).write.parquet(path)      # stored in another order
+    back = PQ.read_checked(spark, path, TICK)
+    assert back.columns == TICK.fieldNames()
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
 def test_schema_check(spark):
@@ -37,12 +43,12 @@ def test_schema_check(spark):
 
 def test_state_round_trip(spark):
     path = scratch_path(spark, "control")
-    marks = spark.createDataFrame([("test", "lastAdded", dt.date(1999, 12, 16))],
+    marks = spark.createDataFrame([("bars", "lastAdded", dt.date(2020, 2, 29))],
                                   "pipeline string, key string, value date")
     ST.write_marks(marks, path)
-    assert ST.read_mark(spark, path, "test", "lastAdded").first().value == dt.date(1999, 12, 16)
-    assert ST.read_mark(spark, path, "other", "lastAdded", "1999-11-01").first().value == \
-        dt.date(1999, 11, 1)
+    assert ST.read_mark(spark, path, "bars", "lastAdded").first().value == dt.date(2020, 2, 29)
+    assert ST.read_mark(spark, path, "news", "lastAdded", "2001-03-04").first().value == \
+        dt.date(2001, 3, 4)
 
 
 def test_partition_overwrite_and_empty_input(spark):
@@ -95,7 +101,43 @@ def test_keyed_upsert_modes(spark):
     assert (over[2].v, over[2].w, over[2].action) == ("B", "y", "update")
     assert (keep[2].v, keep[2].action) == ("b", "update")
     assert (over[3].v, over[3].action, over[1].action) == ("C", "insert", "keep")
-    assert sorted(r.k for r in TB.keyed_delete(cur, upd, "k").collect()) == [1]
+
+
+def test_keyed_table_changes_in_place(spark):
+    """A change rewrites the partitions of its keys alone, and the stored side of its join is
+    not shuffled; lookups read only their partitions."""
+    db, where = f"k_{uuid.uuid4().hex[:8]}", scratch_path(spark, "db")
+    TB.ensure_database(spark, db, where)
+    rows = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"),
+                                   F.lit("x").alias("w"))
+    table = KeyedTable.create(rows, f"{db}.t", "k", parts=16)
+
+    def files():
+        found = glob.glob(where.removeprefix("file:") + "/t/part=*/*.parquet")
+        return {f: os.stat(f).st_mtime_ns for f in found}
+
+    before = files()
+    new = spark.createDataFrame([(5, 50), (7, None), (900, 1)], "k long, v long")
+    touched = table.touched(new)
+    plan = TB.keyed_upsert(table._stored(touched), new, "k")._jdf.queryExecution().executedPlan()
+    stored = [line for line in plan.toString().split("\n") if "Bucketed: true" in line]
+    assert len(stored) == 1 and "PartitionFilters: [part" in stored[0]
+    assert plan.toString().count("Exchange") == 1                      # that of the changes
+    assert {(r.k, r.action) for r in table.upsert(new).collect()} == {
+        (5, "update"), (7, "update"), (900, "insert")}
+    after = files()
+    same = [f for f in before if after.get(f) == before[f]]
+    assert all(f"part={p}/" not in f for f in same for p in touched)
+    assert {f.split("part=")[1].split("/")[0] for f in before if f not in same} == set(map(str, touched))
+    got = {r.k: (r.v, r.w) for r in table.rows().collect()}
+    assert (got[5], got[7], got[900], got[8], len(got)) == ((50, "x"), (14, "x"), (1, None), (16, "x"), 501)
+    table.upsert(spark.createDataFrame([(5, 1), (900, 2), (901, 3)], "k long, v long"), overwrite=False)
+    assert {(r.k, r.v) for r in table.get(spark.createDataFrame(
+        [(5,), (900,), (901,), (999,), (5,)], "k long")).collect()} == {(5, 50), (900, 1), (901, 3)}
+    table.delete(spark.range(490).withColumnRenamed("id", "k"))
+    assert sorted(r.k for r in table.rows().collect()) == [*range(490, 500), 900, 901]
+    table.delete(table.rows().select("k"))
+    assert table.rows().count() == 0 and table.get(new).count() == 0
 
 
 def test_path_values(spark):

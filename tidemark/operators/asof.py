@@ -1,10 +1,9 @@
 """As-of lookups over the trading calendar without theta joins.
 
-Trading dates get a dense index t. A query date finds the index of the
-latest trading date strictly before it (or at/before it) through a union
-with the calendar and ``last(..., ignorenulls)`` over date order; windows of
-k dates are then index ranges, exploded and equi-joined. Both inputs are one
-row per day, so the single ordering is bounded by the calendar."""
+Trading dates get a dense index t. The index of the latest trading date strictly before
+(or at/before) a day is a step function, kept as a table of one row a calendar day; query
+rows are equi-joined with it. Windows of k dates are then index ranges, exploded and
+equi-joined. Only tables of one row a day are ordered."""
 
 from __future__ import annotations
 
@@ -22,17 +21,30 @@ def index_dates(trading: DataFrame) -> DataFrame:
     return d.withColumn("t", (F.row_number().over(Window.orderBy("localDate")) - 1).cast("long"))
 
 
+def step_calendar(indexed: DataFrame, last, strict: bool) -> DataFrame:
+    """(day, t): for each calendar day from the first trading date to ``last``, the position of
+    the latest trading date before it (``strict``) or at it. One row a day."""
+    lo = indexed.select(F.min("localDate")).scalar()
+    days = indexed.sparkSession.range(1).select(F.explode(F.when(
+        last >= lo, F.sequence(lo, last, F.expr("interval 1 day")))).alias("day"))
+    seen = indexed.select((F.date_add("localDate", 1) if strict else F.col("localDate")).alias("day"),
+                          F.col("t").alias("_t"))
+    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)   # of days, not queries
+    return days.join(seen, "day", "left").select(
+        "day", F.last("_t", ignorenulls=True).over(upto).alias("t"))
+
+
 def asof_index(queries: DataFrame, indexed: DataFrame, strict: bool = True,
                qcol: str = "query_date") -> DataFrame:
-    """For each query date: ``t`` of the latest trading date before it
-    (``strict``) or at/before it. NULL when there is none."""
-    q = queries.select(F.col(qcol).alias("_d"), F.lit(None).cast("long").alias("_t"),
-                       F.lit(0 if strict else 1).alias("_o"), F.lit(True).alias("_q"))
-    c = indexed.select(F.col("localDate").alias("_d"), F.col("t").alias("_t"),
-                       F.lit(1 if strict else 0).alias("_o"), F.lit(False).alias("_q"))
-    w = Window.orderBy("_d", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    u = q.unionByName(c).withColumn("_last", F.last("_t", ignorenulls=True).over(w))
-    return u.filter("_q").select(F.col("_d").alias(qcol), F.col("_last").alias("t"))
+    """For each query row: ``t`` of the latest trading date before its date
+    (``strict``) or at/before it. NULL when there is none.
+
+    The answer is a step function of the day. It is written out for every calendar day, and the
+    queries, however many and on however few dates, are joined with it by date: they are
+    neither sorted nor brought together."""
+    last = queries.select(F.max(qcol)).scalar()
+    steps = step_calendar(indexed, last, strict)
+    return queries.select(qcol).join(steps, F.col(qcol) == F.col("day"), "left").select(qcol, "t")
 
 
 def latest_before(queries: DataFrame, trading: DataFrame, count: int = 1,

@@ -15,45 +15,34 @@ from tidemark.plans import oracle as O
 from tidemark.plans.q_news import daily
 from tidemark.plans.q_stock import panel_inputs
 from tidemark.plans.registry import register, rounded
+from tidemark.session import store
 from tidemark.sources import fixtures as FX
 
 TARGET_METRICS = ("log_return_1d", "log_return_3d", "log_return_5d",
                   "zscore_1d", "rank_1d", "direction_1d")
 
 
-def spine(spark, lo, hi):
-    """The dates of a lag table: every calendar day between two date columns."""
-    return spark.range(1).select(P.calendar_spine(lo, hi).alias("localDate"))
-
-
-def dataset(spark, sf_dir, source="orders", dates_only=False):
+def dataset(spark, sf_dir, source="orders"):
     """(panel, targets, lagged, aligned dates, symbols) for a bar source; the
-    lag table spans the panel's dates.
-
-    With ``dates_only`` targets and lag table stand for their dates alone:
-    alignment reads date columns, not the ranks and texts behind them."""
+    lag table spans the panel's dates. Targets and lag table are stored once, and what only
+    asks for dates scans their date columns."""
     b, s, d = panel_inputs(spark, sf_dir, source)
     panel = P.dense_panel(b, s, d)
     lo = d.select(F.min("localDate")).scalar()
     hi = d.select(F.date_add(F.max("localDate"), 1)).scalar()
-    if dates_only:
-        targets, lagged = TG.log_returns(panel), spine(spark, lo, hi)
-    else:
-        targets = TG.daily_targets(panel)
-        lagged = RU.lagged_features(daily(spark, sf_dir, source=source), start=lo, end=hi)
+    targets = store(TG.daily_targets(panel), "targets")
+    lagged = store(RU.lagged_features(daily(spark, sf_dir, source=source), start=lo, end=hi), "lagged")
     aligned = DS.common_dates(panel, lagged, targets)
     return panel, targets, lagged, aligned, s
 
 
-def events_dates(spark, sf_dir):
-    """(panel, targets, lagged) of the events, the last two by their dates: the
-    lag table spans the articles' own days and the one after."""
+def events_tables(spark, sf_dir):
+    """(panel, targets, lagged) of the events, as stored tables; the lag table spans the
+    articles' own days and the one after."""
     b, s, d = panel_inputs(spark, sf_dir, "events")
     panel = P.dense_panel(b, s, d)
-    days = FX.articles(spark, sf_dir).select("localDate")
-    lo = days.select(F.min("localDate")).scalar()
-    hi = days.select(F.date_add(F.max("localDate"), 1)).scalar()
-    return panel, TG.log_returns(panel), spine(spark, lo, hi)
+    lagged = RU.lagged_features(daily(spark, sf_dir))
+    return panel, store(TG.daily_targets(panel), "targets"), store(lagged, "lagged")
 
 
 EVENTS_NEWS = (O.target_chain(O.BARS_EVENTS) + O.NEWS_CHAIN[:] +
@@ -64,7 +53,7 @@ EVENTS_NEWS = (O.target_chain(O.BARS_EVENTS) + O.NEWS_CHAIN[:] +
 SELECT localDate FROM tdates WHERE localDate IN (SELECT localDate FROM spine)
   AND localDate IN (SELECT localDate FROM targets)""")
 def q_align_dates(spark, sf_dir):
-    panel, targets, lagged = events_dates(spark, sf_dir)
+    panel, targets, lagged = events_tables(spark, sf_dir)
     return DS.common_dates(panel, lagged, targets)
 
 
@@ -72,19 +61,18 @@ def q_align_dates(spark, sf_dir):
 SELECT localDate FROM tdates INTERSECT SELECT localDate FROM spine
 INTERSECT SELECT localDate FROM targets""")
 def q_intersect_dates(spark, sf_dir):
-    panel, targets, lagged = events_dates(spark, sf_dir)
+    panel, targets, lagged = events_tables(spark, sf_dir)
     return DS.intersect_dates(panel, lagged, targets)
 
 
 @register("alignment_check", O.with_(*EVENTS_NEWS) + """
 SELECT count(*) FILTER (WHERE a AND b AND c) AS aligned_dates,
        count(*) FILTER (WHERE NOT (a AND b AND c)) AS unaligned_dates
-FROM (SELECT coalesce(p.localDate, s.localDate) AS localDate,
-             p.localDate IS NOT NULL AS a, s.localDate IS NOT NULL AS b,
-             p.localDate IS NOT NULL AS c
-      FROM tdates p FULL OUTER JOIN spine s ON p.localDate = s.localDate)""")
+FROM (SELECT localDate, bool_or(k = 0) AS a, bool_or(k = 1) AS b, bool_or(k = 2) AS c
+      FROM (SELECT localDate, 0 AS k FROM panel UNION ALL SELECT localDate, 1 FROM spine
+            UNION ALL SELECT localDate, 2 FROM targets) GROUP BY localDate)""")
 def q_alignment_check(spark, sf_dir):
-    panel, targets, lagged = events_dates(spark, sf_dir)
+    panel, targets, lagged = events_tables(spark, sf_dir)
     return DS.alignment_report(panel, lagged, targets, check=True)
 
 
@@ -96,7 +84,7 @@ SELECT localDate, 'train' AS split FROM idx WHERE t < n - CAST(floor(n * 0.2) AS
 UNION ALL
 SELECT localDate, 'validation' AS split FROM idx WHERE t >= n - CAST(floor(n * 0.2) AS BIGINT) - 30""")
 def q_chrono_split(spark, sf_dir):
-    *_, aligned, _ = dataset(spark, sf_dir, dates_only=True)
+    *_, aligned, _ = dataset(spark, sf_dir)
     return DS.chrono_split(DS.date_index(aligned), C.WINDOW_SIZE).select("localDate", "split")
 
 
@@ -108,7 +96,7 @@ SELECT a.localDate, a.id, CAST(f.t - a.t + 30 AS INTEGER) AS k, f.localDate AS d
 FROM pl a JOIN pl f ON f.id = a.id AND f.t >= a.t - 30 AND f.t < a.t
 WHERE a.t >= 30""")
 def q_sliding_windows(spark, sf_dir):
-    panel, _, _, aligned, _ = dataset(spark, sf_dir, dates_only=True)
+    panel, _, _, aligned, _ = dataset(spark, sf_dir)
     (p,) = DS.align(aligned, panel)
     w = DS.sliding_windows(p, C.WINDOW_SIZE, index=DS.date_index(aligned))
     e = w.select("localDate", "id", F.posexplode("window").alias("k", "r"))
@@ -145,7 +133,7 @@ SELECT a.localDate, CAST(f.t - a.t + 30 AS INTEGER) AS step, a.pos AS sym,
 FROM pl a JOIN pl f ON f.id = a.id AND f.t >= a.t - 30 AND f.t < a.t
 WHERE a.t >= 30""")
 def q_window_tensor(spark, sf_dir):
-    panel, _, _, aligned, symbols = dataset(spark, sf_dir, dates_only=True)
+    panel, _, _, aligned, symbols = dataset(spark, sf_dir)
     (p,) = DS.align(aligned, panel)
     tens = RS.window_tensor(p, DS.date_index(aligned), C.WINDOW_SIZE)
     steps = tens.select("localDate", "block", F.posexplode("tensor").alias("step", "syms"))
@@ -160,7 +148,7 @@ def q_window_tensor(spark, sf_dir):
 SELECT localDate, CAST(floor(r / 32) AS BIGINT) AS batch FROM s
 WHERE floor(r / 32) < (SELECT count(*) FROM s) // 32""")
 def q_batches(spark, sf_dir):
-    *_, aligned, _ = dataset(spark, sf_dir, dates_only=True)
+    *_, aligned, _ = dataset(spark, sf_dir)
     idx = DS.date_index(aligned)
     split = DS.chrono_split(idx, C.WINDOW_SIZE)
     train = split.filter((F.col("split") == "train") & (F.col("t") >= C.WINDOW_SIZE))

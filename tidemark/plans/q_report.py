@@ -86,17 +86,21 @@ def q_asof_latest_before(spark, sf_dir):
     return AO.latest_before(query_dates(spark, d), d, count=1).select("query_date", "localDate")
 
 
-@register("trailing_window", O.with_(O.BARS_ORDERS, O.TDATES_ANY, QDATES.replace("+ 14", "+ 120")) + """,
-ends AS (SELECT DISTINCT (SELECT max(localDate) FROM tdates t WHERE t.localDate < q.query_date) AS end_date
-         FROM qd q)
+@register("trailing_window", O.with_(O.BARS_ORDERS, O.TDATES_ANY, QDATES) + """,
+ends AS (SELECT end_date FROM (
+           SELECT DISTINCT (SELECT max(localDate) FROM tdates t WHERE t.localDate < q.query_date) AS end_date
+           FROM qd q)
+         WHERE (SELECT count(*) FROM tdates t WHERE t.localDate <= end_date) >= 30)
 SELECT end_date, CAST(29 - k AS INTEGER) AS step, localDate FROM (
   SELECT e.end_date, t.localDate,
          row_number() OVER (PARTITION BY e.end_date ORDER BY t.localDate DESC) - 1 AS k
   FROM ends e JOIN tdates t ON t.localDate <= e.end_date) WHERE k < 30""")
 def q_trailing_window(spark, sf_dir):
     _, _, d = panel_inputs(spark, sf_dir, "orders")
-    ends = AO.latest_before(query_dates(spark, d, 120), d, count=1).select(
-        F.col("localDate").alias("end_date")).distinct()
+    ends = AO.latest_before(query_dates(spark, d), d, count=1).select("localDate").distinct()
+    # every end date with a full window, however early
+    full = AO.index_dates(d).where(F.col("t") >= C.WINDOW_SIZE - 1)
+    ends = ends.join(full, "localDate", "left_semi").withColumnRenamed("localDate", "end_date")
     return AO.trailing_window(ends, d, C.WINDOW_SIZE)
 
 

@@ -20,6 +20,7 @@ from tidemark.sources import fixtures as FX
 from tidemark.sources import parquet as PQ
 from tidemark.sources import state as ST
 from tidemark.sources import tables as TB
+from tidemark.sources.keyed import KeyedTable
 
 ORDERS_CHECKED = T.StructType([T.StructField("o_orderkey", T.LongType()),
                                T.StructField("o_totalprice", T.DoubleType()),
@@ -254,16 +255,30 @@ def _upsert_inputs(spark, sf_dir):
     return lab, upd
 
 
+def _keyed_labels(spark, lab):
+    """The labels as a keyed table of their own."""
+    db = f"tidemark_{uuid.uuid4().hex[:10]}"
+    TB.ensure_database(spark, db, scratch_path(spark, "db"))
+    return KeyedTable.create(lab, f"{db}.labels", "doc_id", parts=16, buckets=8)
+
+
+def _upserted(spark, sf_dir, overwrite):
+    """Upsert in place; the table read back, with what became of each key."""
+    lab, upd = _upsert_inputs(spark, sf_dir)
+    table = _keyed_labels(spark, lab)
+    done = table.upsert(upd, overwrite)
+    return table.rows().join(done, "doc_id", "left").withColumn(
+        "action", F.coalesce("action", F.lit("keep")))
+
+
 @register("keyed_upsert", UPSERT_SQL.format(quality="coalesce(u.quality, c.quality)"))
 def q_keyed_upsert(spark, sf_dir):
-    lab, upd = _upsert_inputs(spark, sf_dir)
-    return TB.keyed_upsert(lab, upd, "doc_id", overwrite=True)
+    return _upserted(spark, sf_dir, True)
 
 
 @register("keyed_upsert_if_not_exists", UPSERT_SQL.format(quality="coalesce(c.quality, u.quality)"))
 def q_keyed_upsert_keep(spark, sf_dir):
-    lab, upd = _upsert_inputs(spark, sf_dir)
-    return TB.keyed_upsert(lab, upd, "doc_id", overwrite=False)
+    return _upserted(spark, sf_dir, False)
 
 
 @register("keyed_get", "SELECT doc_id, quality, toxic FROM labels WHERE doc_id IN "
@@ -271,7 +286,7 @@ def q_keyed_upsert_keep(spark, sf_dir):
 def q_keyed_get(spark, sf_dir):
     lab = FX.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     keys = FX.table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    return TB.keyed_get(lab, keys, "doc_id")
+    return _keyed_labels(spark, lab).get(keys)
 
 
 @register("keyed_get_delete", "SELECT doc_id, quality, toxic FROM labels WHERE doc_id NOT IN "
@@ -279,7 +294,9 @@ def q_keyed_get(spark, sf_dir):
 def q_keyed_delete(spark, sf_dir):
     lab = FX.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     keys = FX.table(spark, sf_dir, "documents").filter(F.col("lang") == "fr")
-    return TB.keyed_delete(lab, keys, "doc_id")
+    table = _keyed_labels(spark, lab)
+    table.delete(keys)
+    return table.rows()
 
 
 @register("missing_partitions", O.with_(O.ARTICLES) +

@@ -66,6 +66,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df, name: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back: later readers
+    scan the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Materialise ``df`` reliably (``checkpoint``), never ``localCheckpoint``."""
     shared_dir(df.sparkSession)

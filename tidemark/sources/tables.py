@@ -1,5 +1,5 @@
 """Catalog tables: create-or-append, scan-if-exists, stable dedupe with
-partition replacement, and keyed upsert / lookup / delete."""
+partition replacement, and the merge of keyed rows."""
 
 from __future__ import annotations
 
@@ -81,10 +81,3 @@ def keyed_upsert(current: DataFrame, updates: DataFrame, key: str,
                .when(F.col("_has_new").isNull(), "keep").otherwise("update"))
     return j.select(key, *out, action.alias("action"))
 
-
-def keyed_get(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return table.join(keys.select(key).distinct(), key, "left_semi")
-
-
-def keyed_delete(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return table.join(keys.select(key).distinct(), key, "left_anti")
