@@ -61,7 +61,5 @@ def test_ten_million_queries_on_one_date(spark, trading):
     row = out.agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).first()
     assert tuple(row) == (10_000_000,) + (bisect.bisect_left(days, 700) - 1,) * 2
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    # below the window are calendar days; of the queries only their latest date
-    window = plan[plan.index("Window"):]
-    assert window.count("Range (0, 10000000") == window.count("Aggregate [max(query_date")
-    assert plan.index("Join LeftOuter") < plan.index("Window")
+    # the query rows are one side of the join; the ordering is of the other side's days
+    assert plan.index("Join LeftOuter") < plan.index("Range (0, 10000000") < plan.index("Window")

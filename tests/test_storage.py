@@ -51,6 +51,24 @@ def test_state_round_trip(spark):
         dt.date(2001, 3, 4)
 
 
+def test_marks_of_one_pipeline_survive_each_other(spark):
+    path = scratch_path(spark, "control")
+    for key, day in (("lastAdded", 3), ("lastProcessed", 2), ("lastAdded", 5)):
+        ST.write_marks(spark.createDataFrame([("bars", key, dt.date(2024, 1, day))],
+                                             "pipeline string, key string, value date"), path)
+    got = {(r.pipeline, r.key): r.value.day for r in ST.read_marks(spark, path).collect()}
+    assert got == {("bars", "lastAdded"): 5, ("bars", "lastProcessed"): 2}
+
+
+def test_a_write_tells_its_newest_date(spark):
+    path = scratch_path(spark, "observed")
+    df = spark.createDataFrame([(dt.date(2024, 1, d), d) for d in (3, 1, 7, 2)], "localDate date, v long")
+    done = ST.write_observed(df.repartition(3), lambda x: PQ.write_partitions(x, path))
+    assert done == {"newest": dt.date(2024, 1, 7), "rows": 4} and spark.read.parquet(path).count() == 4
+    none = ST.write_observed(df.where("false"), lambda x: PQ.write_partitions(x, path))
+    assert none == {"newest": None, "rows": 0} and spark.read.parquet(path).count() == 4
+
+
 def test_partition_overwrite_and_empty_input(spark):
     path = scratch_path(spark, "parts")
     df = spark.createDataFrame([(dt.date(2024, 1, d), d) for d in (1, 2, 3)], "localDate date, v long")

@@ -107,14 +107,13 @@ def price_features_job(spark: SparkSession, root: str, gate: str = "first_symbol
     PQ.write_partitions(panel_new.select("localDate", "id", "pos",
                                          *[F.col(c).cast("float").alias(c) for c in P.BAR_FIELDS]),
                         panel_path)
-    PQ.write_partitions(targets.select("localDate", "id", "pos",
-                                       *[F.col(c).cast("float").alias(c)
-                                         for c in TG.TARGET_COLS[:5]],
-                                       F.col("direction_1d").cast("tinyint")),
-                        _p(root, "stock", "target"))
-    newest = _max_date(dates)
-    if newest is not None:
-        _set_mark(spark, root, "stock_preproc", "lastProcessed", newest)
+    done = ST.write_observed(
+        targets.select("localDate", "id", "pos",
+                       *[F.col(c).cast("float").alias(c) for c in TG.TARGET_COLS[:5]],
+                       F.col("direction_1d").cast("tinyint")),
+        lambda df: PQ.write_partitions(df, _p(root, "stock", "target")))
+    if done["newest"] is not None:
+        _set_mark(spark, root, "stock_preproc", "lastProcessed", done["newest"])
     return "processed"
 
 
@@ -222,10 +221,10 @@ def infer_job(spark: SparkSession, root: str, first_date=None, window: int = C.W
         return "nothing pending"
     heads = H.load(spark, MD.best_model_dir(spark, _p(root, "model")))
     out = MD.predict_for_dates(heads, pending, panel, lagged, trading, window)
-    PQ.write_partitions(out.select(*SC.INFERENCE.fieldNames()), _p(root, "inference"), SC.INFERENCE)
     # the mark follows what was written, not what was asked for
-    written = _max_date(spark.read.parquet(_p(root, "inference")))
-    _set_mark(spark, root, "inference", "lastInferred", written)
+    done = ST.write_observed(out.select(*SC.INFERENCE.fieldNames()), lambda df: PQ.write_partitions(
+        df, _p(root, "inference"), SC.INFERENCE))
+    _set_mark(spark, root, "inference", "lastInferred", done["newest"])
     return "predicted"
 
 

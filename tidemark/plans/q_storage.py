@@ -197,14 +197,15 @@ MARKS_SQL = O.with_(O.BARS_EVENTS, O.SYMBOLS, O.TDATES, O.ARTICLES)
 
 
 def _marks(spark, sf_dir, path):
+    """Write the outputs of two pipelines; their marks come from the writes."""
     from tidemark.plans.q_stock import panel_inputs
     _, _, d = panel_inputs(spark, sf_dir)
-    a = FX.articles(spark, sf_dir)
-    marks = (d.agg(F.max("localDate").alias("value"))
-              .select(F.lit("stock").alias("pipeline"), F.lit("lastProcessed").alias("key"), "value")
-              .unionByName(a.agg(F.max("localDate").alias("value")).select(
-                  F.lit("news").alias("pipeline"), F.lit("lastProcessed").alias("key"), "value")))
-    ST.write_marks(marks, path)
+    outputs = {"stock": d.withColumn("v", F.lit(1)),
+               "news": FX.articles(spark, sf_dir).select("localDate", "id")}
+    for pipeline, rows in outputs.items():
+        done = ST.write_observed(rows, lambda df: PQ.write_partitions(df, scratch_path(spark, "out")))
+        ST.write_marks(spark.createDataFrame([(pipeline, "lastProcessed", done["newest"])],
+                                             "pipeline string, key string, value date"), path)
 
 
 @register("high_water_mark", MARKS_SQL + """

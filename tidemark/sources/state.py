@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+MARK = "localDate"
+
+
 def write_marks(marks: DataFrame, path: str) -> None:
-    """Replace the marks of the pipelines present in ``marks`` (partitioned
-    by pipeline, dynamic overwrite), after the outputs they describe landed."""
+    """Replace the marks of the (pipeline, key) pairs present in ``marks`` (one partition
+    each, dynamic overwrite), after the outputs they describe landed. Other keys of
+    a pipeline stay."""
     (marks.select("pipeline", "key", F.col("value").cast("date")).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("pipeline").parquet(path))
+          .option("partitionOverwriteMode", "dynamic").partitionBy("pipeline", "key").parquet(path))
+
+
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], column: str = MARK) -> dict:
+    """Run ``write`` on ``df``; ``newest`` (greatest ``column``) and ``rows`` of what went
+    through it, measured by the write itself: nothing is read again.
+
+    ``newest`` is right whatever is repeated; tasks of a stage that runs again may count
+    ``rows`` twice."""
+    seen = Observation()
+    write(df.observe(seen, F.max(column).alias("newest"), F.count(F.lit(1)).alias("rows")))
+    return seen.get
 
 
 def read_marks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("pipeline", "key", "value")
+    schema = "pipeline string, key string, value date"
+    return spark.read.schema(schema).parquet(path).select("pipeline", "key", "value")
 
 
 def read_mark(spark: SparkSession, path: str, pipeline: str, key: str, default=None) -> DataFrame:
