@@ -10,6 +10,22 @@ tasks at most.
   half of their words, go (the model is learned from the rows it is given);
 * near-duplicates: one document of each SimHash component stays;
 * packing: the rest is encoded and packed into sequences of 2048 tokens.
+
+Defined results, for every stage:
+
+* null or empty text: rejected by the quality rules (fewer than 50 words), so later stages
+  see none in a run; on their own, language rejects it, near-duplicates groups it (fingerprint
+  zero) and packing gives it its end id alone;
+* null ``doc_id``, ``lang`` or ``source``: an id is carried and compared as a value like any other, a null
+  ``lang`` is no training label, null ``source`` values are one host;
+* very long texts: read whole by every stage; none is cut but by packing, into pieces;
+* ties: language takes the label that sorts first; of a group of near-duplicates the document with the
+  smallest id stays, and of rows with that id the one with the smallest text hash;
+* repeated rows: equal rows pass or fail the first two stages together; near-duplicates keeps
+  one row of them, and of rows that repeat id and text with other columns one as well;
+* an empty table, or a stage that rejects all: empty tables to the end, with their columns;
+* extra columns: carried unchanged to packing, whatever their names; packing returns its own
+  columns only.
 """
 
 from __future__ import annotations
