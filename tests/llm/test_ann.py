@@ -81,3 +81,40 @@ def test_equal_vectors_go_by_their_ids(spark):
     for q in range(0, 1500, 300):
         own = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
         assert own == [i for i in same if i != q][:20]
+
+
+def test_each_length_on_its_own(spark):
+    """Vectors of several lengths: candidates are those of the query's length; nothing drops."""
+    lengths = {0: 3, 1: 5, 2: 8}
+    x = {i: clustered(1, lengths[i % 3], 100 + i)[0] for i in range(240)}
+    got = ann.nearest(frame(spark, x, x.values()), ann.F.col("vec_id") % 20 == 0, k=5,
+                      shard_rows=30).collect()
+    for q in range(0, 240, 20):
+        same = [i for i in x if i % 3 == q % 3 and i != q]
+        scores = {i: float(x[i].astype(np.float64) @ x[q].astype(np.float64)) for i in same}
+        want = sorted(same, key=lambda i: (-scores[i], i))[:5]
+        own = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["vec_id"] for r in own] == want
+        assert all(abs(r["score"] - scores[r["vec_id"]]) < 1e-9 for r in own)
+
+
+def test_repeated_rows_and_ids_fill_no_shard(spark):
+    """One id with many vectors is spread over the shards; one row many times is one row."""
+    x = clustered(600, 6, 9)
+    ids = [7] * 300 + list(range(1000, 1300))
+    df = frame(spark, ids + [20] * 500, np.concatenate([x, np.repeat(x[:1], 500, axis=0)]))
+    rows = ann.nearest(df, ann.F.col("vec_id") == 20, k=30, shard_rows=200).collect()
+    y = x.astype(np.float64)
+    scores = y @ y[0]
+    want = sorted(zip(-scores, ids))[:30]
+    assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"])] == [i for _, i in want]
+
+
+def test_queries_in_blocks():
+    packed = list(ann._pack([ann.pa.RecordBatch.from_pydict(
+        {"v": list(range(5000)), "x": [[float(k)] * (1 + k % 2) for k in range(5000)]})]))
+    assert [b.num_rows for b in packed] == [1] * 4
+    sizes = [len(b.column(1)[0].as_py()) // 8 for b in packed]
+    assert sizes == [2048, 452, 2048, 452]
+    one = np.frombuffer(packed[2].column(2)[0].as_py()).reshape(-1, 2)
+    assert one[:3].tolist() == [[1.0, 1.0], [3.0, 3.0], [5.0, 5.0]]

@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: one small-world graph for each shard.
 
-Vectors are dealt into shards of about ``SHARD_ROWS`` rows by a hash of their id.
+Vectors of each length are dealt into shards of about ``SHARD_BYTES`` by a hash of id and vector,
+after rows that repeat both have become one: no id, and no repeated row, fills a shard.
 Each shard gets a hierarchical navigable small-world graph: a node is on layers
 0..l with l drawn geometrically; a layer holds a flat array of neighbour
 numbers, ``2 * LINKS`` on layer 0 and ``LINKS`` above. Layers are built from the top;
@@ -9,15 +10,15 @@ own layer (a beam over all nodes of the batch at once), and its links are
 chosen by the usual rule that a neighbour must be nearer to the node than to
 the neighbours taken before. The largest inner product is made a distance by one
 more component that brings all vectors of a shard to one norm. The graphs are
-written to the shared folder; every query is sent to every shard, scored exactly
-in double precision, and the shards' best are merged by rank. Equal vectors of a shard are
+written to the shared folder; every query is sent to every shard of its length, in packed blocks
+of ``QUERIES``, scored exactly in double precision, and the shards' best are merged by rank. Equal vectors of a shard are
 one node with a list of ids, so a vector that many rows share neither fills the neighbour
 lists nor hides the smallest ids.
 
 Memory of a task: one shard and a block of queries.
 
-Defined results: vectors that are null, zero, of another length than most, or
-that hold null or non-finite components take no part, nor do null ids; rows
+Defined results: vectors that are null, zero, or that hold null or non-finite components take
+no part, nor do null ids; a query's candidates are the vectors of its length; rows
 with the query's id are its own and are left out; a query id that repeats counts
 once, with its least vector; candidates that repeat a row exactly count once;
 an empty table gives an empty result; other columns are ignored.
@@ -36,10 +37,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 
-SHARD_ROWS = 8192
+SHARD_BYTES = 16 << 20   # of a shard's vectors in double precision
+QUERIES = 2048           # queries of a packed block
 LINKS = 16            # neighbours a node chooses
 BUILD_BEAM = 64
-SEARCH_BEAM = 160
+SEARCH_BEAM = 320
 BATCH = 256           # nodes or queries that search together
 WIDTH = 4             # beam entries that are expanded at once
 
@@ -269,11 +271,12 @@ def unpack_graph(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
     return ids, id_ends, vectors, graph
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _build(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (shard, vec_id, vector) in order of shard; one index row a shard."""
 
     def index(shard: int, ids: list, parts: list) -> pa.RecordBatch:
@@ -286,7 +289,7 @@ def _build(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBat
     shard, ids, parts = None, [], []
     for batch in batches:
         shards = batch.column(0).to_numpy()
-        own, vectors = batch.column(1).to_numpy(), _matrix(batch.column(2), dim)
+        own, vectors = batch.column(1).to_numpy(), batch.column(2)
         cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
         for a, b in zip(cuts, cuts[1:]):
             if a == b:
@@ -296,25 +299,37 @@ def _build(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBat
                     yield index(shard, ids, parts)
                 shard, ids, parts = int(shards[a]), [], []
             ids.append(own[a:b].copy())
-            parts.append(vectors[a:b].copy())
+            parts.append(_matrix(vectors.slice(a, b - a)).copy())
     if ids:
         yield index(shard, ids, parts)
 
 
-def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.RecordBatch]:
-    """A shard's index row comes before the queries sent to it."""
-    graph = None
+PACKED = "dim int, query_ids binary, queries binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (vec_id, vector) to blocks of queries of one length."""
     for batch in batches:
-        is_query = batch.column(batch.schema.get_field_index("is_query")).to_numpy(
-            zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(np.diff(is_query.astype(np.int8))) + 1).tolist(),
-                len(is_query)]
-        for a, b in zip(cuts, cuts[1:]):
-            part = batch.slice(a, b - a)
-            if a == b:
-                continue
-            if not is_query[a]:       # of several shards without queries only the last counts
-                ids, ends, vectors, graph = unpack_graph(part.slice(b - a - 1).to_pylist()[0])
+        sizes = np.diff(batch.column(1).offsets.to_numpy())
+        for dim in np.unique(sizes).tolist():
+            same = batch.filter(pa.array(sizes == dim))
+            for at in range(0, same.num_rows, QUERIES):
+                part = same.slice(at, QUERIES)
+                vectors = _matrix(part.column(1)).astype("<f8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dim], pa.int32()),
+                     pa.array([part.column(0).to_numpy().astype("<i8").tobytes()], pa.binary()),
+                     pa.array([vectors.tobytes()], pa.binary())], ["dim", "query_ids", "queries"])
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """A shard's index row comes before the blocks of queries sent to it."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            get = lambda c: batch.column(batch.schema.get_field_index(c))[row].as_py()  # noqa: E731, B023
+            if not get("is_query"):
+                ids, ends, vectors, graph = unpack_graph({c.split()[0]: get(c.split()[0])
+                                                          for c in INDEX.split(", ")})
                 # of equal vectors only the first ids can be among the best (one is the
                 # query's own at most)
                 starts = np.r_[0, ends[:-1]]
@@ -322,8 +337,8 @@ def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.
                 heads = np.where(place < ends[:, None], ids[np.minimum(place, len(ids) - 1)], -1)
                 used = place < ends[:, None]
                 continue
-            get = lambda c: part.column(part.schema.get_field_index(c))
-            own, wanted = get("query_id").to_numpy(), _matrix(get("query"), dim).astype(np.float64)
+            own = np.frombuffer(get("query_ids"), "<i8")
+            wanted = np.frombuffer(get("queries"), "<f8").reshape(len(own), -1)
             for at in range(0, len(own), BATCH):
                 q, who = wanted[at:at + BATCH], own[at:at + BATCH]
                 near = graph.search(q)
@@ -347,29 +362,42 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id",
-            vector: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
+            vector: str = "embedding", shard_rows: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (inner product) of the ``k``
-    best found for each row of ``vectors`` where ``queries`` holds."""
+    best found for each row of ``vectors`` where ``queries`` holds.
+
+    ``shard_rows``: vectors of a shard; from their length and ``SHARD_BYTES`` unless given."""
     rows = vectors.where(F.col(vec_id).isNotNull() & usable(F.col(vector))).select(
         F.col(vec_id).cast("long").alias("vec_id"),
         F.col(vector).cast("array<double>").alias("vector"), queries.alias("is_query"))
-    sizes = rows.groupBy(F.size("vector").alias("dim")).agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
-    dim, n = (sizes[0]["dim"], sizes[0]["n"]) if sizes else (1, 0)
-    rows = rows.where(F.size("vector") == dim)
-    shards = max(1, math.ceil(n / shard_rows))
-    dealt = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
-                        "vec_id", "vector")
-    index = materialise(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "vec_id")
-                        .mapInArrow(lambda b: _build(b, dim), INDEX), "ann-index")
-    # every query meets every shard: an equi-join on the shard number, in blocks
-    asked = (rows.where("is_query").groupBy(F.col("vec_id").alias("query_id"))
-             .agg(F.min("vector").alias("query"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-             .withColumn("is_query", F.lit(True)))
-    both = index.withColumn("is_query", F.lit(False)).unionByName(asked, allowMissingColumns=True)
-    found = (both.repartition(shards, "shard").sortWithinPartitions("shard", "is_query", "query_id")
-             .mapInArrow(lambda b: _search(b, dim, k), "query_id long, vec_id long, score double"))
+    # one row a length: how many shards it has, and their first number
+    sizes = rows.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()
+    count = {r["dim"]: math.ceil(r["n"] / (shard_rows or max(1, SHARD_BYTES // (8 * r["dim"]))))
+             for r in sizes}
+    first, total = {}, 0
+    for dim in sorted(count):
+        first[dim], total = total, total + count[dim]
+    if not total:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
+                           F.lit(0.0).alias("score")).limit(0)
+    of = lambda table, dim: F.element_at(F.create_map(*[
+        F.lit(x) for pair in table.items() for x in pair]), dim)
+    dim = F.size("vector")
+    dealt = rows.select("vec_id", "vector").distinct().select(
+        (of(first, dim) + F.pmod(F.xxhash64("vec_id", "vector"), of(count, dim))).cast("int")
+        .alias("shard"), "vec_id", "vector")
+    index = materialise(dealt.repartition(total, "shard").sortWithinPartitions("shard", "vec_id")
+                        .mapInArrow(_build, INDEX), "ann-index")
+    # every query meets every shard of its length: blocks of queries, dealt by shard number
+    asked = (rows.where("is_query").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+             .mapInArrow(_pack, PACKED))
+    blocks = asked.withColumn("shard", F.explode(F.sequence(
+        of(first, F.col("dim")), of(first, F.col("dim")) + of(count, F.col("dim")) - 1)))
+    both = (index.withColumn("is_query", F.lit(False))
+            .unionByName(blocks.drop("dim").withColumn("is_query", F.lit(True)),
+                         allowMissingColumns=True))
+    found = (both.repartition(total, "shard").sortWithinPartitions("shard", "is_query")
+             .mapInArrow(lambda b: _search(b, k), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
