@@ -386,7 +386,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
     dealt = rows.select("vec_id", "vector").distinct().select(
         (of(first, dim) + F.pmod(F.xxhash64("vec_id", "vector"), of(count, dim))).cast("int")
         .alias("shard"), "vec_id", "vector")
-    index = materialise(dealt.repartition(total, "shard").sortWithinPartitions("shard", "vec_id")
+    index = materialise(dealt.repartitionById(total, "shard").sortWithinPartitions("shard", "vec_id")
                         .mapInArrow(_build, INDEX), "ann-index")
     # every query meets every shard of its length: blocks of queries, dealt by shard number
     asked = (rows.where("is_query").groupBy("vec_id").agg(F.min("vector").alias("vector"))
@@ -396,7 +396,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
     both = (index.withColumn("is_query", F.lit(False))
             .unionByName(blocks.drop("dim").withColumn("is_query", F.lit(True)),
                          allowMissingColumns=True))
-    found = (both.repartition(total, "shard").sortWithinPartitions("shard", "is_query")
+    found = (both.repartitionById(total, "shard").sortWithinPartitions("shard", "is_query")
              .mapInArrow(lambda b: _search(b, k), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
