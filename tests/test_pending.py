@@ -103,6 +103,10 @@ def test_moments_are_sums_over_samples(spark, sf_dir, small):
     ones = np.column_stack([np.ones(own.sum()), x[own]])
     assert np.allclose(m.gram, ones.T @ ones, rtol=1e-9, atol=1e-9)
     assert np.allclose(m.cross, ones.T @ y[own], rtol=1e-9, atol=1e-9)
+    assert np.allclose(m.total, m.gram[0]) and np.allclose(m.squares, np.diag(m.gram))
+    part = H.moments(s, full=False)
+    assert part.gram is None and all(np.allclose(getattr(part, c), getattr(m, c)) for c in (
+        "total", "squares", "cross", "low", "high"))
     assert np.allclose(m.low, x[own].min(axis=0)) and np.allclose(m.high, x[own].max(axis=0))
 
 

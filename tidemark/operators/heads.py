@@ -252,17 +252,20 @@ def outputs(stock: str, news: str, heads: Heads) -> list:
 
 @dataclass
 class Moments:
-    """Sums over samples: ``gram`` of (1, stock, news), ``cross`` of them with the
-    labels, and the least and greatest value of each feature."""
+    """Sums over samples of (1, stock, news): ``total`` (the first is the number of
+    samples), ``squares``, ``cross`` with the labels, the least and greatest value of each
+    feature, and ``gram``, all products, where it was asked for."""
 
-    gram: np.ndarray
+    total: np.ndarray
+    squares: np.ndarray
     cross: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    gram: np.ndarray | None = None
 
     @property
     def n(self) -> float:
-        return self.gram[0, 0]
+        return self.total[0]
 
 
 def _payload(rows: list[tuple]) -> pa.RecordBatch:
@@ -291,8 +294,8 @@ def _add_up(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                      pa.array([total.tobytes()], pa.binary())], ["kind", "at", "data"])
 
 
-def moments(s: Samples, heads: Heads | None = None) -> Moments:
-    """The sums over the training samples.
+def moments(s: Samples, heads: Heads | None = None, full: bool = True) -> Moments:
+    """The sums over the training samples; without ``full`` no matrix is made.
 
     With ``heads`` those of a reweighted step of the direction: samples weigh p (1 - p), and
     the one label is p (1 - p) z + y - p for the present score z."""
@@ -351,15 +354,16 @@ def moments(s: Samples, heads: Heads | None = None) -> Moments:
     parts = cut_lineage(parts)                        # read for the dates and for the matrices
     stock = {r["kind"]: np.frombuffer(bytes(r["data"])) for r in
              parts.where(F.col("kind") != "day").collect()}
-    news = news_sums(s, parts.where(F.col("kind") == "day"), q)
-    low = np.r_[stock["low"][:width], news.low[width:]]
-    high = np.r_[-stock["low"][width:], news.high[width:]]
-    news.gram[1:1 + width, 1:1 + width] = stock["ss"].reshape(width, width)
-    news.cross[1:1 + width] = stock["sy"].reshape(width, q)
-    return Moments(news.gram, news.cross, low, high)
+    ss, sy = stock["ss"].reshape(width, width), stock["sy"].reshape(width, q)
+    m = news_sums(s, parts.where(F.col("kind") == "day"), q, full)
+    m.low[:width], m.high[:width] = stock["low"][:width], -stock["low"][width:]
+    m.squares[1:1 + width], m.cross[1:1 + width] = np.diag(ss), sy
+    if full:
+        m.gram[1:1 + width, 1:1 + width] = ss
+    return m
 
 
-def news_sums(s: Samples, days: DataFrame, q: int) -> Moments:
+def news_sums(s: Samples, days: DataFrame, q: int, full: bool) -> Moments:
     """Sums that hold the news, from one row a date: news windows by date blocks
     against the dates' sums over their symbols. (The stock's own part is left zero.)"""
     window, width, n_news = s.window, s.window * s.n_stock, s.window * s.n_news
@@ -383,48 +387,65 @@ def news_sums(s: Samples, days: DataFrame, q: int) -> Moments:
             k = np.array(use)
             n = np.concatenate([x[k - window + j] for j in range(window)], axis=1)
             d = np.array([np.frombuffer(data[j], "<f8") for j in use])
-            right = np.concatenate([n * d[:, :1], d], axis=1)
+            right = np.concatenate([n * d[:, :1], d], axis=1) if full else d
             for a in range(0, n_news, TILE):
                 out.append(("news", a, n[:, a:a + TILE].T @ right))
-            out += [("total", 0, d.sum(axis=0)), ("low", 0, np.r_[n.min(axis=0), -n.max(axis=0)])]
+            out += [("total", 0, d.sum(axis=0)), ("squares", 0, d[:, 0] @ (n * n)),
+                    ("low", 0, np.r_[n.min(axis=0), -n.max(axis=0)])]
         return pa.Table.from_batches([_payload(out)] if out else [],
                                      pa.schema([("kind", pa.string()), ("at", pa.int64()),
                                                 ("data", pa.binary())]))
 
+    # tile after tile: the driver holds the matrix once
     made = (rows.groupBy("block").applyInArrow(run, SUMS)
-            .groupBy("kind", "at").applyInArrow(_add_up, SUMS).collect())
-    p = 1 + width + n_news
-    gram, cross, low = np.zeros((p, p)), np.zeros((p, q)), np.zeros(2 * n_news)
+            .groupBy("kind", "at").applyInArrow(_add_up, SUMS).toLocalIterator())
+    p, news = 1 + width + n_news, slice(1 + width, None)
+    m = Moments(np.zeros(p), np.zeros(p), np.zeros((p, q)), np.zeros(p - 1), np.zeros(p - 1),
+                np.zeros((p, p)) if full else None)
     for r in made:
         data = np.frombuffer(bytes(r["data"]))
         if r["kind"] == "total":
-            gram[0, :1 + width] = gram[:1 + width, 0] = data[:1 + width]
-            cross[0] = data[1 + width:]
+            m.total[:1 + width], m.cross[0] = data[:1 + width], data[1 + width:]
+            m.squares[0] = data[0]
+            if full:
+                m.gram[0, :1 + width] = m.gram[:1 + width, 0] = data[:1 + width]
+        elif r["kind"] == "squares":
+            m.squares[news] = data
         elif r["kind"] == "low":
-            low = data
+            m.low[width:], m.high[width:] = data[:n_news], -data[n_news:]
         else:
-            tile = data.reshape(-1, n_news + side)
+            tile = data.reshape(-1, n_news + side if full else side)
             a = slice(1 + width + r["at"], 1 + width + r["at"] + len(tile))
-            gram[a, 1 + width:] = tile[:, :n_news]
-            gram[a, :1 + width] = tile[:, n_news:n_news + 1 + width]
-            gram[:1 + width, a] = tile[:, n_news:n_news + 1 + width].T
-            cross[a] = tile[:, n_news + 1 + width:]
-    blank = np.zeros(width)
-    return Moments(gram, cross, np.r_[blank, low[:n_news]], np.r_[blank, -low[n_news:]])
+            left = tile[:, -side:][:, :1 + width]
+            m.total[a], m.cross[a] = left[:, 0], tile[:, -q:]
+            if full:
+                m.gram[a, news], m.gram[a, :1 + width] = tile[:, :n_news], left
+                m.gram[:1 + width, a] = left.T
+    return m
 
 
 # --- solutions --------------------------------------------------------------
 
 
-def _cholesky(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _cholesky(a: np.ndarray, b: np.ndarray, size: int = 128) -> np.ndarray:
+    """The solution of a x = b for a positive definite ``a``; substitution by blocks, without
+    further copies of the matrix."""
     lower = np.linalg.cholesky(a)
-    return np.linalg.solve(lower.T, np.linalg.solve(lower, b))
+    x = b.copy()
+    starts = range(0, len(a), size)
+    for k in starts:
+        e = min(k + size, len(a))
+        x[k:e] = np.linalg.solve(lower[k:e, k:e], x[k:e] - lower[k:e, :k] @ x[:k])
+    for k in reversed(starts):
+        e = min(k + size, len(a))
+        x[k:e] = np.linalg.solve(lower[k:e, k:e].T, x[k:e] - lower[e:, k:e].T @ x[e:])
+    return x
 
 
 def feature_scales(m: Moments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(means, standard deviations, which features vary)."""
-    mean = m.gram[0, 1:] / m.n
-    var = np.diag(m.gram)[1:] / m.n - mean * mean
+    mean = m.total[1:] / m.n
+    var = m.squares[1:] / m.n - mean * mean
     varies = (m.low < m.high) & (var > 0)
     return mean, np.sqrt(np.where(varies, var, 1.0)), varies
 
@@ -433,8 +454,13 @@ def solve_ridge(m: Moments, reg: float) -> tuple[np.ndarray, np.ndarray]:
     """(weights by head, intercepts) that minimise, for each head, the mean squared error
     plus ``reg`` times the squares of the standardised weights. A constant feature weighs 0."""
     mean, scale, varies = feature_scales(m)
-    centred = m.gram[1:, 1:] / m.n - np.outer(mean, mean)
-    a = (centred / np.outer(scale, scale))[np.ix_(varies, varies)]
+    own = np.flatnonzero(varies)
+    a = m.gram[np.ix_(own + 1, own + 1)]
+    for k in range(0, len(a), 128):         # row by row block: one copy of the matrix
+        rows = a[k:k + 128]
+        rows /= m.n
+        rows -= mean[own[k:k + 128], None] * mean[own]
+        rows /= scale[own[k:k + 128], None] * scale[own]
     a[np.diag_indices_from(a)] = 1.0 + reg
     label = m.cross[0] / m.n
     b = ((m.cross[1:] / m.n - np.outer(mean, label)) / scale[:, None])[varies]
@@ -443,15 +469,19 @@ def solve_ridge(m: Moments, reg: float) -> tuple[np.ndarray, np.ndarray]:
     return weights.T, label - mean @ weights
 
 
-def solve_step(m: Moments, scale: np.ndarray, varies: np.ndarray, n: float,
-               reg: float) -> tuple[np.ndarray, float]:
-    """The weights and the intercept after one reweighted step."""
-    keep = np.r_[True, varies]
+def solve_step(m: Moments, scale: np.ndarray, varies: np.ndarray, n: float, reg: float,
+               weight: float = 1.0) -> tuple[np.ndarray, float]:
+    """The weights and the intercept after one reweighted step; ``weight``: what each sample
+    of ``gram`` counts."""
+    keep = np.flatnonzero(np.r_[True, varies])
     by = np.r_[1.0, scale][keep]
-    a = m.gram[np.ix_(keep, keep)] / n / np.outer(by, by)
+    a = m.gram[np.ix_(keep, keep)]
+    for k in range(0, len(a), 128):
+        a[k:k + 128] *= weight / n
+        a[k:k + 128] /= by[k:k + 128, None] * by
     a[np.diag_indices_from(a)] += np.r_[0.0, np.full(len(by) - 1, reg)]
-    found = np.zeros(len(keep))
-    found[keep] = _cholesky(a, m.cross[keep, 0] / n / by) / by
+    found = np.zeros(len(varies) + 1)
+    found[keep] = _cholesky(a, (m.cross[keep, 0] / n / by)[:, None])[:, 0] / by
     return found[1:], float(found[0])
 
 
@@ -467,10 +497,11 @@ def ridge(s: Samples, reg: float = RIDGE, steps: int = STEPS, tolerance: float =
         if k:
             vectors = weights.copy()
             vectors[UP], intercept[UP] = up, bias
+            m = None                          # the matrix before
             m = moments(s, heads_of(vectors, intercept, s.window, s.n_stock, "logistic"))
         else:           # all scores are 0: the same sums, each sample weighing a quarter
-            m = Moments(m.gram / 4, (m.cross[:, UP] - m.gram[:, 0] / 2)[:, None], m.low, m.high)
-        new, new_bias = solve_step(m, scale, varies, n, reg)
+            m.cross = (m.cross[:, UP] - m.total / 2)[:, None]
+        new, new_bias = solve_step(m, scale, varies, n, reg, 1.0 if k else 0.25)
         moved = max(np.abs((new - up) * scale).max(initial=0), abs(new_bias - bias))
         up, bias = new, new_bias
         if moved < tolerance:
@@ -482,7 +513,7 @@ def ridge(s: Samples, reg: float = RIDGE, steps: int = STEPS, tolerance: float =
 def marginal(s: Samples) -> Heads:
     """Heads that average what each varying feature says on its own: the weight of a
     feature is cov(x, y) / var(x), divided by the number of such features."""
-    m = moments(s)
+    m = moments(s, full=False)
     mean, scale, varies = feature_scales(m)
     label = m.cross[0] / m.n
     cov = m.cross[1:] / m.n - np.outer(mean, label)

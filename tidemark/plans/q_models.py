@@ -192,7 +192,7 @@ def q_train_moments(spark, sf_dir):
     shares of its greatest size), and what one deviation of it goes with in the labels of the
     six heads, from the blocked sums."""
     s, _ = head_samples(spark, sf_dir)
-    m = H.moments(s)
+    m = H.moments(s, full=False)
     mean, std, varies = H.feature_scales(m)
     effect = (m.cross[1:] / m.n - mean[:, None] * (m.cross[0] / m.n)) / std[:, None]
     top = np.maximum(np.abs(m.low), np.abs(m.high))
