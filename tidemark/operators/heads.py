@@ -6,8 +6,8 @@ of a sample's thousands of features is ever made:
 
 * fitting needs the sums of x xᵀ and x y over the samples. Their stock part is summed in
   halo blocks, one small matrix a task; the news part of a date enters once, with
-  the date's sums over its symbols; the news-news part is summed over date blocks. The
-  driver gets one matrix, of a size that the configuration fixes, and solves it;
+  the date's sums over its symbols; the news-news part is summed over date blocks. One
+  task gets the whole matrix, of a size that the configuration fixes, and solves it;
 * a head is a sum over the steps of the window: score = Σ step k of (row of step k) · (weights of
   step k). A block's rows are multiplied by each step's weights and added at the shifted
   position; the news of a date is scored once for all symbols.
@@ -18,7 +18,7 @@ feature by its own covariance: coarser, but it can be written in plain SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -294,8 +294,9 @@ def _add_up(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                      pa.array([total.tobytes()], pa.binary())], ["kind", "at", "data"])
 
 
-def moments(s: Samples, heads: Heads | None = None, full: bool = True) -> Moments:
-    """The sums over the training samples; without ``full`` no matrix is made.
+def moment_records(s: Samples, heads: Heads | None = None, full: bool = True) -> DataFrame:
+    """The sums over the training samples, as records of (kind, place) that ``together``
+    puts together; without ``full`` no matrix is made.
 
     With ``heads`` those of a reweighted step of the direction: samples weigh p (1 - p), and
     the one label is p (1 - p) z + y - p for the present score z."""
@@ -344,7 +345,7 @@ def moments(s: Samples, heads: Heads | None = None, full: bool = True) -> Moment
             block = lo // size
             sums = days.setdefault(block, np.zeros((size, 1 + width + q)))
             sums[lo - block * size:hi - block * size] += np.column_stack([w, weighted, label])
-        rows = [("ss", 0, ss), ("sy", 0, sy), ("low", 0, low)]
+        rows = [("ss", 0, ss), ("sy", 0, sy), ("stock low", 0, low)]
         for block, sums in days.items():
             rows += [("day", block * size + k, sums[k]) for k in np.flatnonzero(sums[:, 0])]
         for at in range(0, len(rows), 256):
@@ -352,20 +353,13 @@ def moments(s: Samples, heads: Heads | None = None, full: bool = True) -> Moment
 
     parts = blocks.mapInArrow(run, SUMS).groupBy("kind", "at").applyInArrow(_add_up, SUMS)
     parts = cut_lineage(parts)                        # read for the dates and for the matrices
-    stock = {r["kind"]: np.frombuffer(bytes(r["data"])) for r in
-             parts.where(F.col("kind") != "day").collect()}
-    ss, sy = stock["ss"].reshape(width, width), stock["sy"].reshape(width, q)
-    m = news_sums(s, parts.where(F.col("kind") == "day"), q, full)
-    m.low[:width], m.high[:width] = stock["low"][:width], -stock["low"][width:]
-    m.squares[1:1 + width], m.cross[1:1 + width] = np.diag(ss), sy
-    if full:
-        m.gram[1:1 + width, 1:1 + width] = ss
-    return m
+    day = F.col("kind") == "day"
+    return parts.where(~day).unionByName(news_sums(s, parts.where(day), q, full))
 
 
-def news_sums(s: Samples, days: DataFrame, q: int, full: bool) -> Moments:
-    """Sums that hold the news, from one row a date: news windows by date blocks
-    against the dates' sums over their symbols. (The stock's own part is left zero.)"""
+def news_sums(s: Samples, days: DataFrame, q: int, full: bool) -> DataFrame:
+    """Records of the sums that hold the news, from one row a date: news windows by date
+    blocks against the dates' sums over their symbols, the matrix in tiles of rows."""
     window, width, n_news = s.window, s.window * s.n_stock, s.window * s.n_news
     rows = s.news.join(days.select(F.col("at").alias("t"), "data"), "t", "left")
     size = max(DATES, window)
@@ -396,26 +390,38 @@ def news_sums(s: Samples, days: DataFrame, q: int, full: bool) -> Moments:
                                      pa.schema([("kind", pa.string()), ("at", pa.int64()),
                                                 ("data", pa.binary())]))
 
-    # tile after tile: the driver holds the matrix once
-    made = (rows.groupBy("block").applyInArrow(run, SUMS)
-            .groupBy("kind", "at").applyInArrow(_add_up, SUMS).toLocalIterator())
-    p, news = 1 + width + n_news, slice(1 + width, None)
+    return (rows.groupBy("block").applyInArrow(run, SUMS)
+            .groupBy("kind", "at").applyInArrow(_add_up, SUMS))
+
+
+def together(records: Iterable[tuple[str, int, np.ndarray]], s: Shape, full: bool) -> Moments:
+    """The sums from their records; a record is read once and let go."""
+    width, n_news, q = s.width, s.n_news, s.labels
+    p, side, news = 1 + width + n_news, 1 + width + q, slice(1 + width, None)
     m = Moments(np.zeros(p), np.zeros(p), np.zeros((p, q)), np.zeros(p - 1), np.zeros(p - 1),
                 np.zeros((p, p)) if full else None)
-    for r in made:
-        data = np.frombuffer(bytes(r["data"]))
-        if r["kind"] == "total":
+    stock = slice(1, 1 + width)
+    for kind, at, data in records:
+        if kind == "ss":
+            m.squares[stock] = data[::width + 1]
+            if full:
+                m.gram[stock, stock] = data.reshape(width, width)
+        elif kind == "sy":
+            m.cross[stock] = data.reshape(width, q)
+        elif kind == "stock low":
+            m.low[:width], m.high[:width] = data[:width], -data[width:]
+        elif kind == "total":
             m.total[:1 + width], m.cross[0] = data[:1 + width], data[1 + width:]
             m.squares[0] = data[0]
             if full:
                 m.gram[0, :1 + width] = m.gram[:1 + width, 0] = data[:1 + width]
-        elif r["kind"] == "squares":
+        elif kind == "squares":
             m.squares[news] = data
-        elif r["kind"] == "low":
+        elif kind == "low":
             m.low[width:], m.high[width:] = data[:n_news], -data[n_news:]
         else:
             tile = data.reshape(-1, n_news + side if full else side)
-            a = slice(1 + width + r["at"], 1 + width + r["at"] + len(tile))
+            a = slice(1 + width + at, 1 + width + at + len(tile))
             left = tile[:, -side:][:, :1 + width]
             m.total[a], m.cross[a] = left[:, 0], tile[:, -q:]
             if full:
@@ -424,6 +430,43 @@ def news_sums(s: Samples, days: DataFrame, q: int, full: bool) -> Moments:
     return m
 
 
+@dataclass(frozen=True)
+class Shape:
+    """Numbers of the stock's features, of the news' and of the labels."""
+
+    width: int
+    n_news: int
+    labels: int
+
+
+def shape_of(s: Samples, heads: Heads | None) -> Shape:
+    return Shape(s.window * s.n_stock, s.window * s.n_news, len(HEADS) if heads is None else 1)
+
+
+def moments(s: Samples, heads: Heads | None = None, full: bool = True) -> Moments:
+    """The sums over the training samples on the driver, record after record."""
+    rows = moment_records(s, heads, full).toLocalIterator()
+    return together(((r["kind"], r["at"], np.frombuffer(bytes(r["data"]))) for r in rows),
+                    shape_of(s, heads), full)
+
+
+def solved(s: Samples, heads: Heads | None, solve: Callable[[Moments], list]) -> list[np.ndarray]:
+    """``solve`` of the whole sums, run in one task: the matrix, of a size that the
+    configuration fixes, is put together and solved there, and the driver gets the arrays
+    that ``solve`` returns."""
+    shape = shape_of(s, heads)
+
+    def run(table: pa.Table) -> pa.Table:
+        views = ((k.as_py(), a.as_py(), np.frombuffer(v.as_buffer(), "<f8"))
+                 for batch in table.to_batches()
+                 for k, a, v in zip(*(batch.column(c) for c in ("kind", "at", "data"))))
+        return pa.Table.from_batches([_payload([("found", k, v) for k, v in
+                                                enumerate(solve(together(views, shape, True)))])])
+
+    rows = moment_records(s, heads).groupBy().applyInArrow(run, SUMS).collect()
+    return [np.frombuffer(bytes(r["data"])) for r in sorted(rows, key=lambda r: r["at"])]
+
+
 # --- solutions --------------------------------------------------------------
 
 
@@ -488,24 +531,30 @@ def solve_step(m: Moments, scale: np.ndarray, varies: np.ndarray, n: float, reg:
 def ridge(s: Samples, reg: float = RIDGE, steps: int = STEPS, tolerance: float = 1e-9) -> Heads:
     """The six heads with a penalty: one pass for the continuous ones, then one more for
     each reweighted step of the direction, until its weights rest."""
-    m = moments(s)
-    weights, intercept = solve_ridge(m, reg)
-    _, scale, varies = feature_scales(m)
-    n = m.n
-    up, bias = np.zeros(weights.shape[1]), 0.0
-    for k in range(steps):
-        if k:
-            vectors = weights.copy()
-            vectors[UP], intercept[UP] = up, bias
-            m = None                          # the matrix before
-            m = moments(s, heads_of(vectors, intercept, s.window, s.n_stock, "logistic"))
-        else:           # all scores are 0: the same sums, each sample weighing a quarter
-            m.cross = (m.cross[:, UP] - m.total / 2)[:, None]
-        new, new_bias = solve_step(m, scale, varies, n, reg, 1.0 if k else 0.25)
-        moved = max(np.abs((new - up) * scale).max(initial=0), abs(new_bias - bias))
-        up, bias = new, new_bias
+    def first(m: Moments) -> list:
+        weights, intercept = solve_ridge(m, reg)
+        _, scale, varies = feature_scales(m)
+        # all scores are 0: the sums of a reweighted step, each sample weighing a quarter
+        m.cross = (m.cross[:, UP] - m.total / 2)[:, None]
+        up, bias = solve_step(m, scale, varies, m.n, reg, 0.25)
+        return [weights, intercept, scale, varies, [m.n], up, [bias]]
+
+    def step(m: Moments) -> list:
+        new, bias = solve_step(m, scale, varies, n, reg)
+        return [new, [bias]]
+
+    flat, intercept, scale, varies, (n,), up, (bias,) = solved(s, None, first)
+    weights, intercept = flat.reshape(len(HEADS), -1).copy(), intercept.copy()
+    varies = varies > 0
+    moved = max(np.abs(up * scale).max(initial=0), abs(bias))
+    for _ in range(steps - 1):
         if moved < tolerance:
             break
+        weights[UP], intercept[UP] = up, bias
+        new, (new_bias,) = solved(
+            s, heads_of(weights, intercept, s.window, s.n_stock, "logistic"), step)
+        moved = max(np.abs((new - up) * scale).max(initial=0), abs(new_bias - bias))
+        up, bias = new, new_bias
     weights[UP], intercept[UP] = up, bias
     return heads_of(weights, intercept, s.window, s.n_stock, "logistic")
 
