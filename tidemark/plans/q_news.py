@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions import text as TX
+from tidemark.operators import classifier as CL
 from tidemark.operators import rollup as RU
 from tidemark.operators import sentiment as SN
 from tidemark.plans import oracle as O
@@ -89,6 +90,67 @@ def q_score_sentiment(spark, sf_dir):
     return rounded(SN.score_articles(FX.articles(spark, sf_dir)))
 
 
+#: The fitted log-odds of ``tidemark.operators.classifier`` (labelled articles outside the held-out quarter).
+LOG_ODDS = r"""bags AS (
+  SELECT localDate, id, doc_id, t, list_distinct(regexp_extract_all(lower(t), '\w+|[^\w\s]')) AS w
+  FROM cleaned),
+fit AS (
+  SELECT b.w, CASE WHEN toxic = 1 THEN 1 WHEN quality = 1 THEN 0 WHEN quality = 0 THEN 2 END AS label
+  FROM bags b JOIN labels USING (doc_id) WHERE doc_id % 4 <> 2),
+classes AS (
+  SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1,
+         count(*) FILTER (label = 2) AS n2, count(label) AS n FROM fit),
+counts AS (
+  SELECT word, count(*) FILTER (label = 0) AS c0, count(*) FILTER (label = 1) AS c1,
+         count(*) FILTER (label = 2) AS c2
+  FROM (SELECT unnest(w) AS word, label FROM fit WHERE label IS NOT NULL) GROUP BY word),
+odds AS (
+  SELECT word, <ODDS>
+  FROM counts CROSS JOIN classes),
+model AS (
+  SELECT word, CASE WHEN z0 >= 4 THEN o0 ELSE 0 END AS w0, CASE WHEN z1 >= 4 THEN o1 ELSE 0 END AS w1,
+         CASE WHEN z2 >= 4 THEN o2 ELSE 0 END AS w2
+  FROM (SELECT *, <Z> FROM odds) WHERE greatest(z0, z1, z2) >= 4
+  ORDER BY greatest(z0, z1, z2) DESC, word LIMIT 16384),
+told AS (
+  SELECT id, sum(w0) AS s0, sum(w1) AS s1, sum(w2) AS s2
+  FROM (SELECT id, unnest(w) AS word FROM bags) JOIN model USING (word) GROUP BY id),
+logits AS (
+  SELECT b.localDate, b.id, b.t, <L>
+  FROM bags b CROSS JOIN classes LEFT JOIN told USING (id))"""
+for _tag, _each in (
+        ("<ODDS>", "ln((c{0} + 0.5::DOUBLE) / (n{0} + 1 - (c{0} + 0.5::DOUBLE))) - ln((c{1} + c{2} + 0.5::DOUBLE)"
+                   " / (n - n{0} + 1 - (c{1} + c{2} + 0.5::DOUBLE))) AS o{0}, "
+                   "sqrt(1 / (c{0} + 0.5::DOUBLE) + 1 / (c{1} + c{2} + 0.5::DOUBLE)) AS e{0}"),
+        ("<Z>", "abs(o{0} / e{0}) AS z{0}"),
+        ("<L>", "coalesce(s{0}, 0) + ln((n{0} + 1.0::DOUBLE) / (n + 3)) AS l{0}")):
+    LOG_ODDS = LOG_ODDS.replace(_tag, ", ".join(
+        _each.format(k, (k + 1) % 3, (k + 2) % 3) for k in range(3)))
+
+
+def polarity_model(spark, sf_dir):
+    """The classifier fitted on the labelled articles, a quarter of them held out."""
+    a = FX.articles(spark, sf_dir).where(F.col("doc_id") % 4 != 2)
+    known = FX.table(spark, sf_dir, "labels").select(
+        "doc_id", CL.polarity_class(F.col("quality"), F.col("toxic")).alias("label"))
+    return CL.learn(a.join(known, "doc_id").select(
+        "label", TX.clean_text(F.col("title"), F.col("body")).alias("t")))
+
+
+@register("score_sentiment_fitted", O.with_(O.ARTICLES, O.CLEANED, LOG_ODDS) + r"""
+SELECT localDate, id,
+  round(CAST(CAST((exp(l0 - greatest(l0, l1, l2)) - exp(l1 - greatest(l0, l1, l2))) /
+     (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2)))
+     AS FLOAT) AS DOUBLE), 6) AS sentiment_score,
+  CAST(length(t) AS INTEGER) AS text_length,
+  CAST(least(len(regexp_extract_all(t, '\w+|[^\w\s]')) + 2, 512) AS INTEGER) AS token_count
+FROM logits""")
+def q_score_sentiment_fitted(spark, sf_dir):
+    """K1 with a classifier that is fitted, in batches of a token budget."""
+    model = polarity_model(spark, sf_dir)
+    return rounded(SN.score_articles(FX.articles(spark, sf_dir), CL.budget_scorer(model.load)))
+
+
 def _metric_query(key, metric, median=False):
     sql = NEWS + (f"SELECT localDate, {metric} FROM daily" if metric == "count_articles"
                   else f"SELECT localDate, round({metric}, 6) AS {metric} FROM daily")
