@@ -105,3 +105,43 @@ def test_unicode_blank_bodies_are_dropped(spark):
     landed = spark.createDataFrame([(dt.date(2024, 1, 1), 1, json.dumps({"response": {
         "pages": 1, "results": res}}))], "localDate date, page int, payload string")
     assert sorted(r.id for r in PL.decode_news_payloads(landed).collect()) == ["nbsp", "text"]
+
+
+def test_unknown_fields_stay_with_their_row(spark):
+    rows = [{"date": "11/21/2025", "close": 1.5, "high": "2", "low": "1", "open": "1", "volume": 7,
+             "split": {"by": 2}}, {"date": "11/20/2025"}]
+    price = {"status": {"rCode": 200, "note": "x"}, "data": {"totalRecords": 2, "tradesTable": {
+        "rows": rows}}}
+    got = PL.routed_prices(_price(spark, [("A", price)])).orderBy("localDate").collect()
+    assert [(r.close, r.volume, r.more) for r in got] == [
+        (None, 0, None), (1.5, 7, {"split": '{"by":2}'})]
+    page = {"response": {"pages": 1, "results": [
+        {"id": 5, "pillarId": "pillar/news", "webTitle": "t", "fields": {"bodyText": "b"}, "tone": "z"}]}}
+    landed = spark.createDataFrame([(dt.date(2024, 1, 1), 1, json.dumps(page))],
+                                   "localDate date, page int, payload string")
+    got = PL.routed_pages(landed).where("not is_page").collect()
+    assert [(r.id, r.more) for r in got] == [("5", {"tone": "z"})]
+
+
+def test_fields_of_another_type_are_undecodable(spark):
+    ok = '{"status":{"rCode":200},"data":{"totalRecords":1,"tradesTable":{"rows":%s}}}'
+    rows = [("text", '{"status":{"rCode":"200"},"data":null}'), ("half", ok.replace("200", "200.5") % "[]"),
+            ("null_row", ok % "[null]"), ("number_row", ok % "[1]"), ("no_list", ok % '"x"'),
+            ("twice", '{"status":{"rCode":200,"rCode":400},"data":null}'),
+            ("total", ok.replace(":1,", ':"1",') % "[]")]
+    _, q = PL.decode_price_payloads(spark.createDataFrame(rows, "id string, payload string"))
+    assert {(r.id, r.reason) for r in q.collect()} == {(k, "undecodable") for k, _ in rows}
+    days = [(dt.date(2024, 1, 1), k, p) for k, p in enumerate(
+        ['{"response":{"pages":"1","results":[]}}', '{"response":{"pages":1,"results":{}}}', None])]
+    q = PL.news_quarantine(spark.createDataFrame(days, "localDate date, page int, payload string"))
+    assert {(r.page, r.reason) for r in q.collect()} == {(k, "undecodable") for k in range(3)}
+
+
+def test_one_scan_routes_bars_and_quarantine(spark):
+    df = spark.createDataFrame([], "id string, payload string")
+    bars, q = PL.decode_price_payloads(df)
+    assert bars.count() == 0 and q.count() == 0
+    for routed in (PL.routed_prices(df), PL.routed_pages(df.selectExpr(
+            "current_date() AS localDate", "1 AS page", "payload"))):
+        plan = routed._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == 1 and plan.count("LogicalRDD") == 1

@@ -11,7 +11,7 @@ from tidemark.operators import states as ST
 from tidemark.schemas import SENTIMENT
 from tidemark.session import cut_lineage
 from tidemark.sources import parquet as PQ
-from tidemark.sources.payloads import decode_price_payloads
+from tidemark.sources import payloads as PL
 
 LANDED_PRICE = T.StructType([T.StructField("id", T.StringType()),
                              T.StructField("payload", T.StringType())])
@@ -47,14 +47,14 @@ def stream_ingest_prices(spark: SparkSession, landing: str, out: str, checkpoint
            .json(landing))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            bars, bad = decode_price_payloads(batch, strict=False)
-            _overwrite(bars.withColumn("batch", F.lit(batch_id)), out, "localDate", "batch")
-            _overwrite(bad.withColumn("batch", F.lit(batch_id)),
+        routed = PL.routed_prices(batch, strict=False).persist()
+        try:            # one scan and one parse; bars and quarantine are read from its result
+            _overwrite(PL.bars_of(routed).withColumn("batch", F.lit(batch_id)), out,
+                       "localDate", "batch")
+            _overwrite(PL.quarantine_of(routed).withColumn("batch", F.lit(batch_id)),
                        quarantine or f"{out.rstrip('/')}-quarantine", "batch")
         finally:
-            batch.unpersist()
+            routed.unpersist()
 
     run_available(raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store))
 
