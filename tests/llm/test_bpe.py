@@ -91,3 +91,42 @@ def test_query_rows(docs, empty):
     key = lambda t: tuple((x is None, x) for x in t)
     assert sorted(got, key=key) == sorted(want, key=key)
     assert bpe.encode_decode(empty, path).count() == 0
+
+
+SCRIPTS = ["Привет, мир! Ёлка’s 12½", "ΟΔΥΣΣΕΥΣ Σ ΑΣ ς", "नमस्ते दुनिया १२", "日本語の文章。東京　タワー", "한국어 각",
+           "مرحبا بالعالم ٣٤", "🙂👩‍👩‍👧 ok", "éẹ́ İI ǅ ﬁ", "a b\u0085c​d", "ภาษาไทย",
+           "x<|endoftext|>y  <|endoftext|> <|startoftext|>Жук"]
+
+
+def test_other_scripts_and_special_tokens_stay_here(pair, monkeypatch):
+    codec, library = pair
+    want = [library.encode(t, add_special_tokens=False).ids for t in SCRIPTS]
+    codec.clear()
+    monkeypatch.setattr(bpe.Codec, "by_library", None)
+    assert ids_of(codec, SCRIPTS) == want
+
+
+def test_every_seventh_character(pair):
+    codec, library = pair
+    texts = [f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}" for c in range(0, 0x30000, 7)
+             if not 0xd800 <= c < 0xe000]
+    assert ids_of(codec, texts) == [e.ids for e in
+                                    library.encode_batch(texts, add_special_tokens=False)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="Σσς ЖжĲ’日本 한각ẹ́İǅ½²٣ ‍🙂͸|<>endoftx", max_size=40))
+def test_any_text_of_other_scripts(pair, text):
+    codec, library = pair
+    assert ids_of(codec, [text]) == [library.encode(text, add_special_tokens=False).ids]
+
+
+def test_long_words_are_merged_from_a_heap(pair):
+    codec, library = pair
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcdehiost"), 200_000)), "日本語の文章東京" * 4_000, "a" * 50_001]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids_of(codec, texts) == want
+    flat = np.frombuffer(texts[0][:3_000].encode(), np.uint8).astype(np.int16)
+    assert codec.merger.merge_long(flat).tolist() == \
+        codec.merger.merge(flat, np.array([len(flat)]))[0].tolist()

@@ -11,9 +11,10 @@ The words of a text are looked up in a cache. New words are encoded together:
    distinct pairs are tested together;
 3. merge: only words with a failing pair go through the merges themselves.
 
-Words come from the tokenizer's own pattern. Texts or words with characters
-for which this module's classes could differ from the library's are given to
-the library whole, so ids are always those of the library.
+Words come from the tokenizer's own pattern, in every script; a text is split at the
+strings of special tokens first. Failing words of more than ``LONG`` symbols are merged
+from a heap, one by one. What remains with the library are runs of non-blanks that hold a
+character that this Python's Unicode tables do not know, so ids are always those of the library.
 
 Defined results: null is the empty text (no ids); texts are encoded whole; a
 cache that is full starts anew, so memory is bounded; repeated rows and null
@@ -23,18 +24,22 @@ ids are carried; an empty table gives an empty result; other columns are ignored
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import pieces
 
 CACHE_WORDS = 250_000        # words that a task remembers at once
+LONG = 1024                  # symbols of a word that is merged from a heap
 NONE = 1 << 30
 
 
@@ -257,6 +262,41 @@ class Merger:
         order = np.argsort(word, kind="stable")
         return ids[order], np.bincount(word, minlength=len(sizes))
 
+    @cached_property
+    def pair_merges(self) -> dict[int, tuple[int, int]]:
+        """(rank, result) by pair key, for lookups one by one."""
+        return dict(zip(self.keys.tolist(), zip(self.key_rank.tolist(), self.key_made.tolist())))
+
+    def merge_long(self, flat: np.ndarray) -> np.ndarray:
+        """The merges of one long word: pairs wait in a heap by (rank, place), neighbours
+        are linked, so the work grows with n log n."""
+        ids = self.symbol_id[flat].tolist()
+        n, size, merges = len(ids), self.size, self.pair_merges
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = []
+        for k in range(n - 1):
+            found = merges.get(ids[k] * size + ids[k + 1])
+            if found:
+                heap.append((found[0], k))
+        heapq.heapify(heap)
+        while heap:
+            rank, k = heapq.heappop(heap)
+            right = after[k]
+            if ids[k] < 0 or right >= n:
+                continue
+            found = merges.get(ids[k] * size + ids[right])
+            if not found or found[0] != rank:           # a neighbour has changed since
+                continue
+            ids[k], ids[right], after[k] = found[1], -1, after[right]
+            if after[k] < n:
+                before[after[k]] = k
+            for a in (before[k], k):
+                if a >= 0 and after[a] < n:
+                    found = merges.get(ids[a] * size + ids[after[a]])
+                    if found:
+                        heapq.heappush(heap, (found[0], a))
+        return np.array([i for i in ids if i >= 0], np.int64)
+
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit bytes."""
         data = [w.encode() for w in words]
@@ -272,6 +312,10 @@ class Merger:
         failed[word[inner[~good]]] = True
         data, at = ids.astype("<u4").tobytes(), (4 * np.r_[0, counts.cumsum()]).tolist()
         out = [data[a:b] for a, b in zip(at, at[1:])]
+        starts = sizes.cumsum() - sizes
+        for k in np.flatnonzero(failed & (sizes > LONG)).tolist():
+            out[k] = self.merge_long(flat[starts[k]:starts[k] + sizes[k]]).astype("<u4").tobytes()
+        failed &= sizes <= LONG
         if failed.any():
             again = np.flatnonzero(failed)
             ids, counts = self.merge(flat[np.repeat(failed, sizes)], sizes[again])
@@ -292,21 +336,41 @@ MARKS = "'(?:[stmd]|re|ve|ll)"
 WITH_BLANKS = re.compile(f" ?[{LETTER}]+|{MARKS}| ?[0-9]+| ?[^\t-\r {LETTER}0-9]+"
                          r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 NO_BLANKS = re.compile(f"[{LETTER}]+|{MARKS}|[0-9]|[^\t-\r {LETTER}0-9]+")
+#: The same patterns for all scripts.
+ANY_WITH_BLANKS = regex.compile(rf"{MARKS}| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK}\p{{L}}\p{{N}}]+"
+                                rf"|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+ANY_NO_BLANKS = regex.compile(rf"{MARKS}|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
+
+
+@lru_cache(maxsize=1)
+def known() -> re.Pattern:
+    """Texts of characters that are assigned in this Python's Unicode tables: their classes,
+    lower case and normal form no longer change."""
+    gaps, start = [], None
+    for c in range(0x110001):
+        free = c < 0x110000 and unicodedata.category(chr(c)) in ("Cn", "Cs")
+        if free and start is None:
+            start = c
+        elif not free and start is not None:
+            gaps.append(f"{re.escape(chr(start))}-{re.escape(chr(c - 1))}")
+            start = None
+    return re.compile(f"[^{''.join(gaps)}]*")
 
 
 class Codec(dict):
     """Ids (bytes) of each word of text: a cache that encodes what it misses.
 
-    A word is what the tokenizer's pattern cuts. Of a text with other than plain
-    characters, units that the pattern never joins with their neighbours (a run
-    of non-blanks with the space before it, or blanks) are cut first; those that
-    are not plain are looked up whole and encoded by the library."""
+    A word is what the tokenizer's pattern cuts between special tokens, whose strings are
+    words of their own. Of a text with characters that are not ``known``, units that the
+    pattern never joins with their neighbours (a run of non-blanks with the space before it,
+    or blanks) are cut first; those that hold such a character are encoded by the library."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.path, self.merger = path, Merger(path)
         self.lower = bool(self.merger.suffix)    # lower case, blanks dropped
-        self.marks = list(self.merger.special.values())
+        self.marks = {m: np.array([i], "<u4").tobytes() for i, m in self.merger.special.items()}
+        self.at_marks = re.compile(f"({'|'.join(map(re.escape, self.marks))})")
 
     @cached_property
     def library(self):
@@ -323,23 +387,37 @@ class Codec(dict):
 
     def learn(self, words: list[str]) -> None:
         """Encode words that are not cached yet, all together."""
-        plain = []
+        own = []
         for w in words:
-            if PLAIN.fullmatch(w):
-                plain.append(w)
+            if w in self.marks:
+                self[w] = self.marks[w]
+            elif PLAIN.fullmatch(w) or known().fullmatch(w):
+                own.append(w)
             else:
                 self[w] = self.by_library(w)
-        self.update(zip(plain, self.merger.encode(plain)))
+        self.update(zip(own, self.merger.encode(own)))
 
-    def words(self, text: str) -> list[str] | None:
-        """None for a text that only the library may split."""
-        if any(m in text for m in self.marks):
-            return None
+    def words(self, text: str) -> list[str]:
+        if not any(m in text for m in self.marks):
+            return self.cut(text)
+        out = []
+        for k, part in enumerate(self.at_marks.split(text)):
+            out += [part] if k % 2 else self.cut(part)
+        return out
+
+    def cut(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
         if PLAIN.fullmatch(text):
             return (NO_BLANKS.findall(text.lower()) if self.lower else WITH_BLANKS.findall(text))
+        if known().fullmatch(text):
+            if not self.lower:
+                return ANY_WITH_BLANKS.findall(text)
+            # letter by letter, as the tokenizer does: no final form of sigma
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+            return ANY_NO_BLANKS.findall(text)
         out = []
         for unit in UNITS.findall(text):
-            out += self.words(unit) if PLAIN.fullmatch(unit) else [unit]
+            out += self.cut(unit) if known().fullmatch(unit) else [unit]
         return out
 
     def encode_texts(self, texts: list[str]) -> Iterator[bytes]:
@@ -347,7 +425,7 @@ class Codec(dict):
         split = [self.words(t) for t in texts]
         every = set()
         for s in split:
-            every.update(s or ())
+            every.update(s)
         new = every.difference(self)
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
@@ -355,8 +433,8 @@ class Codec(dict):
         self.learn(list(new))
         del every, new
         get = self.__getitem__
-        for text, s in zip(texts, split):
-            yield self.by_library(text) if s is None else b"".join(map(get, s))
+        for s in split:
+            yield b"".join(map(get, s))
 
     def decode(self, ids: bytes) -> bytes:
         """The UTF-8 text of ids; bytes that are no UTF-8 become U+FFFD."""
