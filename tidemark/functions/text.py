@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +20,8 @@ from tidemark import config as C
 DISALLOWED = r"(?U)[^A-Za-z0-9\p{P}\p{Sc}\s]"
 WHITESPACE_RUN = r"(?U)\s+"
 TOKEN = r"\w+|[^\w\s]"
+#: Bytes of text of which Python objects exist at once in a worker (or one row, if longer).
+PIECE_BYTES = 1 << 20
 
 
 def _normal(v) -> str:
@@ -23,6 +29,26 @@ def _normal(v) -> str:
     return v if unicodedata.is_normalized("NFKC", v) else unicodedata.normalize("NFKC", v)
 
 
+def _is_text(column: pa.Array) -> bool:
+    return pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+
+
+def text_pieces(*columns: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.Array, ...]]:
+    """Zero-copy slices of columns of the same rows, in order, each of at most ``limit``
+    bytes of text or one row."""
+    rows = len(columns[0])
+    ends = np.zeros(rows, np.int64)
+    for c in filter(_is_text, columns):
+        ends += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    ends = ends.cumsum()
+    at = 0
+    while at < rows:
+        before = ends[at - 1] if at else 0
+        end = max(int(np.searchsorted(ends, before + limit, side="right")), at + 1)
+        yield tuple(c.slice(at, end - at) for c in columns)
+        at = end
+
+
 @F.pandas_udf(T.StringType())
 def nfkc_concat(title: pd.Series, body: pd.Series) -> pd.Series:
     """NFKC of title and of body (non-strings as ""), concatenated with no
@@ -32,10 +58,13 @@ def nfkc_concat(title: pd.Series, body: pd.Series) -> pd.Series:
     return pd.Series(both, dtype=object)
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode NFKC normalisation (Spark has no built-in)."""
-    return pd.Series([_normal(v) if isinstance(v, str) else None for v in text], dtype=object)
+@F.arrow_udf(T.StringType())
+def nfkc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Unicode NFKC normalisation (Spark has no built-in), piece by piece."""
+    for batch in batches:
+        for (texts,) in text_pieces(batch):
+            yield pa.array([_normal(v) if isinstance(v, str) else None
+                            for v in texts.to_pylist()], pa.string())
 
 
 def strip_and_collapse(text: Column) -> Column:
