@@ -31,6 +31,9 @@ def test_a_whole_batch_is_never_normalised_at_once():
     made = list(TX.nfkc.func(iter([pa.array(texts)])))
     assert len(made) > 10 and all(p.nbytes <= 2 * TX.PIECE_BYTES for p in made)
     assert sum(map(len, made)) == len(texts) and made[-1][-1].as_py() == "fi" * 300
+    made = list(TX.nfkc_concat.func(iter([(pa.array(texts), pa.array(texts))])))
+    assert len(made) > 20 and all(p.nbytes <= 2 * TX.PIECE_BYTES for p in made)
+    assert sum(map(len, made)) == len(texts) and made[0][0].as_py() == "fi" * 600
 
 
 def test_nfkc_of_odd_rows(spark):

@@ -6,7 +6,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -49,13 +48,15 @@ def text_pieces(*columns: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[
         at = end
 
 
-@F.pandas_udf(T.StringType())
-def nfkc_concat(title: pd.Series, body: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def nfkc_concat(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """NFKC of title and of body (non-strings as ""), concatenated with no
-    separator. Arrow-batched; the only Python step of the cleaner."""
-    both = [(_normal(t) if isinstance(t, str) else "") + (_normal(b) if isinstance(b, str) else "")
-            for t, b in zip(title, body)]
-    return pd.Series(both, dtype=object)
+    separator, piece by piece. The only Python step of the cleaner."""
+    for batch in batches:
+        for titles, bodies in text_pieces(*batch):
+            yield pa.array([(_normal(t) if isinstance(t, str) else "")
+                            + (_normal(b) if isinstance(b, str) else "")
+                            for t, b in zip(titles.to_pylist(), bodies.to_pylist())], pa.string())
 
 
 @F.arrow_udf(T.StringType())
