@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -130,3 +131,38 @@ def test_long_words_are_merged_from_a_heap(pair):
     flat = np.frombuffer(texts[0][:3_000].encode(), np.uint8).astype(np.int16)
     assert codec.merger.merge_long(flat).tolist() == \
         codec.merger.merge(flat, np.array([len(flat)]))[0].tolist()
+
+
+def test_words_of_plain_texts_cut_in_arrays():
+    """Array cuts give the words of the pattern and the library's ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library, r = bpe.Codec(path), Tokenizer.from_file(path), random.Random(3)
+    bits = ["'", "'s", "'t", "'re", "'ve", "'ll", "r", "e", "l", "v", "s", "a", "Z", "É", "Ÿ", "ß", "0",
+            "12", " ", "\n", "\t", "  ", ".", '"', "—", "…", "’", "<|", "_", "don't", "x'rest"]
+    texts = ["", "'", " ", "\n\n", "'l", "'ve", "''s", "'s's", "é"]
+    texts += ["".join(r.choices(bits, k=r.randint(0, 40))) for _ in range(3000)]
+    words, first = bpe.cut_plain([t.lower() for t in texts])
+    for t, a, b in zip(texts, first, first[1:]):
+        found = [w for w in words[a:b].to_pylist() if not w.isspace()]
+        assert found == bpe.NO_BLANKS.findall(t.lower()), t
+    assert bpe.cut_plain(["the cat " * 50_000])[0].dictionary.to_pylist() == ["the", " ", "cat", " \n\n\n\n"]
+    texts[5:5] = ["日本 語 x's", "a'll <|endoftext|> b", "İ Σ ς ×"]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in own.encode_texts(texts)]
+    assert ids == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(own.encode_texts([])) == []
+
+
+def test_words_in_arrays_are_learned_once_and_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    own = bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    learned = []
+    encode = own.merger.encode_symbols
+    own.merger.encode_symbols = lambda flat, sizes: learned.append((flat % 256).astype(np.uint8).tobytes()) or encode(flat, sizes)
+    texts = [" ".join(["zebra", "same", "  ", *(f"w{chr(97 + k % 26)}{chr(97 + j)}" for j in range(20))]) for k in range(12)]
+    got = [ids for t in texts for ids in own.encode_texts([t])]
+    assert len(own) == 0                              # no word went through Python strings
+    assert b"".join(learned).count(b"zebra") == 1 and len(own.learned.words) <= 50
+    long = "ab" * 2000 + " " + "x" * 5000             # long words are not kept
+    got += own.encode_texts([long + " zebra"])
+    assert len(own.learned.words) <= 50 and max(map(len, own.learned.words.to_pylist())) < 1024
+    assert got == list(own.encode_cut([*texts, long + " zebra"]))

@@ -1,6 +1,7 @@
 """Byte-pair encoding by speculation: propose greedily, verify pairs, merge the rest.
 
-The words of a text are looked up in a cache. New words are encoded together:
+The words of a text are looked up in a cache. Texts of ASCII and Latin letters are cut, looked up
+and put together in arrays where the vocabulary is for lower-case text. New words are encoded together:
 
 1. propose: the longest vocabulary entry is taken again and again, for all
    words at once, by walking a trie over every position;
@@ -33,6 +34,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -297,32 +299,46 @@ class Merger:
                         heapq.heappush(heap, (found[0], a))
         return np.array([i for i in ids if i >= 0], np.int64)
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, as little-endian unsigned 32-bit bytes."""
-        data = [w.encode() for w in words]
-        sizes = np.fromiter(map(len, data), np.int64, len(data))
-        flat = np.frombuffer(b"".join(data), np.uint8).astype(np.int16)
-        if self.suffix:
-            flat[sizes.cumsum()[sizes > 0] - 1] += 256
+    def encode_symbols(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and counts by word."""
         ids, counts = self.propose(flat, sizes)
         word = np.repeat(np.arange(len(sizes)), counts)
         inner = np.flatnonzero(word[1:] == word[:-1]) if len(word) else np.zeros(0, np.int64)
         good = self.compatible(ids[inner], ids[inner + 1])
         failed = np.zeros(len(sizes), bool)
         failed[word[inner[~good]]] = True
-        data, at = ids.astype("<u4").tobytes(), (4 * np.r_[0, counts.cumsum()]).tolist()
-        out = [data[a:b] for a, b in zip(at, at[1:])]
+        if not failed.any():
+            return ids, counts
+        long = failed & (sizes > LONG)
+        short = failed & ~long
+        merged, merged_counts = self.merge(flat[np.repeat(short, sizes)], sizes[short])
         starts = sizes.cumsum() - sizes
-        for k in np.flatnonzero(failed & (sizes > LONG)).tolist():
-            out[k] = self.merge_long(flat[starts[k]:starts[k] + sizes[k]]).astype("<u4").tobytes()
-        failed &= sizes <= LONG
-        if failed.any():
-            again = np.flatnonzero(failed)
-            ids, counts = self.merge(flat[np.repeat(failed, sizes)], sizes[again])
-            data, at = ids.astype("<u4").tobytes(), (4 * np.r_[0, counts.cumsum()]).tolist()
-            for k, a, b in zip(again.tolist(), at, at[1:]):
-                out[k] = data[a:b]
-        return out
+        alone = [self.merge_long(flat[starts[k]:starts[k] + sizes[k]]) for k in np.flatnonzero(long)]
+        counts = counts.copy()
+        counts[short], counts[long] = merged_counts, list(map(len, alone))
+        owner = np.repeat(np.arange(len(sizes)), counts)
+        out = np.empty(len(owner), np.int64)
+        out[~failed[owner]] = ids[~failed[word]]
+        out[short[owner]] = merged
+        if alone:
+            out[long[owner]] = np.concatenate(alone)
+        return out, counts
+
+    def symbols(self, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Symbols of words that lie one after the other."""
+        flat = data.astype(np.int16)
+        if self.suffix:
+            flat[sizes.cumsum()[sizes > 0] - 1] += 256
+        return flat
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian unsigned 32-bit bytes."""
+        data = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        flat = self.symbols(np.frombuffer(b"".join(data), np.uint8), sizes)
+        ids, counts = self.encode_symbols(flat, sizes)
+        data, at = ids.astype("<u4").tobytes(), (4 * np.r_[0, counts.cumsum()]).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 #: Unicode White_Space, as the tokenizer's pattern has it.
@@ -356,6 +372,89 @@ def known() -> re.Pattern:
             start = None
     return re.compile(f"[^{''.join(gaps)}]*")
 
+#: Classes of bytes: blanks, letters, digits, other, and bytes inside a character. Of a ``PLAIN``
+#: text, characters of two bytes are letters, those of three are neither letters nor blanks.
+CLASSES = np.full(256, 3, np.int8)
+CLASSES[[*range(9, 14), 32]] = 0
+CLASSES[[*range(65, 91), *range(97, 123), *range(0xc3, 0xc6)]] = 1
+CLASSES[48:58] = 2
+CLASSES[0x80:0xc0] = 4
+BULK_CHARS = 4 << 20         # characters of texts that are cut together (or one text)
+
+
+def cut_plain(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """What ``NO_BLANKS`` finds in ``PLAIN`` lower-case texts, and runs of blanks between, as one
+    array of words; and of each text its first word, with the end of the last."""
+    data = [t.encode() for t in texts]
+    buffer = b"\n".join([*data, b"\n\n\n"])
+    flat = np.frombuffer(buffer, np.uint8)
+    kind = CLASSES[flat]
+    inside = np.flatnonzero(kind == 4)
+    for _ in range(2):                  # a character has two such bytes at most
+        kind[inside] = kind[inside - 1]
+    start = np.ones(len(flat), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    # an apostrophe that no other sign precedes may begin a mark; what follows it starts anew
+    quote = np.flatnonzero(start & (flat == 39))
+    after, last = flat[quote + 1], flat[quote + 2]
+    short = np.isin(after, list(b"stmd"))
+    long = (np.isin(after, list(b"rv")) & (last == ord("e"))
+            | (after == ord("l")) & (last == ord("l")))
+    start[quote[short | long] + 1] = False
+    start[quote[long] + 2] = False
+    start[quote[short] + 2] = True
+    start[quote[long] + 3] = True
+    at = np.flatnonzero(start)
+    words = pa.StringArray.from_buffers(
+        len(at), pa.py_buffer(np.r_[at, len(flat)].astype(np.int32)), pa.py_buffer(buffer))
+    begin = np.r_[0, np.cumsum([len(d) + 1 for d in data])]
+    return words.dictionary_encode(), np.searchsorted(at, begin)
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``counts`` values from ``starts`` on, one after the other."""
+    at = np.repeat(starts - counts.cumsum() + counts, counts)
+    at += np.arange(len(at))
+    return flat[at]
+
+
+class Learned:
+    """Words and their ids in arrays; a memory that is full goes on with the words of the
+    texts at hand, so memory is bounded."""
+
+    def __init__(self, merger: Merger) -> None:
+        self.merger = merger
+        self.words = pa.array([], pa.string())
+        self.ids, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def find(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, starts, counts) of distinct words; runs of blanks have none."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:][:len(words) + 1].astype(np.int64)
+        data, sizes = np.frombuffer(words.buffers()[2], np.uint8), np.diff(offsets)
+        real = CLASSES[data[offsets[:-1]]] != 0
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        known = place >= 0
+        starts, counts = np.zeros((2, len(words)), np.int64)
+        counts[known] = self.counts[place[known]]
+        starts[known] = (self.counts.cumsum() - self.counts)[place[known]]
+        fresh = real & ~known
+        if not fresh.any():
+            return self.ids, starts, counts
+        flat = self.merger.symbols(gather(data, offsets[:-1][fresh], sizes[fresh]), sizes[fresh])
+        ids, counts[fresh] = self.merger.encode_symbols(flat, sizes[fresh])
+        starts[fresh] = len(self.ids) + counts[fresh].cumsum() - counts[fresh]
+        ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+        short = sizes <= LONG
+        if len(self.words) + int((fresh & short).sum()) > CACHE_WORDS:
+            kept, old = real & short, self.words[:0]
+            self.ids, self.counts = self.ids[:0], self.counts[:0]
+        else:
+            kept, old = fresh & short, self.words
+        self.words = pa.concat_arrays([old, words.filter(pa.array(kept))])
+        self.ids = np.concatenate([self.ids, gather(ids, starts[kept], counts[kept])])
+        self.counts = np.concatenate([self.counts, counts[kept]])
+        return ids, starts, counts
+
 
 class Codec(dict):
     """Ids (bytes) of each word of text: a cache that encodes what it misses.
@@ -368,6 +467,7 @@ class Codec(dict):
     def __init__(self, path: str) -> None:
         super().__init__()
         self.path, self.merger = path, Merger(path)
+        self.learned = Learned(self.merger)
         self.lower = bool(self.merger.suffix)    # lower case, blanks dropped
         self.marks = {m: np.array([i], "<u4").tobytes() for i, m in self.merger.special.items()}
         self.at_marks = re.compile(f"({'|'.join(map(re.escape, self.marks))})")
@@ -422,6 +522,35 @@ class Codec(dict):
 
     def encode_texts(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, in order."""
+        if not self.lower:
+            yield from self.encode_cut(texts)
+            return
+        plain = [PLAIN.fullmatch(t) is not None and not any(m in t for m in self.marks)
+                 for t in texts]
+        rest = self.encode_cut([t for t, p in zip(texts, plain) if not p])
+        bulk = self.encode_plain([t for t, p in zip(texts, plain) if p])
+        for p in plain:
+            yield next(bulk if p else rest)
+
+    def encode_plain(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of ``PLAIN`` texts without special tokens, cut, looked up and put together in
+        arrays: no word is a Python string."""
+        at = 0
+        while at < len(texts):
+            end, chars = at, 0
+            while end < len(texts) and (end == at or chars + len(texts[end]) <= BULK_CHARS):
+                chars += len(texts[end])
+                end += 1
+            found, first = cut_plain([t.lower() for t in texts[at:end]])
+            flat, starts, counts = self.learned.find(found.dictionary)
+            word = found.indices.to_numpy()
+            data = gather(flat, starts[word], counts[word]).astype("<u4").tobytes()
+            ends = (4 * np.r_[0, counts[word].cumsum()][first]).tolist()
+            yield from (data[a:b] for a, b in zip(ends, ends[1:]))
+            at = end
+
+    def encode_cut(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, in order, from lists of its words."""
         split = [self.words(t) for t in texts]
         every = set()
         for s in split:
