@@ -47,3 +47,37 @@ def test_nfkc_of_odd_rows(spark):
         assert got[k].c == nf(t or "") + nf(ODD[-1 - k] or "")
     assert [got[k].alone for k in (0, 1, 2, 4)] == ["fine", "", "", "plain"]
     assert d.limit(0).select(TX.nfkc("t")).collect() == []
+
+
+def _sent_to_python(df):
+    """Bytes that the query's Python steps were sent, and its rows."""
+    rows = df.collect()
+
+    def sent(plan):
+        metric = plan.metrics().get("pythonDataSent")
+        kids = plan.children()
+        return ((metric.get().value() if metric.isDefined() else 0)
+                + sum(sent(kids.apply(k)) for k in range(kids.size())))
+
+    return sent(df._jdf.queryExecution().executedPlan()), rows
+
+
+def test_ascii_rows_do_not_cross_into_python(spark):
+    k = F.col("id")
+    d = spark.range(0, 4000, 1, 2).select(
+        "id", F.when(k % 100 == 1, "ﬁne").when(k % 7 != 3, "Fine").alias("title"),
+        F.when(k % 11 != 5, F.concat(F.repeat(F.lit("word "), 400), k.cast("string"))).alias("body"))
+    sent, rows = _sent_to_python(d.select("id", TX.clean_text(F.col("title"), F.col("body")).alias("t")))
+    assert sent < 500_000                              # 8 MB of text, 40 rows of 2 kB to normalise
+    for r in rows:
+        title = "fine" if r.id % 100 == 1 else "Fine" if r.id % 7 != 3 else ""
+        body = "word " * 400 + str(r.id) if r.id % 11 != 5 else ""
+        assert r.t == title + body
+
+
+def test_clean_text_is_the_same_by_either_way(spark):
+    odd = [*ODD[:5], "é", "\U0001d400 b", "tab\there", "Ω", "\x7f\x00", " "]
+    d = spark.createDataFrame([(a, b) for a in odd for b in odd], "t string, b string").repartition(3)
+    both = d.select("t", "b", TX.normal_concat(F.col("t"), F.col("b")).alias("n"),
+                    TX.nfkc_concat("t", "b").alias("c"))
+    assert all(r.n == r.c for r in both.collect()) and both.count() == len(odd) ** 2

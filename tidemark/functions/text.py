@@ -51,7 +51,7 @@ def text_pieces(*columns: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[
 @F.arrow_udf(T.StringType())
 def nfkc_concat(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """NFKC of title and of body (non-strings as ""), concatenated with no
-    separator, piece by piece. The only Python step of the cleaner."""
+    separator, piece by piece."""
     for batch in batches:
         for titles, bodies in text_pieces(*batch):
             yield pa.array([(_normal(t) if isinstance(t, str) else "")
@@ -68,6 +68,14 @@ def nfkc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
                             for v in texts.to_pylist()], pa.string())
 
 
+def normal_concat(title: Column, body: Column) -> Column:
+    """``nfkc_concat``, for which only rows with other than ASCII characters cross into
+    Python: ASCII is in NFKC already. The only Python step of the cleaner."""
+    plain = F.concat(F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))
+    other = F.length(plain) != F.octet_length(plain)
+    return F.when(other, nfkc_concat(F.when(other, title), F.when(other, body))).otherwise(plain)
+
+
 def strip_and_collapse(text: Column) -> Column:
     """Drop disallowed characters, collapse whitespace runs, trim."""
     kept = F.regexp_replace(text, DISALLOWED, "")
@@ -78,7 +86,7 @@ def clean_text(title: Column, body: Column, normalize: bool = True) -> Column:
     """The cleaner: NFKC each field, keep allowed characters, join title and
     body without a separator, collapse whitespace, trim."""
     if normalize:
-        joined = nfkc_concat(title, body)
+        joined = normal_concat(title, body)
     else:
         joined = F.concat(F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))
     return strip_and_collapse(joined)
